@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from .. import functions as X
+from .dimensions import exact_avg
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "medicion_id") -> DataFrame:
@@ -71,8 +72,8 @@ def cluster_layer(df: DataFrame, cell: float | None = None) -> DataFrame:
                          "celda_lon": X.grid_cell("longitude", cell, "floor")})
     return g.groupBy("celda_lat", "celda_lon").agg(
         F.count(F.lit(1)).alias("puntos"),
-        F.round(F.avg("latitude"), 6).alias("centro_lat"),
-        F.round(F.avg("longitude"), 6).alias("centro_lon"))
+        exact_avg("latitude", 6).alias("centro_lat"),
+        exact_avg("longitude", 6).alias("centro_lon"))
 
 
 def device_trails(df: DataFrame, ordered: bool = True) -> DataFrame:

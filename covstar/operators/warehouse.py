@@ -146,12 +146,13 @@ class Warehouse:
         return dim_join(df, d, on, how, self.sizes.get(name))
 
     # ------------------------------------------------------------------ views
-    def full_view(self) -> DataFrame:
-        """Fact left-joined to all seven dimensions (22 columns)."""
+    def full_view(self, extra: tuple = ()) -> DataFrame:
+        """Fact left-joined to all seven dimensions (22 columns, plus any
+        ``extra`` fact columns such as the natural key ``source_id``)."""
         f = self.fact.select("medicion_id", "timestamp", "latitude", "longitude", "medida_senal",
                              "medida_velocidad", "medida_altitud", "medida_bateria", "zona_altitud",
                              "tiempo_id", "hora_id", "dispositivo_id", "operador_id", "red_id",
-                             "calidad_id", "zona_id")
+                             "calidad_id", "zona_id", *extra)
         f = self.join(f, "dim_tiempo", "tiempo_id", "left", ["tiempo_id", "fecha", "anio", "mes", "nombre_dia"])
         f = self.join(f, "dim_hora", "hora_id", "left", ["hora_id", "hora", "franja_horaria"])
         f = self.join(f, "dim_dispositivo", "dispositivo_id", "left", ["dispositivo_id", "device_id", "device_name"])
@@ -163,7 +164,7 @@ class Warehouse:
                         "medida_velocidad", "medida_altitud", "medida_bateria", "zona_altitud",
                         "fecha", "anio", "mes", "nombre_dia", "hora", "franja_horaria", "device_id",
                         "device_name", "operador_nombre", "red_tipo", "generacion", "calidad_categoria",
-                        "zona_nombre")
+                        "zona_nombre", *extra)
 
     def analytic_frame(self, ordered: bool = False, date_from=None, date_to=None) -> DataFrame:
         """Fact inner-joined to six dimensions, points only, with the
