@@ -64,7 +64,7 @@ def to_fact_rows(acc: DataFrame, dims: dict, sizes: dict, now=None) -> DataFrame
     loaded = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     return df.select(
         fact_id().alias("medicion_id"),
-        "timestamp", "tiempo_id", F.col("hora").alias("hora_id"),
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "tiempo_id", F.col("hora").alias("hora_id"),
         "dispositivo_id", "operador_id", "red_id",
         # the quality dimension is a fixed seed: its lookup is an expression
         F.coalesce(X.class_id_of("calidad_senal"), F.lit(C.DEFAULT_QUALITY_ID)).alias("calidad_id"),
