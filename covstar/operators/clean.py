@@ -45,8 +45,10 @@ def normalize(raw: DataFrame, grid_size: float = C.GRID_SIZE_ETL, grid_mode: str
     operator / network normalised, quality class, grid cell, altitude band,
     km/h, sector, date / hour / yyyymmdd keys and the natural device key.
     """
-    df = raw.withColumn("timestamp", X.parse_ts(raw, "timestamp"))
-    df = valid(nan_to_null(df))
+    df = nan_to_null(raw.withColumn("timestamp", X.parse_ts(raw, "timestamp")))
+    # F1 after NaN -> NULL: a NULL test is enough
+    df = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+                   & F.col("timestamp").isNotNull())
     df = df.withColumns({
         "operador_normalizado": X.normalize_operator("sim_operator"),
         "red_normalizada": X.normalize_network("network_type"),

@@ -47,20 +47,20 @@ def _count(df: DataFrame | None) -> int | None:
     return None if df is None else df.count()
 
 
-def _merge_serial_dim(existing: DataFrame | None, members: DataFrame, keys: list[str], id_col: str,
-                      cols: list[str]) -> tuple[DataFrame, int]:
+def _merge_serial_dim(existing: DataFrame | None, n_existing: int, members: DataFrame, keys: list[str],
+                      id_col: str, cols: list[str]) -> tuple[DataFrame, int]:
     """K1 + K4: members absent from the dimension get ids after the largest
     existing id; returns (whole new dimension, number of new members)."""
-    fresh = insert_ignore(existing, members, keys, _count(existing))
+    fresh = insert_ignore(existing, members, keys, n_existing)
     fresh = assign_ids(fresh, id_col, keys, existing).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     n = fresh.count()
     table = fresh if existing is None else existing.select(*cols).unionByName(fresh)
     return table, n
 
 
-def _merge_natural_dim(existing: DataFrame | None, members: DataFrame, keys: list[str],
+def _merge_natural_dim(existing: DataFrame | None, n_existing: int, members: DataFrame, keys: list[str],
                        cols: list[str]) -> tuple[DataFrame, int]:
-    fresh = insert_ignore(existing, members.select(*cols), keys, _count(existing))
+    fresh = insert_ignore(existing, members.select(*cols), keys, n_existing)
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     n = fresh.count()
     table = fresh if existing is None else existing.select(*cols).unionByName(fresh)
@@ -84,15 +84,21 @@ def _merge_zones(existing: DataFrame | None, delta: DataFrame) -> DataFrame:
 def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode: str = "incremental",
                batch_id: int | None = None, overwrite: bool = False,
                grid_size: float = C.GRID_SIZE_ETL, grid_mode: str = "trunc") -> dict:
-    """Load one batch of raw rows into the warehouse at ``root``."""
+    """Load one batch of raw rows into the warehouse at ``root``.
+
+    New dimension snapshots are written first but recorded as current only
+    after the fact append, in one log append: a failed run leaves the
+    previous versions current, and its rerun assigns the same ids (they are
+    a function of the stored dimension and the batch)."""
     t0 = time.time()
     now = _as_datetime(now)
     run_id = uuid.uuid4().hex[:12]
+    vers = store.current_versions(spark, root)
     if overwrite:
         dims = {n: None for n in DIM_COLUMNS}
         fact = None
     else:
-        dims = {n: store.read_table(spark, root, n) for n in DIM_COLUMNS}
+        dims = {n: (store.read_version(spark, root, n, vers[n]) if n in vers else None) for n in DIM_COLUMNS}
         fact = store.read_table(spark, root, store.FACT)
 
     norm = normalize(batch, grid_size, grid_mode).persist(StorageLevel.MEMORY_AND_DISK)
@@ -101,7 +107,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
               "new_members": {}, "last_extracted_at": None}
     try:
         if valid_rows:
-            result.update(_load_normalized(spark, norm, root, dims, fact, now, overwrite, grid_size))
+            result.update(_load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size))
         status, err = "OK", None
     except Exception as e:  # recorded, then re-raised
         status, err = "ERROR", f"{type(e).__name__}: {e}"[:2000]
@@ -118,33 +124,45 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
     return result
 
 
-def _load_normalized(spark, norm, root, dims, fact, now, overwrite, grid_size) -> dict:
+def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size) -> dict:
     out = {"new_members": {}}
-    # small dimensions: one bounded aggregate of the batch feeds all four
+    written: dict[str, int] = {}
+    current, sizes = {}, {}
+
+    def publish(name: str, table: DataFrame, n_rows: int | None = None) -> None:
+        v = vers.get(name, 0) + 1
+        store.write_version(table, root, name, v, coalesce=1)
+        written[name] = v
+        current[name] = store.read_version(spark, root, name, v)
+        sizes[name] = current[name].count() if n_rows is None else n_rows
+
+    # small dimensions: one bounded aggregate of the batch feeds four of them
     combos = norm.groupBy("fecha", "hora", "operador_normalizado", "red_normalizada").count()
     combos = combos.persist(StorageLevel.MEMORY_AND_DISK)
     plans = {
-        "dim_tiempo": lambda e: _merge_natural_dim(e, time_members(combos), ["tiempo_id"], DIM_COLUMNS["dim_tiempo"]),
-        "dim_hora": lambda e: _merge_natural_dim(e, hour_members(combos), ["hora_id"], DIM_COLUMNS["dim_hora"]),
-        "dim_operador": lambda e: _merge_serial_dim(e, operator_members(combos), ["operador_nombre"],
-                                                    "operador_id", DIM_COLUMNS["dim_operador"]),
-        "dim_red": lambda e: _merge_serial_dim(e, network_members(combos), ["red_tipo"], "red_id",
-                                               DIM_COLUMNS["dim_red"]),
-        "dim_dispositivo": lambda e: _merge_serial_dim(e, device_members(norm), ["device_id"],
-                                                       "dispositivo_id", DIM_COLUMNS["dim_dispositivo"]),
+        "dim_tiempo": lambda e, n: _merge_natural_dim(e, n, time_members(combos), ["tiempo_id"],
+                                                      DIM_COLUMNS["dim_tiempo"]),
+        "dim_hora": lambda e, n: _merge_natural_dim(e, n, hour_members(combos), ["hora_id"],
+                                                    DIM_COLUMNS["dim_hora"]),
+        "dim_operador": lambda e, n: _merge_serial_dim(e, n, operator_members(combos), ["operador_nombre"],
+                                                       "operador_id", DIM_COLUMNS["dim_operador"]),
+        "dim_red": lambda e, n: _merge_serial_dim(e, n, network_members(combos), ["red_tipo"], "red_id",
+                                                  DIM_COLUMNS["dim_red"]),
+        "dim_dispositivo": lambda e, n: _merge_serial_dim(e, n, device_members(norm), ["device_id"],
+                                                          "dispositivo_id", DIM_COLUMNS["dim_dispositivo"]),
     }
-    current = {}
     for name, plan in plans.items():
-        table, n_new = plan(dims[name])
+        n_existing = _count(dims[name]) or 0
+        table, n_new = plan(dims[name], n_existing)
         out["new_members"][name] = n_new
         if n_new or dims[name] is None:
-            store.write_snapshot(table, root, name, now, coalesce=1)
-            current[name] = store.read_table(spark, root, name)
+            publish(name, table, n_existing + n_new)
         else:
-            current[name] = dims[name]
+            current[name], sizes[name] = dims[name], n_existing
     if dims["dim_calidad"] is None:
-        store.write_snapshot(quality_dim(spark), root, "dim_calidad", now, coalesce=1)
-    current["dim_calidad"] = store.read_table(spark, root, "dim_calidad")
+        publish("dim_calidad", quality_dim(spark), len(C.QUALITY_SEED))
+    else:
+        current["dim_calidad"], sizes["dim_calidad"] = dims["dim_calidad"], len(C.QUALITY_SEED)
     combos.unpersist()
 
     # facts accepted by the key (source_id, timestamp), not stored yet (K3)
@@ -158,17 +176,17 @@ def _load_normalized(spark, norm, root, dims, fact, now, overwrite, grid_size) -
     out["last_extracted_at"] = norm.agg(F.max("timestamp").cast("timestamp_ntz")).first()[0]
 
     # zones accumulate the accepted facts only, so a rerun adds zero
-    delta = zone_members(zone_stats(fresh, grid_size, cells_ready=True), grid_size)
-    zones = _merge_zones(dims["dim_zonas"], delta)
     if n_fresh or dims["dim_zonas"] is None:
-        store.write_snapshot(zones, root, "dim_zonas", now, coalesce=1)
-    current["dim_zonas"] = store.read_table(spark, root, "dim_zonas")
+        delta = zone_members(zone_stats(fresh, grid_size, cells_ready=True), grid_size)
+        publish("dim_zonas", _merge_zones(dims["dim_zonas"], delta))
+    else:
+        current["dim_zonas"], sizes["dim_zonas"] = dims["dim_zonas"], _count(dims["dim_zonas"])
 
     if n_fresh:
-        sizes = {n: d.count() for n, d in current.items()}
         rows = to_fact_rows(fresh, current, sizes, now)
         store.append_facts(rows, root, overwrite=overwrite)
     fresh.unpersist()
+    store.record_versions(spark, root, written, now)
     return out
 
 

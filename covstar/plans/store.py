@@ -88,6 +88,38 @@ def current_version(spark: SparkSession, root: str, table: str) -> int | None:
     return v.filter(F.col("table") == table).agg(F.max("version")).first()[0]
 
 
+def current_versions(spark: SparkSession, root: str) -> dict[str, int]:
+    """Current version of every table, from one small aggregate of the log."""
+    v = versions(spark, root)
+    if v is None:
+        return {}
+    return {r[0]: r[1] for r in v.groupBy("table").agg(F.max("version")).collect()}  # one row per table
+
+
+def table_path(root: str, table: str, version: int) -> str:
+    return _path(root, table, f"v={version:06d}")
+
+
+def read_version(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:
+    return spark.read.parquet(table_path(root, table, version))
+
+
+def write_version(df: DataFrame, root: str, table: str, version: int, coalesce: int | None = None) -> None:
+    """Write a snapshot directory that is not current until recorded."""
+    out = df.coalesce(coalesce) if coalesce else df
+    out.write.mode("overwrite").parquet(table_path(root, table, version))
+
+
+def record_versions(spark: SparkSession, root: str, written: dict[str, int], now=None) -> None:
+    """Make written snapshots current, all in one append to the log."""
+    if not written:
+        return
+    ts = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    rows = [(t, v, ts) for t, v in written.items()]
+    (spark.createDataFrame(rows, VERSIONS_SCHEMA).coalesce(1)
+          .write.mode("append").parquet(_path(root, "_control", "versions")))
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """Current snapshot of a table, or the fact table; ``None`` if absent."""
     if table == FACT:

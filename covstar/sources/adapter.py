@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .raw import RAW_COLUMNS
+from .raw import RAW_COLUMNS, balanced
 
 # FIXED VALUES of the adapter: raw operator by event_id % 9, network by
 # (event_id div 9) % 9; None = NULL.
@@ -32,7 +32,11 @@ def _pick(index: Column, values: list) -> Column:
 def events_to_raw(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
     u = F.col("user_id")
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
+    # parse the JSON once, in its own projection: the optimizer keeps a
+    # non-trivial expression used many times below from being inlined
+    events = events.select("event_id", "ts", "user_id",
+                           F.get_json_object(F.col("props"), "$.k").try_cast("int").alias("_k"))
+    k = F.col("_k")
     no_coords = (e % 89) == 0
     lat = ((F.lit(-17800) + (k * 7 - u) % 400) / F.lit(1000.0))
     lon = ((F.lit(-63100) + (k * 3 + u) % 300) / F.lit(1000.0))
@@ -58,7 +62,7 @@ def events_to_raw(events: DataFrame) -> DataFrame:
 
 def raw_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw measurements derived from ``<sf_dir>/events.parquet``."""
-    return events_to_raw(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return events_to_raw(balanced(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
 # The same mapping as DuckDB SQL, for the oracle.

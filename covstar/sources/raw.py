@@ -52,6 +52,17 @@ def read_measurements(spark: SparkSession, path: str, fmt: str = "parquet",
     return spark.read.format(fmt).options(**opts).load(path).select(*RAW_COLUMNS)
 
 
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores
+    (one small unsplittable file) over ``defaultParallelism`` partitions.
+    A large feed already has many more splits than cores and is returned
+    untouched, so no shuffle is added at scale (the check is planning only)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def since(df: DataFrame, watermark, ts: str = "timestamp") -> DataFrame:
     """Incremental scan, strictly newer than the watermark. ``None`` or the
     epoch means no watermark. The filter is a plain comparison so it reaches
