@@ -69,7 +69,9 @@ def network_members(norm: DataFrame) -> DataFrame:
 def device_members(norm: DataFrame) -> DataFrame:
     """dim_dispositivo members: one row per device key; of several names the
     smallest is kept (deterministic form of keep-first)."""
-    d = drop_null_members(norm.select("device_id", "device_name"), "device_id")
+    # distinct pairs first (hash aggregate, partial per task), so the
+    # min-by-name step only sees one row per (id, name)
+    d = drop_null_members(norm.select("device_id", "device_name"), "device_id").distinct()
     return d.groupBy("device_id").agg(F.min("device_name").alias("device_name"))
 
 
@@ -119,6 +121,12 @@ DIM_COLUMNS = {
                   "grid_longitud_inicio", "grid_longitud_fin"],
 }
 
+# K5: audit columns of the stored dimensions (default: load time)
+AUDIT_COLUMNS = {
+    "dim_operador": ["created_at"], "dim_red": ["created_at"],
+    "dim_dispositivo": ["created_at", "updated_at"], "dim_zonas": ["created_at"],
+}
+
 # natural key of each dimension
 DIM_KEYS = {
     "dim_tiempo": ["tiempo_id"], "dim_hora": ["hora_id"], "dim_operador": ["operador_nombre"],

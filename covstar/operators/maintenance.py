@@ -64,5 +64,7 @@ def new_facts(existing: DataFrame | None, new: DataFrame, keys=("source_id", "ti
 
 def with_audit_cols(df: DataFrame, now=None, cols=("created_at",)) -> DataFrame:
     """K5: audit columns defaulting to now (injectable for tests)."""
+    if not cols:
+        return df
     ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     return df.withColumns({c: ts for c in cols})

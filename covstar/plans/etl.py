@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from .. import functions as X
 from ..operators.clean import normalize
-from ..operators.dimensions import (DIM_COLUMNS, assign_ids, device_members, hour_members,
+from ..operators.dimensions import (AUDIT_COLUMNS, DIM_COLUMNS, assign_ids, device_members, hour_members,
                                     network_members, operator_members, quality_dim, time_members,
                                     zone_members, zone_stats)
-from ..operators.maintenance import insert_ignore, new_facts, upsert_accumulate
+from ..operators.maintenance import insert_ignore, new_facts, upsert_accumulate, with_audit_cols
 from ..operators.warehouse import accepted_rows, to_fact_rows
 from ..session import cut_lineage
 from ..sources.raw import extract, high_watermark, since
@@ -47,12 +47,19 @@ def _count(df: DataFrame | None) -> int | None:
     return None if df is None else df.count()
 
 
+def _stored_columns(name: str) -> list[str]:
+    return DIM_COLUMNS[name] + AUDIT_COLUMNS.get(name, [])
+
+
 def _merge_serial_dim(existing: DataFrame | None, n_existing: int, members: DataFrame, keys: list[str],
-                      id_col: str, cols: list[str]) -> tuple[DataFrame, int]:
-    """K1 + K4: members absent from the dimension get ids after the largest
-    existing id; returns (whole new dimension, number of new members)."""
+                      id_col: str, name: str, now) -> tuple[DataFrame, int]:
+    """K1 + K4 + K5: members absent from the dimension get ids after the
+    largest existing id and load-time audit columns; returns (whole new
+    dimension, number of new members)."""
+    cols = _stored_columns(name)
     fresh = insert_ignore(existing, members, keys, n_existing)
-    fresh = assign_ids(fresh, id_col, keys, existing).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = with_audit_cols(assign_ids(fresh, id_col, keys, existing), now, AUDIT_COLUMNS.get(name, []))
+    fresh = fresh.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     n = fresh.count()
     table = fresh if existing is None else existing.select(*cols).unionByName(fresh)
     return table, n
@@ -67,11 +74,12 @@ def _merge_natural_dim(existing: DataFrame | None, n_existing: int, members: Dat
     return table, n
 
 
-def _merge_zones(existing: DataFrame | None, delta: DataFrame) -> DataFrame:
+def _merge_zones(existing: DataFrame | None, delta: DataFrame, now) -> DataFrame:
     """K2 + K4: add the new totals to known cells (other attributes keep
     their first values); new cells get ids after the largest id."""
     keys = ["grid_lat", "grid_lon"]
-    cols = DIM_COLUMNS["dim_zonas"]
+    cols = _stored_columns("dim_zonas")
+    delta = with_audit_cols(delta, now, AUDIT_COLUMNS["dim_zonas"])
     if existing is None:
         return assign_ids(delta, "zona_id", keys).select(*cols)
     merged = upsert_accumulate(existing.select(*cols), delta, keys, ["total_mediciones"])
@@ -145,11 +153,11 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
         "dim_hora": lambda e, n: _merge_natural_dim(e, n, hour_members(combos), ["hora_id"],
                                                     DIM_COLUMNS["dim_hora"]),
         "dim_operador": lambda e, n: _merge_serial_dim(e, n, operator_members(combos), ["operador_nombre"],
-                                                       "operador_id", DIM_COLUMNS["dim_operador"]),
+                                                       "operador_id", "dim_operador", now),
         "dim_red": lambda e, n: _merge_serial_dim(e, n, network_members(combos), ["red_tipo"], "red_id",
-                                                  DIM_COLUMNS["dim_red"]),
+                                                  "dim_red", now),
         "dim_dispositivo": lambda e, n: _merge_serial_dim(e, n, device_members(norm), ["device_id"],
-                                                          "dispositivo_id", DIM_COLUMNS["dim_dispositivo"]),
+                                                          "dispositivo_id", "dim_dispositivo", now),
     }
     for name, plan in plans.items():
         n_existing = _count(dims[name]) or 0
@@ -178,7 +186,7 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
     # zones accumulate the accepted facts only, so a rerun adds zero
     if n_fresh or dims["dim_zonas"] is None:
         delta = zone_members(zone_stats(fresh, grid_size, cells_ready=True), grid_size)
-        publish("dim_zonas", _merge_zones(dims["dim_zonas"], delta))
+        publish("dim_zonas", _merge_zones(dims["dim_zonas"], delta, now))
     else:
         current["dim_zonas"], sizes["dim_zonas"] = dims["dim_zonas"], _count(dims["dim_zonas"])
 

@@ -101,3 +101,18 @@ def test_zone_export_round_trip(spark):
     assert back.columns == ZONE_BUILD_COLUMNS
     assert back.agg(F.sum("total_mediciones")).first()[0] == \
         raw_from_dir(spark, SF).dropna(subset=["latitude", "longitude"]).count()
+
+
+def test_audit_columns_keep_first_load_time(spark):
+    root = tempfile.mkdtemp(prefix="covstar-wh-")
+    raw = raw_from_dir(spark, SF)
+    early = raw.filter(F.col("timestamp") < F.lit("2024-01-02").cast("timestamp_ntz"))
+    etl.run(spark, early, root, mode="initial", now="2025-01-01 00:00:00")
+    first = {r.device_id for r in Warehouse.load(spark, root).dims["dim_dispositivo"].collect()}
+    etl.run(spark, raw, root, mode="incremental", now="2025-02-01 00:00:00")
+    d = Warehouse.load(spark, root).dims["dim_dispositivo"].collect()
+    for r in d:
+        expect = "2025-01-01" if r.device_id in first else "2025-02-01"
+        assert str(r.created_at).startswith(expect) and str(r.updated_at).startswith(expect)
+    z = Warehouse.load(spark, root).dims["dim_zonas"]
+    assert z.filter(F.col("created_at").isNull()).count() == 0
