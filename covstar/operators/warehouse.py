@@ -170,12 +170,23 @@ class Warehouse:
         """Fact inner-joined to six dimensions, points only, with the
         analytic column names. Measures are doubles (the analytic frame is a
         float frame). ``date_from``/``date_to`` prune the weekly fact
-        partitions before the scan (only helper needed for partition pruning:
-        the date slicer is on a dimension column, the partition on the fact).
+        partitions and skip row groups before the scan (the only helper
+        partition pruning needs: the date slicer is on a dimension column,
+        the partition on the fact).
         ``ordered=True`` adds the newest-first order: only at a result edge."""
         f = self.fact
-        if date_from is not None and date_to is not None:
-            f = f.filter(F.col("semana").isin(X.weeks_between(date_from, date_to)))
+        # the date slicer is on the time dimension; the same bounds are put
+        # on the fact itself: the week partition column (partition pruning)
+        # and the yyyymmdd key (row-group min/max skipping in time-sorted files)
+        if date_from is not None:
+            d0 = _dt.date.fromisoformat(str(date_from)[:10])
+            monday = d0 - _dt.timedelta(days=d0.weekday())
+            f = f.filter((F.col("semana") >= monday.isoformat())
+                         & (F.col("tiempo_id") >= int(d0.strftime("%Y%m%d"))))
+        if date_to is not None:
+            d1 = _dt.date.fromisoformat(str(date_to)[:10])
+            f = f.filter((F.col("semana") <= d1.isoformat())
+                         & (F.col("tiempo_id") <= int(d1.strftime("%Y%m%d"))))
         f = f.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
         f = f.select("medicion_id", "timestamp",
                      F.col("latitude").cast("double").alias("latitude"),

@@ -109,10 +109,12 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
         dims = {n: (store.read_version(spark, root, n, vers[n]) if n in vers else None) for n in DIM_COLUMNS}
         fact = store.read_table(spark, root, store.FACT)
 
+    # normalised once, persisted: the dimension plans and the fact plan share it
     norm = normalize(batch, grid_size, grid_mode).persist(StorageLevel.MEMORY_AND_DISK)
-    valid_rows = norm.count()
+    stats = norm.agg(F.count(F.lit(1)), F.max(F.col("timestamp").cast("timestamp_ntz"))).first()
+    valid_rows = stats[0]
     result = {"run_id": run_id, "mode": mode, "valid_rows": valid_rows, "new_facts": 0,
-              "new_members": {}, "last_extracted_at": None}
+              "new_members": {}, "last_extracted_at": stats[1]}
     try:
         if valid_rows:
             result.update(_load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size))
@@ -175,13 +177,13 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
 
     # facts accepted by the key (source_id, timestamp), not stored yet (K3)
     acc = accepted_rows(norm).withColumn("semana", X.week_partition("timestamp"))
-    touched = [r[0] for r in acc.select("semana").distinct().collect()]  # bounded: weeks of the batch
+    # weeks of the batch (bounded list), from the persisted frame: no dedupe needed
+    touched = [r[0] for r in norm.select(X.week_partition("timestamp")).distinct().collect()]
     fresh = new_facts(fact, acc, touched=touched)
     # cut lineage before the append: the anti join reads the table being written
     fresh = cut_lineage(fresh).persist(StorageLevel.MEMORY_AND_DISK)
     n_fresh = fresh.count()
     out["new_facts"] = n_fresh
-    out["last_extracted_at"] = norm.agg(F.max("timestamp").cast("timestamp_ntz")).first()[0]
 
     # zones accumulate the accepted facts only, so a rerun adds zero
     if n_fresh or dims["dim_zonas"] is None:
