@@ -19,17 +19,58 @@ def exact_avg(c: str | Column, scale: int) -> Column:
     return F.round(F.avg(x.cast(T.DecimalType(28, 12))), scale).cast("double")
 
 
+# Up to this many rows are numbered by one window in one task; larger sets
+# are numbered by range partitions + per-partition offsets (no single task).
+SINGLE_TASK_MAX_ROWS = 200_000
+
+
+def dense_number(df: DataFrame, order_by: list, id_col: str, base: int = 0,
+                 n_rows: int | None = None, single_task_max: int = SINGLE_TASK_MAX_ROWS,
+                 id_type: str = "int") -> DataFrame:
+    """Consecutive numbers ``base+1 .. base+n`` in ``order_by`` order (the
+    order columns must identify a row). Small inputs use one ordered window.
+    Large inputs are range-partitioned on the order, sorted inside each
+    partition and checkpointed (stable partitions for both passes); the
+    per-partition counts (one row per partition) give running offsets, and a
+    row's number is its partition offset plus its position in the partition.
+    Without a shared checkpoint folder the one-window form is used."""
+    from ..session import checkpoint_dir
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    spark = df.sparkSession
+    if n_rows is None or n_rows > single_task_max:
+        if n_rows is None:
+            df = df.persist()
+            n_rows = df.count()
+    if n_rows <= single_task_max or checkpoint_dir(spark) is None:
+        w = Window.orderBy(*order)
+        return df.withColumn(id_col, (F.lit(int(base)) + F.row_number().over(w)).cast(id_type))
+    parts = int(min(max(2, n_rows // single_task_max + 1), 4 * spark.sparkContext.defaultParallelism + 2))
+    ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_mid", F.monotonically_increasing_id())
+                .checkpoint(eager=True))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # one row per partition: a proven-small broadcast
+    out = ranged.join(F.broadcast(offsets), "_pid")
+    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return (out.withColumn(id_col, (F.lit(int(base)) + F.col("_off") + pos + 1).cast(id_type))
+               .drop("_pid", "_mid", "_off"))
+
+
 def assign_ids(new: DataFrame, id_col: str, order_by: list[str],
-               existing: DataFrame | None = None) -> DataFrame:
+               existing: DataFrame | None = None, n_rows: int | None = None,
+               single_task_max: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """K4: serial surrogate keys for new members, continuing after the largest
     existing id, numbered in natural-key order. Only dimension members are
-    numbered (never facts); the numbering window sees the new members only."""
-    w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    numbered (never facts), and only the new ones."""
     base = 0
     if existing is not None:
         # one scalar: the largest id already used
         base = existing.agg(F.max(id_col)).first()[0] or 0
-    return new.withColumn(id_col, (F.lit(int(base)) + F.row_number().over(w)).cast("int"))
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    return dense_number(new, order, id_col, base, n_rows, single_task_max)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

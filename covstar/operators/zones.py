@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from .. import functions as X
 from .clean import nan_to_null, valid_points
-from .dimensions import zone_stats
+from .dimensions import dense_number, zone_stats
 
 ZONE_BUILD_COLUMNS = ["zona_id", "zona_nombre", "centro_lat", "centro_lon", "total_mediciones",
                       "altitud_promedio", "grid_latitud_inicio", "grid_latitud_fin",
@@ -17,10 +17,10 @@ ZONE_BUILD_COLUMNS = ["zona_id", "zona_nombre", "centro_lat", "centro_lon", "tot
 
 def rank_zones(stats: DataFrame) -> DataFrame:
     """Density rank = position by count descending (ties by cell), as a
-    consecutive id. The window sees one row per cell (the aggregate), never
-    the measurements."""
-    w = Window.orderBy(F.col("total_mediciones").desc(), "grid_lat", "grid_lon")
-    return stats.withColumn("zona_id", F.row_number().over(w).cast("long"))
+    consecutive id over the cell aggregate (never the measurements); many
+    cells are numbered without a single task (``dense_number``)."""
+    order = [F.col("total_mediciones").desc(), F.col("grid_lat"), F.col("grid_lon")]
+    return dense_number(stats, order, "zona_id", id_type="long")
 
 
 def build_zones(raw: DataFrame, size: float = C.GRID_SIZE_ZONES, grid_mode: str = "trunc") -> DataFrame:

@@ -132,3 +132,14 @@ def test_multi_id_models_list_form(spark):
     assert all(len(r.device_ids) == r.num_ids > 1 for r in lists)
     long = D.multi_id_models(raw).count()
     assert long == sum(r.num_ids for r in lists)
+
+
+def test_distributed_numbering_equals_window(spark):
+    from covstar.operators.dimensions import dense_number
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), F.col("id").cast("string").alias("s"))
+    one = {r.k: r.n for r in dense_number(df, ["k"], "n", base=10, n_rows=5000).collect()}
+    many = {r.k: r.n for r in dense_number(df, ["k"], "n", base=10, n_rows=5000, single_task_max=300).collect()}
+    assert one == many
+    assert sorted(one.values()) == list(range(11, 5011))
+    plan = dense_number(df, ["k"], "n", n_rows=5000, single_task_max=300)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
