@@ -57,10 +57,10 @@ def _merge_serial_dim(existing: DataFrame | None, n_existing: int, members: Data
     largest existing id and load-time audit columns; returns (whole new
     dimension, number of new members)."""
     cols = _stored_columns(name)
-    fresh = insert_ignore(existing, members, keys, n_existing)
-    fresh = with_audit_cols(assign_ids(fresh, id_col, keys, existing), now, AUDIT_COLUMNS.get(name, []))
-    fresh = fresh.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = insert_ignore(existing, members, keys, n_existing).persist(StorageLevel.MEMORY_AND_DISK)
     n = fresh.count()
+    fresh = with_audit_cols(assign_ids(fresh, id_col, keys, existing, n_rows=n), now, AUDIT_COLUMNS.get(name, []))
+    fresh = fresh.select(*cols)
     table = fresh if existing is None else existing.select(*cols).unionByName(fresh)
     return table, n
 
