@@ -52,10 +52,11 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of ``sf_dir``, built once per application: dimensions
-    are materialised, the fact stays a lazy plan over the scan."""
+    are materialised; the fact is checkpointed once into the session's shared
+    checkpoint folder when one is named, else it stays a lazy plan."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = Warehouse.from_raw(_raw(spark, sf_dir), now=FIXED_NOW)
+        _CACHE[key] = Warehouse.from_raw(_raw(spark, sf_dir), now=FIXED_NOW, materialize_fact=True)
     return _CACHE[key]
 
 

@@ -135,16 +135,20 @@ def centroid(df: DataFrame, by: str | None = None) -> DataFrame:
 def filter_domains(df: DataFrame) -> DataFrame:
     """Slicer domains in long form ``(dominio, valor)``: date min/max and
     the distinct hours, operators, networks, classes, day parts and devices.
-    Long form keeps every domain distributed (no list built in one row);
-    sort with ``orderBy("dominio", "valor")`` at the edge."""
-    parts = [
-        df.agg(F.min("fecha").cast("string").alias("valor")).select(F.lit("fecha_min").alias("dominio"), "valor"),
-        df.agg(F.max("fecha").cast("string").alias("valor")).select(F.lit("fecha_max").alias("dominio"), "valor"),
-        df.select(F.lit("hora").alias("dominio"), X.hour_label("hora").alias("valor")),
-    ]
+    One scan: every row emits its (domain, value) pairs, a hash aggregate
+    keeps the distinct pairs (partial per task), and the date bounds are
+    taken from the distinct dates. Long form keeps every domain distributed
+    (no list built in one row); sort with ``orderBy("dominio", "valor")``."""
+    pairs = [F.struct(F.lit("hora").alias("dominio"), X.hour_label("hora").alias("valor"))]
     for c in ("operador_normalizado", "red_normalizada", "calidad_senal", "franja_horaria", "device_name"):
-        parts.append(df.select(F.lit(c).alias("dominio"), F.col(c).alias("valor")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.filter(F.col("valor").isNotNull()).distinct()
+        pairs.append(F.struct(F.lit(c).alias("dominio"), F.col(c).cast("string").alias("valor")))
+    pairs.append(F.struct(F.lit("fecha").alias("dominio"), F.col("fecha").cast("string").alias("valor")))
+    kv = (df.select(F.explode(F.array(*pairs)).alias("p")).select("p.dominio", "p.valor")
+            .filter(F.col("valor").isNotNull()).distinct())
+    dates = kv.filter(F.col("dominio") == "fecha")
+    bounds = dates.agg(F.min("valor").alias("fecha_min"), F.max("valor").alias("fecha_max"))
+    bounds = bounds.select(F.explode(F.array(
+        F.struct(F.lit("fecha_min").alias("dominio"), F.col("fecha_min").alias("valor")),
+        F.struct(F.lit("fecha_max").alias("dominio"), F.col("fecha_max").alias("valor")))).alias("p"))
+    return (kv.filter(F.col("dominio") != "fecha")
+              .unionByName(bounds.select("p.dominio", "p.valor").filter(F.col("valor").isNotNull())))

@@ -97,10 +97,13 @@ class Warehouse:
     # ------------------------------------------------------------------ build
     @classmethod
     def from_raw(cls, raw: DataFrame, now=None, grid_size: float = C.GRID_SIZE_ETL,
-                 grid_mode: str = "trunc") -> "Warehouse":
+                 grid_mode: str = "trunc", materialize_fact: bool = False) -> "Warehouse":
         """Initial load of an empty warehouse, kept in memory: dimensions are
         materialised (small, counted), the fact stays a lazy plan over the
-        scan, so a query only reads the raw columns it needs."""
+        scan, so a query only reads the raw columns it needs. With
+        ``materialize_fact`` the fact is checkpointed once into the session's
+        shared checkpoint folder (when one is named), so repeated queries read
+        it instead of re-running the scan, dedupe shuffle and key joins."""
         spark = raw.sparkSession
         norm = normalize(raw, grid_size, grid_mode)
         acc = accepted_rows(norm)
@@ -123,6 +126,9 @@ class Warehouse:
             dims[name], sizes[name] = _materialize(df.select(*DIM_COLUMNS[name]))
         combos.unpersist()
         fact = to_fact_rows(acc, dims, sizes, now)
+        if materialize_fact:
+            from ..session import cut_lineage
+            fact = cut_lineage(fact)
         return cls(spark, dims, fact, sizes)
 
     @classmethod
