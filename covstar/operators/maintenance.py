@@ -48,17 +48,24 @@ def upsert_accumulate(existing: DataFrame | None, delta: DataFrame, keys: list[s
 
 
 def new_facts(existing: DataFrame | None, new: DataFrame, keys=("source_id", "timestamp"),
-              partition_col: str = "semana", touched: list[str] | None = None) -> DataFrame:
+              partition_col: str = "semana", touched: list[str] | None = None,
+              ts_range: tuple | None = None, ts_col: str = "timestamp") -> DataFrame:
     """K3: fact rows whose (source_id, timestamp) is not stored yet. The
-    existing side is restricted to the partitions the batch touches, so the
-    anti join reads only those weeks (partition pruning), and only the key
-    columns (column pruning)."""
+    stored side is cut down before the anti join: to the weeks the batch
+    touches (partition pruning), to the batch's [min, max] time range (a
+    pushed filter; files are time-sorted, so row groups outside are
+    skipped - an incremental batch past the watermark reads almost
+    nothing), and to the key columns (column pruning)."""
     keys = list(keys)
     if existing is None:
         return new
     ex = existing
     if touched is not None:
         ex = ex.filter(F.col(partition_col).isin(touched))
+    if ts_range is not None and ts_range[0] is not None:
+        lo, hi = ts_range
+        dtype = existing.schema[ts_col].dataType
+        ex = ex.filter(F.col(ts_col).between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype)))
     return new.join(ex.select(*keys), keys, "left_anti")
 
 

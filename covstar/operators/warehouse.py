@@ -364,6 +364,3 @@ class Warehouse:
         for d in self.dims.values():
             d.unpersist()
 
-
-def today() -> _dt.date:
-    return _dt.date.today()

@@ -111,13 +111,15 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
 
     # normalised once, persisted: the dimension plans and the fact plan share it
     norm = normalize(batch, grid_size, grid_mode).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = norm.agg(F.count(F.lit(1)), F.max(F.col("timestamp").cast("timestamp_ntz"))).first()
+    ts = F.col("timestamp").cast("timestamp_ntz")
+    stats = norm.agg(F.count(F.lit(1)), F.min(ts), F.max(ts)).first()
     valid_rows = stats[0]
     result = {"run_id": run_id, "mode": mode, "valid_rows": valid_rows, "new_facts": 0,
-              "new_members": {}, "last_extracted_at": stats[1]}
+              "new_members": {}, "last_extracted_at": stats[2], "_ts_range": (stats[1], stats[2])}
     try:
         if valid_rows:
-            result.update(_load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size))
+            result.update(_load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size,
+                                           result["_ts_range"]))
         status, err = "OK", None
     except Exception as e:  # recorded, then re-raised
         status, err = "ERROR", f"{type(e).__name__}: {e}"[:2000]
@@ -129,12 +131,13 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
             "last_extracted_at": result.get("last_extracted_at"), "last_loaded_at": now,
             "records_processed": result.get("new_facts", 0), "status": status,
             "error_message": err, "updated_at": _now()})
+    result.pop("_ts_range", None)
     dur = max(time.time() - t0, 1e-9)
     result.update({"seconds": round(dur, 3), "rows_per_s": round(result["new_facts"] / dur, 1)})
     return result
 
 
-def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size) -> dict:
+def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size, ts_range) -> dict:
     out = {"new_members": {}}
     written: dict[str, int] = {}
     current, sizes = {}, {}
@@ -179,7 +182,7 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
     acc = accepted_rows(norm).withColumn("semana", X.week_partition("timestamp"))
     # weeks of the batch (bounded list), from the persisted frame: no dedupe needed
     touched = [r[0] for r in norm.select(X.week_partition("timestamp")).distinct().collect()]
-    fresh = new_facts(fact, acc, touched=touched)
+    fresh = new_facts(fact, acc, touched=touched, ts_range=ts_range)
     # cut lineage before the append: the anti join reads the table being written
     fresh = cut_lineage(fresh).persist(StorageLevel.MEMORY_AND_DISK)
     n_fresh = fresh.count()
