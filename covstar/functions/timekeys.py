@@ -89,16 +89,3 @@ def reference_partition(ts: ColumnOrName, bounds=C.REFERENCE_WEEK_BOUNDS) -> Col
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(F.lit(C.DEFAULT_PARTITION))
 
-
-def weeks_between(date_from, date_to) -> list[str]:
-    """Weekly partition labels covering ``[date_from, date_to]`` (driver-side,
-    pure date arithmetic on two scalars: used to prune fact partitions)."""
-    import datetime as dt
-    a = dt.date.fromisoformat(str(date_from)[:10])
-    b = dt.date.fromisoformat(str(date_to)[:10])
-    a = a - dt.timedelta(days=a.weekday())
-    out = []
-    while a <= b:
-        out.append(a.isoformat())
-        a += dt.timedelta(days=7)
-    return out

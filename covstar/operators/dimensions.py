@@ -168,11 +168,3 @@ AUDIT_COLUMNS = {
     "dim_dispositivo": ["created_at", "updated_at"], "dim_zonas": ["created_at"],
 }
 
-# natural key of each dimension
-DIM_KEYS = {
-    "dim_tiempo": ["tiempo_id"], "dim_hora": ["hora_id"], "dim_operador": ["operador_nombre"],
-    "dim_red": ["red_tipo"], "dim_calidad": ["calidad_categoria"], "dim_dispositivo": ["device_id"],
-    "dim_zonas": ["grid_lat", "grid_lon"],
-}
-DIM_IDS = {"dim_operador": "operador_id", "dim_red": "red_id", "dim_dispositivo": "dispositivo_id",
-           "dim_zonas": "zona_id"}

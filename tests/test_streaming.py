@@ -60,3 +60,14 @@ def test_daily_operator_stream_matches_batch(spark):
     exp = {(r.fecha, r.operador_nombre): (r.total_mediciones, r.senal_promedio, r.mediciones_critica)
            for r in ref.collect()}
     assert got == exp
+
+
+def test_stream_ingest_with_watermark_dedupe(spark):
+    base = tempfile.mkdtemp(prefix="covstar-stream-")
+    src, root, ck = f"{base}/feed", f"{base}/wh", f"{base}/ck"
+    _write_feed(spark, src)
+    q = stream_ingest(spark, f"{src}/*", root, ck, now=NOW, dedupe_delay="3650 days")
+    q.awaitTermination(600)
+    assert q.exception() is None
+    ref = Warehouse.from_raw(raw_from_dir(spark, SF), now=NOW)
+    assert Warehouse.load(spark, root).fact.count() == ref.fact.count()
