@@ -31,6 +31,7 @@ from covstar.operators.warehouse import Warehouse, accepted_rows  # noqa: E402
 from covstar.plans.oracle_sql import (CLASS_COLOR_SQL, DAY_PART_SQL, MEAN_COLOR_SQL,  # noqa: E402
                                       SIGNAL_CLASS_SQL, avg2, round_dec, with_pipeline,
                                       zone_stats_sql)
+from covstar.session import session_key  # noqa: E402
 from covstar.sources import raw as S  # noqa: E402
 from covstar.sources.adapter import raw_from_dir  # noqa: E402
 
@@ -54,7 +55,7 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of ``sf_dir``, built once per application: dimensions
     are materialised; the fact is checkpointed once into the session's shared
     checkpoint folder when one is named, else it stays a lazy plan."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _CACHE:
         _CACHE[key] = Warehouse.from_raw(_raw(spark, sf_dir), now=FIXED_NOW, materialize_fact=True)
     return _CACHE[key]

@@ -44,7 +44,8 @@ def dense_number(df: DataFrame, order_by: list, id_col: str, base: int = 0,
     if n_rows <= single_task_max or checkpoint_dir(spark) is None:
         w = Window.orderBy(*order)
         return df.withColumn(id_col, (F.lit(int(base)) + F.row_number().over(w)).cast(id_type))
-    parts = int(min(max(2, n_rows // single_task_max + 1), 4 * spark.sparkContext.defaultParallelism + 2))
+    from ..session import default_parallelism
+    parts = int(min(max(2, n_rows // single_task_max + 1), 4 * default_parallelism(spark) + 2))
     ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id())

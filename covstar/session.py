@@ -28,17 +28,41 @@ def local_session(cores: int | str = "*", app: str = "covstar", checkpoint_dir:
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; ``None`` under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def session_key(spark: SparkSession) -> str:
+    """A key identifying the running application (for per-session caches)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints (``spark.checkpoint.dir``
     or a directory already set on the context), else ``None``."""
-    d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return spark.sparkContext.getCheckpointDir()
-    return None
+    if d and sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir()
+    return d or None
 
 
 def cut_lineage(df):

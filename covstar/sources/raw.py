@@ -57,7 +57,11 @@ def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     (one small unsplittable file) over ``defaultParallelism`` partitions.
     A large feed already has many more splits than cores and is returned
     untouched, so no shuffle is added at scale (the check is planning only)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    from ..session import _context, default_parallelism
+    spark = df.sparkSession
+    if _context(spark) is None:      # Spark Connect: no RDD view, leave the scan as is
+        return df
+    want = min_partitions or default_parallelism(spark)
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
