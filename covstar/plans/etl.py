@@ -204,15 +204,22 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
 
 
 def run(spark: SparkSession, raw: DataFrame, root: str, mode: str = "incremental", limit: int | None = None,
-        now=None, overwrite: bool = False, **kw) -> dict:
+        now=None, overwrite: bool = False, lookback: _dt.timedelta | None = None, **kw) -> dict:
     """K9: ``mode="initial"`` loads the whole feed (still idempotent: known
     keys are skipped); ``"incremental"`` loads rows strictly newer than the
-    stored high watermark; ``overwrite=True`` rebuilds every table."""
+    stored high watermark; ``overwrite=True`` rebuilds every table.
+
+    ``lookback`` (T13) moves the incremental cut that far back, so rows that
+    arrive late (older than the watermark, not loaded yet) are still picked
+    up; rows re-read that are already stored are dropped by the key anti
+    join, so the result stays exact."""
     wm = None
     if mode != "initial" and not overwrite:
         fact = store.read_table(spark, root, store.FACT)
         if fact is not None:
             wm = high_watermark(fact).first()[0]
+            if lookback is not None and wm is not None and wm.year > 1970:
+                wm = wm - lookback
     batch = extract(since(raw, wm), limit)
     res = load_batch(spark, batch, root, now=now, mode=mode, overwrite=overwrite, **kw)
     res["watermark"] = wm
