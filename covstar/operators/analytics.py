@@ -77,6 +77,8 @@ def operator_share(df: DataFrame) -> DataFrame:
     over measurements."""
     counts = value_counts(df, "operador_normalizado")
     total = F.sum("mediciones").over(Window.partitionBy())
+    # the window sees one row per operator (bounded by the operator
+    # dimension); a scalar-subquery total would aggregate the input twice
     return counts.withColumn("porcentaje", F.round(F.col("mediciones") * 100.0 / total, 4))
 
 

@@ -51,7 +51,8 @@ def new_facts(existing: DataFrame | None, new: DataFrame, keys=("source_id", "ti
               partition_col: str = "semana", touched: list[str] | None = None,
               ts_range: tuple | None = None, ts_col: str = "timestamp") -> DataFrame:
     """K3: fact rows whose (source_id, timestamp) is not stored yet. The
-    stored side is cut down before the anti join: to the weeks the batch
+    stored side is cut down before the anti join (``touched`` and
+    ``ts_range`` must cover the batch): to the weeks the batch
     touches (partition pruning), to the batch's [min, max] time range (a
     pushed filter; files are time-sorted, so row groups outside are
     skipped - an incremental batch past the watermark reads almost

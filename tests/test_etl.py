@@ -132,3 +132,23 @@ def test_lookback_picks_up_late_rows(spark):
         assert (n == total) == expect_all
         if expect_all:
             assert r["valid_rows"] > r["new_facts"] > 0   # re-read rows were dropped by the key
+
+
+def test_new_fact_anti_join_reads_only_touched_range(spark):
+    from covstar import functions as X
+    from covstar.operators.clean import normalize
+    from covstar.operators.maintenance import new_facts
+    from covstar.operators.warehouse import accepted_rows
+    root = tempfile.mkdtemp(prefix="covstar-wh-")
+    raw = raw_from_dir(spark, SF)
+    etl.run(spark, raw, root, mode="initial", now=NOW)
+    fact = store.read_table(spark, root, store.FACT)
+    lo, hi = "2024-01-25 00:00:00", "2024-01-30 23:59:59"   # the batch lies inside this range
+    batch = raw.filter(F.col("timestamp").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
+    acc = accepted_rows(normalize(batch)).withColumn("semana", X.week_partition("timestamp"))
+    nf = new_facts(fact, acc, touched=["2024-01-22", "2024-01-29"],
+                   ts_range=(lo, hi))
+    plan = nf._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(semana" in plan or "semana" in plan
+    assert "GreaterThanOrEqual(timestamp" in plan and "LessThanOrEqual(timestamp" in plan
+    assert nf.count() == 0      # everything is stored already
