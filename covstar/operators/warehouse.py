@@ -109,22 +109,27 @@ class Warehouse:
         acc = accepted_rows(norm)
         # the four small dimensions come from one bounded aggregate (days x
         # hours x operators x networks), i.e. one scan instead of four
-        combos, _ = _materialize(
+        combos, n_combos = _materialize(
             norm.groupBy("fecha", "hora", "operador_normalizado", "red_normalizada").count())
-        dims, sizes = {}, {}
+        # sizes: the four small dimensions are at most the combos count (a
+        # proven bound, no count of their own); the seed has 5 rows; devices
+        # and zones are counted once (the count also picks their numbering)
+        devices, n_devices = _materialize(device_members(norm))
+        cells, n_cells = _materialize(zone_members(zone_stats(acc, grid_size, cells_ready=True), grid_size))
         building = {
-            "dim_tiempo": time_members(combos),
-            "dim_hora": hour_members(combos),
-            "dim_operador": assign_ids(operator_members(combos), "operador_id", ["operador_nombre"]),
-            "dim_red": assign_ids(network_members(combos), "red_id", ["red_tipo"]),
-            "dim_calidad": quality_dim(spark),
-            "dim_dispositivo": assign_ids(device_members(norm), "dispositivo_id", ["device_id"]),
-            "dim_zonas": assign_ids(zone_members(zone_stats(acc, grid_size, cells_ready=True), grid_size),
-                                    "zona_id", ["grid_lat", "grid_lon"]),
+            "dim_tiempo": (time_members(combos), n_combos),
+            "dim_hora": (hour_members(combos), n_combos),
+            "dim_operador": (assign_ids(operator_members(combos), "operador_id", ["operador_nombre"],
+                                        n_rows=n_combos), n_combos),
+            "dim_red": (assign_ids(network_members(combos), "red_id", ["red_tipo"], n_rows=n_combos), n_combos),
+            "dim_calidad": (quality_dim(spark), len(C.QUALITY_SEED)),
+            "dim_dispositivo": (assign_ids(devices, "dispositivo_id", ["device_id"], n_rows=n_devices), n_devices),
+            "dim_zonas": (assign_ids(cells, "zona_id", ["grid_lat", "grid_lon"], n_rows=n_cells), n_cells),
         }
-        for name, df in building.items():
-            dims[name], sizes[name] = _materialize(df.select(*DIM_COLUMNS[name]))
-        combos.unpersist()
+        dims, sizes = {}, {}
+        for name, (df, bound) in building.items():
+            dims[name] = df.select(*DIM_COLUMNS[name]).persist(StorageLevel.MEMORY_AND_DISK)
+            sizes[name] = bound
         fact = to_fact_rows(acc, dims, sizes, now)
         if materialize_fact:
             from ..session import cut_lineage
