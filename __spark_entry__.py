@@ -107,7 +107,12 @@ def q_network_dim(spark, d):
 
 
 def q_quality_dim(spark, d):
-    return _wh(spark, d).dims["dim_calidad"]
+    """The seeded quality classes with the number of facts in each (a left
+    join: a class without facts keeps its row with 0)."""
+    w = _wh(spark, d)
+    counts = w.fact.groupBy("calidad_id").agg(F.count(F.lit(1)).alias("mediciones"))
+    q = w.dims["dim_calidad"].join(counts, "calidad_id", "left")
+    return q.withColumn("mediciones", F.coalesce(F.col("mediciones"), F.lit(0)))
 
 
 def q_device_dim(spark, d):
@@ -472,7 +477,10 @@ FROM d_hora"""),
 
     "operator_dim": _P("SELECT operador_id, operador_nombre FROM d_operador"),
     "network_dim": _P("SELECT red_id, red_tipo, generacion FROM d_red"),
-    "quality_dim": _P("SELECT * FROM d_calidad"),
+    "quality_dim": _P("""
+SELECT c.*, COALESCE(n.mediciones, 0) AS mediciones
+FROM d_calidad c LEFT JOIN (SELECT calidad_id, count(*) AS mediciones FROM fact GROUP BY calidad_id) n
+  ON c.calidad_id = n.calidad_id"""),
     "device_dim": _P("SELECT dispositivo_id, device_id, device_name FROM d_dispositivo"),
     "zone_dim": _P("""
 SELECT zona_id, zona_nombre, grid_lat, grid_lon, centro_lat, centro_lon, total_mediciones, altitud_promedio,
