@@ -150,3 +150,21 @@ def test_parse_ts_bad_text_is_null(spark):
     df = spark.createDataFrame([("2025-11-14T10:00:00",), ("not a time",)], "timestamp string")
     got = [r[0] for r in df.select(X.parse_ts(df, "timestamp")).collect()]
     assert got[0] is not None and got[1] is None
+
+
+def test_sql_functions_match_column_functions(spark):
+    from covstar.functions.sql import register_sql_functions
+    from covstar.sources.adapter import raw_from_dir
+    register_sql_functions(spark)
+    raw = raw_from_dir(spark, "/root/testdata/sf0.001")
+    raw.createOrReplaceTempView("raw_fixture")
+    sql = spark.sql("""SELECT id, get_calidad_id(CAST(signal AS INT)) AS cid, signal_class(signal) AS cls,
+                              normalize_operator(sim_operator) AS op, normalize_network(network_type) AS net,
+                              day_part(hour(timestamp)) AS dp, altitude_band(altitude) AS band FROM raw_fixture""")
+    col = raw.select("id", X.signal_class_id(F.col("signal").cast("int")).alias("cid"),
+                     X.signal_class("signal").alias("cls"), X.normalize_operator("sim_operator").alias("op"),
+                     X.normalize_network("network_type").alias("net"), X.day_part(F.hour("timestamp")).alias("dp"),
+                     X.altitude_band("altitude").alias("band"))
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, col.collect()))
+    plan = sql._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
