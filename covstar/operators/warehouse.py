@@ -109,13 +109,17 @@ class Warehouse:
         acc = accepted_rows(norm)
         # the four small dimensions come from one bounded aggregate (days x
         # hours x operators x networks), i.e. one scan instead of four
-        combos, n_combos = _materialize(
-            norm.groupBy("fecha", "hora", "operador_normalizado", "red_normalizada").count())
+        # three independent aggregates, materialised side by side (jobs from
+        # several driver threads run concurrently)
+        from concurrent.futures import ThreadPoolExecutor
+        parts = [norm.groupBy("fecha", "hora", "operador_normalizado", "red_normalizada").count(),
+                 device_members(norm),
+                 zone_members(zone_stats(acc, grid_size, cells_ready=True), grid_size)]
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            (combos, n_combos), (devices, n_devices), (cells, n_cells) = pool.map(_materialize, parts)
         # sizes: the four small dimensions are at most the combos count (a
         # proven bound, no count of their own); the seed has 5 rows; devices
         # and zones are counted once (the count also picks their numbering)
-        devices, n_devices = _materialize(device_members(norm))
-        cells, n_cells = _materialize(zone_members(zone_stats(acc, grid_size, cells_ready=True), grid_size))
         building = {
             "dim_tiempo": (time_members(combos), n_combos),
             "dim_hora": (hour_members(combos), n_combos),
@@ -139,11 +143,14 @@ class Warehouse:
     @classmethod
     def load(cls, spark: SparkSession, root: str) -> "Warehouse":
         """The warehouse written by the load job (current snapshots)."""
-        from ..plans.store import read_table
-        dims, sizes = {}, {}
-        for name in DIM_COLUMNS:
-            dims[name] = read_table(spark, root, name)
-            sizes[name] = dims[name].count()
+        from concurrent.futures import ThreadPoolExecutor
+
+        from ..plans.store import current_versions, read_table, read_version
+        vers = current_versions(spark, root)
+        dims = {name: read_version(spark, root, name, vers[name]) for name in DIM_COLUMNS}
+        # the size checks are small independent counts: run them side by side
+        with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+            sizes = dict(zip(dims, pool.map(lambda d: d.count(), dims.values())))
         fact = read_table(spark, root, "fact_mediciones")
         return cls(spark, dims, fact, sizes)
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -164,12 +165,25 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
         "dim_dispositivo": lambda e, n: _merge_serial_dim(e, n, device_members(norm), ["device_id"],
                                                           "dispositivo_id", "dim_dispositivo", now),
     }
-    for name, plan in plans.items():
+    def merge(name: str):
         n_existing = _count(dims[name]) or 0
-        table, n_new = plan(dims[name], n_existing)
-        out["new_members"][name] = n_new
+        table, n_new = plans[name](dims[name], n_existing)
+        version = None
         if n_new or dims[name] is None:
-            publish(name, table, n_existing + n_new)
+            version = vers.get(name, 0) + 1
+            store.write_version(table, root, name, version, coalesce=1)
+        return name, version, n_existing, n_new
+
+    # the dimension merges are independent small jobs: submitted from several
+    # driver threads they run side by side instead of one after another
+    with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+        merged = list(pool.map(merge, plans))
+    for name, version, n_existing, n_new in merged:
+        out["new_members"][name] = n_new
+        if version is not None:
+            written[name] = version
+            current[name] = store.read_version(spark, root, name, version)
+            sizes[name] = n_existing + n_new
         else:
             current[name], sizes[name] = dims[name], n_existing
     if dims["dim_calidad"] is None:

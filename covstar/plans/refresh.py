@@ -24,22 +24,37 @@ AGGREGATES = {
 }
 
 
-def refresh(w: Warehouse, root: str, name: str) -> tuple[str, int, float]:
-    """Re-materialise one aggregate -> (name, rows, seconds)."""
+def _write_aggregate(w: Warehouse, root: str, name: str, version: int) -> tuple[str, int, float]:
     t0 = time.time()
-    df = AGGREGATES[name](w)
-    store.write_snapshot(df, root, name)
-    rows = store.read_table(w.spark, root, name).count()
+    store.write_version(AGGREGATES[name](w), root, name, version)
+    rows = store.read_version(w.spark, root, name, version).count()
     return name, rows, round(time.time() - t0, 3)
 
 
+def refresh(w: Warehouse, root: str, name: str) -> tuple[str, int, float]:
+    """Re-materialise one aggregate -> (name, rows, seconds)."""
+    version = (store.current_version(w.spark, root, name) or 0) + 1
+    out = _write_aggregate(w, root, name, version)
+    store.record_versions(w.spark, root, {name: version})
+    return out
+
+
 def refresh_all(spark: SparkSession, root: str) -> dict:
     """The refresh job: partition counts, the three aggregates, the global
-    summary (A8, K8 x3, A6)."""
+    summary (A8, K8 x3, A6). The aggregates are independent jobs and run
+    side by side (submitted from several driver threads), each writing its
+    own snapshot directory; the new versions become current together, in
+    one append to the version log."""
+    from concurrent.futures import ThreadPoolExecutor
     w = Warehouse.load(spark, root)
-    parts = [tuple(r) for r in w.partition_counts().orderBy("semana").collect()]  # one row per week
-    done = [refresh(w, root, n) for n in AGGREGATES]
-    summary = w.global_summary().first().asDict()
+    vers = store.current_versions(spark, root)
+    targets = {n: vers.get(n, 0) + 1 for n in AGGREGATES}
+    with ThreadPoolExecutor(max_workers=len(AGGREGATES) + 2) as pool:
+        parts_f = pool.submit(lambda: [tuple(r) for r in w.partition_counts().orderBy("semana").collect()])
+        summary_f = pool.submit(lambda: w.global_summary().first().asDict())   # one row
+        done = list(pool.map(lambda n: _write_aggregate(w, root, n, targets[n]), AGGREGATES))
+        parts, summary = parts_f.result(), summary_f.result()   # parts: one row per week
+    store.record_versions(spark, root, targets)
     return {"partitions": parts, "refreshed": done, "summary": summary}
 
 
