@@ -49,17 +49,28 @@ def upsert_accumulate(existing: DataFrame | None, delta: DataFrame, keys: list[s
 
 def new_facts(existing: DataFrame | None, new: DataFrame, keys=("source_id", "timestamp"),
               partition_col: str = "semana", touched: list[str] | None = None,
-              ts_range: tuple | None = None, ts_col: str = "timestamp") -> DataFrame:
+              ts_range: tuple | None = None, ts_col: str = "timestamp",
+              existing_rows: int | None = None) -> DataFrame:
     """K3: fact rows whose (source_id, timestamp) is not stored yet. The
     stored side is cut down before the anti join (``touched`` and
     ``ts_range`` must cover the batch): to the weeks the batch
     touches (partition pruning), to the batch's [min, max] time range (a
     pushed filter; files are time-sorted, so row groups outside are
     skipped - an incremental batch past the watermark reads almost
-    nothing), and to the key columns (column pruning)."""
+    nothing), and to the key columns (column pruning). ``existing_rows`` is
+    the counted size of that key set: within the broadcast limit it is
+    broadcast, so the batch keeps its partitioning."""
     keys = list(keys)
     if existing is None:
         return new
+    ex = stored_keys(existing, keys, partition_col, touched, ts_range, ts_col)
+    return dim_join(new, ex, keys, "left_anti", existing_rows)
+
+
+def stored_keys(existing: DataFrame, keys=("source_id", "timestamp"), partition_col: str = "semana",
+                touched: list[str] | None = None, ts_range: tuple | None = None,
+                ts_col: str = "timestamp") -> DataFrame:
+    """The stored fact keys a batch can collide with (see ``new_facts``)."""
     ex = existing
     if touched is not None:
         ex = ex.filter(F.col(partition_col).isin(touched))
@@ -67,7 +78,7 @@ def new_facts(existing: DataFrame | None, new: DataFrame, keys=("source_id", "ti
         lo, hi = ts_range
         dtype = existing.schema[ts_col].dataType
         ex = ex.filter(F.col(ts_col).between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype)))
-    return new.join(ex.select(*keys), keys, "left_anti")
+    return ex.select(*keys)
 
 
 def with_audit_cols(df: DataFrame, now=None, cols=("created_at",)) -> DataFrame:

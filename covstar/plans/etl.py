@@ -25,9 +25,10 @@ from ..operators.clean import normalize
 from ..operators.dimensions import (AUDIT_COLUMNS, DIM_COLUMNS, assign_ids, device_members, hour_members,
                                     network_members, operator_members, quality_dim, time_members,
                                     zone_members, zone_stats)
-from ..operators.maintenance import insert_ignore, new_facts, upsert_accumulate, with_audit_cols
+from ..operators.joins import broadcast_limit
+from ..operators.maintenance import (insert_ignore, new_facts, stored_keys, upsert_accumulate,
+                                     with_audit_cols)
 from ..operators.warehouse import accepted_rows, to_fact_rows
-from ..session import cut_lineage
 from ..sources.raw import extract, high_watermark, since
 from . import store
 
@@ -192,13 +193,22 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
         current["dim_calidad"], sizes["dim_calidad"] = dims["dim_calidad"], len(C.QUALITY_SEED)
     combos.unpersist()
 
-    # facts accepted by the key (source_id, timestamp), not stored yet (K3)
-    acc = accepted_rows(norm).withColumn("semana", X.week_partition("timestamp"))
+    # facts accepted by the key (source_id, timestamp), not stored yet (K3).
+    # One range shuffle on time serves the dedupe and the weekly write.
+    acc = accepted_rows(norm, cluster_by_time=True).withColumn("semana", X.week_partition("timestamp"))
     # weeks of the batch (bounded list), from the persisted frame: no dedupe needed
     touched = [r[0] for r in norm.select(X.week_partition("timestamp")).distinct().collect()]
-    fresh = new_facts(fact, acc, touched=touched, ts_range=ts_range)
-    # cut lineage before the append: the anti join reads the table being written
-    fresh = cut_lineage(fresh).persist(StorageLevel.MEMORY_AND_DISK)
+    limit = broadcast_limit(spark)
+    n_stored = None
+    if fact is not None:
+        # the stored keys the batch can collide with: pruned to its weeks and
+        # time range, counted (cheap on time-sorted files) for the broadcast check
+        n_stored = stored_keys(fact, touched=touched, ts_range=ts_range).count()
+    fresh = new_facts(fact, acc, touched=touched, ts_range=ts_range, existing_rows=n_stored)
+    # persisted, not checkpointed: the plan is deterministic and the scan of
+    # the stored fact has a fixed file list, so a recomputation after a lost
+    # executor gives the same rows (no second full write of the batch)
+    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     n_fresh = fresh.count()
     out["new_facts"] = n_fresh
 
@@ -211,7 +221,10 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
 
     if n_fresh:
         rows = to_fact_rows(fresh, current, sizes, now)
-        store.append_facts(rows, root, overwrite=overwrite)
+        # the time clustering survives when every join on the way broadcasts
+        clustered = (n_stored is None or n_stored <= limit) and all(
+            sizes[d] <= limit for d in ("dim_dispositivo", "dim_operador", "dim_red", "dim_zonas"))
+        store.append_facts(rows, root, overwrite=overwrite, clustered=clustered)
     fresh.unpersist()
     store.record_versions(spark, root, written, now)
     return out

@@ -143,13 +143,15 @@ def write_snapshot(df: DataFrame, root: str, table: str, now=None, coalesce: int
     return v
 
 
-def append_facts(df: DataFrame, root: str, overwrite: bool = False) -> None:
+def append_facts(df: DataFrame, root: str, overwrite: bool = False, clustered: bool = False) -> None:
     """K3 sink: append to the weekly partitions (or replace them all). Rows are
-    range-partitioned on (week, time): a week holding most of the rows is
-    split across many writer tasks instead of one, and every file is sorted
-    by time, so parquet row-group min/max statistics prune time ranges like a
+    range-partitioned on time (``clustered=True``: they already are): a week
+    holding most of the rows is split across many writer tasks instead of
+    one, each task writes few weeks, and every file is sorted by time, so
+    parquet row-group min/max statistics prune time ranges like a
     block-range index."""
-    out = df.repartitionByRange("semana", "timestamp").sortWithinPartitions("semana", "timestamp")
+    out = df if clustered else df.repartitionByRange("semana", "timestamp")
+    out = out.sortWithinPartitions("semana", "timestamp")
     (out.write.mode("overwrite" if overwrite else "append").partitionBy("semana")
         .parquet(_path(root, FACT)))
 
