@@ -9,6 +9,8 @@ from tools.check_oracle import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
 NO_ORACLE = {"heat_sample", "points_sample"}   # seeded samples: checked by row counts in unit tests
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "DateType": "DATE", "TimestampNTZType": "TIMESTAMP", "BooleanType": "BOOLEAN"}
 
 
 def test_entry_smoke(spark):
@@ -42,3 +44,8 @@ def test_query_matches_oracle(spark, duck, name):
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
     assert canon(srows, sdf.columns) == canon(drows, dcols)
+    # column types agree too
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    stypes = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+              for f in sdf.schema.fields}
+    assert stypes == dtypes
