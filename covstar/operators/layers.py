@@ -16,11 +16,33 @@ from .. import functions as X
 from .dimensions import exact_avg
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "medicion_id") -> DataFrame:
-    """T5s: exactly ``min(n, rows)`` rows, reproducible for a seed. Ordered by
-    a seeded 64-bit hash (ties by key) and cut at n: TakeOrderedAndProject."""
-    return (df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-              .orderBy("_h", key).limit(int(n)).drop("_h"))
+_HASH_MIN, _HASH_SPAN = -(2 ** 63), 2 ** 64
+
+
+def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "medicion_id",
+             rows: int | None = None, oversample: float = 1.5) -> DataFrame:
+    """T5s: exactly ``min(n, rows)`` rows, reproducible for a seed: the rows
+    with the n smallest seeded 64-bit hashes (ties by key).
+
+    The hash is uniform, so a cutoff at ``oversample * n / rows`` of its range
+    keeps about 1.5 n candidates - a set that contains the n smallest
+    whenever at least n rows pass (checked; the cutoff doubles otherwise).
+    Only that small candidate set is ordered, so the final top-n merge never
+    receives n rows from every one of a large number of tasks."""
+    n = int(n)
+    h = F.xxhash64(F.col(key), F.lit(seed))
+    if rows is None:
+        rows = df.count()
+    if rows <= n:
+        return df
+    frac = min(1.0, oversample * n / rows)
+    while True:
+        cutoff = _HASH_MIN + int(frac * _HASH_SPAN)
+        cand = df.filter(h < F.lit(cutoff)) if frac < 1.0 else df
+        if frac >= 1.0 or cand.count() >= n:
+            break
+        frac = min(1.0, frac * 2)
+    return cand.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
 def points_sample_size(rows: int) -> int:
@@ -43,8 +65,8 @@ def points_columns(df: DataFrame) -> DataFrame:
 def points_layer(df: DataFrame, seed: int = 42) -> DataFrame:
     """L1: quality points, sampled by the T6s rule (one count, then top-n)."""
     pts = points_columns(df)
-    n = points_sample_size(pts.count())
-    return sample_n(pts, n, seed)
+    rows = pts.count()
+    return sample_n(pts, points_sample_size(rows), seed, rows=rows)
 
 
 def heat_columns(df: DataFrame) -> DataFrame:

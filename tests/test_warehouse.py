@@ -143,3 +143,14 @@ def test_distributed_numbering_equals_window(spark):
     assert sorted(one.values()) == list(range(11, 5011))
     plan = dense_number(df, ["k"], "n", n_rows=5000, single_task_max=300)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_sample_cutoff_equals_full_top_n(wh):
+    af = wh.analytic_frame()
+    h = F.xxhash64(F.col("medicion_id"), F.lit(11))
+    full = [r.source_id for r in af.withColumn("_h", h).orderBy("_h", "medicion_id").limit(200).collect()]
+    fast = {r.source_id for r in L.sample_n(af, 200, seed=11).collect()}
+    assert set(full) == fast and len(fast) == 200
+    # a too-small first cutoff is widened until n rows pass
+    tight = {r.source_id for r in L.sample_n(af, 200, seed=11, oversample=0.2).collect()}
+    assert tight == fast
