@@ -45,7 +45,8 @@ def dense_number(df: DataFrame, order_by: list, id_col: str, base: int = 0,
         w = Window.orderBy(*order)
         return df.withColumn(id_col, (F.lit(int(base)) + F.row_number().over(w)).cast(id_type))
     from ..session import default_parallelism
-    parts = int(min(max(2, n_rows // single_task_max + 1), 4 * default_parallelism(spark) + 2))
+    per_task = max(single_task_max, SINGLE_TASK_MAX_ROWS // 100)
+    parts = int(min(max(2, n_rows // per_task + 1), 4 * default_parallelism(spark) + 2))
     ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id())

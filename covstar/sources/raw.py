@@ -82,13 +82,30 @@ def high_watermark(fact: DataFrame, ts: str = "timestamp") -> DataFrame:
     return fact.agg(F.coalesce(F.max(ts), F.lit(C.EPOCH).cast(dtype)).alias("watermark"))
 
 
+# A top-n merge receives up to n rows from every task; above this many rows
+# in total the extract numbers rows in a distributed way instead.
+TOPN_FANIN_MAX = 50_000_000
+
+
 def extract(df: DataFrame, limit: int | None = None, ts: str = "timestamp") -> DataFrame:
     """Bounded extract, the first ``limit`` rows in timestamp order (ties by
-    id). Planned as TakeOrderedAndProject: each task keeps its own top
-    ``limit`` and only those reach the final merge."""
+    id). Normally a TakeOrderedAndProject (each task keeps its own top
+    ``limit``). When ``limit`` x tasks would flood the final merge, and a
+    shared checkpoint folder is named, rows are numbered in order by range
+    partitions + per-partition offsets (``dense_number``) and the first
+    ``limit`` positions kept - no single task sees more than its share."""
     if limit is None:
         return df
-    return df.orderBy(F.col(ts), F.col("id")).limit(int(limit))
+    limit = int(limit)
+    order = [F.col(ts), F.col("id")]
+    from ..session import _context, checkpoint_dir
+    spark = df.sparkSession
+    parts = df.rdd.getNumPartitions() if _context(spark) is not None else None
+    if parts is None or limit * parts <= TOPN_FANIN_MAX or checkpoint_dir(spark) is None:
+        return df.orderBy(*order).limit(limit)
+    from ..operators.dimensions import dense_number
+    numbered = dense_number(df, order, "_pos", single_task_max=0, id_type="long")
+    return numbered.filter(F.col("_pos") <= limit).drop("_pos")
 
 
 def device_columns(df: DataFrame) -> DataFrame:

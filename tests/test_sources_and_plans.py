@@ -64,3 +64,18 @@ def test_touched_day_refresh_is_exact(spark):
     ref = Warehouse.from_raw(raw, now=NOW).daily_operator_stats()
     exp = sorted(tuple(r) for r in ref.filter(F.date_format("fecha", "yyyyMMdd").cast("int").isin(days)).collect())
     assert got == exp and len(got) > 0
+
+
+def test_large_extract_uses_distributed_numbering(spark):
+    import covstar.sources.raw as R
+    raw = raw_from_dir(spark, SF)
+    small = sorted(tuple(r) for r in extract(raw, 300).collect())
+    old = R.TOPN_FANIN_MAX
+    R.TOPN_FANIN_MAX = 10          # force the distributed form
+    try:
+        big = extract(raw, 300)
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" not in plan
+        assert sorted(tuple(r) for r in big.collect()) == small
+    finally:
+        R.TOPN_FANIN_MAX = old
