@@ -28,7 +28,7 @@ from covstar.operators.clean import normalize  # noqa: E402
 from covstar.operators.dimensions import (assign_ids, device_members, zone_members,  # noqa: E402
                                           zone_stats)
 from covstar.operators.warehouse import Warehouse, accepted_rows  # noqa: E402
-from covstar.plans.oracle_sql import (CLASS_COLOR_SQL, DAY_PART_SQL, MEAN_COLOR_SQL,  # noqa: E402
+from covstar.plans.oracle_sql import (CLASS_COLOR_SQL, MEAN_COLOR_SQL,  # noqa: E402
                                       SIGNAL_CLASS_SQL, avg2, round_dec, with_pipeline,
                                       zone_stats_sql)
 from covstar.session import session_key  # noqa: E402
