@@ -51,6 +51,22 @@ def accepted_rows(norm: DataFrame, cluster_by_time: bool = False) -> DataFrame:
     return first_per_key(df, ["source_id", "timestamp"], ["device_id", "signal"])
 
 
+# A row the fact cannot take - no device key (neither id nor name), so
+# no device member can exist for it (the NOT NULL foreign key would fail)
+def quarantine_rules() -> list:
+    return [("sin_dispositivo", F.col("device_id").isNull())]
+
+
+def split_quarantine(acc: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows for the fact, quarantined rows with a ``motivo`` column)."""
+    bad = None
+    reason = None
+    for name, cond in quarantine_rules():
+        bad = cond if bad is None else bad | cond
+        reason = F.when(cond, F.lit(name)) if reason is None else reason.when(cond, F.lit(name))
+    return acc.filter(~bad), acc.filter(bad).withColumn("motivo", reason)
+
+
 def fact_id(source_id: str = "source_id", ts: str = "timestamp"):
     """K4 for facts: a 64-bit hash of the natural key - no coordination, no
     global window, identical on every rerun."""
@@ -100,6 +116,7 @@ class Warehouse:
     dims: dict
     fact: DataFrame
     sizes: dict = field(default_factory=dict)
+    quarantine: DataFrame | None = None
 
     # ------------------------------------------------------------------ build
     @classmethod
@@ -141,11 +158,12 @@ class Warehouse:
         for name, (df, bound) in building.items():
             dims[name] = df.select(*DIM_COLUMNS[name]).persist(StorageLevel.MEMORY_AND_DISK)
             sizes[name] = bound
-        fact = to_fact_rows(acc, dims, sizes, now)
+        good, bad = split_quarantine(acc)
+        fact = to_fact_rows(good, dims, sizes, now)
         if materialize_fact:
             from ..session import cut_lineage
             fact = cut_lineage(fact)
-        return cls(spark, dims, fact, sizes)
+        return cls(spark, dims, fact, sizes, quarantine=bad)
 
     @classmethod
     def load(cls, spark: SparkSession, root: str) -> "Warehouse":

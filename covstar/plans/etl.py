@@ -28,7 +28,7 @@ from ..operators.dimensions import (AUDIT_COLUMNS, DIM_COLUMNS, assign_ids, devi
 from ..operators.joins import broadcast_limit
 from ..operators.maintenance import (insert_ignore, new_facts, stored_keys, upsert_accumulate,
                                      with_audit_cols)
-from ..operators.warehouse import accepted_rows, to_fact_rows
+from ..operators.warehouse import accepted_rows, split_quarantine, to_fact_rows
 from ..sources.raw import extract, high_watermark, since
 from . import store
 
@@ -121,7 +121,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
     try:
         if valid_rows:
             result.update(_load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size,
-                                           result["_ts_range"]))
+                                           result["_ts_range"], run_id))
         status, err = "OK", None
     except Exception as e:  # recorded, then re-raised
         status, err = "ERROR", f"{type(e).__name__}: {e}"[:2000]
@@ -139,7 +139,8 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
     return result
 
 
-def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size, ts_range) -> dict:
+def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size, ts_range,
+                     run_id) -> dict:
     out = {"new_members": {}}
     written: dict[str, int] = {}
     current, sizes = {}, {}
@@ -219,8 +220,13 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
     else:
         current["dim_zonas"], sizes["dim_zonas"] = dims["dim_zonas"], _count(dims["dim_zonas"])
 
-    if n_fresh:
-        rows = to_fact_rows(fresh, current, sizes, now)
+    good, bad = split_quarantine(fresh)
+    n_bad = bad.count()
+    out["quarantined"] = n_bad
+    if n_bad:
+        store.write_quarantine(bad, root, run_id)
+    if n_fresh > n_bad:
+        rows = to_fact_rows(good, current, sizes, now)
         # the time clustering survives when every join on the way broadcasts
         clustered = (n_stored is None or n_stored <= limit) and all(
             sizes[d] <= limit for d in ("dim_dispositivo", "dim_operador", "dim_red", "dim_zonas"))

@@ -110,6 +110,7 @@ def fact_sql(src_acc: str = "acc", prefix: str = "") -> str:
   LEFT JOIN {p}d_operador o ON a.operador_normalizado = o.operador_nombre
   LEFT JOIN {p}d_red r ON a.red_normalizada = r.red_tipo
   LEFT JOIN {p}d_zonas z ON a.grid_lat = z.grid_lat AND a.grid_lon = z.grid_lon
+  WHERE a.device_id IS NOT NULL
 )"""
 
 

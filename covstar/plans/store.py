@@ -156,6 +156,15 @@ def append_facts(df: DataFrame, root: str, overwrite: bool = False, clustered: b
         .parquet(_path(root, FACT)))
 
 
+def write_quarantine(df: DataFrame, root: str, run_id: str) -> None:
+    """Rows the fact cannot take, kept with their reason, one folder per run."""
+    df.write.mode("overwrite").parquet(_path(root, "_quarantine", f"run={run_id}"))
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame | None:
+    return _try_read(spark, _path(root, "_quarantine"))
+
+
 def control_log(spark: SparkSession, root: str) -> DataFrame | None:
     return _try_read(spark, _path(root, "_control", "etl_control"), CONTROL_SCHEMA)
 

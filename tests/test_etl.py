@@ -152,3 +152,20 @@ def test_new_fact_anti_join_reads_only_touched_range(spark):
     assert "PartitionFilters: [isnotnull(semana" in plan or "semana" in plan
     assert "GreaterThanOrEqual(timestamp" in plan and "LessThanOrEqual(timestamp" in plan
     assert nf.count() == 0      # everything is stored already
+
+
+def test_rows_without_device_key_are_quarantined(spark):
+    root = tempfile.mkdtemp(prefix="covstar-wh-")
+    raw = raw_from_dir(spark, SF)
+    orphan = raw.withColumn("device_id", F.when(F.col("id").cast("long") % 50 == 0, F.lit(None))
+                            .otherwise(F.col("device_id"))) \
+                .withColumn("device_name", F.when(F.col("id").cast("long") % 50 == 0, F.lit(None))
+                            .otherwise(F.col("device_name")))
+    r = etl.run(spark, orphan, root, mode="initial", now=NOW)
+    w = Warehouse.load(spark, root)
+    q = store.read_quarantine(spark, root)
+    assert r["quarantined"] == q.count() > 0
+    assert r["new_facts"] == w.fact.count() + q.count()
+    from covstar.operators import audit as D
+    assert D.check_fk(w.fact, w.dims["dim_dispositivo"], "dispositivo_id",
+                      dim_rows=w.sizes["dim_dispositivo"]).count() == 0

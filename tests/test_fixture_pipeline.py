@@ -58,9 +58,10 @@ def test_device_keys_and_names(wh):
     assert d["d1"] == "PHONE A"                      # one id, two names: the smaller name
     assert d["UNKNOWN_PHONE B"] == "PHONE B"         # NULL id -> name-based key
     assert d["UNKNOWN_PHONE C"] == "PHONE C"         # '' id -> name-based key
-    assert None not in d                             # no id and no name: no member
-    a5 = wh.fact.filter(F.col("source_id") == "a5").first()
-    assert a5.dispositivo_id == 0                    # ... and the fact gets the default key
+    assert None not in d                             # no id and no name: no member ...
+    assert wh.fact.filter(F.col("source_id") == "a5").count() == 0      # ... no fact row ...
+    q = wh.quarantine.collect()                                          # ... but quarantined
+    assert [(r.source_id, r.motivo) for r in q] == [("a5", "sin_dispositivo")]
 
 
 def test_multi_id_models_on_raw(raw):
@@ -93,7 +94,7 @@ def test_week_partitions_and_calendar(wh):
     t = {r.tiempo_id: r for r in wh.dims["dim_tiempo"].collect()}
     assert t[20241230].semana_anio == 1 and t[20241230].nombre_dia == "LUNES"
     ref = {r.semana: r.registros for r in wh.partition_counts(reference_bounds=True).collect()}
-    assert ref == {"2025_11_w1": 3, "2025_11_w2": 1, "2025_12_w1": 1, "default": 2}
+    assert ref == {"2025_11_w1": 3, "2025_11_w2": 1, "2025_12_w1": 1, "default": 1}   # a5 quarantined
 
 
 def test_day_parts_of_fixture(wh):
