@@ -32,21 +32,42 @@ def raw_stream(spark: SparkSession, src: str, fmt: str = "parquet", max_files_pe
     return r.load(src)
 
 
-def _load_micro_batch(root: str, now=None):
+DAILY = "mv_stats_diarias_operador"
+
+
+def _load_micro_batch(root: str, now=None, refresh_daily: bool = False):
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if store.batch_done(spark, root, batch_id):   # replay after a failure: already loaded
             return
-        etl.load_batch(spark, batch, root, now=now, mode="stream", batch_id=batch_id)
+        res = etl.load_batch(spark, batch, root, now=now, mode="stream", batch_id=batch_id)
+        if refresh_daily and res["new_facts"]:
+            days = [r[0] for r in normalize(batch).select("tiempo_id").distinct().collect()]  # bounded: days
+            refresh_daily_days(spark, root, days)
     return fn
 
 
+def refresh_daily_days(spark: SparkSession, root: str, days: list[int]) -> None:
+    """R2 exact form: recompute the daily operator statistics of ``days``
+    from the stored fact and splice them into a new snapshot of the
+    aggregate (other days are kept as they are)."""
+    fresh = refresh_touched_days(spark, root, days)
+    old = store.read_table(spark, root, DAILY)
+    if old is not None:
+        keep = old.filter(~F.date_format("fecha", "yyyyMMdd").cast("int").isin(days))
+        fresh = keep.unionByName(fresh.select(*old.columns))
+    version = (store.current_version(spark, root, DAILY) or 0) + 1
+    store.write_version(fresh, root, DAILY, version)
+    store.record_versions(spark, root, {DAILY: version})
+
+
 def stream_ingest(spark: SparkSession, src: str, root: str, checkpoint: str, fmt: str = "parquet",
                   dedupe_delay: str | None = None, now=None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None):
+                  max_files_per_trigger: int | None = None, refresh_daily: bool = False):
     """Stream the raw files under ``src`` into the warehouse at ``root``.
     Returns the started query (``availableNow`` stops when the backlog is
-    loaded)."""
+    loaded). ``refresh_daily`` keeps the daily operator aggregate exact and
+    fresh: each micro-batch recomputes the days it touched (R2)."""
     s = raw_stream(spark, src, fmt, max_files_per_trigger)
     if dedupe_delay:
         # bounded-state option: event time must be a TIMESTAMP for watermarks
@@ -54,7 +75,8 @@ def stream_ingest(spark: SparkSession, src: str, root: str, checkpoint: str, fmt
               .withWatermark("timestamp", dedupe_delay)
               .dropDuplicatesWithinWatermark(["id", "timestamp"])
               .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
-    w = s.writeStream.foreachBatch(_load_micro_batch(root, now)).option("checkpointLocation", checkpoint)
+    w = (s.writeStream.foreachBatch(_load_micro_batch(root, now, refresh_daily))
+          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
@@ -90,9 +112,15 @@ def stream_daily_operator(spark: SparkSession, src: str, sink: str, checkpoint:
 
 def refresh_touched_days(spark: SparkSession, root: str, days: list[int]) -> DataFrame:
     """R2 exact form: the daily operator statistics of the given ``tiempo_id``
-    days, recomputed from the stored fact (partition-pruned by the day
-    filter on the fact scan)."""
+    days, recomputed from the stored fact: the weeks of those days prune the
+    fact partitions, the day keys skip row groups inside them."""
+    import datetime as dt
+
     from ..operators.warehouse import Warehouse
+    weeks = set()
+    for d in days:
+        day = dt.datetime.strptime(str(d), "%Y%m%d").date()
+        weeks.add((day - dt.timedelta(days=day.weekday())).isoformat())
     w = Warehouse.load(spark, root)
-    w.fact = w.fact.filter(F.col("tiempo_id").isin(days))
+    w.fact = w.fact.filter(F.col("semana").isin(sorted(weeks)) & F.col("tiempo_id").isin(days))
     return w.daily_operator_stats()

@@ -71,3 +71,16 @@ def test_stream_ingest_with_watermark_dedupe(spark):
     assert q.exception() is None
     ref = Warehouse.from_raw(raw_from_dir(spark, SF), now=NOW)
     assert Warehouse.load(spark, root).fact.count() == ref.fact.count()
+
+
+def test_stream_keeps_daily_aggregate_exact(spark):
+    from covstar.plans import store
+    base = tempfile.mkdtemp(prefix="covstar-stream-")
+    src, root, ck = f"{base}/feed", f"{base}/wh", f"{base}/ck"
+    raw = _write_feed(spark, src)
+    q = stream_ingest(spark, f"{src}/*", root, ck, now=NOW, max_files_per_trigger=1, refresh_daily=True)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = sorted(tuple(r) for r in store.read_table(spark, root, "mv_stats_diarias_operador").collect())
+    exp = sorted(tuple(r) for r in Warehouse.from_raw(raw, now=NOW).daily_operator_stats().collect())
+    assert got == exp
