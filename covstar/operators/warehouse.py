@@ -172,6 +172,9 @@ class Warehouse:
 
         from ..plans.store import current_versions, read_table, read_version
         vers = current_versions(spark, root)
+        missing = [n for n in DIM_COLUMNS if n not in vers]
+        if missing:
+            raise FileNotFoundError(f"no warehouse at {root} (missing {', '.join(missing)}): run the load first")
         dims = {name: read_version(spark, root, name, vers[name]) for name in DIM_COLUMNS}
         # the size checks are small independent counts: run them side by side
         with ThreadPoolExecutor(max_workers=len(dims)) as pool:

@@ -169,3 +169,9 @@ def test_rows_without_device_key_are_quarantined(spark):
     from covstar.operators import audit as D
     assert D.check_fk(w.fact, w.dims["dim_dispositivo"], "dispositivo_id",
                       dim_rows=w.sizes["dim_dispositivo"]).count() == 0
+
+
+def test_loading_an_empty_root_says_so(spark):
+    root = tempfile.mkdtemp(prefix="covstar-wh-")
+    with pytest.raises(FileNotFoundError):
+        Warehouse.load(spark, root)
