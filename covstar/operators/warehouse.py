@@ -125,18 +125,16 @@ class Warehouse:
         """Initial load of an empty warehouse, kept in memory: dimensions are
         materialised (small, counted), the fact stays a lazy plan over the
         scan, so a query only reads the raw columns it needs. With
-        ``materialize_fact`` the deduped rows are checkpointed once into the
-        session's shared checkpoint folder (when one is named), so repeated
-        queries read them instead of re-running the scan and the dedupe
-        shuffle; the key resolution on top is broadcast joins only."""
+        ``materialize_fact`` the deduped rows are persisted (one dedupe
+        shuffle for the zone dimension and the fact) and the fact is
+        checkpointed once into the session's shared checkpoint folder (when
+        one is named), so repeated queries read it instead of its lineage."""
         spark = raw.sparkSession
         norm = normalize(raw, grid_size, grid_mode)
         acc = accepted_rows(norm)
         if materialize_fact:
-            # one checkpoint of the deduped rows serves the zone dimension and
-            # the fact, whose plan on top is then broadcast joins only
-            from ..session import cut_lineage
-            acc = cut_lineage(acc)
+            # one dedupe shuffle serves the zone dimension and the fact
+            acc = acc.persist(StorageLevel.MEMORY_AND_DISK)
         # the four small dimensions come from one bounded aggregate (days x
         # hours x operators x networks), i.e. one scan instead of four
         # three independent aggregates, materialised side by side (jobs from
@@ -166,6 +164,9 @@ class Warehouse:
             sizes[name] = bound
         good, bad = split_quarantine(acc)
         fact = to_fact_rows(good, dims, sizes, now)
+        if materialize_fact:
+            from ..session import cut_lineage
+            fact = cut_lineage(fact)   # queries read the fact, not its lineage
         return cls(spark, dims, fact, sizes, quarantine=bad)
 
     @classmethod
