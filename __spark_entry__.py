@@ -341,6 +341,10 @@ def q_zone_fk_violations(spark, d):
     return D.check_fk(f, w.dims["dim_zonas"], "zona_id", dim_rows=w.sizes["dim_zonas"])
 
 
+def q_warehouse_checks(spark, d):
+    return D.warehouse_checks(_wh(spark, d))
+
+
 def q_high_watermark(spark, d):
     return S.high_watermark(_wh(spark, d).fact)
 
@@ -443,6 +447,29 @@ zones AS (
   FROM zb
 )"""
 
+def _checks_sql() -> str:
+    from covstar.operators.audit import DIM_UNIQUE, FACT_FOREIGN_KEYS, FACT_NOT_NULL
+    dim_alias = {"dim_tiempo": "d_tiempo", "dim_hora": "d_hora", "dim_operador": "d_operador", "dim_red": "d_red",
+                 "dim_calidad": "d_calidad", "dim_dispositivo": "d_dispositivo", "dim_zonas": "d_zonas"}
+    q = []
+    for c in FACT_NOT_NULL:
+        q.append(f"SELECT 'fact_mediciones' AS tabla, 'not_null:{c}' AS regla, count(*) AS violaciones "
+                 f"FROM fact WHERE \"{c}\" IS NULL")
+    q.append("SELECT 'fact_mediciones', 'unique:source_id,timestamp', count(*) FROM "
+             "(SELECT 1 FROM fact GROUP BY source_id, \"timestamp\" HAVING count(*) > 1)")
+    for key, dim in FACT_FOREIGN_KEYS:
+        t = dim_alias[dim]
+        q.append(f"SELECT 'fact_mediciones', 'fk:{key}->{dim}', count(*) FROM fact f WHERE f.{key} IS NOT NULL "
+                 f"AND NOT EXISTS (SELECT 1 FROM {t} d WHERE d.{key} = f.{key})")
+    for dim, keys in DIM_UNIQUE:
+        cols = ", ".join(keys)
+        q.append(f"SELECT '{dim}', 'unique:{','.join(keys)}', count(*) FROM "
+                 f"(SELECT 1 FROM {dim_alias[dim]} GROUP BY {cols} HAVING count(*) > 1)")
+    return "\nUNION ALL ".join(q)
+
+
+_WAREHOUSE_CHECKS_SQL = _checks_sql()
+
 _AF_COLS = ("source_id, \"timestamp\", latitude, longitude, medida_senal, medida_altitud, zona_id, zona_altitud, "
             "dispositivo_id, fecha, nombre_dia, mes, anio, hora, franja_horaria, operador_normalizado, "
             "red_normalizada, calidad_senal, device_name")
@@ -722,6 +749,7 @@ SELECT source_id, "timestamp", count(*) AS n FROM fact GROUP BY 1, 2 HAVING coun
 SELECT f.source_id, f.zona_id FROM fact f WHERE f.zona_id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM d_zonas z WHERE z.zona_id = f.zona_id)"""),
 
+    "warehouse_checks": _P(_WAREHOUSE_CHECKS_SQL),
     "high_watermark": _P("SELECT COALESCE(max(\"timestamp\"), TIMESTAMP '1970-01-01 00:00:00') AS watermark FROM fact"),
     "incremental_scan": _P("SELECT * FROM raw WHERE \"timestamp\" > TIMESTAMP '2024-01-20 00:00:00'"),
     "bounded_extract": _P("SELECT * FROM raw ORDER BY \"timestamp\", id LIMIT 1000"),

@@ -154,3 +154,18 @@ def test_sample_cutoff_equals_full_top_n(wh):
     # a too-small first cutoff is widened until n rows pass
     tight = {r.source_id for r in L.sample_n(af, 200, seed=11, oversample=0.2).collect()}
     assert tight == fast
+
+
+def test_warehouse_checks_find_violations(spark, wh):
+    from dataclasses import replace
+    clean = {(r.tabla, r.regla): r.violaciones for r in D.warehouse_checks(wh).collect()}
+    assert set(clean.values()) == {0} and len(clean) == 26
+    # break it: one unknown zone, one NULL hour, one duplicated fact key
+    f = wh.fact
+    one = f.limit(1)
+    broken = f.unionByName(one.withColumn("zona_id", F.lit(99999))) \
+              .unionByName(one.withColumn("hora_id", F.lit(None).cast("int")).withColumn("source_id", F.lit("x")))
+    got = {(r.tabla, r.regla): r.violaciones for r in D.warehouse_checks(replace(wh, fact=broken)).collect()}
+    assert got[("fact_mediciones", "fk:zona_id->dim_zonas")] == 1
+    assert got[("fact_mediciones", "not_null:hora_id")] == 1
+    assert got[("fact_mediciones", "unique:source_id,timestamp")] == 1
