@@ -139,6 +139,19 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
     return result
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another load published new versions while this one was running."""
+
+
+def _check_versions(spark, root, vers: dict) -> None:
+    """Optimistic single-writer check: the versions this load started from
+    must still be current (loads are meant to run one at a time)."""
+    now_vers = store.current_versions(spark, root)
+    changed = [n for n in set(vers) | set(now_vers) if now_vers.get(n) != vers.get(n)]
+    if changed:
+        raise ConcurrentLoadError(f"tables changed by another load: {sorted(changed)}; rerun this load")
+
+
 def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size, ts_range,
                      run_id) -> dict:
     out = {"new_members": {}}
@@ -225,6 +238,7 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
     out["quarantined"] = n_bad
     if n_bad:
         store.write_quarantine(bad, root, run_id)
+    _check_versions(spark, root, vers)
     if n_fresh > n_bad:
         rows = to_fact_rows(good, current, sizes, now)
         # the time clustering survives when every join on the way broadcasts
@@ -232,6 +246,7 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
             sizes[d] <= limit for d in ("dim_dispositivo", "dim_operador", "dim_red", "dim_zonas"))
         store.append_facts(rows, root, overwrite=overwrite, clustered=clustered)
     fresh.unpersist()
+    _check_versions(spark, root, vers)
     store.record_versions(spark, root, written, now)
     return out
 

@@ -175,3 +175,23 @@ def test_loading_an_empty_root_says_so(spark):
     root = tempfile.mkdtemp(prefix="covstar-wh-")
     with pytest.raises(FileNotFoundError):
         Warehouse.load(spark, root)
+
+
+def test_concurrent_load_is_detected(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="covstar-wh-")
+    raw = raw_from_dir(spark, SF)
+    early = raw.filter(F.col("timestamp") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    etl.run(spark, early, root, mode="initial", now=NOW)
+    real = store.current_versions
+    calls = {"n": 0}
+
+    def racing(spark_, root_):
+        calls["n"] += 1
+        v = real(spark_, root_)
+        if calls["n"] > 1:     # another writer published meanwhile
+            v = dict(v, dim_zonas=v.get("dim_zonas", 0) + 1)
+        return v
+
+    monkeypatch.setattr(store, "current_versions", racing)
+    with pytest.raises(etl.ConcurrentLoadError):
+        etl.run(spark, raw, root, mode="incremental", now=NOW)
