@@ -79,3 +79,21 @@ def test_large_extract_uses_distributed_numbering(spark):
         assert sorted(tuple(r) for r in big.collect()) == small
     finally:
         R.TOPN_FANIN_MAX = old
+
+
+def test_command_line_jobs(spark, capsys):
+    import json
+
+    from covstar.__main__ import main
+    base = tempfile.mkdtemp(prefix="covstar-cli-")
+    assert main(["load-events", "--events", SF, "--root", f"{base}/wh", "--mode", "initial"]) == 0
+    load = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert load["new_facts"] == Warehouse.load(spark, f"{base}/wh").fact.count() > 0
+    assert main(["refresh", "--root", f"{base}/wh"]) == 0
+    ref = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert [r[0] for r in ref["refreshed"]] == ["mv_stats_diarias_operador", "mv_stats_zonas", "mv_top_dispositivos"]
+    raw_dir = f"{base}/raw"
+    raw_from_dir(spark, SF).write.parquet(raw_dir)
+    assert main(["zones", "--raw", raw_dir, "--out", f"{base}/zones"]) == 0
+    zones = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert zones["top"][0]["zona_id"] == 1
