@@ -117,6 +117,7 @@ class Warehouse:
     fact: DataFrame
     sizes: dict = field(default_factory=dict)
     quarantine: DataFrame | None = None
+    root: str | None = None
 
     # ------------------------------------------------------------------ build
     @classmethod
@@ -184,7 +185,22 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=len(dims)) as pool:
             sizes = dict(zip(dims, pool.map(lambda d: d.count(), dims.values())))
         fact = read_table(spark, root, "fact_mediciones")
-        return cls(spark, dims, fact, sizes)
+        return cls(spark, dims, fact, sizes, root=root)
+
+    AGGREGATES = ("mv_stats_diarias_operador", "mv_stats_zonas", "mv_top_dispositivos")
+
+    def aggregate(self, name: str, use_snapshot: bool = True) -> DataFrame:
+        """A pre-aggregate: the refreshed snapshot when the warehouse is
+        stored and one exists (what a dashboard should read), else computed
+        from the fact."""
+        if use_snapshot and self.root is not None:
+            from ..plans.store import read_table
+            snap = read_table(self.spark, self.root, name)
+            if snap is not None:
+                return snap
+        return {"mv_stats_diarias_operador": self.daily_operator_stats,
+                "mv_stats_zonas": self.zone_summary,
+                "mv_top_dispositivos": self.top_devices}[name]()
 
     def dim(self, name: str) -> DataFrame:
         return self.dims[name]
@@ -353,9 +369,10 @@ class Warehouse:
         return out
 
     def zone_layer_precomputed(self) -> DataFrame:
-        """Zone summary joined to the zone geometry."""
-        s = self.zone_summary().select("zona_id", "total_mediciones", "senal_promedio",
-                                       "senal_desviacion", "zona_nombre")
+        """The zone pre-aggregate (its refreshed snapshot when stored)
+        joined to the zone geometry."""
+        s = self.aggregate("mv_stats_zonas").select("zona_id", "total_mediciones", "senal_promedio",
+                                                    "senal_desviacion", "zona_nombre")
         z = self.join(s, "dim_zonas", "zona_id", "inner",
                       ["zona_id", "grid_latitud_inicio", "grid_latitud_fin", "grid_longitud_inicio",
                        "grid_longitud_fin", "altitud_promedio"])

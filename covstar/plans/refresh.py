@@ -17,11 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.warehouse import Warehouse
 from . import store
 
-AGGREGATES = {
-    "mv_stats_diarias_operador": lambda w: w.daily_operator_stats(),
-    "mv_stats_zonas": lambda w: w.zone_summary(),
-    "mv_top_dispositivos": lambda w: w.top_devices(),
-}
+AGGREGATES = {name: (lambda w, n=name: w.aggregate(n, use_snapshot=False)) for name in Warehouse.AGGREGATES}
 
 
 def _write_aggregate(w: Warehouse, root: str, name: str, version: int) -> tuple[str, int, float]:

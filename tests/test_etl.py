@@ -195,3 +195,16 @@ def test_concurrent_load_is_detected(spark, monkeypatch):
     monkeypatch.setattr(store, "current_versions", racing)
     with pytest.raises(etl.ConcurrentLoadError):
         etl.run(spark, raw, root, mode="incremental", now=NOW)
+
+
+def test_precomputed_zone_layer_reads_the_snapshot(spark, reference):
+    root = tempfile.mkdtemp(prefix="covstar-wh-")
+    etl.run(spark, raw_from_dir(spark, SF), root, mode="initial", now=NOW)
+    w = Warehouse.load(spark, root)
+    computed = sorted(tuple(r) for r in w.zone_layer_precomputed().collect())
+    refresh.refresh_all(spark, root)
+    w = Warehouse.load(spark, root)
+    layer = w.zone_layer_precomputed()
+    plan = layer._jdf.queryExecution().executedPlan().toString()
+    assert "mv_stats_zonas" in plan          # read from the refreshed snapshot
+    assert sorted(tuple(r) for r in layer.collect()) == computed
