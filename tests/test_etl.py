@@ -208,3 +208,14 @@ def test_precomputed_zone_layer_reads_the_snapshot(spark, reference):
     plan = layer._jdf.queryExecution().executedPlan().toString()
     assert "mv_stats_zonas" in plan          # read from the refreshed snapshot
     assert sorted(tuple(r) for r in layer.collect()) == computed
+
+
+def test_limited_increments_take_the_oldest_rows_first(spark):
+    root = tempfile.mkdtemp(prefix="covstar-wh-")
+    raw = raw_from_dir(spark, SF).dropna(subset=["latitude", "longitude"])
+    r1 = etl.run(spark, raw, root, mode="initial", limit=100, now=NOW)
+    r2 = etl.run(spark, raw, root, mode="incremental", limit=100, now=NOW)
+    assert r1["new_facts"] == 100 and r2["new_facts"] == 100
+    first200 = {r.id for r in raw.orderBy("timestamp", "id").limit(200).collect()}
+    stored = {r.source_id for r in Warehouse.load(spark, root).fact.select("source_id").collect()}
+    assert stored == first200
