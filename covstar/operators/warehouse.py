@@ -421,6 +421,24 @@ class Warehouse:
         dim, cols, order = spec
         return self.dims[dim].select(*cols).orderBy(order)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose the warehouse to Spark SQL as temporary views with the
+        warehouse's table names: the seven dimensions, ``fact_mediciones``,
+        the wide view ``v_mediciones_completas`` (J2) and the three
+        aggregates (their snapshots when stored). SQL over them is planned by
+        Catalyst like the DataFrame code (pushdown, pruning, broadcast)."""
+        names = []
+        for name, df in self.dims.items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        self.fact.createOrReplaceTempView(prefix + "fact_mediciones")
+        self.full_view().createOrReplaceTempView(prefix + "v_mediciones_completas")
+        names += [prefix + "fact_mediciones", prefix + "v_mediciones_completas"]
+        for name in self.AGGREGATES:
+            self.aggregate(name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def unpersist(self) -> None:
         for d in self.dims.values():
             d.unpersist()
