@@ -159,11 +159,14 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
     current, sizes = {}, {}
 
     def publish(name: str, table: DataFrame, n_rows: int | None = None) -> None:
+        if n_rows is None:       # count first: the size picks the file count and the broadcast
+            table = table.persist(StorageLevel.MEMORY_AND_DISK)
+            n_rows = table.count()
         v = vers.get(name, 0) + 1
-        store.write_version(table, root, name, v, coalesce=1)
+        store.write_version(table, root, name, v, coalesce=store.files_for(n_rows))
         written[name] = v
         current[name] = store.read_version(spark, root, name, v)
-        sizes[name] = current[name].count() if n_rows is None else n_rows
+        sizes[name] = n_rows
 
     # small dimensions: one bounded aggregate of the batch feeds four of them
     combos = norm.groupBy("fecha", "hora", "operador_normalizado", "red_normalizada").count()
@@ -186,7 +189,7 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
         version = None
         if n_new or dims[name] is None:
             version = vers.get(name, 0) + 1
-            store.write_version(table, root, name, version, coalesce=1)
+            store.write_version(table, root, name, version, coalesce=store.files_for(n_existing + n_new))
         return name, version, n_existing, n_new
 
     # the dimension merges are independent small jobs: submitted from several

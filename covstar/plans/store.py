@@ -104,6 +104,17 @@ def read_version(spark: SparkSession, root: str, table: str, version: int) -> Da
     return spark.read.parquet(table_path(root, table, version))
 
 
+ROWS_PER_FILE = 1_000_000
+
+
+def files_for(rows: int | None) -> int | None:
+    """Output files for a table of ``rows`` rows: one per million rows, so a
+    small dimension is one file and a large one is written by many tasks."""
+    if rows is None:
+        return None
+    return max(1, -(-int(rows) // ROWS_PER_FILE))
+
+
 def write_version(df: DataFrame, root: str, table: str, version: int, coalesce: int | None = None) -> None:
     """Write a snapshot directory that is not current until recorded."""
     out = df.coalesce(coalesce) if coalesce else df
@@ -184,10 +195,11 @@ def batch_done(spark: SparkSession, root: str, batch_id: int) -> bool:
     return log.filter((F.col("batch_id") == batch_id) & (F.col("status") == "OK")).limit(1).count() > 0
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """K7: CSV with header, no index. ``single_file`` only for dimensions
-    (small); facts are written as a directory of parts."""
-    out = df.coalesce(1) if single_file else df
+def export_csv(df: DataFrame, path: str, single_file: bool = False, rows: int | None = None) -> None:
+    """K7: CSV with header, no index. ``single_file`` only for small tables
+    (a dimension): with a known ``rows`` count, one file per million rows;
+    facts are written as a directory of parts."""
+    out = df.coalesce(files_for(rows) or 1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

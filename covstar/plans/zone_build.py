@@ -13,7 +13,8 @@ def run_zone_build(raw: DataFrame, out_path: str, size: float = C.GRID_SIZE_ZONE
     """Build the zones, export them as one CSV (a dimension: one row per
     cell) and return the top-10 and the summary as small row lists."""
     zones = build_zones(raw, size).persist()
-    store.export_csv(zones.select(*ZONE_BUILD_COLUMNS).orderBy("zona_id"), out_path, single_file=True)
+    n = zones.count()
+    store.export_csv(zones.select(*ZONE_BUILD_COLUMNS).orderBy("zona_id"), out_path, single_file=True, rows=n)
     top = [r.asDict() for r in top_zones(zones, 10).collect()]          # 10 rows
     summary = zone_build_summary(zones).first().asDict()                # 1 row
     zones.unpersist()

@@ -219,3 +219,15 @@ def test_limited_increments_take_the_oldest_rows_first(spark):
     first200 = {r.id for r in raw.orderBy("timestamp", "id").limit(200).collect()}
     stored = {r.source_id for r in Warehouse.load(spark, root).fact.select("source_id").collect()}
     assert stored == first200
+
+
+def test_snapshot_file_count_follows_size(spark, monkeypatch):
+    import glob
+    monkeypatch.setattr(store, "ROWS_PER_FILE", 200)
+    root = tempfile.mkdtemp(prefix="covstar-wh-")
+    big = spark.range(1000).repartition(8)
+    store.write_version(big, root, "big", 1, coalesce=store.files_for(1000))
+    small = spark.range(150).repartition(8)
+    store.write_version(small, root, "small", 1, coalesce=store.files_for(150))
+    assert len(glob.glob(f"{root}/big/v=000001/*.parquet")) == 5
+    assert len(glob.glob(f"{root}/small/v=000001/*.parquet")) == 1
