@@ -255,7 +255,8 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
 
 
 def run(spark: SparkSession, raw: DataFrame, root: str, mode: str = "incremental", limit: int | None = None,
-        now=None, overwrite: bool = False, lookback: _dt.timedelta | None = None, **kw) -> dict:
+        now=None, overwrite: bool = False, lookback: _dt.timedelta | None = None, validate: bool = False,
+        **kw) -> dict:
     """K9: ``mode="initial"`` loads the whole feed (still idempotent: known
     keys are skipped); ``"incremental"`` loads rows strictly newer than the
     stored high watermark; ``overwrite=True`` rebuilds every table.
@@ -263,7 +264,10 @@ def run(spark: SparkSession, raw: DataFrame, root: str, mode: str = "incremental
     ``lookback`` (T13) moves the incremental cut that far back, so rows that
     arrive late (older than the watermark, not loaded yet) are still picked
     up; rows re-read that are already stored are dropped by the key anti
-    join, so the result stays exact."""
+    join, so the result stays exact.
+
+    ``validate=True`` runs the constraint report (K11) on the loaded
+    warehouse and returns the violated rules under ``"violations"``."""
     wm = None
     if mode != "initial" and not overwrite:
         fact = store.read_table(spark, root, store.FACT)
@@ -274,4 +278,9 @@ def run(spark: SparkSession, raw: DataFrame, root: str, mode: str = "incremental
     batch = extract(since(raw, wm), limit)
     res = load_batch(spark, batch, root, now=now, mode=mode, overwrite=overwrite, **kw)
     res["watermark"] = wm
+    if validate:
+        from ..operators.audit import warehouse_checks
+        from ..operators.warehouse import Warehouse
+        report = warehouse_checks(Warehouse.load(spark, root)).filter(F.col("violaciones") > 0)
+        res["violations"] = [tuple(r) for r in report.collect()]   # at most one row per rule
     return res

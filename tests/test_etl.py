@@ -161,7 +161,8 @@ def test_rows_without_device_key_are_quarantined(spark):
                             .otherwise(F.col("device_id"))) \
                 .withColumn("device_name", F.when(F.col("id").cast("long") % 50 == 0, F.lit(None))
                             .otherwise(F.col("device_name")))
-    r = etl.run(spark, orphan, root, mode="initial", now=NOW)
+    r = etl.run(spark, orphan, root, mode="initial", now=NOW, validate=True)
+    assert r["violations"] == []          # quarantined rows never reach the fact
     w = Warehouse.load(spark, root)
     q = store.read_quarantine(spark, root)
     assert r["quarantined"] == q.count() > 0
