@@ -72,3 +72,24 @@ def cut_lineage(df):
     if checkpoint_dir(df.sparkSession) is None:
         return df
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
+    """Session settings for a large cluster (pass to ``spark-submit --conf``
+    or ``SparkSession.builder.config``). Shuffle partitions start high and AQE
+    coalesces them to ~256 MB each; file splits are 256 MB; skewed join
+    partitions are split; only counted, small dimensions are broadcast by
+    the library, and Spark's own threshold stays moderate."""
+    slots = executors * cores_per_executor
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(max(2000, 4 * slots)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "covstar.broadcast.maxRows": "2000000",
+    }
