@@ -22,6 +22,19 @@ def parse_ts(df: DataFrame, name: str = "timestamp") -> Column:
     return F.try_to_timestamp(F.col(name).cast("string"))
 
 
+def ts_literal(value, dtype) -> Column:
+    """A timestamp literal of ``dtype`` that means the same wall-clock time
+    in every process: Python datetimes are written as ISO text first (a
+    ``datetime`` literal would be read in the Python process's local time
+    zone), then cast; text is cast as it is."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        value = value.isoformat()
+    return F.lit(value).cast(dtype)
+
+
 def date_key(d: ColumnOrName) -> Column:
     """``yyyymmdd`` integer key of a date."""
     x = col(d)

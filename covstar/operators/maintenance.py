@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timekeys import ts_literal
 from .joins import dim_join
 
 
@@ -77,7 +78,7 @@ def stored_keys(existing: DataFrame, keys=("source_id", "timestamp"), partition_
     if ts_range is not None and ts_range[0] is not None:
         lo, hi = ts_range
         dtype = existing.schema[ts_col].dataType
-        ex = ex.filter(F.col(ts_col).between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype)))
+        ex = ex.filter(F.col(ts_col).between(ts_literal(lo, dtype), ts_literal(hi, dtype)))
     return ex.select(*keys)
 
 
@@ -85,5 +86,5 @@ def with_audit_cols(df: DataFrame, now=None, cols=("created_at",)) -> DataFrame:
     """K5: audit columns defaulting to now (injectable for tests)."""
     if not cols:
         return df
-    ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    ts = F.current_timestamp() if now is None else ts_literal(now, "timestamp")
     return df.withColumns({c: ts for c in cols})

@@ -84,7 +84,7 @@ def to_fact_rows(acc: DataFrame, dims: dict, sizes: dict, now=None) -> DataFrame
                      ["red_normalizada"], "red_id", C.DEFAULT_NETWORK_ID, sizes.get("dim_red"))
     df = resolve_key(df, dims["dim_zonas"], ["grid_lat", "grid_lon"], "zona_id",
                      C.DEFAULT_ZONE_ID, sizes.get("dim_zonas"))
-    loaded = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    loaded = F.current_timestamp() if now is None else X.ts_literal(now, "timestamp")
     return df.select(
         fact_id().alias("medicion_id"),
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "tiempo_id", F.col("hora").alias("hora_id"),

@@ -73,7 +73,8 @@ def since(df: DataFrame, watermark, ts: str = "timestamp") -> DataFrame:
     the parquet reader as a pushed filter."""
     if watermark is None or str(watermark).startswith("1970-01-01"):
         return df
-    return df.filter(F.col(ts) > F.lit(watermark).cast(df.schema[ts].dataType))
+    from ..functions.timekeys import ts_literal
+    return df.filter(F.col(ts) > ts_literal(watermark, df.schema[ts].dataType))
 
 
 def high_watermark(fact: DataFrame, ts: str = "timestamp") -> DataFrame:

@@ -110,10 +110,13 @@ def test_audit_columns_keep_first_load_time(spark):
     etl.run(spark, early, root, mode="initial", now="2025-01-01 00:00:00")
     first = {r.device_id for r in Warehouse.load(spark, root).dims["dim_dispositivo"].collect()}
     etl.run(spark, raw, root, mode="incremental", now="2025-02-01 00:00:00")
-    d = Warehouse.load(spark, root).dims["dim_dispositivo"].collect()
+    # dates formatted in Spark (session time zone), not by the Python process
+    d = Warehouse.load(spark, root).dims["dim_dispositivo"].select(
+        "device_id", F.date_format("created_at", "yyyy-MM-dd").alias("c"),
+        F.date_format("updated_at", "yyyy-MM-dd").alias("u")).collect()
     for r in d:
         expect = "2025-01-01" if r.device_id in first else "2025-02-01"
-        assert str(r.created_at).startswith(expect) and str(r.updated_at).startswith(expect)
+        assert r.c == expect and r.u == expect
     z = Warehouse.load(spark, root).dims["dim_zonas"]
     assert z.filter(F.col("created_at").isNull()).count() == 0
 
