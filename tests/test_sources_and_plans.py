@@ -133,3 +133,16 @@ def test_sql_views_answer_dashboard_and_audit_queries(spark):
     kpi = spark.sql("SELECT COUNT(*) AS n FROM mv_stats_diarias_operador").first().n
     assert kpi == w.daily_operator_stats().count()
     assert A.kpis(w.analytic_frame()).first().registros_filtrados == star.count()
+
+
+def test_watermark_cut_does_not_shift_with_time_zones(spark):
+    import datetime as dt
+    raw = raw_from_dir(spark, SF)
+    wm = dt.datetime(2024, 1, 20, 0, 0, 0)
+    expect = raw.filter(F.col("timestamp") > F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")).count()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/La_Paz")   # differs from the Python process zone
+    try:
+        assert since(raw, wm).count() == expect
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
