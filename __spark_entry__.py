@@ -241,12 +241,13 @@ def q_filter_domains(spark, d):
 
 
 def q_points_layer_rows(spark, d):
-    return L.points_columns(_wh(spark, d).analytic_frame()).drop("medicion_id")
+    return L.points_columns(_wh(spark, d).analytic_frame()).drop("medicion_id", "source_id", "timestamp")
 
 
 def q_heat_layer_rows(spark, d):
-    af = _wh(spark, d).analytic_frame().select("medicion_id", "source_id", "latitude", "longitude", "medida_senal")
-    return L.heat_columns(af).drop("medicion_id")
+    af = _wh(spark, d).analytic_frame().select("medicion_id", "source_id", "timestamp", "latitude", "longitude",
+                                               "medida_senal")
+    return L.heat_columns(af).drop("medicion_id", "source_id", "timestamp")
 
 
 def q_cluster_layer(spark, d):
@@ -696,6 +697,15 @@ FROM af GROUP BY device_name"""),
 SELECT "timestamp", operador_normalizado, red_normalizada, calidad_senal, medida_senal, latitude, longitude, zona_altitud
 FROM af WHERE device_name = 'MODEL 3' ORDER BY "timestamp", source_id LIMIT 100"""),
 
+    "heat_sample": _P("""
+SELECT source_id, "timestamp", latitude, longitude, abs(medida_senal) AS peso FROM af
+ORDER BY md5('7|' || source_id), source_id, "timestamp" LIMIT 2000"""),
+    "points_sample": _P(f"""
+SELECT source_id, "timestamp", latitude, longitude, {CLASS_COLOR_SQL.format(c='calidad_senal')} AS color,
+       operador_normalizado, red_normalizada, medida_senal, calidad_senal
+FROM (SELECT *, row_number() OVER (ORDER BY md5('7|' || source_id), source_id, "timestamp") AS rn FROM af)
+WHERE rn <= (SELECT CASE WHEN count(*) > 20000 THEN 20000 WHEN count(*) > 4000 THEN 4000 ELSE count(*) END
+             FROM af)"""),
     "operator_list": _P("SELECT operador_id, operador_nombre AS operador_normalizado FROM d_operador"),
     "device_list": _P("SELECT dispositivo_id, device_name FROM d_dispositivo"),
 

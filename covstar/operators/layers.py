@@ -16,33 +16,38 @@ from .. import functions as X
 from .dimensions import exact_avg
 
 
-_HASH_MIN, _HASH_SPAN = -(2 ** 63), 2 ** 64
+def sample_hash(seed: int = 42, key: str = "source_id"):
+    """Seeded sample order: md5 of ``seed|key`` as lowercase hex. Its leading
+    hex digits are uniform, and any SQL engine computes the same value, so a
+    sample can be checked against SQL."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "medicion_id",
+def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "source_id", ties=("timestamp",),
              rows: int | None = None, oversample: float = 1.5) -> DataFrame:
     """T5s: exactly ``min(n, rows)`` rows, reproducible for a seed: the rows
-    with the n smallest seeded 64-bit hashes (ties by key).
-
-    The hash is uniform, so a cutoff at ``oversample * n / rows`` of its range
-    keeps about 1.5 n candidates - a set that contains the n smallest
-    whenever at least n rows pass (checked; the cutoff doubles otherwise).
-    Only that small candidate set is ordered, so the final top-n merge never
-    receives n rows from every one of a large number of tasks."""
+    with the n smallest seeded hashes (ties by the key columns).
+
+    The hash is uniform, so a cutoff at ``oversample * n / rows`` of its
+    range (a hex-prefix comparison) keeps about 1.5 n candidates - a set that
+    contains the n smallest whenever at least n rows pass (checked; the
+    cutoff doubles otherwise). Only that small candidate set is ordered, so
+    the final top-n merge never receives n rows from every one of a large
+    number of tasks."""
     n = int(n)
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = sample_hash(seed, key)
     if rows is None:
         rows = df.count()
     if rows <= n:
         return df
     frac = min(1.0, oversample * n / rows)
     while True:
-        cutoff = _HASH_MIN + int(frac * _HASH_SPAN)
+        cutoff = format(int(frac * 16 ** 12), "012x")
         cand = df.filter(h < F.lit(cutoff)) if frac < 1.0 else df
         if frac >= 1.0 or cand.count() >= n:
             break
         frac = min(1.0, frac * 2)
-    return cand.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+    return cand.withColumn("_h", h).orderBy("_h", key, *ties).limit(n).drop("_h")
 
 
 def points_sample_size(rows: int) -> int:
@@ -57,7 +62,7 @@ def points_sample_size(rows: int) -> int:
 def points_columns(df: DataFrame) -> DataFrame:
     """L1 rows before sampling: coordinates, colour and the popup fields."""
     pts = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return pts.select("medicion_id", "latitude", "longitude",
+    return pts.select("medicion_id", "source_id", "timestamp", "latitude", "longitude",
                       X.class_color("calidad_senal").alias("color"),
                       "operador_normalizado", "red_normalizada", "medida_senal", "calidad_senal")
 
@@ -71,7 +76,8 @@ def points_layer(df: DataFrame, seed: int = 42) -> DataFrame:
 
 def heat_columns(df: DataFrame) -> DataFrame:
     pts = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return pts.select("medicion_id", "latitude", "longitude", X.heat_weight("medida_senal").alias("peso"))
+    return pts.select("medicion_id", "source_id", "timestamp", "latitude", "longitude",
+                      X.heat_weight("medida_senal").alias("peso"))
 
 
 def heat_layer(df: DataFrame, n: int = C.HEAT_DEFAULT_POINTS, seed: int = 42) -> DataFrame:

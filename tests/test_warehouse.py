@@ -147,8 +147,8 @@ def test_distributed_numbering_equals_window(spark):
 
 def test_sample_cutoff_equals_full_top_n(wh):
     af = wh.analytic_frame()
-    h = F.xxhash64(F.col("medicion_id"), F.lit(11))
-    full = [r.source_id for r in af.withColumn("_h", h).orderBy("_h", "medicion_id").limit(200).collect()]
+    h = L.sample_hash(11)
+    full = [r.source_id for r in af.withColumn("_h", h).orderBy("_h", "source_id", "timestamp").limit(200).collect()]
     fast = {r.source_id for r in L.sample_n(af, 200, seed=11).collect()}
     assert set(full) == fast and len(fast) == 200
     # a too-small first cutoff is widened until n rows pass
