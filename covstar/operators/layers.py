@@ -1,9 +1,9 @@
 """Render-ready map layers, samples and device trails (L1-L8, T3s-T6s, W4).
 
-No function here collects rows: samples are top-n by a seeded hash (each
-task keeps only its own n candidates), trails are globally sorted long-form
-rows (range partitioning splits a hot device across tasks), endpoints are
-aggregates with map-side partial results.
+No function here collects rows: samples are the n smallest seeded hashes,
+found through a hash cutoff that keeps about 1.5 n candidates; trails are
+globally sorted long-form rows (range partitioning splits a hot device
+across tasks); endpoints are aggregates with map-side partial results.
 """
 
 from __future__ import annotations
