@@ -377,6 +377,19 @@ def q_assign_ids_increment(spark, d):
     return assign_ids(new.select("device_id", "device_name"), "dispositivo_id", ["device_id"], existing)
 
 
+def q_late_members(spark, d):
+    """Facts after the split resolve their device against the dimension
+    built before it; unseen devices are late members, inserted with ids after
+    the largest (K1 + K4), and every fact then resolves."""
+    n, first, second = _halves(spark, d, DEVICE_SPLIT_TS)
+    existing = assign_ids(device_members(first), "dispositivo_id", ["device_id"])
+    late = M.insert_ignore(existing, device_members(second), ["device_id"])
+    late = assign_ids(late.select("device_id", "device_name"), "dispositivo_id", ["device_id"], existing)
+    dim = existing.unionByName(late)
+    facts = accepted_rows(second).select("source_id", "device_id")
+    return facts.join(dim.select("device_id", "dispositivo_id"), "device_id", "left")
+
+
 def q_upsert_zones(spark, d):
     _, first, second = _halves(spark, d)
     old = zone_members(zone_stats(accepted_rows(first), cells_ready=True))
@@ -771,6 +784,17 @@ SELECT a.device_id, a.device_name FROM dev_all a WHERE NOT EXISTS (SELECT 1 FROM
 SELECT a.device_id, a.device_name,
        CAST((SELECT count(*) FROM dev1) + row_number() OVER (ORDER BY a.device_id) AS INTEGER) AS dispositivo_id
 FROM dev_all a WHERE NOT EXISTS (SELECT 1 FROM dev1 b WHERE b.device_id = a.device_id)""", _HALVES_SQL),
+    "late_members": _P("""
+SELECT f.source_id, f.device_id, d.dispositivo_id
+FROM (SELECT source_id, device_id FROM acc WHERE "timestamp" >= TIMESTAMP '2024-01-01 06:00:00') f
+LEFT JOIN (
+  SELECT device_id, CAST(row_number() OVER (ORDER BY device_id) AS INTEGER) AS dispositivo_id FROM dev1
+  UNION ALL
+  SELECT a.device_id, CAST((SELECT count(*) FROM dev1) + row_number() OVER (ORDER BY a.device_id) AS INTEGER)
+  FROM (SELECT device_id FROM norm WHERE "timestamp" >= TIMESTAMP '2024-01-01 06:00:00' AND device_id IS NOT NULL
+        GROUP BY device_id) a
+  WHERE NOT EXISTS (SELECT 1 FROM dev1 b WHERE b.device_id = a.device_id)
+) d ON f.device_id = d.device_id""", _HALVES_SQL),
     "upsert_zones": _P(f"""
 SELECT COALESCE(o.grid_lat, n.grid_lat) AS grid_lat, COALESCE(o.grid_lon, n.grid_lon) AS grid_lon,
   COALESCE(o.total_mediciones, 0) + COALESCE(n.total_mediciones, 0) AS total_mediciones,
