@@ -414,8 +414,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_daily_operator_stats(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data subpackage, none where it is not installed."""
+    try:
+        import corpus_pipeline
+
+        from covstar.llm.queries import ORACLE_SQL, QUERIES as llm_queries
+    except ImportError:
+        return {}, {}
+    sql = ORACLE_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return llm_queries | {"pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | _training_data()[0]
 
 
 # ------------------------------------------------------------- oracle (SQL)
@@ -815,4 +827,4 @@ FROM acc a WHERE NOT EXISTS (SELECT 1 FROM acc1 b WHERE b.source_id = a.source_i
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | _training_data()[1]
