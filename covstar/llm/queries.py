@@ -3,14 +3,20 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from covstar.llm import simhash_gray, url_filter
-from covstar.llm.common import table
+from covstar.llm import crf_quality, lang_id, packing, simhash_gray, url_filter
+from covstar.llm.common import crc_mod, table
 
 # The rules of the URL filter (host, path, verdict).
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+
+def op2_packing(spark, d):
+    return packing.pack(byte_pieces(table(spark, d, "documents")))
 
 
 def op6_simhash(spark, d):
@@ -18,14 +24,33 @@ def op6_simhash(spark, d):
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_language(spark, d):
+    docs = table(spark, d, "documents")
+    held = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    got = lang_id.predictor(lang_id.train(docs, ~held))(F.col("text"))
+    return docs.select("doc_id", held.alias("held_out"), got.alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 def op9_url_filter(spark, d):
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULES_SQL} AS r(host, path, verdict)")
     return url_filter.judge(table(spark, d, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash, op9_url_filter)}
+def op10_quality(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    scored = crf_quality.scorer(crf_quality.train(docs, labels, ~held))(F.col("text"))
+    return (docs.select("doc_id", held.alias("held_out"), scored.alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
+
+
+def byte_pieces(docs):
+    p = public_tokenizers
+    return packing.pieces(docs, p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"), p.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op6_simhash, op7_language, op9_url_filter, op10_quality)}
 
-_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 ORACLE_SQL = {
     "op9_url_filter": f"""
