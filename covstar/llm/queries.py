@@ -6,8 +6,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from covstar.llm import crf_quality, lang_id, packing, simhash_gray, url_filter
+from covstar.llm import crf_quality, dual_tree, hilbert_ann, lang_id, packing, simhash_gray, url_filter
 from covstar.llm.common import crc_mod, table
+from covstar.llm.vectors import usable
 
 # The rules of the URL filter (host, path, verdict).
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -19,6 +20,15 @@ def op2_packing(spark, d):
     return packing.pack(byte_pieces(table(spark, d, "documents")))
 
 
+def op4_exact_topk(spark, d):
+    got = dual_tree.top_products(dual_tree.scaled(table(spark, d, "embeddings")), F.col("vec_id") % 20 == 0, 20)
+    return got.withColumn("score", F.col("score").cast("long"))
+
+
+def op5_hilbert_ann(spark, d):
+    return hilbert_ann.nearest(usable(table(spark, d, "embeddings"), zero=False), F.col("vec_id") % 20 == 0, 20)
+
+
 def op6_simhash(spark, d):
     got = simhash_gray.near_duplicates(table(spark, d, "documents"))
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -49,7 +59,7 @@ def byte_pieces(docs):
     return packing.pieces(docs, p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"), p.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op6_simhash, op7_language, op9_url_filter, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_packing, op4_exact_topk, op5_hilbert_ann, op6_simhash, op7_language, op9_url_filter, op10_quality)}
 
 
 ORACLE_SQL = {
