@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from covstar.llm import crf_quality, dual_tree, hilbert_ann, lang_id, packing, simhash_gray, url_filter
+from covstar.llm import crf_quality, dual_tree, hilbert_ann, lang_id, packing, simhash_gray, suffix_dedup, url_filter
 from covstar.llm.common import crc_mod, table
 from covstar.llm.vectors import usable
 
@@ -16,6 +16,11 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 
+def op1_suffix_dedup(spark, d):
+    found = suffix_dedup.repeated(table(spark, d, "documents"))
+    return found.select("doc_id", suffix_dedup.digest(found).alias("d")).select("doc_id", "d.*")
+
+
 def op2_packing(spark, d):
     return packing.pack(byte_pieces(table(spark, d, "documents")))
 
@@ -59,7 +64,7 @@ def byte_pieces(docs):
     return packing.pieces(docs, p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"), p.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_exact_topk, op5_hilbert_ann, op6_simhash, op7_language, op9_url_filter, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_packing, op4_exact_topk, op5_hilbert_ann, op6_simhash, op7_language, op9_url_filter, op10_quality)}
 
 
 ORACLE_SQL = {
