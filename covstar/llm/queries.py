@@ -10,7 +10,8 @@ from covstar.llm import crf_quality, dual_tree, hilbert_ann, lang_id, packing, s
 from covstar.llm.common import crc_mod, table
 from covstar.llm.vectors import usable
 
-# The rules of the URL filter (host, path, verdict).
+# The least score of a good document; the rules of the URL filter (host, path, verdict).
+QUALITY_FROM = 0.3
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -56,7 +57,7 @@ def op10_quality(spark, d):
     held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
     scored = crf_quality.scorer(crf_quality.train(docs, labels, ~held))(F.col("text"))
     return (docs.select("doc_id", held.alias("held_out"), scored.alias("score"))
-            .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
+            .withColumn("predicted", (F.col("score") >= QUALITY_FROM).cast("int")))
 
 
 def byte_pieces(docs):

@@ -316,10 +316,11 @@ def repeated(docs: DataFrame, variants: int = VARIANTS) -> DataFrame:
     run_rows = texts.mapInPandas(_runs_of, "gram long, whole long, doc long, tie long, lo long, hi long, end long")
     marks = stored(run_rows.repartition(n, "gram").mapInPandas(
         _whole_runs, "doc long, tie long, start long, end long, gram long, variants long"), "dedup-runs")
-    by_doc = marks.groupBy("doc", "tie").agg(
-        F.flatten(F.collect_list(F.when(F.col("variants") == 0, F.array("start", "end")))).alias("spans"),
-        F.flatten(F.collect_list(F.when(F.col("variants") > 0, F.array("start", "end", "gram", "variants")))).alias("open"))
-    marked = keyed.join(by_doc, (keyed.dd_doc == by_doc.doc) & (keyed.dd_tie == by_doc.tie), "left").drop("doc", "tie")
+    # own names throughout: the documents may bring any columns
+    by_doc = marks.groupBy(F.col("doc").alias("dd_d"), F.col("tie").alias("dd_t")).agg(
+        F.flatten(F.collect_list(F.when(F.col("variants") == 0, F.array("start", "end")))).alias("dd_done"),
+        F.flatten(F.collect_list(F.when(F.col("variants") > 0, F.array("start", "end", "gram", "variants")))).alias("dd_open"))
+    marked = keyed.join(by_doc, (F.col("dd_doc") == F.col("dd_d")) & (F.col("dd_tie") == F.col("dd_t")), "left").drop("dd_d", "dd_t")
 
     def run_texts(batches):
         for pdf in batches:
@@ -332,17 +333,18 @@ def repeated(docs: DataFrame, variants: int = VARIANTS) -> DataFrame:
             yield pd.DataFrame(out, columns=["gram", "slot", "dealt", "doc", "tie", "start", "bytes"])
 
     # each text once, whatever number of rows repeat it
-    open_runs = (marked.select(F.col("dd_doc").alias("doc"), F.col("dd_tie").alias("tie"), "text", "open")
+    open_runs = (marked.select(F.col("dd_doc").alias("doc"), F.col("dd_tie").alias("tie"), "text", F.col("dd_open").alias("open"))
                  .filter(F.size("open") > 0)
                  .mapInPandas(run_texts, "gram long, slot long, dealt boolean, doc long, tie long, start long, bytes binary"))
     scanned = stored(open_runs.repartition(n, "gram", "slot").mapInPandas(
         _scan, "doc long, tie long, start long, end long, h long, h2 long, open boolean"), "dedup-scan")
     again = scanned.filter("open").repartition(n, "h", "h2").mapInPandas(_met_again, "doc long, tie long, start long, end long")
     more = (scanned.filter("not open").select("doc", "tie", "start", "end").union(again)
-            .groupBy("doc", "tie").agg(F.flatten(F.collect_list(F.array("start", "end"))).alias("more")))
-    out = marked.join(more, (marked.dd_doc == more.doc) & (marked.dd_tie == more.tie), "left")
+            .groupBy(F.col("doc").alias("dd_d"), F.col("tie").alias("dd_t"))
+            .agg(F.flatten(F.collect_list(F.array("start", "end"))).alias("dd_more")))
+    out = marked.join(more, (F.col("dd_doc") == F.col("dd_d")) & (F.col("dd_tie") == F.col("dd_t")), "left")
     none = F.array().cast("array<long>")
-    spans = F.concat(F.coalesce("spans", none), F.coalesce("more", none))
+    spans = F.concat(F.coalesce("dd_done", none), F.coalesce("dd_more", none))
     return out.select(*docs.columns, spans.alias("dd_spans"))
 
 
