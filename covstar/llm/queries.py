@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from covstar.llm import crf_quality, dual_tree, hilbert_ann, lang_id, packing, simhash_gray, suffix_dedup, url_filter
+from covstar.llm import crf_quality, dual_tree, hilbert_ann, lang_id, packing, simhash_gray, sp_dropout, suffix_dedup, token_counts, url_filter
 from covstar.llm.common import crc_mod, table
 from covstar.llm.vectors import usable
 
@@ -26,6 +26,10 @@ def op2_packing(spark, d):
     return packing.pack(byte_pieces(table(spark, d, "documents")))
 
 
+def op3_sentencepiece(spark, d):
+    return sp_dropout.encoded(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 def op4_exact_topk(spark, d):
     got = dual_tree.top_products(dual_tree.scaled(table(spark, d, "embeddings")), F.col("vec_id") % 20 == 0, 20)
     return got.withColumn("score", F.col("score").cast("long"))
@@ -47,6 +51,10 @@ def op7_language(spark, d):
     return docs.select("doc_id", held.alias("held_out"), got.alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op8_token_counts(spark, d):
+    return token_counts.counts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_url_filter(spark, d):
     rules = spark.sql(f"SELECT * FROM VALUES {_RULES_SQL} AS r(host, path, verdict)")
     return url_filter.judge(table(spark, d, "pages"), rules)
@@ -65,7 +73,8 @@ def byte_pieces(docs):
     return packing.pieces(docs, p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"), p.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_packing, op4_exact_topk, op5_hilbert_ann, op6_simhash, op7_language, op9_url_filter, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_packing, op3_sentencepiece, op4_exact_topk, op5_hilbert_ann,
+                                   op6_simhash, op7_language, op8_token_counts, op9_url_filter, op10_quality)}
 
 
 ORACLE_SQL = {
