@@ -52,6 +52,15 @@ def spread(spark: SparkSession, per_core: int = 2) -> int:
                per_core * spark.sparkContext.defaultParallelism)
 
 
+def with_text_ids(docs: DataFrame) -> DataFrame:
+    """doc_id (as text: whole numbers with nulls are no numbers in pandas) and text."""
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
+def with_long_ids(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def crc_mod(col: str, mod: int):
     """``crc32`` of the id written as text, modulo ``mod`` (a null id gives null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(mod)

@@ -21,13 +21,14 @@ import base64
 import os
 import zlib
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from covstar.llm.common import spread, stored
+from covstar.llm.common import spread, stored, with_long_ids, with_text_ids
 
 #: Distinct words whose ids a worker remembers.
 WORDS_KEPT = 700_000
@@ -98,7 +99,7 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: s
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:5 + with_ids]
 
         def frame(rows):
-            return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            return pd.DataFrame(rows, columns=names)
 
         rows, held = [], 0
         for pdf in batches:
@@ -114,8 +115,8 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: s
         if rows:
             yield frame(rows)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    return with_long_ids(with_text_ids(docs).mapInPandas(run, schema))
 
 
 # ------------------------------------------------------------------- plan
@@ -180,11 +181,10 @@ def pack(piece_rows: DataFrame, size: int = 2048) -> DataFrame:
     place = spark.sparkContext.broadcast(by_length)          # bounded by ``size``, not by the corpus
     columns = [c for c in rows.columns if c != "part"]
 
-    def run(batches):
-        for pdf in batches:
-            rank = pdf.pop("rank").to_numpy()
-            length = pdf["length"].to_numpy()
-            sequence, offset = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
+    def placed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for lengths, ranks in batches:
+            length, rank = lengths.to_numpy(), ranks.to_numpy()
+            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
             for n in np.unique(length):
                 own = np.flatnonzero(length == n)
                 p = place.value[n]
@@ -192,10 +192,9 @@ def pack(piece_rows: DataFrame, size: int = 2048) -> DataFrame:
                 j = rank[own] - p[:, 1]
                 sequence[own] = p[:, 4] + j // p[:, 2]
                 offset[own] = p[:, 5] + j % p[:, 2] * n
-            yield pdf.assign(sequence_id=sequence, offset=offset)
+            yield pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
     order = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32", "start")
-    ranked = (rows.withColumn("own", F.row_number().over(order)).join(before, ["length", "part"])
-              .withColumn("rank", F.col("before") + F.col("own") - 1).select(*columns, "rank"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "part")
-    return ranked.mapInPandas(run, schema + ", sequence_id long, offset long")
+    ranked = rows.withColumn("own", F.row_number().over(order)).join(before, ["length", "part"])
+    at = F.pandas_udf(placed, "sequence_id long, offset long")("length", F.col("before") + F.col("own") - 1)
+    return ranked.select(*columns, at.alias("at")).select(*columns, "at.sequence_id", "at.offset")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covstar.llm.common import spread, stored
+from covstar.llm.common import spread, stored, with_long_ids, with_text_ids
 from covstar.llm.components import components
 
 #: Sizes of the five blocks of bits, from the highest bit.
@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             for at in range(0, len(pdf), 512):
                 part = pdf.iloc[at:at + 512]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "fp": fingerprint_many(part["text"].tolist(), width).view(np.int64)})
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, fp long")
+    return with_long_ids(with_text_ids(docs).mapInPandas(run, "doc_id string, fp long"))
 
 
 # ------------------------------------------------------------------ index

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covstar.llm.common import with_long_ids, with_text_ids
 from covstar.llm.piece_words import Pieces, words
 
 VARIANTS = 4
@@ -215,8 +216,8 @@ def encoded(docs: DataFrame, path: str, seed: int = 1, rate: float = 0.1, with_i
                                     "ids_crc32": [zlib.crc32(b) for b in part], "lossless": same})
                 yield out.assign(ids=part) if with_ids else out
                 at = upto
-    schema = "doc_id long, n_tokens long, ids_crc32 long, lossless boolean" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    schema = "doc_id string, n_tokens long, ids_crc32 long, lossless boolean" + ", ids binary" * with_ids
+    return with_long_ids(with_text_ids(docs).mapInPandas(run, schema))
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:

@@ -23,8 +23,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from covstar.llm.common import with_long_ids, with_text_ids
 from covstar.llm.piece_words import Pieces, words
 
 #: Log score of a byte of a character that no piece holds.
@@ -158,4 +158,4 @@ def counts(docs: DataFrame, path: str) -> DataFrame:
             out = pd.DataFrame(rows, columns=["n_words", "n_tokens"])
             out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield out
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n_words long, n_tokens long")
+    return with_long_ids(with_text_ids(docs).mapInPandas(run, "doc_id string, n_words long, n_tokens long"))
