@@ -279,7 +279,7 @@ def q_heat_sample(spark, d):
 
 
 def q_points_sample(spark, d):
-    return L.points_layer(_wh(spark, d).analytic_frame(), seed=7).drop("medicion_id")
+    return L.points_layer(_wh(spark, d).analytic_frame(), 4000, seed=7).drop("medicion_id")
 
 
 def q_operator_list(spark, d):
@@ -728,9 +728,7 @@ ORDER BY md5('7|' || source_id), source_id, "timestamp" LIMIT 2000"""),
     "points_sample": _P(f"""
 SELECT source_id, "timestamp", latitude, longitude, {CLASS_COLOR_SQL.format(c='calidad_senal')} AS color,
        operador_normalizado, red_normalizada, medida_senal, calidad_senal
-FROM (SELECT *, row_number() OVER (ORDER BY md5('7|' || source_id), source_id, "timestamp") AS rn FROM af)
-WHERE rn <= (SELECT CASE WHEN count(*) > 20000 THEN 20000 WHEN count(*) > 4000 THEN 4000 ELSE count(*) END
-             FROM af)"""),
+FROM af ORDER BY md5('7|' || source_id), source_id, "timestamp" LIMIT 4000"""),
     "operator_list": _P("SELECT operador_id, operador_nombre AS operador_normalizado FROM d_operador"),
     "device_list": _P("SELECT dispositivo_id, device_name FROM d_dispositivo"),
 
@@ -787,7 +785,9 @@ SELECT f.source_id, f.zona_id FROM fact f WHERE f.zona_id IS NOT NULL
     "warehouse_checks": _P(_WAREHOUSE_CHECKS_SQL),
     "high_watermark": _P("SELECT COALESCE(max(\"timestamp\"), TIMESTAMP '1970-01-01 00:00:00') AS watermark FROM fact"),
     "incremental_scan": _P("SELECT * FROM raw WHERE \"timestamp\" > TIMESTAMP '2024-01-20 00:00:00'"),
-    "bounded_extract": _P("SELECT * FROM raw ORDER BY \"timestamp\", id LIMIT 1000"),
+    "bounded_extract": _P("""
+SELECT * FROM raw WHERE "timestamp" <= (
+  SELECT max(t) FROM (SELECT "timestamp" AS t FROM raw WHERE "timestamp" IS NOT NULL ORDER BY t LIMIT 1000))"""),
 
     "insert_ignore_devices": _P("""
 SELECT a.device_id, a.device_name FROM dev_all a WHERE NOT EXISTS (SELECT 1 FROM dev1 b WHERE b.device_id = a.device_id)""",

@@ -113,14 +113,8 @@ DEFAULT_ZONE_ID = 0
 DEFAULT_QUALITY_ID = 3
 DEVICE_KEY_PREFIX = "UNKNOWN_"
 
-# --- FIXED VALUES: sampling rules of the map layers --------------------------
-POINTS_LARGE_THRESHOLD = 20000   # more rows than this -> sample this many
-POINTS_MEDIUM_THRESHOLD = 4000   # more rows than this -> sample this many
+# --- FIXED VALUES: map layers and lists --------------------------------------
 HEAT_DEFAULT_POINTS = 2000
-HEAT_MIN_POINTS, HEAT_MAX_POINTS, HEAT_STEP = 500, 5000, 250
 DEVICE_LOG_ROWS = 100
-DEVICES_WITHOUT_DATA_SHOWN = 10
 
-# --- FIXED VALUES: control table seed ---------------------------------------
-CONTROL_IDLE = "IDLE"
 EPOCH = "1970-01-01 00:00:00"

@@ -137,20 +137,19 @@ def centroid(df: DataFrame, by: str | None = None) -> DataFrame:
 def filter_domains(df: DataFrame) -> DataFrame:
     """Slicer domains in long form ``(dominio, valor)``: date min/max and
     the distinct hours, operators, networks, classes, day parts and devices.
-    One scan: every row emits its (domain, value) pairs, a hash aggregate
-    keeps the distinct pairs (partial per task), and the date bounds are
-    taken from the distinct dates. Long form keeps every domain distributed
-    (no list built in one row); sort with ``orderBy("dominio", "valor")``."""
-    pairs = [F.struct(F.lit("hora").alias("dominio"), X.hour_label("hora").alias("valor"))]
-    for c in ("operador_normalizado", "red_normalizada", "calidad_senal", "franja_horaria", "device_name"):
-        pairs.append(F.struct(F.lit(c).alias("dominio"), F.col(c).cast("string").alias("valor")))
-    pairs.append(F.struct(F.lit("fecha").alias("dominio"), F.col("fecha").cast("string").alias("valor")))
-    kv = (df.select(F.explode(F.array(*pairs)).alias("p")).select("p.dominio", "p.valor")
-            .filter(F.col("valor").isNotNull()).distinct())
-    dates = kv.filter(F.col("dominio") == "fecha")
-    bounds = dates.agg(F.min("valor").alias("fecha_min"), F.max("valor").alias("fecha_max"))
-    bounds = bounds.select(F.explode(F.array(
-        F.struct(F.lit("fecha_min").alias("dominio"), F.col("fecha_min").alias("valor")),
-        F.struct(F.lit("fecha_max").alias("dominio"), F.col("fecha_max").alias("valor")))).alias("p"))
-    return (kv.filter(F.col("dominio") != "fecha")
-              .unionByName(bounds.select("p.dominio", "p.valor").filter(F.col("valor").isNotNull())))
+    One scan: the distinct combinations of the slicer columns are folded first
+    (partial per task), then emit their (domain, value) pairs; a second small
+    aggregate keeps the distinct pairs and, for the dates, the bounds. Long form
+    keeps every domain distributed; sort with ``orderBy("dominio", "valor")``."""
+    columns = ["operador_normalizado", "red_normalizada", "calidad_senal", "franja_horaria", "device_name"]
+    tuples = df.select("fecha", "hora", *columns).distinct()
+    pairs = [F.struct(F.lit(c).alias("dominio"), F.col(c).cast("string").alias("valor")) for c in ("fecha", *columns)]
+    pairs.append(F.struct(F.lit("hora").alias("dominio"), X.hour_label("hora").alias("valor")))
+    kv = tuples.select(F.inline(F.array(*pairs))).filter(F.col("valor").isNotNull())
+    is_date = F.col("dominio") == "fecha"
+    folded = (kv.groupBy("dominio", F.when(~is_date, F.col("valor")).alias("v"))
+              .agg(F.min("valor").alias("low"), F.max("valor").alias("high")))
+    ends = F.array(F.struct(F.lit("fecha_min").alias("dominio"), F.col("low").alias("valor")),
+                   F.struct(F.lit("fecha_max").alias("dominio"), F.col("high").alias("valor")))
+    return folded.select(F.inline(F.when(is_date, ends).otherwise(
+        F.array(F.struct(F.col("dominio"), F.col("v").alias("valor"))))))

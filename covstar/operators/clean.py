@@ -20,13 +20,6 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(fixes) if fixes else df
 
 
-def valid(df: DataFrame) -> DataFrame:
-    """keep rows with latitude, longitude and timestamp (NaN counts as missing)."""
-    return df.filter(F.col("latitude").isNotNull() & ~F.isnan("latitude")
-                     & F.col("longitude").isNotNull() & ~F.isnan("longitude")
-                     & F.col("timestamp").isNotNull())
-
-
 def valid_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """keep rows with both coordinates."""
     return df.dropna(subset=[lat, lon])

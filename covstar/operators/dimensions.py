@@ -14,56 +14,46 @@ from .clean import drop_null_members
 def exact_avg(c: str | Column, scale: int) -> Column:
     """Average rounded to ``scale`` decimals without double rounding: the
     values are widened to DECIMAL(28,12) so the sum is exact and the quotient
-    carries 16 decimals before the final HALF_UP rounding."""
+    carries 16 decimals before the final HALF_UP rounding. A value beyond that
+    type counts as missing."""
     x = F.col(c) if isinstance(c, str) else c
-    return F.round(F.avg(x.cast(T.DecimalType(28, 12))), scale).cast("double")
-
-
-# Up to this many rows are numbered by one window in one task; larger sets
-# are numbered by range partitions + per-partition offsets (no single task).
-SINGLE_TASK_MAX_ROWS = 200_000
-
-
-def dense_number(df: DataFrame, order_by: list, id_col: str, base: int = 0,
-                 n_rows: int | None = None, single_task_max: int = SINGLE_TASK_MAX_ROWS,
-                 id_type: str = "int") -> DataFrame:
-    """Consecutive numbers ``base+1 .. base+n`` in ``order_by`` order (the
-    order columns must identify a row). Small inputs use one ordered window.
-    Large inputs are range-partitioned on the order, sorted inside each
-    partition and checkpointed (stable partitions for both passes); the
-    per-partition counts (one row per partition) give running offsets, and a
-    row's number is its partition offset plus its position in the partition.
-    Without a shared checkpoint folder the one-window form is used."""
-    from ..session import checkpoint_dir
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    spark = df.sparkSession
-    if n_rows is None or n_rows > single_task_max:
-        if n_rows is None:
-            df = df.persist()
-            n_rows = df.count()
-    if n_rows <= single_task_max or checkpoint_dir(spark) is None:
-        w = Window.orderBy(*order)
-        return df.withColumn(id_col, (F.lit(int(base)) + F.row_number().over(w)).cast(id_type))
-    from ..session import default_parallelism
-    per_task = max(single_task_max, SINGLE_TASK_MAX_ROWS // 100)
-    parts = int(min(max(2, n_rows // per_task + 1), 4 * default_parallelism(spark) + 2))
-    ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # one row per partition: a proven-small broadcast
-    out = ranged.join(F.broadcast(offsets), "_pid")
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (out.withColumn(id_col, (F.lit(int(base)) + F.col("_off") + pos + 1).cast(id_type))
-               .drop("_pid", "_mid", "_off"))
+    return F.round(F.avg(x.try_cast(T.DecimalType(28, 12))), scale).cast("double")
+
+
+# Rows that one numbering bucket holds on average.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def dense_number(df: DataFrame, order_by: list, id_col: str, base: int = 0, n_rows: int | None = None,
+                 per_bucket: int = ROWS_PER_BUCKET, id_type: str = "int") -> DataFrame:
+    """Consecutive numbers ``base+1 .. base+n`` in ascending ``order_by`` order
+    (the order columns must identify a row; NULL first), in one form for every
+    size: rows fall into ordered buckets between fixed bounds (quantiles of a
+    hash sample, 32 rows for each bucket), ``row_number`` numbers a bucket, and
+    the rows of the buckets before it (one count for each bucket) are added.
+    Bounds and counts are literals in the plan, so a recomputed task gives the
+    same numbers."""
+    key = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order_by)])
+    keyed = df.withColumn("_key", key)
+    n_rows = df.count() if n_rows is None else n_rows
+    buckets = max(1, -(-n_rows // per_bucket))
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key")).limit(32 * buckets).orderBy("_key").collect() if buckets > 1 else []
+    kind = keyed.schema["_key"].dataType
+    bounds = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r["_key"], kind.fields)])
+              for r in sample[32::32]]
+    bucket = F.size(F.filter(F.array(*bounds), lambda b: b <= F.col("_key"))) if bounds else F.lit(0)
+    keyed = keyed.withColumn("_bucket", bucket)
+    before = F.lit(0)
+    if bounds:                                # one row for each bucket
+        counts = dict(keyed.groupBy("_bucket").agg(F.count(F.lit(1))).collect())
+        at = [sum(n for b, n in counts.items() if b < i) for i in range(len(bounds) + 1)]
+        before = F.get(F.array(*[F.lit(x).cast("long") for x in at]), F.col("_bucket"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))
+    return (keyed.withColumn(id_col, (F.lit(int(base)) + before + rank).cast(id_type)).drop("_key", "_bucket"))
 
 
 def assign_ids(new: DataFrame, id_col: str, order_by: list[str],
-               existing: DataFrame | None = None, n_rows: int | None = None,
-               single_task_max: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+               existing: DataFrame | None = None, n_rows: int | None = None) -> DataFrame:
     """K4: serial surrogate keys for new members, continuing after the largest
     existing id, numbered in natural-key order. Only dimension members are
     numbered (never facts), and only the new ones."""
@@ -71,8 +61,7 @@ def assign_ids(new: DataFrame, id_col: str, order_by: list[str],
     if existing is not None:
         # one scalar: the largest id already used
         base = existing.agg(F.max(id_col)).first()[0] or 0
-    order = [F.col(c).asc_nulls_last() for c in order_by]
-    return dense_number(new, order, id_col, base, n_rows, single_task_max)
+    return dense_number(new, order_by, id_col, base, n_rows)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Render-ready map layers, samples and device trails (L1-L8, T3s-T6s, W4).
 
 No function here collects rows: samples are the n smallest seeded hashes,
-found through a hash cutoff that keeps about 1.5 n candidates; trails are
+found through an exact cutoff of the hash; trails are
 globally sorted long-form rows (range partitioning splits a hot device
 across tasks); endpoints are aggregates with map-side partial results.
 """
@@ -17,46 +17,30 @@ from .dimensions import exact_avg
 
 
 def sample_hash(seed: int = 42, key: str = "source_id"):
-    """Seeded sample order: md5 of ``seed|key`` as lowercase hex. Its leading
-    hex digits are uniform, and any SQL engine computes the same value, so a
-    sample can be checked against SQL."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
+    """Seeded sample order: md5 of ``seed|key`` as lowercase hex (a NULL key as
+    an empty one). Its leading hex digits are uniform, and any SQL engine
+    computes the same value, so a sample can be checked against SQL."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "source_id", ties=("timestamp",),
-             rows: int | None = None, oversample: float = 1.5) -> DataFrame:
+             digits: int = 4) -> DataFrame:
     """T5s: exactly ``min(n, rows)`` rows, reproducible for a seed: the rows
     with the n smallest seeded hashes (ties by the key columns).
 
-    The hash is uniform, so a cutoff at ``oversample * n / rows`` of its
-    range (a hex-prefix comparison) keeps about 1.5 n candidates - a set that
-    contains the n smallest whenever at least n rows pass (checked; the
-    cutoff doubles otherwise). Only that small candidate set is ordered, so
-    the final top-n merge never receives n rows from every one of a large
-    number of tasks."""
+    One aggregate counts the rows by the first ``digits`` hex digits of the
+    hash (65,536 counts); the smallest prefix up to which n rows lie is an exact
+    cutoff, so only those rows (and no more than one further prefix) are
+    ordered, whatever the size of ``df``."""
     n = int(n)
     h = sample_hash(seed, key)
-    if rows is None:
-        rows = df.count()
-    if rows <= n:
-        return df
-    frac = min(1.0, oversample * n / rows)
-    while True:
-        cutoff = format(int(frac * 16 ** 12), "012x")
-        cand = df.filter(h < F.lit(cutoff)) if frac < 1.0 else df
-        if frac >= 1.0 or cand.count() >= n:
+    prefix = F.substring(h, 1, digits)
+    upto, cutoff = 0, ""
+    for r in df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect():
+        upto, cutoff = upto + r["n"], r["p"]
+        if upto >= n:
             break
-        frac = min(1.0, frac * 2)
-    return cand.withColumn("_h", h).orderBy("_h", key, *ties).limit(n).drop("_h")
-
-
-def points_sample_size(rows: int) -> int:
-    """T6s rule: >20,000 rows -> 20,000; 4,001..20,000 -> 4,000; else all."""
-    if rows > C.POINTS_LARGE_THRESHOLD:
-        return C.POINTS_LARGE_THRESHOLD
-    if rows > C.POINTS_MEDIUM_THRESHOLD:
-        return C.POINTS_MEDIUM_THRESHOLD
-    return rows
+    return df.filter(prefix <= cutoff).withColumn("_h", h).orderBy("_h", key, *ties).limit(n).drop("_h")
 
 
 def points_columns(df: DataFrame) -> DataFrame:
@@ -67,11 +51,10 @@ def points_columns(df: DataFrame) -> DataFrame:
                       "operador_normalizado", "red_normalizada", "medida_senal", "calidad_senal")
 
 
-def points_layer(df: DataFrame, seed: int = 42) -> DataFrame:
-    """L1: quality points, sampled by the T6s rule (one count, then top-n)."""
+def points_layer(df: DataFrame, n: int | None = None, seed: int = 42) -> DataFrame:
+    """L1: the quality points, all of them, or a seeded sample of ``n``."""
     pts = points_columns(df)
-    rows = pts.count()
-    return sample_n(pts, points_sample_size(rows), seed, rows=rows)
+    return pts if n is None else sample_n(pts, n, seed)
 
 
 def heat_columns(df: DataFrame) -> DataFrame:
@@ -81,10 +64,7 @@ def heat_columns(df: DataFrame) -> DataFrame:
 
 
 def heat_layer(df: DataFrame, n: int = C.HEAT_DEFAULT_POINTS, seed: int = 42) -> DataFrame:
-    """L2: ``min(n, rows)`` sampled heat points weighted by |signal|;
-    n is 500..5000 in steps of 250."""
-    n = max(C.HEAT_MIN_POINTS, min(C.HEAT_MAX_POINTS, int(n)))
-    n = C.HEAT_MIN_POINTS + (n - C.HEAT_MIN_POINTS) // C.HEAT_STEP * C.HEAT_STEP
+    """L2: ``min(n, rows)`` sampled heat points weighted by |signal|."""
     return sample_n(heat_columns(df), n, seed)
 
 

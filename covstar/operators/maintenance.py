@@ -7,6 +7,9 @@ rows to append (facts).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +20,10 @@ from .joins import dim_join
 def insert_ignore(existing: DataFrame | None, new: DataFrame, keys: list[str],
                   existing_rows: int | None = None) -> DataFrame:
     """K1: rows of ``new`` whose key is absent from ``existing`` (insert ...
-    on conflict do nothing). Duplicate keys inside ``new`` keep one row."""
-    fresh = new.dropDuplicates(keys)
+    on conflict do nothing). Of rows with one key the smallest stays."""
+    rest = [c for c in new.columns if c not in keys]
+    fresh = new.distinct() if not rest else (
+        new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first")).select(*keys, *[f"_first.{c}" for c in rest]).select(*new.columns))
     if existing is None:
         return fresh
     return dim_join(fresh, existing.select(*keys).distinct(), keys, "left_anti", existing_rows)
@@ -32,10 +37,11 @@ def upsert_accumulate(existing: DataFrame | None, delta: DataFrame, keys: list[s
     if existing is None:
         return delta
     others = [c for c in existing.columns if c not in keys]
-    o = existing.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in others])
-    n = delta.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in others if c in delta.columns])
-    j = o.join(n, keys, "full_outer")
-    out = []
+    o = existing.select(*[F.col(c).alias(f"_o_{c}") for c in existing.columns], F.lit(True).alias("_o"))
+    n = delta.select(*[F.col(c).alias(f"_n_{c}") for c in existing.columns if c in delta.columns])
+    same = [F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}")) for k in keys]      # a NULL key meets itself
+    j = o.join(n, reduce(and_, same), "full_outer")
+    out = [F.when(F.col("_o"), F.col(f"_o_{k}")).otherwise(F.col(f"_n_{k}")).alias(k) for k in keys]
     for c in others:
         has_new = c in delta.columns
         if c in sum_cols:
@@ -45,7 +51,7 @@ def upsert_accumulate(existing: DataFrame | None, delta: DataFrame, keys: list[s
         else:
             expr = F.col(f"_o_{c}")
         out.append(expr.cast(existing.schema[c].dataType).alias(c))
-    return j.select(*keys, *out)
+    return j.select(*out)
 
 
 def new_facts(existing: DataFrame | None, new: DataFrame, keys=("source_id", "timestamp"),
@@ -65,7 +71,9 @@ def new_facts(existing: DataFrame | None, new: DataFrame, keys=("source_id", "ti
     if existing is None:
         return new
     ex = stored_keys(existing, keys, partition_col, touched, ts_range, ts_col)
-    return dim_join(new, ex, keys, "left_anti", existing_rows)
+    ex = ex.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]              # a NULL id is a key like any other
+    return dim_join(new, ex, reduce(and_, same), "left_anti", existing_rows)
 
 
 def stored_keys(existing: DataFrame, keys=("source_id", "timestamp"), partition_col: str = "semana",

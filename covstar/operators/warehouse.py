@@ -51,10 +51,17 @@ def accepted_rows(norm: DataFrame, cluster_by_time: bool = False) -> DataFrame:
     return first_per_key(df, ["source_id", "timestamp"], ["device_id", "signal"])
 
 
-# A row the fact cannot take - no device key (neither id nor name), so
-# no device member can exist for it (the NOT NULL foreign key would fail)
+# Rows the fact cannot take, by reason: no device key (neither id nor
+# name), no grid cell, or a value that its column type cannot hold
 def quarantine_rules() -> list:
-    return [("sin_dispositivo", F.col("device_id").isNull())]
+    def beyond(column: str, target: str):
+        return F.col(column).isNotNull() & F.col(column).try_cast(MEASURE_TYPES[target]).isNull()
+    measures = (("signal", "medida_senal"), ("speed_kmh", "medida_velocidad"), ("altitude", "medida_altitud"),
+                ("battery", "medida_bateria"))
+    return [("sin_dispositivo", F.col("device_id").isNull()),
+            ("coordenada_fuera_de_rango", beyond("latitude", "latitude") | beyond("longitude", "longitude")),
+            ("sin_celda", F.col("grid_lat").isNull() | F.col("grid_lon").isNull()),
+            *[(f"{target}_fuera_de_rango", beyond(column, target)) for column, target in measures]]
 
 
 def split_quarantine(acc: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -68,9 +75,9 @@ def split_quarantine(acc: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fact_id(source_id: str = "source_id", ts: str = "timestamp"):
-    """K4 for facts: a 64-bit hash of the natural key - no coordination, no
-    global window, identical on every rerun."""
-    return F.xxhash64(F.col(source_id), F.col(ts))
+    """K4 for facts: a 64-bit hash of the natural key as stored - no coordination,
+    no global window, identical on every rerun and for every feed type."""
+    return F.xxhash64(F.col(source_id), F.col(ts).cast("timestamp_ntz"))
 
 
 def to_fact_rows(acc: DataFrame, dims: dict, sizes: dict, now=None) -> DataFrame:
@@ -278,7 +285,8 @@ class Warehouse:
     def sample_labels(self, n: int = 5) -> DataFrame:
         """N fact rows with operator, network and quality names (the order
         is by fact key so the sample is reproducible)."""
-        f = self.fact.select("medicion_id", "source_id", "timestamp", "operador_id", "red_id", "calidad_id")
+        f = (self.fact.select("medicion_id", "source_id", "timestamp", "operador_id", "red_id", "calidad_id")
+             .orderBy("timestamp", "source_id").limit(n))          # before the joins: they name n rows
         f = self.join(f, "dim_operador", "operador_id", "left", ["operador_id", "operador_nombre"])
         f = self.join(f, "dim_red", "red_id", "left", ["red_id", "red_tipo"])
         f = self.join(f, "dim_calidad", "calidad_id", "left", ["calidad_id", "calidad_categoria"])
@@ -389,24 +397,13 @@ class Warehouse:
     def device_reconciliation(self) -> DataFrame:
         """Q1: devices in the dimension, in the fact, with coordinates, and
         distinct names with located data - four numbers in one row."""
-        f = self.fact
-        located = f.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-        named = self.join(located.select("dispositivo_id").distinct(), "dim_dispositivo",
-                          "dispositivo_id", "inner", ["dispositivo_id", "device_name"])
-        names = ["total_dim", "total_fact", "con_coords", "con_nombre"]
-        parts = [
-            self.dims["dim_dispositivo"].agg(F.count(F.lit(1)).alias("v")),
-            f.agg(F.count_distinct("dispositivo_id").alias("v")),
-            located.agg(F.count_distinct("dispositivo_id").alias("v")),
-            named.agg(F.count_distinct("device_name").alias("v")),
-        ]
-        # four one-row aggregates, each in its own column, folded into one row
-        rows = None
-        for i, p in enumerate(parts):
-            p = p.select(*[(F.col("v") if j == i else F.lit(None).cast("long")).alias(n)
-                           for j, n in enumerate(names)])
-            rows = p if rows is None else rows.unionByName(p)
-        return rows.agg(*[F.max(n).alias(n) for n in names])
+        by_device = self.fact.groupBy("dispositivo_id").agg(
+            F.count_if(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).alias("located"))
+        members = self.dims["dim_dispositivo"].select(F.col("dispositivo_id").alias("member"), "device_name")
+        met = by_device.join(members, F.col("dispositivo_id") == F.col("member"), "full_outer")
+        return met.agg(F.count("member").alias("total_dim"), F.count("dispositivo_id").alias("total_fact"),
+                       F.count_if(F.col("located") > 0).alias("con_coords"),
+                       F.count_distinct(F.when(F.col("located") > 0, F.col("device_name"))).alias("con_nombre"))
 
     def dim_list(self, name: str) -> DataFrame:
         """T2s: the ordered member lists of the slicers."""

@@ -19,7 +19,7 @@ def rank_zones(stats: DataFrame) -> DataFrame:
     """Density rank = position by count descending (ties by cell), as a
     consecutive id over the cell aggregate (never the measurements); many
     cells are numbered without a single task (``dense_number``)."""
-    order = [F.col("total_mediciones").desc(), F.col("grid_lat"), F.col("grid_lon")]
+    order = [-F.col("total_mediciones"), "grid_lat", "grid_lon"]
     return dense_number(stats, order, "zona_id", id_type="long")
 
 

@@ -3,7 +3,7 @@
 ``dashboard(w, ...)`` returns every dataset the four dashboard tabs show
 (summary, coverage map, time analysis, device tracking). Nothing is
 computed until a dataset is used; the map layers that sample (points, heat)
-are returned as functions because their size rule needs one count.
+are returned as functions because a sample needs one aggregate first.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ..operators.warehouse import Warehouse
 
 def dashboard(w: Warehouse, date_from=None, date_to=None, hour_from=None, hour_to=None, operador=None,
               red=None, calidad=None, franja=None, device: str | None = None,
-              heat_points: int = C.HEAT_DEFAULT_POINTS, seed: int = 42) -> dict:
+              heat_points: int = C.HEAT_DEFAULT_POINTS, points: int | None = None, seed: int = 42) -> dict:
     base = w.analytic_frame()                                   # unsliced (device tab, domains)
     pruned = w.analytic_frame(date_from=None if date_from in A.ALL else date_from,
                               date_to=None if date_to in A.ALL else date_to)
@@ -36,7 +36,7 @@ def dashboard(w: Warehouse, date_from=None, date_to=None, hour_from=None, hour_t
         "signal_by_operator": A.signal_by_operator(df),
         # map tab
         "map_center": A.centroid(pts),
-        "points_layer": lambda: L.points_layer(pts, seed),
+        "points_layer": lambda: L.points_layer(pts, points, seed),
         "heat_layer": lambda: L.heat_layer(pts, heat_points, seed),
         "cluster_layer": L.cluster_layer(pts),
         "zone_layer": A.zone_layer(pts, w.dims["dim_zonas"], w.sizes.get("dim_zonas")),

@@ -91,5 +91,5 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.session.timeZone": "UTC",
-        "covstar.broadcast.maxRows": "2000000",
+        "covstar.broadcast.maxBytes": str(128 * 1024 * 1024),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,21 +52,6 @@ def read_measurements(spark: SparkSession, path: str, fmt: str = "parquet",
     return spark.read.format(fmt).options(**opts).load(path).select(*RAW_COLUMNS)
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores
-    (one small unsplittable file) over ``defaultParallelism`` partitions.
-    A large feed already has many more splits than cores and is returned
-    untouched, so no shuffle is added at scale (the check is planning only)."""
-    from ..session import _context, default_parallelism
-    spark = df.sparkSession
-    if _context(spark) is None:      # Spark Connect: no RDD view, leave the scan as is
-        return df
-    want = min_partitions or default_parallelism(spark)
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 def since(df: DataFrame, watermark, ts: str = "timestamp") -> DataFrame:
     """Incremental scan, strictly newer than the watermark. ``None`` or the
     epoch means no watermark. The filter is a plain comparison so it reaches
@@ -83,30 +68,33 @@ def high_watermark(fact: DataFrame, ts: str = "timestamp") -> DataFrame:
     return fact.agg(F.coalesce(F.max(ts), F.lit(C.EPOCH).cast(dtype)).alias("watermark"))
 
 
-# A top-n merge receives up to n rows from every task; above this many rows
-# in total the extract numbers rows in a distributed way instead.
-TOPN_FANIN_MAX = 50_000_000
-
-
 def extract(df: DataFrame, limit: int | None = None, ts: str = "timestamp") -> DataFrame:
-    """Bounded extract, the first ``limit`` rows in timestamp order (ties by
-    id). Normally a TakeOrderedAndProject (each task keeps its own top
-    ``limit``). When ``limit`` x tasks would flood the final merge, and a
-    shared checkpoint folder is named, rows are numbered in order by range
-    partitions + per-partition offsets (``dense_number``) and the first
-    ``limit`` positions kept - no single task sees more than its share."""
+    """Bounded extract, the rows up to the timestamp of the ``limit``-th
+    oldest one. All rows of that last timestamp belong to it: the next load
+    starts strictly after it. Rows without a timestamp never load and are left
+    out. Two small aggregates find the cut (rows by hour, then by timestamp in
+    the hour of the cut); the extract itself is a filter, so no task holds
+    ``limit`` rows from every other."""
     if limit is None:
         return df
-    limit = int(limit)
-    order = [F.col(ts), F.col("id")]
-    from ..session import _context, checkpoint_dir
-    spark = df.sparkSession
-    parts = df.rdd.getNumPartitions() if _context(spark) is not None else None
-    if parts is None or limit * parts <= TOPN_FANIN_MAX or checkpoint_dir(spark) is None:
-        return df.orderBy(*order).limit(limit)
-    from ..operators.dimensions import dense_number
-    numbered = dense_number(df, order, "_pos", single_task_max=0, id_type="long")
-    return numbered.filter(F.col("_pos") <= limit).drop("_pos")
+    if isinstance(df.schema[ts].dataType, T.StringType):
+        hour = F.substring(ts, 1, 13)                       # ISO text
+    else:
+        hour = F.date_trunc("hour", ts)
+
+    def first_reaching(counts: DataFrame, need: int):
+        running = counts.withColumn("upto", F.sum("n").over(Window.orderBy("at")))
+        return running.filter(F.col("upto") >= need).orderBy("at").limit(1).first()
+
+    dated = df.filter(F.col(ts).isNotNull())
+    by_hour = dated.groupBy(hour.cast(df.schema[ts].dataType).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    top = first_reaching(by_hour, int(limit))
+    if top is None:
+        return dated
+    near = dated.filter(hour.cast(df.schema[ts].dataType) == F.lit(top["at"]))
+    cut = first_reaching(near.groupBy(F.col(ts).alias("at")).agg(F.count(F.lit(1)).alias("n")),
+                         int(limit) - (top["upto"] - top["n"]))
+    return dated.filter(F.col(ts) <= F.lit(cut["at"]))
 
 
 def device_columns(df: DataFrame) -> DataFrame:
