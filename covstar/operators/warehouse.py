@@ -37,17 +37,11 @@ MEASURE_TYPES = {
 }
 
 
-def accepted_rows(norm: DataFrame, cluster_by_time: bool = False) -> DataFrame:
-    """Rows the fact key (source_id, timestamp) accepts: one per key. The
-    survivor of a duplicate key is the smallest row (deterministic).
-
-    ``cluster_by_time`` range-partitions on (timestamp, source_id) first: that
-    partitioning already groups every key, so the dedupe adds no exchange,
-    and the output stays clustered by time for the weekly fact write - one
-    shuffle serves both."""
+def accepted_rows(norm: DataFrame) -> DataFrame:
+    """Rows the fact key (source_id, timestamp) accepts: one per key, the
+    smallest row (deterministic). An aggregate: each task folds the copies of a
+    hot key before the shuffle."""
     df = norm.withColumn("source_id", F.col("id").cast("string"))
-    if cluster_by_time:
-        df = df.repartitionByRange("timestamp", "source_id")
     return first_per_key(df, ["source_id", "timestamp"], ["device_id", "signal"])
 
 
@@ -140,9 +134,11 @@ class Warehouse:
         spark = raw.sparkSession
         norm = normalize(raw, grid_size, grid_mode)
         acc = accepted_rows(norm)
+        good, bad = split_quarantine(acc)
         if materialize_fact:
             # one dedupe shuffle serves the zone dimension and the fact
             acc = acc.persist(StorageLevel.MEMORY_AND_DISK)
+            good, bad = split_quarantine(acc)
         # the four small dimensions come from one bounded aggregate (days x
         # hours x operators x networks), i.e. one scan instead of four
         # three independent aggregates, materialised side by side (jobs from
@@ -150,7 +146,7 @@ class Warehouse:
         from concurrent.futures import ThreadPoolExecutor
         parts = [norm.groupBy("fecha", "hora", "operador_normalizado", "red_normalizada").count(),
                  device_members(norm),
-                 zone_members(zone_stats(acc, grid_size, cells_ready=True), grid_size)]
+                 zone_members(zone_stats(good, grid_size, cells_ready=True), grid_size)]
         with ThreadPoolExecutor(max_workers=3) as pool:
             (combos, n_combos), (devices, n_devices), (cells, n_cells) = pool.map(_materialize, parts)
         # sizes: the four small dimensions are at most the combos count (a
@@ -170,7 +166,6 @@ class Warehouse:
         for name, (df, bound) in building.items():
             dims[name] = df.select(*DIM_COLUMNS[name]).persist(StorageLevel.MEMORY_AND_DISK)
             sizes[name] = bound
-        good, bad = split_quarantine(acc)
         fact = to_fact_rows(good, dims, sizes, now)
         if materialize_fact:
             from ..session import cut_lineage

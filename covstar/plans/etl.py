@@ -1,7 +1,6 @@
 """The load job (K1-K4, K6, K9, K10, J5-J7, A21): raw feed -> warehouse.
 
-``run`` reads the raw feed (full or past the watermark), normalises it once
-(persisted: the dimension plans and the fact plan share it), inserts new
+``run`` reads the raw feed (full or past the watermark), inserts new
 dimension members with fresh serial ids, accumulates zone totals from the
 *accepted* facts only, and appends the new facts to their weekly partitions.
 Re-running on the same input adds nothing; splitting the input into k
@@ -25,7 +24,6 @@ from ..operators.clean import normalize
 from ..operators.dimensions import (AUDIT_COLUMNS, DIM_COLUMNS, assign_ids, device_members, hour_members,
                                     network_members, operator_members, quality_dim, time_members,
                                     zone_members, zone_stats)
-from ..operators.joins import broadcast_limit
 from ..operators.maintenance import (insert_ignore, new_facts, stored_keys, upsert_accumulate,
                                      with_audit_cols)
 from ..operators.warehouse import accepted_rows, split_quarantine, to_fact_rows
@@ -53,13 +51,19 @@ def _stored_columns(name: str) -> list[str]:
     return DIM_COLUMNS[name] + AUDIT_COLUMNS.get(name, [])
 
 
+def _held(held: list, df: DataFrame) -> DataFrame:
+    """Cache a frame of the load until the load ends."""
+    held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return df
+
+
 def _merge_serial_dim(existing: DataFrame | None, n_existing: int, members: DataFrame, keys: list[str],
-                      id_col: str, name: str, now) -> tuple[DataFrame, int]:
+                      id_col: str, name: str, now, held: list) -> tuple[DataFrame, int]:
     """K1 + K4 + K5: members absent from the dimension get ids after the
     largest existing id and load-time audit columns; returns (whole new
     dimension, number of new members)."""
     cols = _stored_columns(name)
-    fresh = insert_ignore(existing, members, keys, n_existing).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = _held(held, insert_ignore(existing, members, keys, n_existing))
     n = fresh.count()
     fresh = with_audit_cols(assign_ids(fresh, id_col, keys, existing, n_rows=n), now, AUDIT_COLUMNS.get(name, []))
     fresh = fresh.select(*cols)
@@ -68,15 +72,14 @@ def _merge_serial_dim(existing: DataFrame | None, n_existing: int, members: Data
 
 
 def _merge_natural_dim(existing: DataFrame | None, n_existing: int, members: DataFrame, keys: list[str],
-                       cols: list[str]) -> tuple[DataFrame, int]:
-    fresh = insert_ignore(existing, members.select(*cols), keys, n_existing)
-    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+                       cols: list[str], held: list) -> tuple[DataFrame, int]:
+    fresh = _held(held, insert_ignore(existing, members.select(*cols), keys, n_existing))
     n = fresh.count()
     table = fresh if existing is None else existing.select(*cols).unionByName(fresh)
     return table, n
 
 
-def _merge_zones(existing: DataFrame | None, delta: DataFrame, now) -> DataFrame:
+def _merge_zones(existing: DataFrame | None, delta: DataFrame, now, held: list) -> DataFrame:
     """K2 + K4: add the new totals to known cells (other attributes keep
     their first values); new cells get ids after the largest id."""
     keys = ["grid_lat", "grid_lon"]
@@ -85,7 +88,7 @@ def _merge_zones(existing: DataFrame | None, delta: DataFrame, now) -> DataFrame
     if existing is None:
         return assign_ids(delta, "zona_id", keys).select(*cols)
     merged = upsert_accumulate(existing.select(*cols), delta, keys, ["total_mediciones"])
-    merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
+    merged = _held(held, merged)
     old = merged.filter(F.col("zona_id").isNotNull())
     new = assign_ids(merged.filter(F.col("zona_id").isNull()).drop("zona_id"), "zona_id", keys, existing)
     return old.select(*cols).unionByName(new.select(*cols))
@@ -96,10 +99,10 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
                grid_size: float = C.GRID_SIZE_ETL, grid_mode: str = "trunc") -> dict:
     """Load one batch of raw rows into the warehouse at ``root``.
 
-    New dimension snapshots are written first but recorded as current only
-    after the fact append, in one log append: a failed run leaves the
-    previous versions current, and its rerun assigns the same ids (they are
-    a function of the stored dimension and the batch)."""
+    Dimension snapshots, zone totals and facts are written first and become
+    current together, in one log append: a run that fails anywhere before
+    leaves the warehouse as it was, and its rerun assigns the same ids (they
+    are a function of the stored dimension and the batch)."""
     t0 = time.time()
     now = _as_datetime(now)
     run_id = uuid.uuid4().hex[:12]
@@ -111,29 +114,33 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
         dims = {n: (store.read_version(spark, root, n, vers[n]) if n in vers else None) for n in DIM_COLUMNS}
         fact = store.read_table(spark, root, store.FACT)
 
-    # normalised once, persisted: the dimension plans and the fact plan share it
-    norm = normalize(batch, grid_size, grid_mode).persist(StorageLevel.MEMORY_AND_DISK)
+    # a narrow projection of the scan; the feed itself is never cached
+    norm = normalize(batch, grid_size, grid_mode)
     ts = F.col("timestamp").cast("timestamp_ntz")
-    stats = norm.agg(F.count(F.lit(1)), F.min(ts), F.max(ts)).first()
-    valid_rows = stats[0]
-    result = {"run_id": run_id, "mode": mode, "valid_rows": valid_rows, "new_facts": 0,
-              "new_members": {}, "last_extracted_at": stats[2], "_ts_range": (stats[1], stats[2])}
+    held: list = []
+    # days x hours x operators x networks: small, and four dimensions, the weeks
+    # and the time range of the batch come from it
+    combos = _held(held, norm.groupBy("fecha", "hora", "operador_normalizado", "red_normalizada").agg(
+        F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last")))
+    result = {"run_id": run_id, "mode": mode, "new_facts": 0, "new_members": {}}
     try:
-        if valid_rows:
-            result.update(_load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size,
-                                           result["_ts_range"], run_id))
+        stats = combos.agg(F.coalesce(F.sum("n"), F.lit(0)), F.min("first"), F.max("last")).first()
+        result.update({"valid_rows": stats[0], "last_extracted_at": stats[2]})
+        if stats[0] or overwrite:
+            result.update(_load_normalized(spark, norm, combos, root, dims, vers, fact, now, overwrite, grid_size,
+                                           (stats[1], stats[2]), run_id, held))
         status, err = "OK", None
     except Exception as e:  # recorded, then re-raised
         status, err = "ERROR", f"{type(e).__name__}: {e}"[:2000]
         raise
     finally:
-        norm.unpersist()
+        for df in held:
+            df.unpersist()
         store.record_run(spark, root, {
             "table_name": store.FACT, "run_id": run_id, "mode": mode, "batch_id": batch_id,
             "last_extracted_at": result.get("last_extracted_at"), "last_loaded_at": now,
             "records_processed": result.get("new_facts", 0), "status": status,
             "error_message": err, "updated_at": _now()})
-    result.pop("_ts_range", None)
     dur = max(time.time() - t0, 1e-9)
     result.update({"seconds": round(dur, 3), "rows_per_s": round(result["new_facts"] / dur, 1)})
     return result
@@ -152,15 +159,15 @@ def _check_versions(spark, root, vers: dict) -> None:
         raise ConcurrentLoadError(f"tables changed by another load: {sorted(changed)}; rerun this load")
 
 
-def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_size, ts_range,
-                     run_id) -> dict:
+def _load_normalized(spark, norm, combos, root, dims, vers, fact, now, overwrite, grid_size, ts_range,
+                     run_id, held) -> dict:
     out = {"new_members": {}}
     written: dict[str, int] = {}
     current, sizes = {}, {}
 
     def publish(name: str, table: DataFrame, n_rows: int | None = None) -> None:
         if n_rows is None:       # count first: the size picks the file count and the broadcast
-            table = table.persist(StorageLevel.MEMORY_AND_DISK)
+            table = _held(held, table)
             n_rows = table.count()
         v = vers.get(name, 0) + 1
         store.write_version(table, root, name, v, coalesce=store.files_for(n_rows))
@@ -168,20 +175,17 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
         current[name] = store.read_version(spark, root, name, v)
         sizes[name] = n_rows
 
-    # small dimensions: one bounded aggregate of the batch feeds four of them
-    combos = norm.groupBy("fecha", "hora", "operador_normalizado", "red_normalizada").count()
-    combos = combos.persist(StorageLevel.MEMORY_AND_DISK)
     plans = {
         "dim_tiempo": lambda e, n: _merge_natural_dim(e, n, time_members(combos), ["tiempo_id"],
-                                                      DIM_COLUMNS["dim_tiempo"]),
+                                                      DIM_COLUMNS["dim_tiempo"], held),
         "dim_hora": lambda e, n: _merge_natural_dim(e, n, hour_members(combos), ["hora_id"],
-                                                    DIM_COLUMNS["dim_hora"]),
+                                                    DIM_COLUMNS["dim_hora"], held),
         "dim_operador": lambda e, n: _merge_serial_dim(e, n, operator_members(combos), ["operador_nombre"],
-                                                       "operador_id", "dim_operador", now),
+                                                       "operador_id", "dim_operador", now, held),
         "dim_red": lambda e, n: _merge_serial_dim(e, n, network_members(combos), ["red_tipo"], "red_id",
-                                                  "dim_red", now),
+                                                  "dim_red", now, held),
         "dim_dispositivo": lambda e, n: _merge_serial_dim(e, n, device_members(norm), ["device_id"],
-                                                          "dispositivo_id", "dim_dispositivo", now),
+                                                          "dispositivo_id", "dim_dispositivo", now, held),
     }
     def merge(name: str):
         n_existing = _count(dims[name]) or 0
@@ -208,49 +212,45 @@ def _load_normalized(spark, norm, root, dims, vers, fact, now, overwrite, grid_s
         publish("dim_calidad", quality_dim(spark), len(C.QUALITY_SEED))
     else:
         current["dim_calidad"], sizes["dim_calidad"] = dims["dim_calidad"], len(C.QUALITY_SEED)
-    combos.unpersist()
-
-    # facts accepted by the key (source_id, timestamp), not stored yet (K3).
-    # One range shuffle on time serves the dedupe and the weekly write.
-    acc = accepted_rows(norm, cluster_by_time=True).withColumn("semana", X.week_partition("timestamp"))
-    # weeks of the batch (bounded list), from the persisted frame: no dedupe needed
-    touched = [r[0] for r in norm.select(X.week_partition("timestamp")).distinct().collect()]
-    limit = broadcast_limit(spark)
+
+    # rows whose key (source_id, timestamp) is not stored yet (K3), then one row
+    # per key: a rerun drops its rows before the dedupe's shuffle
+    rows = norm.withColumn("source_id", F.col("id").cast("string")).withColumn("semana", X.week_partition("timestamp"))
+    # weeks of the batch (bounded list), from the small aggregate
+    touched = [r[0] for r in combos.select(X.week_partition("fecha")).distinct().collect()]
     n_stored = None
     if fact is not None:
         # the stored keys the batch can collide with: pruned to its weeks and
         # time range, counted (cheap on time-sorted files) for the broadcast check
         n_stored = stored_keys(fact, touched=touched, ts_range=ts_range).count()
-    fresh = new_facts(fact, acc, touched=touched, ts_range=ts_range, existing_rows=n_stored)
+    unseen = new_facts(fact, rows, touched=touched, ts_range=ts_range, existing_rows=n_stored)
     # persisted, not checkpointed: the plan is deterministic and the scan of
     # the stored fact has a fixed file list, so a recomputation after a lost
-    # executor gives the same rows (no second full write of the batch)
-    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+    # executor gives the same rows
+    fresh = _held(held, accepted_rows(unseen))
     n_fresh = fresh.count()
-    out["new_facts"] = n_fresh
+    good, bad = split_quarantine(fresh)
+    n_bad = bad.count()
+    out["quarantined"] = n_bad
+    out["new_facts"] = n_fresh - n_bad
 
     # zones accumulate the accepted facts only, so a rerun adds zero
-    if n_fresh or dims["dim_zonas"] is None:
-        delta = zone_members(zone_stats(fresh, grid_size, cells_ready=True), grid_size)
-        publish("dim_zonas", _merge_zones(dims["dim_zonas"], delta, now))
+    if n_fresh > n_bad or dims["dim_zonas"] is None:
+        delta = zone_members(zone_stats(good, grid_size, cells_ready=True), grid_size)
+        publish("dim_zonas", _merge_zones(dims["dim_zonas"], delta, now, held))
     else:
         current["dim_zonas"], sizes["dim_zonas"] = dims["dim_zonas"], _count(dims["dim_zonas"])
 
-    good, bad = split_quarantine(fresh)
-    n_bad = bad.count()
-    out["quarantined"] = n_bad
     if n_bad:
         store.write_quarantine(bad, root, run_id)
     _check_versions(spark, root, vers)
-    if n_fresh > n_bad:
-        rows = to_fact_rows(good, current, sizes, now)
-        # the time clustering survives when every join on the way broadcasts
-        clustered = (n_stored is None or n_stored <= limit) and all(
-            sizes[d] <= limit for d in ("dim_dispositivo", "dim_operador", "dim_red", "dim_zonas"))
-        store.append_facts(rows, root, overwrite=overwrite, clustered=clustered)
-    fresh.unpersist()
+    new = n_fresh > n_bad
+    if new:
+        store.append_facts(to_fact_rows(good, current, sizes, now), root, run_id)
     _check_versions(spark, root, vers)
-    store.record_versions(spark, root, written, now)
+    if new or overwrite or store.FACT not in vers:
+        written[store.FACT] = vers.get(store.FACT, 0) + 1
+    store.record_versions(spark, root, written, now, run_id if new else None, overwrite)
     return out
 
 
@@ -272,7 +272,9 @@ def run(spark: SparkSession, raw: DataFrame, root: str, mode: str = "incremental
     if mode != "initial" and not overwrite:
         fact = store.read_table(spark, root, store.FACT)
         if fact is not None:
-            wm = high_watermark(fact).first()[0]
+            # the newest week holds the newest row: other weeks are not read
+            newest = fact.agg(F.max("semana")).first()[0]
+            wm = high_watermark(fact.filter(F.col("semana") == newest)).first()[0]
             if lookback is not None and wm is not None and wm.year > 1970:
                 wm = wm - lookback
     batch = extract(since(raw, wm), limit)

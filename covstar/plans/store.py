@@ -6,11 +6,13 @@ Layout under a warehouse ``root`` (a shared filesystem / object store path):
     <root>/_control/etl_control/   append-only run log (K10)
     <root>/<dimension>/v=<n>/      one immutable snapshot per version
     <root>/<aggregate>/v=<n>/      materialised aggregates (K8)
-    <root>/fact_mediciones/semana=<yyyy-mm-dd>/   append-only, weekly partitions
+    <root>/fact_mediciones/run_id=<id>/semana=<yyyy-mm-dd>/   weekly partitions of one load
 
-A new version is written to a new directory and only then recorded in the
-log, so a path is never overwritten while it is read, and a failed job
-leaves the previous version current.
+A load writes new directories only: a snapshot per changed table and its facts
+under its own run id. One append to the log, a single file, then makes all of
+it current together. Readers take the facts of recorded runs only, so a load
+that fails at any point before leaves the warehouse as it was, and an overwrite
+is a record that the runs before it no longer count.
 """
 
 from __future__ import annotations
@@ -46,7 +48,9 @@ FACT_SCHEMA = T.StructType([
     T.StructField("semana", T.StringType()),
 ])
 
-VERSIONS_SCHEMA = "table string, version int, written_at timestamp"
+FACT_READ_SCHEMA = T.StructType([*FACT_SCHEMA.fields, T.StructField("run_id", T.StringType())])
+
+VERSIONS_SCHEMA = "table string, version int, written_at timestamp, run_id string, reset boolean"
 CONTROL_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("run_id", T.StringType()),
@@ -66,14 +70,14 @@ def _path(root: str, *parts: str) -> str:
 
 
 def _try_read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table at ``path``, ``None`` where nothing is stored there yet."""
     try:
         r = spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        df = r.parquet(path)
-        return df
-    except AnalysisException:
-        return None
+        return (r if schema is None else r.schema(schema)).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame | None:
@@ -121,12 +125,15 @@ def write_version(df: DataFrame, root: str, table: str, version: int, coalesce:
     out.write.mode("overwrite").parquet(table_path(root, table, version))
 
 
-def record_versions(spark: SparkSession, root: str, written: dict[str, int], now=None) -> None:
-    """Make written snapshots current, all in one append to the log."""
+def record_versions(spark: SparkSession, root: str, written: dict[str, int], now=None,
+                    run_id: str | None = None, reset: bool = False) -> None:
+    """Make written snapshots current, all in one append to the log; for the
+    fact table the facts of ``run_id`` (none, if it is missing), alone if
+    ``reset``."""
     if not written:
         return
     ts = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    rows = [(t, v, ts) for t, v in written.items()]
+    rows = [(t, v, ts, run_id if t == FACT else None, reset and t == FACT) for t, v in written.items()]
     (spark.createDataFrame(rows, VERSIONS_SCHEMA).coalesce(1)
           .write.mode("append").parquet(_path(root, "_control", "versions")))
 
@@ -134,36 +141,37 @@ def record_versions(spark: SparkSession, root: str, written: dict[str, int], now
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """Current snapshot of a table, or the fact table; ``None`` if absent."""
     if table == FACT:
-        return _try_read(spark, _path(root, FACT), FACT_SCHEMA)
+        runs = recorded_runs(spark, root)
+        if runs is None:
+            return None
+        facts = _try_read(spark, _path(root, FACT), FACT_READ_SCHEMA) if runs else None
+        if facts is None:
+            return spark.createDataFrame([], FACT_SCHEMA)
+        return facts.filter(F.col("run_id").isin(runs)).drop("run_id")       # prunes directories
     v = current_version(spark, root, table)
-    if v is None:
-        return None
-    return spark.read.parquet(_path(root, table, f"v={v:06d}"))
+    return None if v is None else read_version(spark, root, table, v)
 
 
-def write_snapshot(df: DataFrame, root: str, table: str, now=None, coalesce: int | None = None) -> int:
-    """Write ``df`` as the next version of ``table`` and record it. Small
-    tables may be coalesced to a few files (``coalesce``)."""
-    spark = df.sparkSession
-    v = (current_version(spark, root, table) or 0) + 1
-    out = df.coalesce(coalesce) if coalesce else df
-    out.write.mode("overwrite").parquet(_path(root, table, f"v={v:06d}"))
-    ts = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    (spark.createDataFrame([(table, v, ts)], VERSIONS_SCHEMA)
-          .write.mode("append").parquet(_path(root, "_control", "versions")))
-    return v
+def recorded_runs(spark: SparkSession, root: str) -> list[str] | None:
+    """Run ids whose facts count (one for each load since the last overwrite);
+    ``None`` before the first load."""
+    log = versions(spark, root)
+    rows = [] if log is None else log.filter(F.col("table") == FACT).select("version", "run_id", "reset").collect()
+    if not rows:
+        return None
+    since = max((r["version"] for r in rows if r["reset"]), default=0)
+    return sorted(r["run_id"] for r in rows if r["version"] >= since and r["run_id"])
 
 
-def append_facts(df: DataFrame, root: str, overwrite: bool = False, clustered: bool = False) -> None:
-    """K3 sink: append to the weekly partitions (or replace them all). Rows are
-    range-partitioned on time (``clustered=True``: they already are): a week
-    holding most of the rows is split across many writer tasks instead of
+def append_facts(df: DataFrame, root: str, run_id: str) -> None:
+    """K3 sink: the facts of one load in weekly partitions under its run id;
+    they count once the load is recorded. Rows are range-partitioned on time: a
+    week holding most of the rows is split across many writer tasks instead of
     one, each task writes few weeks, and every file is sorted by time, so
-    parquet row-group min/max statistics prune time ranges like a
-    block-range index."""
-    out = df if clustered else df.repartitionByRange("semana", "timestamp")
-    out = out.sortWithinPartitions("semana", "timestamp")
-    (out.write.mode("overwrite" if overwrite else "append").partitionBy("semana")
+    parquet row-group min/max statistics prune time ranges like a block-range
+    index."""
+    out = df.repartitionByRange("semana", "timestamp").sortWithinPartitions("semana", "timestamp")
+    (out.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id", "semana")
         .parquet(_path(root, FACT)))
 
 
@@ -187,19 +195,11 @@ def record_run(spark: SparkSession, root: str, row: dict) -> None:
           .write.mode("append").parquet(_path(root, "_control", "etl_control")))
 
 
-def batch_done(spark: SparkSession, root: str, batch_id: int) -> bool:
-    """Has a stream micro-batch already been loaded (replay guard)?"""
-    log = control_log(spark, root)
-    if log is None:
-        return False
-    return log.filter((F.col("batch_id") == batch_id) & (F.col("status") == "OK")).limit(1).count() > 0
-
-
 def export_csv(df: DataFrame, path: str, single_file: bool = False, rows: int | None = None) -> None:
     """K7: CSV with header, no index. ``single_file`` only for small tables
-    (a dimension): with a known ``rows`` count, one file per million rows;
-    facts are written as a directory of parts."""
-    out = df.coalesce(files_for(rows) or 1) if single_file else df
+    (a dimension): one file per million rows, counted here where the caller has
+    no count; facts are written as a directory of parts."""
+    out = df.coalesce(files_for(df.count() if rows is None else rows)) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

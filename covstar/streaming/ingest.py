@@ -3,8 +3,7 @@ statistics (R2).
 
 R1 (exact, default): a file-source stream of raw rows; every micro-batch is
 loaded by the batch load job (``foreachBatch``), whose key anti join makes
-duplicates and replays harmless, and a batch id already recorded as loaded is
-skipped. The optional bounded-state form drops duplicates inside an event-time
+duplicates and replays harmless, whichever stream they come from. The optional bounded-state form drops duplicates inside an event-time
 watermark first.
 
 R2: tumbling one-day windows per operator. Exact distinct counts are not
@@ -38,10 +37,8 @@ DAILY = "mv_stats_diarias_operador"
 def _load_micro_batch(root: str, now=None, refresh_daily: bool = False):
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if store.batch_done(spark, root, batch_id):   # replay after a failure: already loaded
-            return
-        res = etl.load_batch(spark, batch, root, now=now, mode="stream", batch_id=batch_id)
-        if refresh_daily and res["new_facts"]:
+        etl.load_batch(spark, batch, root, now=now, mode="stream", batch_id=batch_id)
+        if refresh_daily:         # also on a replay whose load was already recorded
             days = [r[0] for r in normalize(batch).select("tiempo_id").distinct().collect()]  # bounded: days
             refresh_daily_days(spark, root, days)
     return fn

@@ -84,3 +84,38 @@ def test_stream_keeps_daily_aggregate_exact(spark):
     got = sorted(tuple(r) for r in store.read_table(spark, root, "mv_stats_diarias_operador").collect())
     exp = sorted(tuple(r) for r in Warehouse.from_raw(raw, now=NOW).daily_operator_stats().collect())
     assert got == exp
+
+
+def test_two_streams_into_one_root_equal_the_batch_load(spark):
+    base = tempfile.mkdtemp(prefix="covstar-stream-")
+    root = f"{base}/wh"
+    raw = raw_from_dir(spark, SF)
+    odd = F.col("id").cast("long") % 2 == 1
+    for name, part in (("a", raw.filter(odd)), ("b", raw.filter(~odd))):
+        part.coalesce(1).write.parquet(f"{base}/{name}/p0")
+        q = stream_ingest(spark, f"{base}/{name}/*", root, f"{base}/ck-{name}", now=NOW)
+        q.awaitTermination(600)
+        assert q.exception() is None
+    assert Warehouse.load(spark, root).fact.count() == Warehouse.from_raw(raw, now=NOW).fact.count()
+
+
+def test_a_replay_heals_an_aggregate_that_a_crash_left_behind(spark, monkeypatch):
+    from covstar.plans import store
+    from covstar.streaming import ingest
+    root = tempfile.mkdtemp(prefix="covstar-stream-")
+    raw = raw_from_dir(spark, SF)
+    load = ingest._load_micro_batch(root, NOW, refresh_daily=True)
+    real = ingest.refresh_daily_days
+
+    def dies(*a):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "refresh_daily_days", dies)
+    try:
+        load(raw, 0)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(ingest, "refresh_daily_days", real)
+    load(raw, 0)
+    got = sorted(tuple(r) for r in store.read_table(spark, root, "mv_stats_diarias_operador").collect())
+    assert got == sorted(tuple(r) for r in Warehouse.from_raw(raw, now=NOW).daily_operator_stats().collect())

@@ -102,10 +102,18 @@ def test_samples_exact_and_reproducible(wh):
     b = L.sample_n(af, 300, seed=3).select("source_id").collect()
     assert len(a) == 300 and a == b
     assert L.sample_n(af, 10 ** 6).count() == af.count()
-    assert L.points_sample_size(20001) == 20000 and L.points_sample_size(20000) == 4000
-    assert L.points_sample_size(4001) == 4000 and L.points_sample_size(4000) == 4000
-    h = L.heat_layer(af, 777)   # snapped to 750
-    assert h.count() == min(750, af.count())
+    assert L.points_layer(af).count() == af.count() and L.points_layer(af, 123).count() == 123
+    for n in (0, 1, 300, 777):
+        assert L.heat_layer(af, n).count() == min(n, af.count())
+
+
+def test_samples_order_rows_without_a_key_like_any_other(wh):
+    af = wh.analytic_frame().withColumn("source_id", F.when(F.col("source_id").cast("long") % 3 != 0, F.col("source_id")))
+    h = L.sample_hash(5)
+    full = [(r.source_id, r.timestamp) for r in af.withColumn("_h", h).orderBy("_h", "source_id", "timestamp").limit(300).collect()]
+    for digits in (1, 4):
+        got = [(r.source_id, r.timestamp) for r in L.sample_n(af, 300, seed=5, digits=digits).collect()]
+        assert sorted(got, key=str) == sorted(full, key=str)
 
 
 def test_trails_and_endpoints(wh):
@@ -138,11 +146,12 @@ def test_distributed_numbering_equals_window(spark):
     from covstar.operators.dimensions import dense_number
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), F.col("id").cast("string").alias("s"))
     one = {r.k: r.n for r in dense_number(df, ["k"], "n", base=10, n_rows=5000).collect()}
-    many = {r.k: r.n for r in dense_number(df, ["k"], "n", base=10, n_rows=5000, single_task_max=300).collect()}
+    many = {r.k: r.n for r in dense_number(df, ["k"], "n", base=10, per_bucket=300).collect()}
     assert one == many
     assert sorted(one.values()) == list(range(11, 5011))
-    plan = dense_number(df, ["k"], "n", n_rows=5000, single_task_max=300)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    two = dense_number(df, [-F.col("k"), "s"], "n", per_bucket=700)
+    assert [r.k for r in two.orderBy("n").collect()] == sorted(one, reverse=True)
+    assert dense_number(df.filter("false"), ["k"], "n").count() == 0
 
 
 def test_sample_cutoff_equals_full_top_n(wh):
@@ -151,9 +160,6 @@ def test_sample_cutoff_equals_full_top_n(wh):
     full = [r.source_id for r in af.withColumn("_h", h).orderBy("_h", "source_id", "timestamp").limit(200).collect()]
     fast = {r.source_id for r in L.sample_n(af, 200, seed=11).collect()}
     assert set(full) == fast and len(fast) == 200
-    # a too-small first cutoff is widened until n rows pass
-    tight = {r.source_id for r in L.sample_n(af, 200, seed=11, oversample=0.2).collect()}
-    assert tight == fast
 
 
 def test_warehouse_checks_find_violations(spark, wh):
