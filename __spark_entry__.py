@@ -25,7 +25,7 @@ from covstar.operators import layers as L  # noqa: E402
 from covstar.operators import maintenance as M  # noqa: E402
 from covstar.operators import zones as Z  # noqa: E402
 from covstar.operators.clean import normalize  # noqa: E402
-from covstar.operators.dimensions import (assign_ids, device_members, zone_members,  # noqa: E402
+from covstar.operators.dimensions import (assign_ids, dense_number, device_members, zone_members,  # noqa: E402
                                           zone_stats)
 from covstar.operators.warehouse import Warehouse, accepted_rows  # noqa: E402
 from covstar.plans.oracle_sql import (CLASS_COLOR_SQL, MEAN_COLOR_SQL,  # noqa: E402
@@ -65,6 +65,12 @@ def _af(spark, sf_dir, **kw) -> DataFrame:
     return _wh(spark, sf_dir).analytic_frame(**kw).drop("medicion_id")
 
 
+def _placed(df: DataFrame, *order) -> DataFrame:
+    """The rows with their place in the order they are returned in (numbered by
+    buckets, never in one task), so that a comparison of sets covers the order."""
+    return dense_number(df, list(order), "orden", id_type="long")
+
+
 def _dbl(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
@@ -145,7 +151,7 @@ def q_sample_labels(spark, d):
 
 
 def q_zone_layer_precomputed(spark, d):
-    return _wh(spark, d).zone_layer_precomputed()
+    return _placed(_wh(spark, d).zone_layer_precomputed(), -F.col("total_mediciones"), "zona_id")
 
 
 def q_zone_summary(spark, d):
@@ -153,7 +159,7 @@ def q_zone_summary(spark, d):
 
 
 def q_top_devices(spark, d):
-    return _wh(spark, d).top_devices()
+    return _placed(_wh(spark, d).top_devices(), -F.col("total_mediciones"), "dispositivo_id")
 
 
 def q_global_summary(spark, d):
@@ -187,19 +193,19 @@ def q_kpis_sliced(spark, d):
 
 
 def q_operator_counts(spark, d):
-    return A.value_counts(_af(spark, d), "operador_normalizado")
+    return _placed(A.value_counts(_af(spark, d), "operador_normalizado"), -F.col("mediciones"), "operador_normalizado")
 
 
 def q_quality_counts(spark, d):
-    return A.value_counts(_af(spark, d), "calidad_senal")
+    return _placed(A.value_counts(_af(spark, d), "calidad_senal"), -F.col("mediciones"), "calidad_senal")
 
 
 def q_weekday_counts(spark, d):
-    return A.value_counts(_af(spark, d), "nombre_dia")
+    return _placed(A.value_counts(_af(spark, d), "nombre_dia"), -F.col("mediciones"), "nombre_dia")
 
 
 def q_day_part_counts(spark, d):
-    return A.value_counts(_af(spark, d), "franja_horaria")
+    return _placed(A.value_counts(_af(spark, d), "franja_horaria"), -F.col("mediciones"), "franja_horaria")
 
 
 def q_operator_share(spark, d):
@@ -207,7 +213,7 @@ def q_operator_share(spark, d):
 
 
 def q_signal_by_operator(spark, d):
-    return A.signal_by_operator(_af(spark, d))
+    return _placed(A.signal_by_operator(_af(spark, d)), F.isnull("senal_promedio"), -F.col("senal_promedio"), "operador_normalizado")
 
 
 def q_zone_layer(spark, d):
@@ -259,7 +265,7 @@ def q_cluster_cells(spark, d):
 
 
 def q_device_trails(spark, d):
-    return L.device_trails(_af(spark, d), ordered=False)
+    return _placed(L.device_trails(_af(spark, d)), "device_name", "timestamp", "source_id")
 
 
 def q_trail_endpoints(spark, d):
@@ -267,7 +273,7 @@ def q_trail_endpoints(spark, d):
 
 
 def q_device_timeline(spark, d):
-    return L.device_timeline(_af(spark, d), ordered=False)
+    return _placed(L.device_timeline(_af(spark, d)), "device_name", "timestamp", "source_id")
 
 
 def q_device_log(spark, d):
@@ -309,7 +315,7 @@ def q_zone_build_summary(spark, d):
 
 
 def q_devices_without_data(spark, d):
-    return _wh(spark, d).devices_without_data()
+    return _placed(_wh(spark, d).devices_without_data(), "device_name", "dispositivo_id")
 
 
 def q_device_reconciliation(spark, d):
@@ -325,7 +331,7 @@ def q_device_completeness(spark, d):
 
 
 def q_device_pairs(spark, d):
-    return D.device_pairs(S.device_columns(_raw(spark, d)))
+    return _placed(D.device_pairs(S.device_columns(_raw(spark, d))), "device_id", "device_name")
 
 
 def q_not_null_violations(spark, d):
@@ -588,7 +594,8 @@ FROM (SELECT zona_id, count(*) AS total_mediciones, {avg2('medida_senal')} AS se
 JOIN d_zonas z ON a.zona_id = z.zona_id"""),
 
     "zone_layer_precomputed": _P(f"""
-SELECT a.zona_id, a.total_mediciones, a.senal_promedio, a.senal_desviacion, z.zona_nombre,
+SELECT row_number() OVER (ORDER BY a.total_mediciones DESC, a.zona_id) AS orden,
+       a.zona_id, a.total_mediciones, a.senal_promedio, a.senal_desviacion, z.zona_nombre,
        z.grid_latitud_inicio, z.grid_latitud_fin, z.grid_longitud_inicio, z.grid_longitud_fin, z.altitud_promedio
 FROM (SELECT zona_id, count(*) AS total_mediciones, {avg2('medida_senal')} AS senal_promedio,
         {round_dec('stddev_samp(CAST(medida_senal AS DOUBLE))')} AS senal_desviacion
@@ -596,7 +603,8 @@ FROM (SELECT zona_id, count(*) AS total_mediciones, {avg2('medida_senal')} AS se
 JOIN d_zonas z ON a.zona_id = z.zona_id"""),
 
     "top_devices": _P(f"""
-SELECT d.dispositivo_id, d.device_id, d.device_name, a.total_mediciones, a.senal_promedio, a.zonas_visitadas,
+SELECT row_number() OVER (ORDER BY a.total_mediciones DESC, d.dispositivo_id) AS orden,
+       d.dispositivo_id, d.device_id, d.device_name, a.total_mediciones, a.senal_promedio, a.zonas_visitadas,
        a.primera_medicion, a.ultima_medicion
 FROM (SELECT dispositivo_id, count(*) AS total_mediciones, {avg2('medida_senal')} AS senal_promedio,
         count(DISTINCT zona_id) AS zonas_visitadas, min("timestamp") AS primera_medicion,
@@ -642,13 +650,17 @@ SELECT {avg2('medida_senal')} AS senal_promedio, {avg2('medida_altitud')} AS alt
 SELECT {avg2('medida_senal')} AS senal_promedio, {avg2('medida_altitud')} AS altitud_promedio,
        count(DISTINCT zona_id) AS zonas_cubiertas, count(*) AS registros_filtrados FROM af WHERE {_SLICE_SQL}"""),
 
-    "operator_counts": _P("""SELECT operador_normalizado, count(*) AS mediciones FROM af
+    "operator_counts": _P("""SELECT operador_normalizado, count(*) AS mediciones,
+  row_number() OVER (ORDER BY count(*) DESC, operador_normalizado) AS orden FROM af
 WHERE operador_normalizado IS NOT NULL GROUP BY 1"""),
-    "quality_counts": _P("""SELECT calidad_senal, count(*) AS mediciones FROM af
+    "quality_counts": _P("""SELECT calidad_senal, count(*) AS mediciones,
+  row_number() OVER (ORDER BY count(*) DESC, calidad_senal) AS orden FROM af
 WHERE calidad_senal IS NOT NULL GROUP BY 1"""),
-    "weekday_counts": _P("""SELECT nombre_dia, count(*) AS mediciones FROM af
+    "weekday_counts": _P("""SELECT nombre_dia, count(*) AS mediciones,
+  row_number() OVER (ORDER BY count(*) DESC, nombre_dia) AS orden FROM af
 WHERE nombre_dia IS NOT NULL GROUP BY 1"""),
-    "day_part_counts": _P("""SELECT franja_horaria, count(*) AS mediciones FROM af
+    "day_part_counts": _P("""SELECT franja_horaria, count(*) AS mediciones,
+  row_number() OVER (ORDER BY count(*) DESC, franja_horaria) AS orden FROM af
 WHERE franja_horaria IS NOT NULL GROUP BY 1"""),
 
     "operator_share": _P("""
@@ -657,7 +669,8 @@ SELECT operador_normalizado, mediciones,
 FROM (SELECT operador_normalizado, count(*) AS mediciones FROM af WHERE operador_normalizado IS NOT NULL GROUP BY 1)"""),
 
     "signal_by_operator": _P(f"""
-SELECT operador_normalizado, {avg2('medida_senal')} AS senal_promedio FROM af GROUP BY 1"""),
+SELECT *, row_number() OVER (ORDER BY senal_promedio DESC NULLS LAST, operador_normalizado NULLS FIRST) AS orden
+FROM (SELECT operador_normalizado, {avg2('medida_senal')} AS senal_promedio FROM af GROUP BY 1)"""),
 
     "zone_layer": _P(f"""
 SELECT a.*, z.zona_nombre, z.grid_latitud_inicio, z.grid_latitud_fin, z.grid_longitud_inicio, z.grid_longitud_fin,
@@ -711,13 +724,15 @@ FROM af GROUP BY 1, 2"""),
 
     "device_trails": _P(f"""
 SELECT device_name, "timestamp", source_id, latitude, longitude, calidad_senal,
-       {CLASS_COLOR_SQL.format(c='calidad_senal')} AS color FROM af"""),
+       {CLASS_COLOR_SQL.format(c='calidad_senal')} AS color,
+       row_number() OVER (ORDER BY device_name NULLS FIRST, "timestamp", source_id NULLS FIRST) AS orden FROM af"""),
     "trail_endpoints": _P("""
 SELECT device_name,
   arg_min(latitude, ("timestamp", source_id)) AS inicio_lat, arg_min(longitude, ("timestamp", source_id)) AS inicio_lon,
   arg_max(latitude, ("timestamp", source_id)) AS fin_lat, arg_max(longitude, ("timestamp", source_id)) AS fin_lon
 FROM af GROUP BY device_name"""),
-    "device_timeline": _P("SELECT device_name, \"timestamp\", source_id, medida_senal FROM af"),
+    "device_timeline": _P("""SELECT device_name, "timestamp", source_id, medida_senal,
+  row_number() OVER (ORDER BY device_name NULLS FIRST, "timestamp", source_id NULLS FIRST) AS orden FROM af"""),
     "device_log": _P("""
 SELECT "timestamp", operador_normalizado, red_normalizada, calidad_senal, medida_senal, latitude, longitude, zona_altitud
 FROM af WHERE device_name = 'MODEL 3' ORDER BY "timestamp", source_id LIMIT 100"""),
@@ -754,8 +769,8 @@ SELECT max(total_mediciones) AS max_mediciones, min(total_mediciones) AS min_med
        {avg2('total_mediciones')} AS promedio_mediciones, count(*) AS zonas FROM zones""", _ZONE_BUILD_SQL),
 
     "devices_without_data": _P("""
-SELECT d.dispositivo_id, d.device_name FROM d_dispositivo d
-WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE f.dispositivo_id = d.dispositivo_id)"""),
+SELECT d.dispositivo_id, d.device_name, row_number() OVER (ORDER BY d.device_name NULLS FIRST, d.dispositivo_id) AS orden
+FROM d_dispositivo d WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE f.dispositivo_id = d.dispositivo_id)"""),
     "device_reconciliation": _P("""
 SELECT (SELECT count(*) FROM d_dispositivo) AS total_dim,
        (SELECT count(DISTINCT dispositivo_id) FROM fact) AS total_fact,
@@ -772,7 +787,9 @@ JOIN (SELECT device_name, count(*) AS num_ids
     "device_completeness": _P("""
 SELECT count(DISTINCT device_name) AS modelos_unicos, count(DISTINCT device_id) AS device_ids_unicos,
        count(device_id) AS registros_con_id, count(*) AS registros FROM raw"""),
-    "device_pairs": _P("SELECT DISTINCT device_id, device_name FROM raw WHERE device_id IS NOT NULL"),
+    "device_pairs": _P("""
+SELECT *, row_number() OVER (ORDER BY device_id, device_name NULLS FIRST) AS orden
+FROM (SELECT DISTINCT device_id, device_name FROM raw WHERE device_id IS NOT NULL)"""),
 
     "not_null_violations": _P("""
 SELECT * FROM raw WHERE latitude IS NULL OR longitude IS NULL OR "timestamp" IS NULL"""),

@@ -65,7 +65,7 @@ def kpis(df: DataFrame) -> DataFrame:
                   F.count(F.lit(1)).alias("registros_filtrados"))
 
 
-def value_counts(df: DataFrame, c: str, ordered: bool = False) -> DataFrame:
+def value_counts(df: DataFrame, c: str, ordered: bool = True) -> DataFrame:
     """Frequency table of a column, NULL excluded, most frequent first."""
     out = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("mediciones"))
     return out.orderBy(F.col("mediciones").desc(), F.col(c)) if ordered else out
@@ -75,7 +75,7 @@ def operator_share(df: DataFrame) -> DataFrame:
     """Operator counts and their share of the total (pie chart). The
     window runs over the operator aggregate (one row per operator), never
     over measurements."""
-    counts = value_counts(df, "operador_normalizado")
+    counts = value_counts(df, "operador_normalizado", ordered=False)
     total = F.sum("mediciones").over(Window.partitionBy())
     # the window sees one row per operator (bounded by the operator
     # dimension); a scalar-subquery total would aggregate the input twice
@@ -83,8 +83,9 @@ def operator_share(df: DataFrame) -> DataFrame:
 
 
 def signal_by_operator(df: DataFrame) -> DataFrame:
-    """Mean signal per operator (NULL signals skipped)."""
-    return df.groupBy("operador_normalizado").agg(exact_avg("medida_senal", 2).alias("senal_promedio"))
+    """Mean signal per operator (NULL signals skipped), the best first."""
+    out = df.groupBy("operador_normalizado").agg(exact_avg("medida_senal", 2).alias("senal_promedio"))
+    return out.orderBy(F.col("senal_promedio").desc_nulls_last(), "operador_normalizado")
 
 
 def zone_layer(df: DataFrame, zonas: DataFrame, zonas_rows: int | None = None) -> DataFrame:

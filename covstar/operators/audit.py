@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .joins import dim_join
 
 
-def device_pairs(df: DataFrame, ordered: bool = False) -> DataFrame:
+def device_pairs(df: DataFrame, ordered: bool = True) -> DataFrame:
     """D3: distinct (device_id, device_name) pairs with an id."""
     out = df.select("device_id", "device_name").filter(F.col("device_id").isNotNull()).distinct()
     return out.orderBy("device_id", F.col("device_name").asc_nulls_first()) if ordered else out
@@ -22,7 +22,7 @@ def multi_id_models(df: DataFrame, as_list: bool = False) -> DataFrame:
     pairs, so a model with a huge number of ids never becomes one array in
     one task. ``as_list=True`` gives the compact one-row-per-model form
     (sorted id array) for bounded data."""
-    pairs = device_pairs(df).filter(F.col("device_name").isNotNull())
+    pairs = device_pairs(df, ordered=False).filter(F.col("device_name").isNotNull())
     counts = pairs.groupBy("device_name").agg(F.count(F.lit(1)).alias("num_ids")).filter(F.col("num_ids") > 1)
     if as_list:
         lists = pairs.groupBy("device_name").agg(F.array_sort(F.collect_set("device_id")).alias("device_ids"))

@@ -202,7 +202,7 @@ class Warehouse:
                 return snap
         return {"mv_stats_diarias_operador": self.daily_operator_stats,
                 "mv_stats_zonas": self.zone_summary,
-                "mv_top_dispositivos": self.top_devices}[name]()
+                "mv_top_dispositivos": lambda: self.top_devices(ordered=False)}[name]()
 
     def dim(self, name: str) -> DataFrame:
         return self.dims[name]
@@ -327,7 +327,7 @@ class Warehouse:
                         "total_mediciones", "senal_promedio", "senal_desviacion", "operadores_presentes",
                         "dispositivos_unicos", "ultima_medicion")
 
-    def top_devices(self, ordered: bool = False) -> DataFrame:
+    def top_devices(self, ordered: bool = True) -> DataFrame:
         """A5: per device: count, avg signal, distinct zones, first/last
         timestamp; most measurements first (order applied at read, T21)."""
         agg = self.fact.groupBy("dispositivo_id").agg(
@@ -379,15 +379,15 @@ class Warehouse:
         z = self.join(s, "dim_zonas", "zona_id", "inner",
                       ["zona_id", "grid_latitud_inicio", "grid_latitud_fin", "grid_longitud_inicio",
                        "grid_longitud_fin", "altitud_promedio"])
-        return z
+        return z.orderBy(F.col("total_mediciones").desc(), "zona_id")
 
     def devices_without_data(self) -> DataFrame:
-        """Dimension devices with no fact row. The anti join probes the
+        """Dimension devices with no fact row, by name. The anti join probes the
         (small) distinct fact device ids, so the fact side is reduced by a
         partial aggregate before any shuffle."""
         used = self.fact.select("dispositivo_id").distinct()
         return (self.dims["dim_dispositivo"].join(used, "dispositivo_id", "left_anti")
-                .select("dispositivo_id", "device_name"))
+                .select("dispositivo_id", "device_name").orderBy(F.col("device_name").asc_nulls_first(), "dispositivo_id"))
 
     def device_reconciliation(self) -> DataFrame:
         """Q1: devices in the dimension, in the fact, with coordinates, and

@@ -116,6 +116,21 @@ def test_samples_order_rows_without_a_key_like_any_other(wh):
         assert sorted(got, key=str) == sorted(full, key=str)
 
 
+def test_results_come_in_their_order(wh):
+    from covstar.operators import analytics as A
+    af = wh.analytic_frame(ordered=True)
+    rows = [(r.timestamp, r.source_id) for r in af.collect()]
+    assert rows == sorted(sorted(rows, key=lambda r: r[1]), key=lambda r: r[0], reverse=True)
+    counts = [(-r.mediciones, r.nombre_dia) for r in A.value_counts(af, "nombre_dia").collect()]
+    assert counts == sorted(counts) and len(counts) == 7
+    means = [r.senal_promedio for r in A.signal_by_operator(af).collect()]
+    assert means == sorted(means, reverse=True)
+    zones = [(-r.total_mediciones, r.zona_id) for r in wh.zone_layer_precomputed().collect()]
+    assert zones == sorted(zones)
+    top = [(-r.total_mediciones, r.dispositivo_id) for r in wh.top_devices().collect()]
+    assert top == sorted(top)
+
+
 def test_trails_and_endpoints(wh):
     af = wh.analytic_frame()
     ends = {r.device_name: r for r in L.trail_endpoints(af).collect()}
