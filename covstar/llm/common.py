@@ -61,6 +61,31 @@ def with_long_ids(rows: DataFrame) -> DataFrame:
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+def sample_ids(rows: DataFrame, group: str, size: int) -> dict:
+    """id -> group of the ``size`` rows of each group with the smallest hashes of
+    their ``doc_id``. The rows are counted by group and hash range (4,096 of
+    them), and only those up to the range where ``size`` is reached are read:
+    no task sees a whole group. ``rows`` must have few groups."""
+    part = F.shiftrightunsigned(F.xxhash64("doc_id"), 52)
+    counts = rows.groupBy(F.col(group).alias("g"), part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    upto, last = {}, {}
+    for r in sorted(counts, key=lambda r: r["part"]):
+        if upto.get(r["g"], 0) < size:
+            upto[r["g"]] = upto.get(r["g"], 0) + r["n"]
+            last[r["g"]] = r["part"]
+    near = F.lit(False)
+    for g, p in last.items():
+        near = near | ((F.col(group) == F.lit(g)) & (part <= p))
+    found = rows.filter(near).select(F.col(group).alias("g"), "doc_id", F.xxhash64("doc_id").bitwiseXOR(F.lit(-1 << 63)).alias("h")).distinct().collect()
+    taken: dict = {}
+    out = {}
+    for r in sorted(found, key=lambda r: (r["h"], r["doc_id"])):
+        if taken.get(r["g"], 0) < size:
+            taken[r["g"]] = taken.get(r["g"], 0) + 1
+            out[r["doc_id"]] = r["g"]
+    return out
+
+
 def crc_mod(col: str, mod: int):
     """``crc32`` of the id written as text, modulo ``mod`` (a null id gives null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(mod)

@@ -22,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covstar.llm.chars import DIGIT, LETTER, SPACE, UPPER, classes, points
+from covstar.llm.common import sample_ids
 
 #: Labelled documents of each label that are learnt from.
 PER_LABEL = 800
@@ -197,8 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     """The model of the documents with a label (``labels``: doc_id, quality)
     whose id meets ``learn`` (a condition on ``doc_id``)."""
     known = labels.filter(learn & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = {r["doc_id"]: r["quality"] for r in known.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= PER_LABEL).collect()}
+    sample = sample_ids(known, "quality", PER_LABEL)
 
     def run(batches: Iterator[pd.DataFrame]):
         for pdf in batches:

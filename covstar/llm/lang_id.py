@@ -25,10 +25,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covstar.llm.chars import LETTER, classes, points
+from covstar.llm.common import sample_ids
 
 #: Labelled rows of each language that are learnt from.
 PER_LANGUAGE = 500
@@ -156,10 +157,8 @@ def train(docs: DataFrame, learn: Column) -> Model:
     """The model of the rows of ``docs`` (doc_id, text, lang) where ``learn``
     holds: a bounded sample by language, whole texts and short extracts."""
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     top = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
-    ids = [r["doc_id"] for r in rows.filter(F.col("lang").isin(top)).select("lang", "doc_id").distinct()
-           .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= PER_LANGUAGE).collect()]
+    ids = list(sample_ids(rows.filter(F.col("lang").isin(top)), "lang", PER_LANGUAGE))
 
     def run(batches: Iterator[pd.DataFrame]):
         for pdf in batches:
