@@ -30,7 +30,7 @@ from covstar.llm.vectors import SAMPLE, answers, best_of, sample_of, stack
 
 CURVES, BITS = 8, 7
 #: Share of an ordering's rows that a query sees around its place.
-SHARE = 0.25
+SHARE = 0.16
 #: Rows of a key range, and queries that meet one range in a task.
 RANGE, QUERIES = 16384, 4096
 
@@ -117,7 +117,7 @@ def nearest(rows: DataFrame, is_query, k: int = 20, share: float = SHARE) -> Dat
             for c, key in enumerate(curves.keys(v)):
                 yield pd.DataFrame({"curve": c, "key": key, "entry": pdf["entry"], "asked": pdf["asked"], "raw": raw})
 
-    ranges = CURVES * max(1, -(-n // min(RANGE, max(512, int(n * share / 2)))))
+    ranges = CURVES * max(1, -(-n // min(RANGE, max(512, int(n * share / 4)))))
     placed = stored(entries.select("entry", "v", "asked").mapInPandas(keyed, "curve int, key long, entry long, asked boolean, raw binary")
                     .repartitionByRange(ranges, "curve", "key").withColumn("part", F.spark_partition_id()), "curves")
     # rows of each key range: as many figures as ranges
