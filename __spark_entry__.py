@@ -221,6 +221,11 @@ def q_zone_layer(spark, d):
     return A.zone_layer(A.slice(_af(spark, d), red="4G"), w.dims["dim_zonas"], w.sizes["dim_zonas"])
 
 
+def q_zone_layer_all(spark, d):
+    w = _wh(spark, d)
+    return A.zone_layer(_af(spark, d), w.dims["dim_zonas"], w.sizes["dim_zonas"])
+
+
 def q_daily_evolution(spark, d):
     af = _wh(spark, d).analytic_frame()
     return A.daily_evolution(af)
@@ -681,6 +686,15 @@ FROM (SELECT zona_id, {avg2('medida_senal')} AS senal_promedio,
       FROM af WHERE red_normalizada = '4G' AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY zona_id) a
 JOIN d_zonas z ON a.zona_id = z.zona_id"""),
 
+    "zone_layer_all": _P(f"""
+SELECT a.*, z.zona_nombre, z.grid_latitud_inicio, z.grid_latitud_fin, z.grid_longitud_inicio, z.grid_longitud_fin,
+       {MEAN_COLOR_SQL.format(s='a.senal_promedio')} AS color
+FROM (SELECT zona_id, {avg2('medida_senal')} AS senal_promedio,
+        {round_dec('stddev_samp(medida_senal)')} AS senal_desviacion, count(medida_senal) AS total_mediciones,
+        {avg2('medida_altitud')} AS altitud_promedio, count(DISTINCT dispositivo_id) AS dispositivos_unicos
+      FROM af WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY zona_id) a
+JOIN d_zonas z ON a.zona_id = z.zona_id"""),
+
     "daily_evolution": _P(f"""
 SELECT fecha, {avg2('medida_senal')} AS senal_promedio, count(source_id) AS cantidad FROM af GROUP BY fecha"""),
 

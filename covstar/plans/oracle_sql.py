@@ -57,7 +57,7 @@ def zone_stats_sql(src: str, size: str = "0.02") -> str:
   FROM {src} GROUP BY 1, 2"""
 
 
-def dims_sql(src_norm: str = "norm", src_acc: str = "acc", prefix: str = "") -> str:
+def dims_sql(src_norm: str = "norm", src_acc: str = "good", prefix: str = "") -> str:
     p = prefix
     return f"""
 {p}d_tiempo AS (
@@ -91,7 +91,7 @@ def dims_sql(src_norm: str = "norm", src_acc: str = "acc", prefix: str = "") ->
 )"""
 
 
-def fact_sql(src_acc: str = "acc", prefix: str = "") -> str:
+def fact_sql(src_acc: str = "good", prefix: str = "") -> str:
     p = prefix
     return f"""
 {p}fact AS (
@@ -110,7 +110,6 @@ def fact_sql(src_acc: str = "acc", prefix: str = "") -> str:
   LEFT JOIN {p}d_operador o ON a.operador_normalizado = o.operador_nombre
   LEFT JOIN {p}d_red r ON a.red_normalizada = r.red_tipo
   LEFT JOIN {p}d_zonas z ON a.grid_lat = z.grid_lat AND a.grid_lon = z.grid_lon
-  WHERE a.device_id IS NOT NULL
 )"""
 
 
@@ -118,6 +117,10 @@ ACC_SQL = """
 acc AS (
   SELECT *, id AS source_id FROM norm
   QUALIFY row_number() OVER (PARTITION BY id, "timestamp" ORDER BY device_id NULLS FIRST, signal NULLS FIRST) = 1
+),
+good AS (
+  SELECT * FROM acc
+  WHERE device_id IS NOT NULL AND (battery IS NULL OR TRY_CAST(battery AS DECIMAL(5,2)) IS NOT NULL)
 )"""
 
 QUALITY_SQL = """
