@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from covstar.llm.common import spread, stored, with_long_ids, with_text_ids
 
 #: Distinct words whose ids a worker remembers.
-WORDS_KEPT = 700_000
+WORDS_KEPT = 150_000
 #: Texts that hold one of these are encoded whole: white space runs and special tokens cross the cuts at blanks.
 _SPACES = "\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f \x85\xa0                　"
 _WHOLE = ("<|endoftext|>", *(c + " " for c in _SPACES))
@@ -46,8 +46,7 @@ class Encoder:
 
     def __init__(self, path: str, ranks: str | None, pattern: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer = path, None         # read when a text first needs it
         self.known: dict[str, bytes] = {}              # word -> ids of the word after a blank
         self.word = self._whole
         if ranks:
@@ -64,6 +63,9 @@ class Encoder:
         return _encoders[files]
 
     def _whole(self, text: str) -> bytes:
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+            self.tokenizer = Tokenizer.from_file(self.path)
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
