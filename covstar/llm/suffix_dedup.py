@@ -334,7 +334,7 @@ def repeated(docs: DataFrame, variants: int = VARIANTS) -> DataFrame:
 
     # each text once, whatever number of rows repeat it
     open_runs = (marked.select(F.col("dd_doc").alias("doc"), F.col("dd_tie").alias("tie"), "text", F.col("dd_open").alias("open"))
-                 .filter(F.size("open") > 0)
+                 .filter(F.size("open") > 0).dropDuplicates(["doc", "tie"])
                  .mapInPandas(run_texts, "gram long, slot long, dealt boolean, doc long, tie long, start long, bytes binary"))
     scanned = stored(open_runs.repartition(n, "gram", "slot").mapInPandas(
         _scan, "doc long, tie long, start long, end long, h long, h2 long, open boolean"), "dedup-scan")

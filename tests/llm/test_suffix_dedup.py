@@ -5,7 +5,7 @@ import pytest
 
 from covstar.llm import suffix_dedup as D
 
-from .conftest import SCHEMA
+from .conftest import PASSAGE, SCHEMA, prose
 
 
 def plain(docs):
@@ -49,6 +49,17 @@ def test_odd_rows_keep_rows_and_columns(odd_docs, odd_rows, no_docs):
     assert D.repeated(no_docs).count() == 0
 
 
+def test_a_repeated_row_with_a_passage_shared_in_part_counts_once(spark):
+    shared = PASSAGE + prose(12, 21)
+    rows = [(1, prose(40, 22) + " " + shared + " " + prose(40, 23)), (2, prose(40, 24) + " " + shared + " " + prose(40, 25)),
+            (3, prose(40, 26) + " " + shared[20:] + " " + prose(40, 27))]
+    want = plain((i, t.encode()) for i, t in rows)
+    df = spark.createDataFrame([rows[0], rows[1], rows[1], rows[1], rows[2], rows[2]], "doc_id long, text string").repartition(3)
+    got = digests(D.repeated(df))
+    assert len(got) == 6 and 0 < want[2][1] < want[2][0] / 2
+    assert {(r[0], r[2:]) for r in got} == set(want.items())
+
+
 def test_texts_stay_readable(spark):
     text = "".join(chr(0x100 + i) for i in range(110))
     df = spark.createDataFrame([(1, "a" + text), (2, "bä" + text + "cö")], "doc_id long, text string")
