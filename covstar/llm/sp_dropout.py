@@ -2,17 +2,20 @@
 
 Encoding takes the best-scored merge of a word's neighbouring symbols (leftmost,
 if equal) until none is left. A candidate merge is skipped if a keyed hash of
-(seed, variant, word, its span) falls below the dropout rate; its place in the
-agenda is then as good as empty. The variant of a word is its place in the text
-plus a keyed hash of the document id, modulo ``VARIANTS``, so that the same word
-is cut in different ways, the same on every run, and a worker needs to cut each
-(word, variant) once. Short words are cut together: one array holds the symbols
-of all, and a round merges the best candidate of each. Rate 0 gives the
-segmentation of the model itself.
+(seed, document id, the word's place in the text, its span) falls below the
+dropout rate; its place in the agenda is then as good as empty. So every place of
+every document has a segmentation of its own, the same on every run.
+
+A worker remembers the cut without skips of each word, with the candidates that
+come up on the way; it holds wherever none of these is skipped. The words of the
+other places are cut together: one array holds the symbols of all, and a round
+merges the best candidate of each. Rate 0 gives the segmentation of the model
+itself.
 
 Results for odd input: a null or empty text has no ids and decodes to an empty
 text; characters outside the vocabulary, and the blank mark itself, are spelt in
-bytes; rows repeated or with a null id are encoded like any other.
+bytes; rows repeated or with a null id are encoded like any other (a null id is
+an id: equal texts under one id are cut alike).
 """
 
 from __future__ import annotations
@@ -29,9 +32,9 @@ from pyspark.sql import functions as F
 from covstar.llm.common import with_long_ids, with_text_ids
 from covstar.llm.piece_words import Pieces, words
 
-VARIANTS = 4
-#: Words a worker remembers by variant; longer words are cut one by one.
-WORDS_KEPT, SHORT = 250_000, 48
+#: Words a worker remembers; longer words are cut one by one. Words cut together.
+WORDS_KEPT, SHORT, TOGETHER = 250_000, 48, 10_000
+_NONE = 1 << 30
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 _ALL = (1 << 64) - 1
 
@@ -48,10 +51,10 @@ def _mix(h):
 
 
 class Merger:
-    """Cuts words of one variant into ids."""
+    """Cuts words into ids; ``place`` keys words that come without keys of their own."""
 
-    def __init__(self, pieces: Pieces, seed: int, variant: int, rate: float):
-        self.pieces, self.key, self.limit = pieces, _mix(seed * _A + variant + 1 & _ALL), int(rate * (1 << 32))
+    def __init__(self, pieces: Pieces, seed: int, place: int, rate: float):
+        self.pieces, self.key, self.limit = pieces, _mix(seed * _A + place + 1 & _ALL), int(rate * (1 << 32))
         order = np.unique(-pieces.scores, return_inverse=True)[1]
         table = {}
         for piece, i in pieces.ids.items():
@@ -63,23 +66,52 @@ class Merger:
         self.pairs = np.array(sorted(table), np.int64)
         self.rank = np.array([table[p][0] for p in self.pairs.tolist()], np.int64)
         self.merged = np.array([table[p][1] for p in self.pairs.tolist()], np.int64)
-        self.known: dict[str, bytes] = {}
-
-    def _word_key(self, word: str) -> int:
-        from xxhash import xxh64_intdigest
-        return xxh64_intdigest(word.encode("utf-8", "surrogatepass"), self.key)
+        #: word -> its cut without skips, and what its candidates add to the key
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
-    def learn(self, new: set[str]) -> None:
+    def learn(self, new: list[str]) -> None:
         if len(self.known) > WORDS_KEPT:
             self.known = {}
-        missing = new.difference(self.known)
+        missing = [w for w in new if w not in self.known]
         short = [w for w in missing if len(w) <= SHORT]
-        for at in range(0, len(short), 50_000):
-            part = short[at:at + 50_000]
-            self.known.update(zip(part, self._together(part)))
+        for at in range(0, len(short), TOGETHER):
+            part = short[at:at + TOGETHER]
+            offered = []
+            cuts = self._together(part, offered=offered)
+            of, adds = (np.concatenate(x) for x in zip(*offered))
+            order = np.argsort(of, kind="stable")
+            raw, cut = adds[order].tobytes(), (np.searchsorted(of[order], np.arange(len(part) + 1)) * 8).tolist()
+            self.known.update(zip(part, zip(cuts, [raw[i:j] for i, j in zip(cut, cut[1:])])))
         for w in missing:
             if len(w) > SHORT:
-                self.known[w] = self._agenda(w)
+                self.known[w] = b"" if self.limit else self._agenda(w), b""
+
+    def cut(self, many: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of each word under its key."""
+        code = {w: i for i, w in enumerate(dict.fromkeys(many))}
+        self.learn(list(code))
+        known = [self.known[w] for w in code]
+        at = np.fromiter(map(code.__getitem__, many), np.int64, len(many))
+        out = list(map([k[0] for k in known].__getitem__, at.tolist()))
+        if not self.limit or not many:
+            return out
+        adds, size = np.frombuffer(b"".join([k[1] for k in known]), np.uint64), np.array([len(k[1]) // 8 for k in known])
+        begin, n = (np.cumsum(size) - size)[at], size[at]
+        place = np.arange(n.sum()) + np.repeat(begin - np.cumsum(n) + n, n)
+        other = np.zeros(len(many), bool)
+        other[np.repeat(np.arange(len(many)), n)[self._skipped(np.repeat(keys, n) + adds[place])]] = True
+        own = np.flatnonzero(other)
+        for lo in range(0, len(own), TOGETHER):
+            part = own[lo:lo + TOGETHER]
+            for i, ids in zip(part.tolist(), self._together([many[i] for i in part.tolist()], keys[part])):
+                out[i] = ids
+        long = np.array([len(w) > SHORT for w in code])
+        for i in np.flatnonzero(long[at]).tolist():
+            out[i] = self._agenda(many[i], int(keys[i]))
+        return out
+
+    def _skipped(self, sums: np.ndarray) -> np.ndarray:
+        return (_mix(sums) & np.uint64(0xFFFFFFFF)) < np.uint64(self.limit)
 
     def _spell(self, word: str, symbols: list[int], starts: list[int]) -> bytes:
         ids = []
@@ -87,13 +119,13 @@ class Merger:
             ids += [s] if s >= 0 else self.pieces.char_ids(word[at])
         return np.array(ids, "<u4").tobytes()
 
-    def _agenda(self, word: str) -> bytes:
+    def _agenda(self, word: str, key: int | None = None) -> bytes:
         """One word by a heap of candidate merges."""
         n, ids = len(word), self.pieces.ids
         sym = [ids.get(c, -1) for c in word]
         start, end = list(range(n)), list(range(1, n + 1))
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        alive, heap, key = [True] * n, [], self._word_key(word)
+        alive, heap, key = [True] * n, [], self.key if key is None else key
 
         def offer(a, b):
             if a < 0 or b >= n or sym[a] < 0 or sym[b] < 0:
@@ -116,8 +148,9 @@ class Merger:
         at = [i for i in range(n) if alive[i]]
         return self._spell(word, [sym[i] for i in at], [start[i] for i in at])
 
-    def _together(self, many: list[str]) -> list[bytes]:
-        """Many words at once: a round merges the best candidate of each."""
+    def _together(self, many: list[str], keys=None, offered: list | None = None) -> list[bytes]:
+        """Many words at once: a round merges the best candidate of each. With
+        ``offered`` none is skipped; it takes the candidates (word, what it adds)."""
         size = np.array([len(w) for w in many])
         word = np.repeat(np.arange(len(many)), size)
         points = np.frombuffer("".join(many).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -125,36 +158,48 @@ class Merger:
         sym = np.array([self.pieces.ids.get(chr(c), -1) for c in chars.tolist()], np.int64)[where]
         start = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
         end = start + 1
-        key = np.array([self._word_key(w) for w in many], np.uint64)
-        done = []
-        while len(word):
-            a, b = sym[:-1], sym[1:]
-            cand = np.flatnonzero((word[1:] == word[:-1]) & (a >= 0) & (b >= 0))
-            pair = a[cand] << 32 | b[cand]
+        key = np.full(len(many), self.key, np.uint64) if keys is None else np.asarray(keys, np.uint64)
+        # candidate of each symbol with the next: rank (_NONE: no merge) and merged piece
+        rank, new = np.full(len(word), _NONE, np.int64), np.zeros(len(word), np.int64)
+
+        def offer(i):
+            i = i[(word[i + 1] == word[i]) & (sym[i] >= 0) & (sym[i + 1] >= 0)]
+            pair = sym[i] << 32 | sym[i + 1]
             at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
             hit = self.pairs[at] == pair
-            cand, at = cand[hit], at[hit]
+            i, at = i[hit], at[hit]
             if self.limit:
-                h = _mix(key[word[cand]] + start[cand].astype(np.uint64) * np.uint64(_A)
-                         + start[cand + 1].astype(np.uint64) * np.uint64(_B) + end[cand + 1].astype(np.uint64) * np.uint64(_C))
-                stay = (h & np.uint64(0xFFFFFFFF)) >= np.uint64(self.limit)
-                cand, at = cand[stay], at[stay]
-            busy = np.zeros(len(many), bool)
-            busy[word[cand]] = True
-            idle = ~busy[word]
+                add = (start[i].astype(np.uint64) * np.uint64(_A) + start[i + 1].astype(np.uint64) * np.uint64(_B)
+                       + end[i + 1].astype(np.uint64) * np.uint64(_C))
+                if offered is not None:
+                    offered.append((word[i], add))
+                else:
+                    stay = ~self._skipped(key[word[i]] + add)
+                    i, at = i[stay], at[stay]
+            rank[i], new[i] = self.rank[at], self.merged[at]
+
+        if offered is not None:
+            offered.append((np.zeros(0, np.int64), np.zeros(0, np.uint64)))
+        offer(np.arange(len(word) - 1))
+        done = []
+        while len(word):
+            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(word)), first)
+            idle = best >> 32 == _NONE
+            take = best[~idle] & 0xFFFFFFFF
+            keep = np.ones(len(word), bool)
             if idle.any():
-                done.append((word[idle], start[idle], sym[idle]))
-            if not len(cand):
-                break
-            of = word[cand]
-            first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-            best = np.minimum.reduceat(self.rank[at] << 32 | cand, first)
-            take = best & 0xFFFFFFFF
-            sym[take] = self.merged[at[np.searchsorted(cand, take)]]
-            end[take] = end[take + 1]
-            keep = ~idle
+                rest = np.repeat(idle, np.diff(np.append(first, len(word))))
+                done.append((word[rest], start[rest], sym[rest]))
+                keep = ~rest
+            sym[take], end[take], rank[take] = new[take], end[take + 1], _NONE
+            before = take[(take > 0) & (word[take - 1] == word[take])] - 1
+            rank[before] = _NONE
             keep[take + 1] = False
-            word, start, end, sym = word[keep], start[keep], end[keep], sym[keep]
+            place = np.cumsum(keep) - 1
+            word, start, end, sym, rank, new = word[keep], start[keep], end[keep], sym[keep], rank[keep], new[keep]
+            changed = np.concatenate([place[before], place[take]])
+            offer(changed[changed < len(word) - 1])
         word, start, sym = (np.concatenate(x) for x in zip(*done))
         order = np.lexsort((start, word))
         word, start, sym = word[order], start[order], sym[order]
@@ -166,35 +211,30 @@ class Merger:
         return out
 
 
-_mergers: dict[tuple, list[Merger]] = {}
+_mergers: dict[tuple, Merger] = {}
 
 
-def mergers(path: str, seed: int, rate: float) -> list[Merger]:
+def merger(path: str, seed: int, rate: float) -> Merger:
     key = (path, seed, rate)
     if key not in _mergers:
-        _mergers[key] = [Merger(Pieces.of(path), seed, v, rate) for v in range(VARIANTS)]
+        _mergers[key] = Merger(Pieces.of(path), seed, 0, rate)
     return _mergers[key]
 
 
-def first_variant(doc, seed: int) -> int:
-    return _mix(zlib.crc32(str(doc).encode()) * _A + seed & _ALL) % VARIANTS
+def doc_key(doc, seed: int) -> int:
+    from xxhash import xxh64_intdigest
+    return xxh64_intdigest(str(doc).encode("utf-8", "surrogatepass"), seed & _ALL)
 
 
 def encode_many(docs: list, texts: list[str], path: str, seed: int, rate: float) -> list[bytes]:
     """Ids (little-endian, 32 bits) of each text; ``docs``: their document ids."""
-    own = mergers(path, seed, rate)
     cut = [words(t) for t in texts]
-    begin = [first_variant(d, seed) for d in docs]
-    for v, m in enumerate(own):
-        m.learn(set().union(*(w[(v - b) % VARIANTS::VARIANTS] for w, b in zip(cut, begin))))
-    out = []
-    for w, b in zip(cut, begin):
-        parts = [b""] * len(w)
-        for v, m in enumerate(own):
-            at = (v - b) % VARIANTS
-            parts[at::VARIANTS] = map(m.known.__getitem__, w[at::VARIANTS])
-        out.append(b"".join(parts))
-    return out
+    size = np.array([len(w) for w in cut], np.int64)
+    upto = np.cumsum(size)
+    place = np.arange(size.sum()) - np.repeat(upto - size, size)
+    keys = _mix(np.repeat(np.array([doc_key(d, seed) for d in docs], np.uint64), size) + place.astype(np.uint64) * np.uint64(_A))
+    ids = merger(path, seed, rate).cut([w for own in cut for w in own], keys)
+    return [b"".join(ids[b - n:b]) for b, n in zip(upto.tolist(), size.tolist())]
 
 
 def encoded(docs: DataFrame, path: str, seed: int = 1, rate: float = 0.1, with_ids: bool = True) -> DataFrame:

@@ -52,6 +52,19 @@ def test_seeds_and_places_vary_the_cut():
     assert S.encode_many([1], [text], PATH, 1, 0.3) == S.encode_many([1], [text], PATH, 1, 0.3)
 
 
+def test_every_document_and_place_has_a_cut_of_its_own():
+    word, far = "international organisations", "x" * 60 + "national" * 6
+    cuts = S.encode_many(list(range(300)), [word] * 300, PATH, 1, 0.3)
+    assert len(set(cuts)) > 60
+    assert S.encode_many([7, 3], [word, word], PATH, 1, 0.3) == [cuts[7], cuts[3]]
+    assert len(set(S.encode_many(list(range(40)), [far] * 40, PATH, 1, 0.3))) > 30
+    m = S.Merger(Pieces.of(PATH), 1, 0, 0.3)
+    many = [" " + w for w in "antidisestablishmentarianism the of naturalisation the the internationalisations".split()] * 90 + [far] * 9
+    keys = np.random.default_rng(1).integers(0, 1 << 63, len(many)).astype(np.uint64)
+    assert m.cut(many, keys) == m.cut(many, keys) == [m._agenda(w, k) for w, k in zip(many, keys.tolist())]
+    assert len({c for w, c in zip(many, m.cut(many, keys)) if w == many[0]}) > 40
+
+
 def test_encoding_odd_rows_round_trip(odd_docs, odd_rows, no_docs):
     got = S.encoded(odd_docs, PATH)
     rows = S.decoded(got, PATH).collect()
