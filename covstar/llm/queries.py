@@ -27,7 +27,8 @@ def op2_packing(spark, d):
 
 
 def op3_sentencepiece(spark, d):
-    return sp_dropout.encoded(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return sp_dropout.decoded(sp_dropout.encoded(table(spark, d, "documents"), model), model)
 
 
 def op4_exact_topk(spark, d):

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers as P
@@ -7,6 +8,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from covstar.llm import queries as Q
 from covstar.llm import sp_dropout as S
 from covstar.llm import token_counts as C
 from covstar.llm.piece_words import Pieces, words
@@ -74,6 +76,14 @@ def test_encoding_odd_rows_round_trip(odd_docs, odd_rows, no_docs):
     assert S.encoded(no_docs, PATH).count() == 0
 
 
+def test_the_query_gives_the_ids_and_the_text_decoded_from_them(odd_docs, monkeypatch):
+    monkeypatch.setattr(Q, "table", lambda spark, d, name: odd_docs)
+    rows = Q.op3_sentencepiece(None, "").collect()
+    assert len(rows) == odd_docs.count() and sum(r.n_tokens for r in rows)
+    assert all(len(r.ids) == 4 * r.n_tokens and zlib.crc32(r.ids) == r.ids_crc32 and r.lossless for r in rows)
+    assert sorted(r.text for r in rows) == sorted(r.text or "" for r in odd_docs.collect())
+
+
 def test_trie_counts_equal_a_program_for_each_word(odd_docs, odd_rows, no_docs):
     u = C.model(PATH)
     rows = C.counts(odd_docs, PATH).collect()
