@@ -7,7 +7,7 @@ labels. The quality of a document is the mean of its lines' probabilities of
 being good (forward-backward marginals), weighted by their length.
 
 The weights are fitted on a bounded sample of labelled documents (``PER_LABEL``
-of each label, those with the smallest hash of their id), whose lines carry the
+of each label, those with the smallest hash of their id), whose lines all carry the
 label of their document; the sample's texts stay on the executors, only line
 figures reach the driver.
 
@@ -30,8 +30,6 @@ from covstar.llm.common import sample_ids
 
 #: Labelled documents of each label that are learnt from.
 PER_LABEL = 800
-#: Lines of one document that are learnt from, from its start (scores read all).
-LINES_LEARNT = 400
 BASE = 14
 WIDTH = 3 * BASE + 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -203,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     def run(batches: Iterator[pd.DataFrame]):
         for pdf in batches:
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                x = lines([text])[2][:LINES_LEARNT]
+                x = lines([text])[2]
                 if len(x):
                     yield pd.DataFrame({"doc_id": [doc], "x": [x.tobytes()]})
 

@@ -89,3 +89,11 @@ def test_scores_do_not_depend_on_the_batch():
 
 def test_tables_read_whole(spark):
     assert table(spark, SF, "documents").count() == E.queries()["op8_token_counts"](spark, SF).count()
+
+
+def test_quality_learns_from_all_lines_of_a_long_document(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(C, "fit", lambda x, sizes, label: taken.append((len(x), sizes.tolist(), label.tolist())))
+    docs = spark.createDataFrame([(1, "a clean line\n" * 600 + "!!! 111\n" * 300), (2, "one line")], "doc_id long, text string")
+    C.train(docs, spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int"), F.lit(True))
+    assert taken == [(901, [900, 1], [0, 1])]
