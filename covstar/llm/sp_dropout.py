@@ -6,11 +6,13 @@ if equal) until none is left. A candidate merge is skipped if a keyed hash of
 dropout rate; its place in the agenda is then as good as empty. So every place of
 every document has a segmentation of its own, the same on every run.
 
-A worker remembers the cut without skips of each word, with the candidates that
-come up on the way; it holds wherever none of these is skipped. The words of the
-other places are cut together: one array holds the symbols of all, and a round
-merges the best candidate of each. Rate 0 gives the segmentation of the model
-itself.
+A worker remembers the cuts of each word in a trie of decisions. A node is a set of
+skipped candidates; it holds the cut they lead to and the candidates that come up
+after the last of them. A place goes down by its first skipped candidate and takes
+the cut of the node where none is skipped any more; the cut depends on nothing but
+the skips met, so this is exact. Missing nodes are cut together: one array holds
+the symbols of many words, and a round merges the best candidate of each. Rate 0
+gives the segmentation of the model itself.
 
 Results for odd input: a null or empty text has no ids and decodes to an empty
 text; characters outside the vocabulary, and the blank mark itself, are spelt in
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 from covstar.llm.common import with_long_ids, with_text_ids
 from covstar.llm.piece_words import Pieces, words
 
-#: Words a worker remembers; longer words are cut one by one. Words cut together.
-WORDS_KEPT, SHORT, TOGETHER = 250_000, 48, 10_000
+#: Nodes a worker remembers; longer words are cut one by one. Words cut together.
+NODES_KEPT, SHORT, TOGETHER = 300_000, 48, 10_000
 _NONE = 1 << 30
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 _ALL = (1 << 64) - 1
@@ -50,6 +52,12 @@ def _mix(h):
     return h ^ h >> np.uint64(31)
 
 
+def _adds(codes: np.ndarray) -> np.ndarray:
+    """What candidates (start << 12 | middle << 6 | end, below 64 each) add to a key."""
+    c = codes.astype(np.uint64)
+    return (c >> np.uint64(12)) * np.uint64(_A) + (c >> np.uint64(6) & np.uint64(63)) * np.uint64(_B) + (c & np.uint64(63)) * np.uint64(_C)
+
+
 class Merger:
     """Cuts words into ids; ``place`` keys words that come without keys of their own."""
 
@@ -66,47 +74,70 @@ class Merger:
         self.pairs = np.array(sorted(table), np.int64)
         self.rank = np.array([table[p][0] for p in self.pairs.tolist()], np.int64)
         self.merged = np.array([table[p][1] for p in self.pairs.tolist()], np.int64)
-        #: word -> its cut without skips, and what its candidates add to the key
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        #: nodes by number: word, skipped candidates, cut, candidates after the last skip
+        self.word: list[str] = []
+        self.skips: list[tuple[int, ...]] = []
+        self.cuts: list[bytes] = []
+        self.later: list[bytes] = []
+        #: node of a word without skips; node below (node << 18 | candidate)
+        self.root: dict[str, int] = {}
+        self.below: dict[int, int] = {}
+
+    def _grow(self, many: list[str], skips: list[tuple[int, ...]]) -> range:
+        """New nodes of words under given skips."""
+        first = len(self.word)
+        for at in range(0, len(many), TOGETHER):
+            part, own = many[at:at + TOGETHER], skips[at:at + TOGETHER]
+            offered: list = []
+            self.cuts += self._together(part, skips=own, offered=offered)
+            of, codes = (np.concatenate(x) for x in zip(*offered))
+            order = np.argsort(of, kind="stable")
+            codes, cut = codes[order].astype(np.int32), np.searchsorted(of[order], np.arange(len(part) + 1))
+            for skipped, i, j in zip(own, cut[:-1].tolist(), cut[1:].tolist()):
+                if skipped:
+                    i += int(np.flatnonzero(codes[i:j] == skipped[-1])[0]) + 1
+                self.later.append(codes[i:j].tobytes())
+        self.word += many
+        self.skips += skips
+        return range(first, len(self.word))
 
     def learn(self, new: list[str]) -> None:
-        if len(self.known) > WORDS_KEPT:
-            self.known = {}
-        missing = [w for w in new if w not in self.known]
-        short = [w for w in missing if len(w) <= SHORT]
-        for at in range(0, len(short), TOGETHER):
-            part = short[at:at + TOGETHER]
-            offered = []
-            cuts = self._together(part, offered=offered)
-            of, adds = (np.concatenate(x) for x in zip(*offered))
-            order = np.argsort(of, kind="stable")
-            raw, cut = adds[order].tobytes(), (np.searchsorted(of[order], np.arange(len(part) + 1)) * 8).tolist()
-            self.known.update(zip(part, zip(cuts, [raw[i:j] for i, j in zip(cut, cut[1:])])))
-        for w in missing:
-            if len(w) > SHORT:
-                self.known[w] = b"" if self.limit else self._agenda(w), b""
+        if len(self.word) > NODES_KEPT:
+            self.forget()
+        missing = [w for w in new if len(w) <= SHORT and w not in self.root]
+        self.root.update(zip(missing, self._grow(missing, [()] * len(missing))))
+
+    def _descend(self, keys: np.ndarray) -> np.ndarray:
+        """Nodes below others, each key (node << 18 | skipped candidate)."""
+        missing = [k for k in keys.tolist() if k not in self.below]
+        above = [(k >> 18, k & (1 << 18) - 1) for k in missing]
+        self.below.update(zip(missing, self._grow([self.word[n] for n, _ in above], [(*self.skips[n], c) for n, c in above])))
+        return np.fromiter(map(self.below.__getitem__, keys.tolist()), np.int64, len(keys))
 
     def cut(self, many: list[str], keys: np.ndarray) -> list[bytes]:
         """Ids of each word under its key."""
-        code = {w: i for i, w in enumerate(dict.fromkeys(many))}
-        self.learn(list(code))
-        known = [self.known[w] for w in code]
-        at = np.fromiter(map(code.__getitem__, many), np.int64, len(many))
-        out = list(map([k[0] for k in known].__getitem__, at.tolist()))
-        if not self.limit or not many:
-            return out
-        adds, size = np.frombuffer(b"".join([k[1] for k in known]), np.uint64), np.array([len(k[1]) // 8 for k in known])
-        begin, n = (np.cumsum(size) - size)[at], size[at]
-        place = np.arange(n.sum()) + np.repeat(begin - np.cumsum(n) + n, n)
-        other = np.zeros(len(many), bool)
-        other[np.repeat(np.arange(len(many)), n)[self._skipped(np.repeat(keys, n) + adds[place])]] = True
-        own = np.flatnonzero(other)
-        for lo in range(0, len(own), TOGETHER):
-            part = own[lo:lo + TOGETHER]
-            for i, ids in zip(part.tolist(), self._together([many[i] for i in part.tolist()], keys[part])):
-                out[i] = ids
-        long = np.array([len(w) > SHORT for w in code])
-        for i in np.flatnonzero(long[at]).tolist():
+        distinct = {w: i for i, w in enumerate(dict.fromkeys(many))}
+        self.learn(list(distinct))
+        at = np.fromiter(map(distinct.__getitem__, many), np.int64, len(many))
+        node = np.array([self.root.get(w, -1) for w in distinct], np.int64)[at]
+        open_ = np.flatnonzero(node >= 0) if self.limit else np.zeros(0, np.int64)
+        while len(open_):
+            own, which = np.unique(node[open_], return_inverse=True)
+            later = [self.later[n] for n in own.tolist()]
+            codes, size = np.frombuffer(b"".join(later), np.int32).astype(np.int64), np.array([len(x) // 4 for x in later])
+            begin, n = (np.cumsum(size) - size)[which], size[which]
+            place = np.arange(n.sum()) + np.repeat(begin - np.cumsum(n) + n, n)
+            hit = np.flatnonzero(self._skipped(np.repeat(keys[open_], n) + _adds(codes)[place]))
+            owner = np.repeat(np.arange(len(open_)), n)[hit]
+            first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else owner
+            open_ = open_[owner[first]]
+            steps, which = np.unique(node[open_] << 18 | codes[place[hit[first]]], return_inverse=True)
+            node[open_] = self._descend(steps)[which]
+        out = list(map(self.cuts.__getitem__, node.tolist())) if self.cuts else [b""] * len(many)
+        for i in np.flatnonzero(node < 0).tolist():
             out[i] = self._agenda(many[i], int(keys[i]))
         return out
 
@@ -148,9 +179,13 @@ class Merger:
         at = [i for i in range(n) if alive[i]]
         return self._spell(word, [sym[i] for i in at], [start[i] for i in at])
 
-    def _together(self, many: list[str], keys=None, offered: list | None = None) -> list[bytes]:
-        """Many words at once: a round merges the best candidate of each. With
-        ``offered`` none is skipped; it takes the candidates (word, what it adds)."""
+    def _together(self, many: list[str], skips: list[tuple[int, ...]] | None = None, offered: list | None = None) -> list[bytes]:
+        """Many words at once: a round merges the best candidate of each. The candidates
+        in ``skips`` are skipped (without it: those that this place's key skips);
+        ``offered`` takes all that come up (word, candidate), in their order."""
+        if not many:
+            offered is None or offered.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+            return []
         size = np.array([len(w) for w in many])
         word = np.repeat(np.arange(len(many)), size)
         points = np.frombuffer("".join(many).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -158,7 +193,7 @@ class Merger:
         sym = np.array([self.pieces.ids.get(chr(c), -1) for c in chars.tolist()], np.int64)[where]
         start = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
         end = start + 1
-        key = np.full(len(many), self.key, np.uint64) if keys is None else np.asarray(keys, np.uint64)
+        skipped = None if skips is None else np.unique(np.array([n << 18 | c for n, own in enumerate(skips) for c in own], np.int64))
         # candidate of each symbol with the next: rank (_NONE: no merge) and merged piece
         rank, new = np.full(len(word), _NONE, np.int64), np.zeros(len(word), np.int64)
 
@@ -169,17 +204,15 @@ class Merger:
             hit = self.pairs[at] == pair
             i, at = i[hit], at[hit]
             if self.limit:
-                add = (start[i].astype(np.uint64) * np.uint64(_A) + start[i + 1].astype(np.uint64) * np.uint64(_B)
-                       + end[i + 1].astype(np.uint64) * np.uint64(_C))
+                code = start[i] << 12 | start[i + 1] << 6 | end[i + 1]
                 if offered is not None:
-                    offered.append((word[i], add))
-                else:
-                    stay = ~self._skipped(key[word[i]] + add)
-                    i, at = i[stay], at[stay]
+                    offered.append((word[i], code))
+                stay = ~(self._skipped(np.uint64(self.key) + _adds(code)) if skipped is None else np.isin(word[i] << 18 | code, skipped))
+                i, at = i[stay], at[stay]
             rank[i], new[i] = self.rank[at], self.merged[at]
 
         if offered is not None:
-            offered.append((np.zeros(0, np.int64), np.zeros(0, np.uint64)))
+            offered.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
         offer(np.arange(len(word) - 1))
         done = []
         while len(word):
@@ -237,9 +270,10 @@ def encode_many(docs: list, texts: list[str], path: str, seed: int, rate: float)
     return [b"".join(ids[b - n:b]) for b, n in zip(upto.tolist(), size.tolist())]
 
 
-def encoded(docs: DataFrame, path: str, seed: int = 1, rate: float = 0.1, with_ids: bool = True) -> DataFrame:
+def encoded(docs: DataFrame, path: str, seed: int = 1, rate: float = 0.1, with_ids: bool = True, check: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids_crc32, lossless[, ids]): ids as little-endian bytes;
-    ``lossless``: the ids were decoded and gave the text back."""
+    ``lossless``: the ids were decoded and gave the text back. Without ``check`` the
+    column is ``source_hash`` (xxhash64 of the text), to hold against a later decoding."""
     def run(batches: Iterator[pd.DataFrame]):
         pieces = Pieces.of(path)
         for pdf in batches:
@@ -251,13 +285,19 @@ def encoded(docs: DataFrame, path: str, seed: int = 1, rate: float = 0.1, with_i
                     chars += len(texts[upto])
                     upto += 1
                 part = encode_many(pdf["doc_id"].iloc[at:upto].tolist(), texts[at:upto], path, seed, rate)
-                same = [pieces.text(np.frombuffer(b, "<u4").tolist()) == t for b, t in zip(part, texts[at:upto])]
                 out = pd.DataFrame({"doc_id": pdf["doc_id"].iloc[at:upto].to_numpy(), "n_tokens": [len(b) // 4 for b in part],
-                                    "ids_crc32": [zlib.crc32(b) for b in part], "lossless": same})
+                                    "ids_crc32": [zlib.crc32(b) for b in part]})
+                if check:
+                    out["lossless"] = [pieces.text(np.frombuffer(b, "<u4").tolist()) == t for b, t in zip(part, texts[at:upto])]
+                else:
+                    out["source_hash"] = pdf["source_hash"].iloc[at:upto].to_numpy()
                 yield out.assign(ids=part) if with_ids else out
                 at = upto
-    schema = "doc_id string, n_tokens long, ids_crc32 long, lossless boolean" + ", ids binary" * with_ids
-    return with_long_ids(with_text_ids(docs).mapInPandas(run, schema))
+    schema = "doc_id string, n_tokens long, ids_crc32 long, " + ("lossless boolean" if check else "source_hash long") + ", ids binary" * with_ids
+    rows = with_text_ids(docs)
+    if not check:
+        rows = rows.withColumn("source_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return with_long_ids(rows.mapInPandas(run, schema))
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:

@@ -67,6 +67,57 @@ def test_every_document_and_place_has_a_cut_of_its_own():
     assert len({c for w, c in zip(many, m.cut(many, keys)) if w == many[0]}) > 40
 
 
+def plain_agenda(word, pieces, skip):
+    """By the definition alone: again and again the best-scored neighbours, leftmost
+    if equal, whose join is a piece that is not skipped."""
+    parts = [(i, i + 1) for i in range(len(word))]
+    while True:
+        best = None
+        for (a, m), (_, e) in zip(parts, parts[1:]):
+            i = pieces.ids.get(word[a:e])
+            if i is None or pieces.ids.get(word[a:m]) is None or pieces.ids.get(word[m:e]) is None or skip(a, m, e):
+                continue
+            if best is None or pieces.scores[i] > best[0]:
+                best = (pieces.scores[i], a, m, e)
+        if best is None:
+            return [i for a, e in parts for i in ([pieces.ids[word[a:e]]] if word[a:e] in pieces.ids else pieces.char_ids(word[a:e]))]
+        _, a, m, e = best
+        parts = [p for p in parts if p not in ((a, m), (m, e))] + [(a, e)]
+        parts.sort()
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5])
+def test_the_trie_of_decisions_equals_a_plain_agenda(rate):
+    pieces, r = Pieces.of(PATH), random.Random(8)
+    m = S.Merger(pieces, 3, 0, rate)
+    many = [" " * r.randint(0, 2) + "".join(r.choice("thereationsqué") for _ in range(r.randint(1, 12))) for _ in range(60)] * 8
+    many += [" internationalisation"] * 100 + ["日本 x", "▁▁"]
+    keys = np.random.default_rng(2).integers(0, 1 << 63, len(many)).astype(np.uint64)
+
+    def skips(key):
+        full = (1 << 64) - 1
+
+        def skip(a, mid, e):
+            h = key + a * 0x9E3779B97F4A7C15 + mid * 0xBF58476D1CE4E5B9 + e * 0x94D049BB133111EB & full
+            h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & full
+            h = (h ^ h >> 27) * 0x94D049BB133111EB & full
+            return ((h ^ h >> 31) & 0xFFFFFFFF) < int(rate * (1 << 32))
+        return skip
+    want = [plain_agenda(w, pieces, skips(k)) for w, k in zip(many, keys.tolist())]
+    assert [ids(b) for b in m.cut(many, keys)] == want
+    grown = len(m.word)
+    assert [ids(b) for b in m.cut(many, keys)] == want and len(m.word) == grown
+    assert max(map(len, m.skips)) > 1
+
+
+def test_forgetting_nodes_changes_nothing(monkeypatch):
+    text = "international organisations and naturalisation of the thing " * 30
+    want = S.encode_many([1, 2], [text, text], PATH, 9, 0.4)
+    monkeypatch.setattr(S, "NODES_KEPT", 5)
+    assert S.encode_many([1, 2], [text, text], PATH, 9, 0.4) == want
+    assert S.encode_many([2], [text], PATH, 9, 0.4) == want[1:]
+
+
 def test_encoding_odd_rows_round_trip(odd_docs, odd_rows, no_docs):
     got = S.encoded(odd_docs, PATH)
     rows = S.decoded(got, PATH).collect()
