@@ -8,8 +8,9 @@
 5. packing: what is left is packed into token sequences.
 
 All stages but the last return the columns of their input. Texts that are null,
-empty or without letters have no language and go in stage 1. Of rows that repeat
-an id or have none, stage 3 keeps one of each group by their order in the input.
+empty or without letters have no language and go in stage 1. Stage 3 keeps the row
+of each group with the smallest (id, hash of the text, place in the input); rows
+without an id come last.
 No SQL expresses the models, so ``ORACLE_SQL`` is None and tests compare with
 plain versions of the stages.
 """
@@ -41,15 +42,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.max("n").alias("most"), F.max(F.col("doc_id").isNull()).alias("gaps")).first()
-    if (ids["most"] or 0) <= 1 and not ids["gaps"]:
-        keyed, key = docs, "doc_id"
-    else:
-        keyed, key = stored(docs.withColumn("cp_row", F.monotonically_increasing_id()), "rows"), "cp_row"
-    found = simhash_gray.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
-    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias("cp_stays"))
-    return keyed.join(stay, keyed[key] == F.col("cp_stays"), "left_semi").select(*docs.columns)
+    rows = stored(docs.withColumn("cp_row", F.monotonically_increasing_id()), "rows")
+    found = simhash_gray.near_duplicates(rows.select(F.col("cp_row").alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("cp_member"), F.col("component_id").alias("cp_group"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "cp_row")
+    first = (rows.select("cp_row", order.alias("cp_order")).join(groups, F.col("cp_row") == F.col("cp_member"))
+             .groupBy("cp_group").agg(F.min("cp_order").alias("cp_first")).select(F.col("cp_first.cp_row").alias("cp_stays")))
+    return rows.join(first, F.col("cp_row") == F.col("cp_stays"), "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
