@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from covstar.session import checkpoint_dir
 
@@ -23,9 +24,12 @@ def on_workers(spark: SparkSession) -> None:
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a folder of the
-    session's warehouse where that setting is unset (tests, local runs)."""
+    session's warehouse where that setting is unset (tests, local runs only)."""
     d = checkpoint_dir(spark)
     if d is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_llm_checkpoints"
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir()
@@ -73,10 +77,10 @@ def sample_ids(rows: DataFrame, group: str, size: int) -> dict:
         if upto.get(r["g"], 0) < size:
             upto[r["g"]] = upto.get(r["g"], 0) + r["n"]
             last[r["g"]] = r["part"]
-    near = F.lit(False)
-    for g, p in last.items():
-        near = near | ((F.col(group) == F.lit(g)) & (part <= p))
-    found = rows.filter(near).select(F.col(group).alias("g"), "doc_id", F.xxhash64("doc_id").bitwiseXOR(F.lit(-1 << 63)).alias("h")).distinct().collect()
+    bounds = rows.sparkSession.createDataFrame(
+        [(g, int(p)) for g, p in last.items()], T.StructType([T.StructField("si_group", rows.schema[group].dataType), T.StructField("si_part", T.LongType())]))
+    near = rows.join(F.broadcast(bounds), (F.col(group) == F.col("si_group")) & (part <= F.col("si_part")), "left_semi")
+    found = near.select(F.col(group).alias("g"), "doc_id", F.xxhash64("doc_id").bitwiseXOR(F.lit(-1 << 63)).alias("h")).distinct().collect()
     taken: dict = {}
     out = {}
     for r in sorted(found, key=lambda r: (r["h"], r["doc_id"])):

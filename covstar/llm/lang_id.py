@@ -8,8 +8,9 @@ pair of its languages (one-versus-one). Features: shares of hashed letter
 1-, 2- and 3-grams of the whole text, square-rooted, unit length.
 
 The machines are fitted on a bounded sample (``PER_LANGUAGE`` rows of each
-language, those with the smallest hash of their id); the sample's texts stay on
-the executors, only their features reach the driver.
+language, fewer where all languages together would exceed ``ROWS``, those with the
+smallest hash of their id); every labelled language is learnt. The sample's texts
+stay on the executors, only their features (sparse rows) reach the driver.
 
 Results for odd input: a text that is null, empty or without letters is ``und``
 with score 0; without any labelled row everything is ``und``; with one known
@@ -31,10 +32,8 @@ from pyspark.sql import functions as F
 from covstar.llm.chars import LETTER, classes, points
 from covstar.llm.common import sample_ids
 
-#: Labelled rows of each language that are learnt from.
-PER_LANGUAGE = 500
-#: Languages that may be learnt; the most frequent ones, if there are more.
-MOST_LANGUAGES = 200
+#: Labelled rows of each language, and of all languages together, that are learnt from (one of each at least).
+PER_LANGUAGE, ROWS = 500, 20_000
 UNI, BI, TRI = 512, 2048, 4096
 WIDTH = UNI + BI + TRI
 #: Letters of the short extract that is learnt beside each whole text.
@@ -71,23 +70,40 @@ def vector(buckets: np.ndarray) -> np.ndarray:
 
 # --------------------------------------------------------------- training
 
-def svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 15, seed: int = 7) -> np.ndarray:
-    """Linear support vector machine (squared hinge, dual coordinate descent);
-    ``y`` is -1 or 1, the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+class Rows:
+    """Sparse rows: the buckets and values of each, of unit length."""
+
+    def __init__(self, buckets: list[np.ndarray], counts: list[np.ndarray]):
+        self.at = buckets
+        self.values = [np.sqrt(c.astype(np.float64)) / max(math.sqrt(float(c.sum())), 1e-9) for c in counts]
+
+    def mean(self, own: np.ndarray) -> np.ndarray:
+        total = np.zeros(WIDTH)
+        for i in own.tolist():
+            total[self.at[i]] += self.values[i]
+        return total / max(1, len(own))
+
+
+def svm(x: Rows, own: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 15, seed: int = 7) -> np.ndarray:
+    """Linear support vector machine (squared hinge, dual coordinate descent) of the
+    rows ``own``; ``y`` is -1 or 1, the last weight is the bias."""
     share = {s: len(y) / (2 * max(1, int((y == s).sum()))) for s in (-1, 1)}
-    w, alpha = np.zeros(x.shape[1], np.float64), np.zeros(len(x))
-    diag = np.array([1 / (2 * cost * share[int(s)]) for s in y])
-    q = (x * x).sum(1) + diag
+    w, bias, alpha = np.zeros(WIDTH), 0.0, [0.0] * len(y)
+    own, y = own.tolist(), y.tolist()
+    diag = [1 / (2 * cost * share[s]) for s in y]
+    q = [float(x.values[i] @ x.values[i]) + 1 + d for i, d in zip(own, diag)]
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
-        for i in rng.permutation(len(x)):
-            g = y[i] * (x[i] @ w) - 1 + diag[i] * alpha[i]
+        for i in rng.permutation(len(y)).tolist():
+            at, values = x.at[own[i]], x.values[own[i]]
+            g = y[i] * (float(w[at] @ values) + bias) - 1 + diag[i] * alpha[i]
             new = max(alpha[i] - g / q[i], 0.0)
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                w[at] += step * values
+                bias += step
                 alpha[i] = new
-    return w.astype(np.float32)
+    return np.append(w, bias).astype(np.float32)
 
 
 def families(profiles: dict[str, np.ndarray]) -> list[list[str]]:
@@ -95,33 +111,41 @@ def families(profiles: dict[str, np.ndarray]) -> list[list[str]]:
     groups = [[x] for x in sorted(profiles)]
     def near(a, b):
         return np.mean([profiles[x] @ profiles[y] for x in a for y in b])
+    score = {p: near(groups[p[0]], groups[p[1]]) for p in combinations(range(len(groups)), 2)}
     while len(groups) > math.ceil(math.sqrt(len(profiles))):
-        a, b = max(combinations(range(len(groups)), 2), key=lambda p: near(groups[p[0]], groups[p[1]]))
+        a, b = max(score, key=lambda p: (score[p], -p[0], -p[1]))
         groups[a] = sorted(groups[a] + groups.pop(b))
+        # numbers above b move down; only the merged group is compared anew
+        down = lambda k: k - (k > b)
+        score = {(down(i), down(j)): v for (i, j), v in score.items() if b not in (i, j) and a not in (i, j)}
+        score |= {(min(a, k), max(a, k)): near(groups[a], groups[k]) for k in range(len(groups)) if k != a}
     return groups
 
 
 class Model:
     """Weights of all machines side by side; bounded by the number of languages."""
 
-    def __init__(self, x: np.ndarray, langs: np.ndarray):
-        self.langs = sorted(set(langs))
+    def __init__(self, x: Rows, langs: np.ndarray):
+        names, which = np.unique(langs.astype(str), return_inverse=True)
+        self.langs = names.tolist()
+        rows_of = [np.flatnonzero(which == k) for k in range(len(self.langs))]
         profiles = {}
-        for name in self.langs:
-            m = x[langs == name].mean(0)
+        for name, own in zip(self.langs, rows_of):
+            m = x.mean(own)
             profiles[name] = m / max(float(np.sqrt(m @ m)), 1e-9)
         self.families = families(profiles) if self.langs else []
+        place = {name: k for k, name in enumerate(self.langs)}
         columns = []
         self.family_at, self.pairs = {}, {}
         if len(self.families) > 1:
             for k, family in enumerate(self.families):
                 self.family_at[k] = len(columns)
-                columns.append(svm(x, np.where(np.isin(langs, family), 1, -1)))
+                columns.append(svm(x, np.arange(len(which)), np.where(np.isin(which, [place[f] for f in family]), 1, -1)))
         for family in self.families:
             for a, b in combinations(family, 2):
-                own = (langs == a) | (langs == b)
+                own = np.sort(np.concatenate([rows_of[place[a]], rows_of[place[b]]]))
                 self.pairs[a, b] = len(columns)
-                columns.append(svm(x[own], np.where(langs[own] == a, 1, -1)))
+                columns.append(svm(x, own, np.where(which[own] == place[a], 1, -1)))
         self.weights = np.stack(columns, 1) if columns else np.zeros((WIDTH + 1, 0), np.float32)
 
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
@@ -157,8 +181,9 @@ def train(docs: DataFrame, learn: Column) -> Model:
     """The model of the rows of ``docs`` (doc_id, text, lang) where ``learn``
     holds: a bounded sample by language, whole texts and short extracts."""
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    top = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
-    ids = list(sample_ids(rows.filter(F.col("lang").isin(top)), "lang", PER_LANGUAGE))
+    n = rows.agg(F.count_distinct("lang").alias("n")).first()["n"]
+    ids = sample_ids(rows, "lang", max(1, min(PER_LANGUAGE, ROWS // max(1, n))))
+    chosen = docs.sparkSession.createDataFrame([(i,) for i in ids], docs.select(F.col("doc_id").alias("li_id")).schema)
 
     def run(batches: Iterator[pd.DataFrame]):
         for pdf in batches:
@@ -171,13 +196,11 @@ def train(docs: DataFrame, learn: Column) -> Model:
                         yield pd.DataFrame({"doc_id": [doc], "n": [n], "lang": [lang], "at": [i.astype(np.int32).tobytes()],
                                             "count": [b[i].astype(np.int32).tobytes()]})
 
-    sample = (rows.filter(F.col("doc_id").isin(ids) & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    sample = (rows.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), F.col("doc_id") == F.col("li_id"), "left_semi")
+              .select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
               .mapInPandas(run, "doc_id long, n int, lang string, at binary, count binary")
               .toPandas().sort_values(["doc_id", "n", "lang"], ignore_index=True))
-    x = np.zeros((len(sample), WIDTH), np.float32)
-    for row, (at, count) in enumerate(zip(sample["at"], sample["count"])):
-        x[row, np.frombuffer(at, np.int32)] = np.sqrt(np.frombuffer(count, np.int32))
-    x /= np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
+    x = Rows([np.frombuffer(b, np.int32) for b in sample["at"]], [np.frombuffer(b, np.int32) for b in sample["count"]])
     return Model(x, sample["lang"].to_numpy())
 
 

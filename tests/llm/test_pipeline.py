@@ -104,3 +104,12 @@ def test_url_query_equals_its_sql(spark):
     names = [d[0] for d in want.description]
     assert sorted(names) == sorted(got.columns)
     assert rows(got.select(*names)) == sorted(want.fetchall(), key=str)
+
+
+def test_survivors_do_not_depend_on_an_unrelated_repeated_id(spark, steps):
+    docs = steps[2]
+    plainly = {r.doc_id for r in CP.near_duplicates(spark, docs, SF).collect()}
+    lone = next(i for i in sorted(plainly))
+    again = docs.union(docs.filter(docs.doc_id == lone)).union(docs.filter(docs.doc_id == lone).selectExpr("null", *[f"`{c}`" for c in docs.columns[1:]]))
+    got = [r.doc_id for r in CP.near_duplicates(spark, again.repartition(5), SF).collect()]
+    assert sorted(got) == sorted(plainly)

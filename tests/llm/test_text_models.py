@@ -34,6 +34,23 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert {(r.lang_pred, r.score) for r in one} == {("aa", 1.0), ("und", 0.0)}
 
 
+def test_every_language_is_learnt_however_many(spark):
+    """300 languages, each with letters of its own: all are known, and held-out texts find theirs."""
+    import random
+
+    from covstar.llm.common import on_workers
+    on_workers(spark)
+    r = random.Random(4)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 900)]
+    own = [letters[3 * k:3 * k + 3] for k in range(300)]
+    text = lambda k: " ".join("".join(r.choice(own[k]) for _ in range(4)) for _ in range(12))
+    docs = spark.createDataFrame([(k * 10 + j, text(k), f"l{k:03d}") for k in range(300) for j in range(4)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in L.identify(docs, F.col("doc_id") % 10 != 3).collect()}
+    held = [r for i, r in got.items() if i % 10 == 3]
+    assert len(held) == 300 and len({r.lang_pred for r in got.values()}) >= 295
+    assert sum(r.lang_pred == f"l{r.doc_id // 10:03d}" for r in held) >= 285
+
+
 def test_families_join_the_nearest_profiles():
     v = {"a": np.array([1, 0.0]), "b": np.array([.9, .1]), "c": np.array([0, 1.0]), "d": np.array([.1, .9])}
     assert L.families(v) == [["a", "b"], ["c", "d"]]
