@@ -7,12 +7,15 @@ dropout rate; its place in the agenda is then as good as empty. So every place o
 every document has a segmentation of its own, the same on every run.
 
 A worker remembers the cuts of each word in a trie of decisions. A node is a set of
-skipped candidates; it holds the cut they lead to and the candidates that come up
-after the last of them. A place goes down by its first skipped candidate and takes
-the cut of the node where none is skipped any more; the cut depends on nothing but
-the skips met, so this is exact. Missing nodes are cut together: one array holds
-the symbols of many words, and a round merges the best candidate of each. Rate 0
-gives the segmentation of the model itself.
+skipped candidates; it holds the cut they lead to and the merges made on the way
+after the last of them. A place goes down by the first of these merges that it
+skips and takes the cut of the node where it skips none. This is exact: a skipped
+candidate that is never the best changes nothing, and up to the first skipped merge
+all steps are those of the node above. A word gets a node when it is met again, and a
+node children once it was passed ``OFTEN`` times; what leaves the trie is cut
+under its own key. Words are cut together: one array holds the symbols of many,
+and a round merges the best candidate of each. Rate 0 gives the segmentation of
+the model itself.
 
 Results for odd input: a null or empty text has no ids and decodes to an empty
 text; characters outside the vocabulary, and the blank mark itself, are spelt in
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +38,10 @@ from pyspark.sql import functions as F
 from covstar.llm.common import with_long_ids, with_text_ids
 from covstar.llm.piece_words import Pieces, words
 
-#: Nodes a worker remembers; longer words are cut one by one. Words cut together.
-NODES_KEPT, SHORT, TOGETHER = 300_000, 48, 10_000
+#: Nodes a worker remembers; passes before a node has children. Longer words are cut one by one. Words cut together.
+NODES_KEPT, OFTEN, SHORT, TOGETHER = 300_000, 3, 48, 10_000
+#: Bits that remember which words were met before (one that two words share only gives a node too early).
+MET = 1 << 20
 _NONE = 1 << 30
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 _ALL = (1 << 64) - 1
@@ -71,61 +77,99 @@ class Merger:
                 if a is not None and b is not None:
                     table[a << 32 | b] = (int(order[i]), i)
         self.table = table
-        self.pairs = np.array(sorted(table), np.int64)
-        self.rank = np.array([table[p][0] for p in self.pairs.tolist()], np.int64)
-        self.merged = np.array([table[p][1] for p in self.pairs.tolist()], np.int64)
+        # pairs by hash; a taken place gives way to the next one
+        self.bits = max(4, len(table).bit_length() + 2)
+        self.pairs, self.rank, self.merged = (np.full((1 << self.bits) + len(table) + 1, -1, np.int64) for _ in range(3))
+        pairs = np.array(list(table), np.int64)
+        for pair, at in zip(pairs.tolist(), self._place(pairs).tolist()):
+            while self.pairs[at] >= 0:
+                at += 1
+            self.pairs[at] = pair
+            self.rank[at], self.merged[at] = table[pair]
+        self.met = np.zeros(MET, bool)
         self.forget()
 
+    def _place(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint64) * np.uint64(_A) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _find(self, pairs: np.ndarray) -> np.ndarray:
+        """Places of pairs in the table, -1 for those that are no merge."""
+        at = self._place(pairs)
+        held = self.pairs[at]
+        look = np.flatnonzero((held != pairs) & (held >= 0))
+        at[held < 0] = -1
+        while len(look):
+            at[look] += 1
+            held = self.pairs[at[look]]
+            at[look[held < 0]] = -1
+            look = look[(held != pairs[look]) & (held >= 0)]
+        return at
+
     def forget(self) -> None:
-        #: nodes by number: word, skipped candidates, cut, candidates after the last skip
+        #: nodes by number: word, skipped candidates, cut, merges after the last skip and how many came before, passes
         self.word: list[str] = []
         self.skips: list[tuple[int, ...]] = []
         self.cuts: list[bytes] = []
         self.later: list[bytes] = []
+        self.before: list[int] = []
+        self.passes = np.zeros(0, np.int64)
         #: node of a word without skips; node below (node << 18 | candidate)
         self.root: dict[str, int] = {}
         self.below: dict[int, int] = {}
 
-    def _grow(self, many: list[str], skips: list[tuple[int, ...]]) -> range:
-        """New nodes of words under given skips."""
+    def _grow(self, many: list[str], skips: list[tuple[int, ...]], before: list[int]) -> range:
+        """New nodes of words under given skips, the last one after ``before`` merges."""
         first = len(self.word)
         for at in range(0, len(many), TOGETHER):
-            part, own = many[at:at + TOGETHER], skips[at:at + TOGETHER]
-            offered: list = []
-            self.cuts += self._together(part, skips=own, offered=offered)
-            of, codes = (np.concatenate(x) for x in zip(*offered))
+            part = many[at:at + TOGETHER]
+            merges: list = []
+            self.cuts += self._together(part, skips=skips[at:at + TOGETHER], merges=merges)
+            of, codes = (np.concatenate(x) for x in zip(*merges))
             order = np.argsort(of, kind="stable")
-            codes, cut = codes[order].astype(np.int32), np.searchsorted(of[order], np.arange(len(part) + 1))
-            for skipped, i, j in zip(own, cut[:-1].tolist(), cut[1:].tolist()):
-                if skipped:
-                    i += int(np.flatnonzero(codes[i:j] == skipped[-1])[0]) + 1
-                self.later.append(codes[i:j].tobytes())
+            ends = np.searchsorted(of[order], np.arange(len(part) + 1))
+            raw = codes[order].astype(np.int32).tobytes()
+            self.later += [raw[4 * (i + n):4 * j] for i, j, n in zip(ends[:-1].tolist(), ends[1:].tolist(), before[at:at + TOGETHER])]
         self.word += many
         self.skips += skips
+        self.before += before
+        self.passes = np.append(self.passes, np.zeros(len(many), np.int64))
         return range(first, len(self.word))
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, times: dict[str, int]) -> None:
+        """Nodes for the words of a batch that come again."""
         if len(self.word) > NODES_KEPT:
             self.forget()
-        missing = [w for w in new if len(w) <= SHORT and w not in self.root]
-        self.root.update(zip(missing, self._grow(missing, [()] * len(missing))))
-
-    def _descend(self, keys: np.ndarray) -> np.ndarray:
-        """Nodes below others, each key (node << 18 | skipped candidate)."""
-        missing = [k for k in keys.tolist() if k not in self.below]
-        above = [(k >> 18, k & (1 << 18) - 1) for k in missing]
-        self.below.update(zip(missing, self._grow([self.word[n] for n, _ in above], [(*self.skips[n], c) for n, c in above])))
-        return np.fromiter(map(self.below.__getitem__, keys.tolist()), np.int64, len(keys))
+        new = [w for w in times if len(w) <= SHORT and w not in self.root]
+        bits = np.fromiter(map(hash, new), np.int64, len(new)) & MET - 1
+        again = self.met[bits] | (np.fromiter(map(times.__getitem__, new), np.int64, len(new)) > 1) | (self.limit == 0)
+        self.met[bits] = True
+        new = [new[i] for i in np.flatnonzero(again).tolist()]
+        self.root.update(zip(new, self._grow(new, [()] * len(new), [0] * len(new))))
+
+    def _descend(self, steps: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Nodes below others, each step (node << 18 | skipped merge); -1 where
+        none is known and the node was not passed often."""
+        out = np.fromiter((self.below.get(k, -1) for k in steps.tolist()), np.int64, len(steps))
+        add = np.flatnonzero((out < 0) & known)
+        if len(add):
+            missing = steps[add].tolist()
+            above = [(k >> 18, k & (1 << 18) - 1) for k in missing]
+            before = [self.before[n] + np.frombuffer(self.later[n], np.int32).tolist().index(c) for n, c in above]
+            out[add] = self._grow([self.word[n] for n, _ in above], [(*self.skips[n], c) for n, c in above], before)
+            self.below.update(zip(missing, out[add].tolist()))
+        return out
 
     def cut(self, many: list[str], keys: np.ndarray) -> list[bytes]:
         """Ids of each word under its key."""
-        distinct = {w: i for i, w in enumerate(dict.fromkeys(many))}
-        self.learn(list(distinct))
+        times = Counter(many)
+        self.learn(times)
+        distinct = {w: i for i, w in enumerate(times)}
         at = np.fromiter(map(distinct.__getitem__, many), np.int64, len(many))
         node = np.array([self.root.get(w, -1) for w in distinct], np.int64)[at]
         open_ = np.flatnonzero(node >= 0) if self.limit else np.zeros(0, np.int64)
         while len(open_):
-            own, which = np.unique(node[open_], return_inverse=True)
+            own, which, passed = np.unique(node[open_], return_inverse=True, return_counts=True)
+            self.passes[own] += passed
             later = [self.later[n] for n in own.tolist()]
             codes, size = np.frombuffer(b"".join(later), np.int32).astype(np.int64), np.array([len(x) // 4 for x in later])
             begin, n = (np.cumsum(size) - size)[which], size[which]
@@ -135,10 +179,18 @@ class Merger:
             first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else owner
             open_ = open_[owner[first]]
             steps, which = np.unique(node[open_] << 18 | codes[place[hit[first]]], return_inverse=True)
-            node[open_] = self._descend(steps)[which]
-        out = list(map(self.cuts.__getitem__, node.tolist())) if self.cuts else [b""] * len(many)
-        for i in np.flatnonzero(node < 0).tolist():
+            node[open_] = self._descend(steps, self.passes[steps >> 18] >= OFTEN)[which]
+            open_ = open_[node[open_] >= 0]
+        out = [self.cuts[n] if n >= 0 else b"" for n in node.tolist()]
+        single = np.flatnonzero(node < 0)
+        long = np.array([len(w) > SHORT for w in distinct], bool)[at[single]]
+        for i in single[long].tolist():
             out[i] = self._agenda(many[i], int(keys[i]))
+        single = single[~long]
+        for lo in range(0, len(single), TOGETHER):
+            part = single[lo:lo + TOGETHER]
+            for i, ids in zip(part.tolist(), self._together([many[i] for i in part.tolist()], keys[part])):
+                out[i] = ids
         return out
 
     def _skipped(self, sums: np.ndarray) -> np.ndarray:
@@ -179,12 +231,14 @@ class Merger:
         at = [i for i in range(n) if alive[i]]
         return self._spell(word, [sym[i] for i in at], [start[i] for i in at])
 
-    def _together(self, many: list[str], skips: list[tuple[int, ...]] | None = None, offered: list | None = None) -> list[bytes]:
+    def _together(self, many: list[str], keys: np.ndarray | None = None, skips: list[tuple[int, ...]] | None = None,
+                  merges: list | None = None) -> list[bytes]:
         """Many words at once: a round merges the best candidate of each. The candidates
-        in ``skips`` are skipped (without it: those that this place's key skips);
-        ``offered`` takes all that come up (word, candidate), in their order."""
+        in ``skips`` are skipped, or without it those that each word's key skips;
+        ``merges`` takes what is merged (word, candidate), in order."""
+        if merges is not None:
+            merges.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
         if not many:
-            offered is None or offered.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
             return []
         size = np.array([len(w) for w in many])
         word = np.repeat(np.arange(len(many)), size)
@@ -193,26 +247,27 @@ class Merger:
         sym = np.array([self.pieces.ids.get(chr(c), -1) for c in chars.tolist()], np.int64)[where]
         start = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
         end = start + 1
-        skipped = None if skips is None else np.unique(np.array([n << 18 | c for n, own in enumerate(skips) for c in own], np.int64))
+        key = np.full(len(many), self.key, np.uint64) if keys is None else np.asarray(keys, np.uint64)
+        skipped = None if skips is None else np.sort(np.array([n << 18 | c for n, own in enumerate(skips) for c in own] + [1 << 62], np.int64))
         # candidate of each symbol with the next: rank (_NONE: no merge) and merged piece
         rank, new = np.full(len(word), _NONE, np.int64), np.zeros(len(word), np.int64)
 
         def offer(i):
             i = i[(word[i + 1] == word[i]) & (sym[i] >= 0) & (sym[i + 1] >= 0)]
-            pair = sym[i] << 32 | sym[i + 1]
-            at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            hit = self.pairs[at] == pair
+            at = self._find(sym[i] << 32 | sym[i + 1])
+            hit = at >= 0
             i, at = i[hit], at[hit]
             if self.limit:
                 code = start[i] << 12 | start[i + 1] << 6 | end[i + 1]
-                if offered is not None:
-                    offered.append((word[i], code))
-                stay = ~(self._skipped(np.uint64(self.key) + _adds(code)) if skipped is None else np.isin(word[i] << 18 | code, skipped))
-                i, at = i[stay], at[stay]
+                if skipped is None:
+                    stay = ~self._skipped(key[word[i]] + _adds(code))
+                    i, at = i[stay], at[stay]
+                elif len(skipped) > 1:
+                    own = word[i] << 18 | code
+                    stay = skipped[np.searchsorted(skipped, own)] != own
+                    i, at = i[stay], at[stay]
             rank[i], new[i] = self.rank[at], self.merged[at]
 
-        if offered is not None:
-            offered.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
         offer(np.arange(len(word) - 1))
         done = []
         while len(word):
@@ -225,6 +280,8 @@ class Merger:
                 rest = np.repeat(idle, np.diff(np.append(first, len(word))))
                 done.append((word[rest], start[rest], sym[rest]))
                 keep = ~rest
+            if merges is not None:
+                merges.append((word[take], start[take] << 12 | start[take + 1] << 6 | end[take + 1]))
             sym[take], end[take], rank[take] = new[take], end[take + 1], _NONE
             before = take[(take > 0) & (word[take - 1] == word[take])] - 1
             rank[before] = _NONE
