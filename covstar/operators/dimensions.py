@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +13,7 @@ from pyspark.sql import types as T
 from .. import constants as C
 from .. import functions as X
 from .clean import drop_null_members
+from .joins import broadcastable
 
 
 def exact_avg(c: str | Column, scale: int) -> Column:
@@ -74,6 +79,24 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFr
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
 
 
+def dedupe_counted(df: DataFrame, keys: list[str], order_by: list[str], held: list) -> DataFrame:
+    """W3 in two steps, for frames with few repeated keys: one hash aggregate
+    counts the keys (only keys travel, a hot key is folded in each task); rows
+    of keys that occur once pass with their partitioning, the others are
+    reduced by ``first_per_key``. The repeated keys are persisted (appended to
+    ``held``) and counted: beyond the broadcast limit all rows take the second
+    step, with the same result."""
+    again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    again = again.select(*[F.col(k).alias(f"_r_{k}") for k in keys]).persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(again)
+    if not broadcastable(again, again.count()):
+        return first_per_key(df, keys, order_by).select(*df.columns)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    single = df.join(F.broadcast(again), same, "left_anti")
+    many = df.join(F.broadcast(again), same, "left_semi")
+    return single.unionByName(first_per_key(many, keys, order_by).select(*df.columns))
+
+
 # --- dimension members from the normalised frame (A1) ----------------------
 
 def time_members(norm: DataFrame) -> DataFrame:

@@ -37,14 +37,6 @@ MEASURE_TYPES = {
 }
 
 
-def accepted_rows(norm: DataFrame) -> DataFrame:
-    """Rows the fact key (source_id, timestamp) accepts: one per key, the
-    smallest row (deterministic). An aggregate: each task folds the copies of a
-    hot key before the shuffle."""
-    df = norm.withColumn("source_id", F.col("id").cast("string"))
-    return first_per_key(df, ["source_id", "timestamp"], ["device_id", "signal"])
-
-
 # Rows the fact cannot take, by reason: no device key (neither id nor
 # name), no grid cell, or a value that its column type cannot hold
 def quarantine_rules() -> list:
@@ -58,14 +50,27 @@ def quarantine_rules() -> list:
             *[(f"{target}_fuera_de_rango", beyond(column, target)) for column, target in measures]]
 
 
-def split_quarantine(acc: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows for the fact, quarantined rows with a ``motivo`` column)."""
-    bad = None
+def with_reason(norm: DataFrame) -> DataFrame:
+    """``norm`` with the fact key's ``source_id`` and ``motivo``, the first rule
+    that a row breaks (NULL: the fact can take it)."""
     reason = None
     for name, cond in quarantine_rules():
-        bad = cond if bad is None else bad | cond
         reason = F.when(cond, F.lit(name)) if reason is None else reason.when(cond, F.lit(name))
-    return acc.filter(~bad), acc.filter(bad).withColumn("motivo", reason)
+    return norm.withColumn("source_id", F.col("id").cast("string")).withColumn("motivo", reason)
+
+
+def accepted_rows(norm: DataFrame) -> DataFrame:
+    """Rows the fact accepts: of those it can take, one per key (source_id,
+    timestamp), the smallest row (deterministic). An aggregate: each task folds
+    the copies of a hot key before the shuffle."""
+    good = with_reason(norm).filter(F.col("motivo").isNull()).drop("motivo")
+    return first_per_key(good, ["source_id", "timestamp"], ["device_id", "signal"])
+
+
+def quarantined_rows(norm: DataFrame) -> DataFrame:
+    """Rows the fact cannot take, one per (source_id, timestamp, motivo)."""
+    bad = with_reason(norm).filter(F.col("motivo").isNotNull())
+    return first_per_key(bad, ["source_id", "timestamp", "motivo"], ["device_id", "signal"])
 
 
 def fact_id(source_id: str = "source_id", ts: str = "timestamp"):
@@ -133,12 +138,10 @@ class Warehouse:
         one is named), so repeated queries read it instead of its lineage."""
         spark = raw.sparkSession
         norm = normalize(raw, grid_size, grid_mode)
-        acc = accepted_rows(norm)
-        good, bad = split_quarantine(acc)
+        good, bad = accepted_rows(norm), quarantined_rows(norm)
         if materialize_fact:
             # one dedupe shuffle serves the zone dimension and the fact
-            acc = acc.persist(StorageLevel.MEMORY_AND_DISK)
-            good, bad = split_quarantine(acc)
+            good = good.persist(StorageLevel.MEMORY_AND_DISK)
         # the four small dimensions come from one bounded aggregate (days x
         # hours x operators x networks), i.e. one scan instead of four
         # three independent aggregates, materialised side by side (jobs from
@@ -169,7 +172,10 @@ class Warehouse:
         fact = to_fact_rows(good, dims, sizes, now)
         if materialize_fact:
             from ..session import cut_lineage
+            lazy = fact
             fact = cut_lineage(fact)   # queries read the fact, not its lineage
+            if fact is not lazy:       # one feed-sized copy: the checkpoint
+                good.unpersist()
         return cls(spark, dims, fact, sizes, quarantine=bad)
 
     @classmethod
@@ -177,17 +183,18 @@ class Warehouse:
         """The warehouse written by the load job (current snapshots)."""
         from concurrent.futures import ThreadPoolExecutor
 
-        from ..plans.store import current_versions, read_table, read_version
-        vers = current_versions(spark, root)
-        missing = [n for n in DIM_COLUMNS if n not in vers]
+        from ..plans import commits
+        from ..plans.store import read_facts, read_version, read_zones
+        st = commits.state(spark, root)
+        missing = [n for n in DIM_COLUMNS if n not in st.tables]
         if missing:
             raise FileNotFoundError(f"no warehouse at {root} (missing {', '.join(missing)}): run the load first")
-        dims = {name: read_version(spark, root, name, vers[name]) for name in DIM_COLUMNS}
+        dims = {name: read_version(spark, root, name, st.tables[name]) for name in DIM_COLUMNS}
+        dims["dim_zonas"] = read_zones(spark, root, st)
         # the size checks are small independent counts: run them side by side
         with ThreadPoolExecutor(max_workers=len(dims)) as pool:
             sizes = dict(zip(dims, pool.map(lambda d: d.count(), dims.values())))
-        fact = read_table(spark, root, "fact_mediciones")
-        return cls(spark, dims, fact, sizes, root=root)
+        return cls(spark, dims, read_facts(spark, root, st), sizes, root=root)
 
     AGGREGATES = ("mv_stats_diarias_operador", "mv_stats_zonas", "mv_top_dispositivos")
 

@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from .. import functions as X
 from ..operators.clean import normalize
-from ..operators.dimensions import (AUDIT_COLUMNS, DIM_COLUMNS, assign_ids, device_members, hour_members,
-                                    network_members, operator_members, quality_dim, time_members,
+from ..operators.dimensions import (AUDIT_COLUMNS, DIM_COLUMNS, assign_ids, dedupe_counted, device_members,
+                                    hour_members, network_members, operator_members, quality_dim, time_members,
                                     zone_members, zone_stats)
-from ..operators.maintenance import (insert_ignore, new_facts, stored_keys, upsert_accumulate,
-                                     with_audit_cols)
-from ..operators.warehouse import accepted_rows, split_quarantine, to_fact_rows
+from ..operators.joins import dim_join
+from ..operators.maintenance import insert_ignore, new_facts, stored_keys, with_audit_cols
+from ..operators.warehouse import to_fact_rows, with_reason
 from ..sources.raw import extract, high_watermark, since
-from . import store
+from . import commits, store
+from .commits import ConcurrentLoadError
 
 
 def _now() -> _dt.datetime:
@@ -79,19 +80,21 @@ def _merge_natural_dim(existing: DataFrame | None, n_existing: int, members: Dat
     return table, n
 
 
-def _merge_zones(existing: DataFrame | None, delta: DataFrame, now, held: list) -> DataFrame:
-    """K2 + K4: add the new totals to known cells (other attributes keep
-    their first values); new cells get ids after the largest id."""
-    keys = ["grid_lat", "grid_lon"]
-    cols = _stored_columns("dim_zonas")
-    delta = with_audit_cols(delta, now, AUDIT_COLUMNS["dim_zonas"])
+def _zone_increment(existing: DataFrame | None, delta: DataFrame, now, held: list, n_existing: int | None) -> tuple[DataFrame, DataFrame]:
+    """K2 + K4: (whole rows of new cells, with ids after the largest; counts to
+    add to known cells, other attributes NULL as they keep their first values).
+    Its size is that of the batch, whatever the number of zones."""
+    keys, cols = ["grid_lat", "grid_lon"], _stored_columns("dim_zonas")
+    delta = _held(held, with_audit_cols(delta, now, AUDIT_COLUMNS["dim_zonas"]))
     if existing is None:
-        return assign_ids(delta, "zona_id", keys).select(*cols)
-    merged = upsert_accumulate(existing.select(*cols), delta, keys, ["total_mediciones"])
-    merged = _held(held, merged)
-    old = merged.filter(F.col("zona_id").isNotNull())
-    new = assign_ids(merged.filter(F.col("zona_id").isNull()).drop("zona_id"), "zona_id", keys, existing)
-    return old.select(*cols).unionByName(new.select(*cols))
+        return assign_ids(delta, "zona_id", keys).select(*cols), None
+    known = dim_join(delta, existing.select("zona_id", *keys), keys, "left", n_existing)
+    known = _held(held, known)
+    fresh = assign_ids(known.filter(F.col("zona_id").isNull()).drop("zona_id"), "zona_id", keys, existing).select(*cols)
+    kinds = {f.name: f.dataType for f in existing.schema.fields}
+    more = known.filter(F.col("zona_id").isNotNull()).select(
+        *[F.col(c) if c in ("zona_id", "total_mediciones") else F.lit(None).cast(kinds[c]).alias(c) for c in cols])
+    return fresh, more
 
 
 def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode: str = "incremental",
@@ -99,20 +102,33 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
                grid_size: float = C.GRID_SIZE_ETL, grid_mode: str = "trunc") -> dict:
     """Load one batch of raw rows into the warehouse at ``root``.
 
-    Dimension snapshots, zone totals and facts are written first and become
-    current together, in one log append: a run that fails anywhere before
-    leaves the warehouse as it was, and its rerun assigns the same ids (they
-    are a function of the stored dimension and the batch)."""
+    Dimension snapshots, zone increments, quarantined rows and facts are
+    written first and become current together, in one commit: a run that fails
+    anywhere before leaves the warehouse as it was, and its rerun assigns the
+    same ids (they are a function of the stored dimension and the batch). Of
+    two loads that started from one state, one commits and the other raises
+    ``ConcurrentLoadError``."""
     t0 = time.time()
     now = _as_datetime(now)
     run_id = uuid.uuid4().hex[:12]
+    st = commits.state(spark, root)
     vers = store.current_versions(spark, root)
     if overwrite:
         dims = {n: None for n in DIM_COLUMNS}
         fact = None
     else:
         dims = {n: (store.read_version(spark, root, n, vers[n]) if n in vers else None) for n in DIM_COLUMNS}
-        fact = store.read_table(spark, root, store.FACT)
+        dims["dim_zonas"] = store.read_zones(spark, root, st)
+        fact = store.read_facts(spark, root, st)
+
+    def recorded(status: str, **more) -> None:
+        store.record_run(spark, root, {"table_name": store.FACT, "run_id": run_id, "mode": mode, "batch_id": batch_id,
+                                       "records_processed": 0, "status": status, "updated_at": _now(), **more})
+
+    if st.seq == 0 and store.control_log(spark, root) is None:      # the seeded control row
+        store.record_run(spark, root, {"table_name": store.FACT, "last_extracted_at": _dt.datetime(1970, 1, 1),
+                                       "records_processed": 0, "status": "IDLE", "updated_at": _now()})
+    recorded("RUNNING")
 
     # a narrow projection of the scan; the feed itself is never cached
     norm = normalize(batch, grid_size, grid_mode)
@@ -127,7 +143,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
         stats = combos.agg(F.coalesce(F.sum("n"), F.lit(0)), F.min("first"), F.max("last")).first()
         result.update({"valid_rows": stats[0], "last_extracted_at": stats[2]})
         if stats[0] or overwrite:
-            result.update(_load_normalized(spark, norm, combos, root, dims, vers, fact, now, overwrite, grid_size,
+            result.update(_load_normalized(spark, norm, combos, root, dims, st, fact, now, overwrite, grid_size,
                                            (stats[1], stats[2]), run_id, held))
         status, err = "OK", None
     except Exception as e:  # recorded, then re-raised
@@ -136,31 +152,34 @@ def load_batch(spark: SparkSession, batch: DataFrame, root: str, now=None, mode:
     finally:
         for df in held:
             df.unpersist()
-        store.record_run(spark, root, {
-            "table_name": store.FACT, "run_id": run_id, "mode": mode, "batch_id": batch_id,
-            "last_extracted_at": result.get("last_extracted_at"), "last_loaded_at": now,
-            "records_processed": result.get("new_facts", 0), "status": status,
-            "error_message": err, "updated_at": _now()})
+        recorded(status, last_extracted_at=result.get("last_extracted_at"), last_loaded_at=now,
+                 records_processed=result.get("new_facts", 0), error_message=err)
     dur = max(time.time() - t0, 1e-9)
     result.update({"seconds": round(dur, 3), "rows_per_s": round(result["new_facts"] / dur, 1)})
     return result
 
 
-class ConcurrentLoadError(RuntimeError):
-    """Another load published new versions while this one was running."""
-
-
 def _check_versions(spark, root, vers: dict) -> None:
-    """Optimistic single-writer check: the versions this load started from
-    must still be current (loads are meant to run one at a time)."""
+    """Stop early, before the facts are written, if another load has committed
+    since this one started; the commit itself is the check that decides."""
     now_vers = store.current_versions(spark, root)
     changed = [n for n in set(vers) | set(now_vers) if now_vers.get(n) != vers.get(n)]
     if changed:
         raise ConcurrentLoadError(f"tables changed by another load: {sorted(changed)}; rerun this load")
 
 
-def _load_normalized(spark, norm, combos, root, dims, vers, fact, now, overwrite, grid_size, ts_range,
+def _stored_quarantine(spark, root, st, overwrite, ts_range) -> DataFrame | None:
+    """Keys (source_id, timestamp, motivo) already quarantined in the time range of the batch."""
+    kept = None if overwrite else store.read_quarantine(spark, root, st)
+    if kept is None:
+        return None
+    lo, hi = (X.ts_literal(t, kept.schema["timestamp"].dataType) for t in ts_range)
+    return kept.filter(F.col("timestamp").between(lo, hi)).select("source_id", "timestamp", "motivo")
+
+
+def _load_normalized(spark, norm, combos, root, dims, st, fact, now, overwrite, grid_size, ts_range,
                      run_id, held) -> dict:
+    vers = dict(st.tables)
     out = {"new_members": {}}
     written: dict[str, int] = {}
     current, sizes = {}, {}
@@ -213,44 +232,63 @@ def _load_normalized(spark, norm, combos, root, dims, vers, fact, now, overwrite
     else:
         current["dim_calidad"], sizes["dim_calidad"] = dims["dim_calidad"], len(C.QUALITY_SEED)
 
-    # rows whose key (source_id, timestamp) is not stored yet (K3), then one row
-    # per key: a rerun drops its rows before the dedupe's shuffle
-    rows = norm.withColumn("source_id", F.col("id").cast("string")).withColumn("semana", X.week_partition("timestamp"))
+    # rows whose key (source_id, timestamp, motivo) is stored neither as a fact
+    # (no motivo) nor in the quarantine (K3), then one row per key: a rerun drops
+    # its rows before the dedupe's shuffle
+    rows = with_reason(norm).withColumn("semana", X.week_partition("timestamp"))
     # weeks of the batch (bounded list), from the small aggregate
     touched = [r[0] for r in combos.select(X.week_partition("fecha")).distinct().collect()]
-    n_stored = None
+    keys = ["source_id", "timestamp", "motivo"]
+    kept = _stored_quarantine(spark, root, st, overwrite, ts_range)
+    known = None
     if fact is not None:
-        # the stored keys the batch can collide with: pruned to its weeks and
-        # time range, counted (cheap on time-sorted files) for the broadcast check
-        n_stored = stored_keys(fact, touched=touched, ts_range=ts_range).count()
-    unseen = new_facts(fact, rows, touched=touched, ts_range=ts_range, existing_rows=n_stored)
+        # the stored keys the batch can collide with: pruned to its weeks and time
+        # range, counted (cheap on time-sorted files) for the broadcast check
+        known = stored_keys(fact, touched=touched, ts_range=ts_range).withColumn("motivo", F.lit(None).cast("string"))
+    if kept is not None:
+        known = kept if known is None else known.unionByName(kept.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
+    unseen = rows if known is None else new_facts(known, rows, keys, existing_rows=known.count())
     # persisted, not checkpointed: the plan is deterministic and the scan of
     # the stored fact has a fixed file list, so a recomputation after a lost
     # executor gives the same rows
-    fresh = _held(held, accepted_rows(unseen))
-    n_fresh = fresh.count()
-    good, bad = split_quarantine(fresh)
-    n_bad = bad.count()
+    fresh = _held(held, dedupe_counted(unseen, keys, ["device_id", "signal"], held))
+    good, bad = fresh.filter(F.col("motivo").isNull()).drop("motivo"), fresh.filter(F.col("motivo").isNotNull())
+    n_fresh, n_bad = fresh.agg(F.count(F.lit(1)), F.count("motivo")).first()
     out["quarantined"] = n_bad
     out["new_facts"] = n_fresh - n_bad
+    new = n_fresh > n_bad
 
     # zones accumulate the accepted facts only, so a rerun adds zero
-    if n_fresh > n_bad or dims["dim_zonas"] is None:
+    zones = dims["dim_zonas"]
+    n_zones = _count(zones)
+    more_zones = False
+    if zones is None:
+        fresh_zones, _ = _zone_increment(None, zone_members(zone_stats(good, grid_size, cells_ready=True), grid_size), now, held, None)
+        publish("dim_zonas", fresh_zones)
+    elif new:
         delta = zone_members(zone_stats(good, grid_size, cells_ready=True), grid_size)
-        publish("dim_zonas", _merge_zones(dims["dim_zonas"], delta, now, held))
+        fresh_zones, counts = _zone_increment(zones, delta, now, held, n_zones)
+        store.write_zone_increment(fresh_zones.unionByName(counts), root, run_id)
+        more_zones = True
+        # the keys of new cells are read back from this load's own increment
+        own = spark.read.schema(zones.schema).parquet(store._path(root, store.ZONES_MORE, f"run_id={run_id}"))
+        own = own.filter(F.col("grid_lat").isNotNull())
+        current["dim_zonas"], sizes["dim_zonas"] = zones.unionByName(own), n_zones + own.count()
     else:
-        current["dim_zonas"], sizes["dim_zonas"] = dims["dim_zonas"], _count(dims["dim_zonas"])
+        current["dim_zonas"], sizes["dim_zonas"] = zones, n_zones
 
     if n_bad:
         store.write_quarantine(bad, root, run_id)
     _check_versions(spark, root, vers)
-    new = n_fresh > n_bad
+    weeks = []
     if new:
         store.append_facts(to_fact_rows(good, current, sizes, now), root, run_id)
-    _check_versions(spark, root, vers)
+        weeks = sorted(r[0] for r in good.select("semana").distinct().collect())     # bounded: weeks of the batch
     if new or overwrite or store.FACT not in vers:
         written[store.FACT] = vers.get(store.FACT, 0) + 1
-    store.record_versions(spark, root, written, now, run_id if new else None, overwrite)
+    if written or n_bad or more_zones:
+        commits.commit(spark, root, st, {"kind": "load", "tables": written, "run": run_id, "weeks": weeks, "reset": overwrite,
+                                         "quarantine": bool(n_bad), "zones": more_zones})
     return out
 
 
@@ -275,6 +313,9 @@ def run(spark: SparkSession, raw: DataFrame, root: str, mode: str = "incremental
             # the newest week holds the newest row: other weeks are not read
             newest = fact.agg(F.max("semana")).first()[0]
             wm = high_watermark(fact.filter(F.col("semana") == newest)).first()[0]
+            kept = store.read_quarantine(spark, root)
+            if kept is not None:        # rows that were read and set aside are not read again
+                wm = max(wm, kept.agg(F.max(F.col("timestamp").cast("timestamp_ntz"))).first()[0])
             if lookback is not None and wm is not None and wm.year > 1970:
                 wm = wm - lookback
     batch = extract(since(raw, wm), limit)

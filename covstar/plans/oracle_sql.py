@@ -116,12 +116,10 @@ def fact_sql(src_acc: str = "good", prefix: str = "") -> str:
 ACC_SQL = """
 acc AS (
   SELECT *, id AS source_id FROM norm
+  WHERE device_id IS NOT NULL AND (battery IS NULL OR TRY_CAST(battery AS DECIMAL(5,2)) IS NOT NULL)
   QUALIFY row_number() OVER (PARTITION BY id, "timestamp" ORDER BY device_id NULLS FIRST, signal NULLS FIRST) = 1
 ),
-good AS (
-  SELECT * FROM acc
-  WHERE device_id IS NOT NULL AND (battery IS NULL OR TRY_CAST(battery AS DECIMAL(5,2)) IS NOT NULL)
-)"""
+good AS (SELECT * FROM acc)"""
 
 QUALITY_SQL = """
 d_calidad AS (

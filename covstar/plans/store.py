@@ -2,28 +2,31 @@
 
 Layout under a warehouse ``root`` (a shared filesystem / object store path):
 
-    <root>/_control/versions/      append-only log (table, version, written_at)
+    <root>/_control/commits/       which of the directories below count (``plans.commits``)
     <root>/_control/etl_control/   append-only run log (K10)
     <root>/<dimension>/v=<n>/      one immutable snapshot per version
+    <root>/dim_zonas_mas/run_id=<id>/   zone increments of one load (K2)
     <root>/<aggregate>/v=<n>/      materialised aggregates (K8)
+    <root>/_partials/<aggregate>/refresh=<n>/semana=<w>/   mergeable states of one week (K8)
+    <root>/_quarantine/run_id=<id>/     rows that the fact cannot take
     <root>/fact_mediciones/run_id=<id>/semana=<yyyy-mm-dd>/   weekly partitions of one load
 
-A load writes new directories only: a snapshot per changed table and its facts
-under its own run id. One append to the log, a single file, then makes all of
-it current together. Readers take the facts of recorded runs only, so a load
-that fails at any point before leaves the warehouse as it was, and an overwrite
-is a record that the runs before it no longer count.
+A load writes new directories only: a snapshot per changed table, its facts, its
+quarantined rows and its zone increments under its own run id. One commit then
+makes all of it current together. Readers take the directories that the commits
+name, so a load that fails at any point before leaves the warehouse as it was,
+and an overwrite is a commit that the runs before it no longer count.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import commits
+
 FACT = "fact_mediciones"
 
 FACT_SCHEMA = T.StructType([
@@ -50,7 +53,7 @@ FACT_SCHEMA = T.StructType([
 
 FACT_READ_SCHEMA = T.StructType([*FACT_SCHEMA.fields, T.StructField("run_id", T.StringType())])
 
-VERSIONS_SCHEMA = "table string, version int, written_at timestamp, run_id string, reset boolean"
+ZONES_MORE = "dim_zonas_mas"
 CONTROL_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("run_id", T.StringType()),
@@ -80,24 +83,13 @@ def _try_read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         raise
 
 
-def versions(spark: SparkSession, root: str) -> DataFrame | None:
-    return _try_read(spark, _path(root, "_control", "versions"), VERSIONS_SCHEMA)
-
-
 def current_version(spark: SparkSession, root: str, table: str) -> int | None:
-    """Largest recorded version of ``table`` (one scalar from the small log)."""
-    v = versions(spark, root)
-    if v is None:
-        return None
-    return v.filter(F.col("table") == table).agg(F.max("version")).first()[0]
+    return current_versions(spark, root).get(table)
 
 
 def current_versions(spark: SparkSession, root: str) -> dict[str, int]:
-    """Current version of every table, from one small aggregate of the log."""
-    v = versions(spark, root)
-    if v is None:
-        return {}
-    return {r[0]: r[1] for r in v.groupBy("table").agg(F.max("version")).collect()}  # one row per table
+    """Current version of every table."""
+    return dict(commits.state(spark, root).tables)
 
 
 def table_path(root: str, table: str, version: int) -> str:
@@ -125,42 +117,57 @@ def write_version(df: DataFrame, root: str, table: str, version: int, coalesce:
     out.write.mode("overwrite").parquet(table_path(root, table, version))
 
 
-def record_versions(spark: SparkSession, root: str, written: dict[str, int], now=None,
-                    run_id: str | None = None, reset: bool = False) -> None:
-    """Make written snapshots current, all in one append to the log; for the
-    fact table the facts of ``run_id`` (none, if it is missing), alone if
-    ``reset``."""
-    if not written:
-        return
-    ts = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    rows = [(t, v, ts, run_id if t == FACT else None, reset and t == FACT) for t, v in written.items()]
-    (spark.createDataFrame(rows, VERSIONS_SCHEMA).coalesce(1)
-          .write.mode("append").parquet(_path(root, "_control", "versions")))
+def record_versions(spark: SparkSession, root: str, written: dict[str, int]) -> None:
+    """Make written snapshots current, all in one commit."""
+    if written:
+        commits.commit(spark, root, commits.state(spark, root), {"kind": "tables", "tables": written})
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """Current snapshot of a table, or the fact table; ``None`` if absent."""
-    if table == FACT:
-        runs = recorded_runs(spark, root)
-        if runs is None:
-            return None
-        facts = _try_read(spark, _path(root, FACT), FACT_READ_SCHEMA) if runs else None
-        if facts is None:
-            return spark.createDataFrame([], FACT_SCHEMA)
-        return facts.filter(F.col("run_id").isin(runs)).drop("run_id")       # prunes directories
-    v = current_version(spark, root, table)
-    return None if v is None else read_version(spark, root, table, v)
+def fact_paths(root: str, live: dict[str, list[str]], weeks: list[str] | None = None) -> list[str]:
+    """The directories that hold the facts, of some weeks only if named."""
+    return [_path(root, FACT, f"run_id={r}", f"semana={w}") for w in sorted(live) if weeks is None or w in weeks
+            for r in live[w]]
+
+
+def read_facts(spark: SparkSession, root: str, st: commits.State, weeks: list[str] | None = None) -> DataFrame | None:
+    """The facts of a state; only the named directories are listed."""
+    if st.facts is None:
+        return None
+    paths = fact_paths(root, st.facts, weeks)
+    if not paths:
+        return spark.createDataFrame([], FACT_SCHEMA)
+    return (spark.read.schema(FACT_READ_SCHEMA).option("basePath", _path(root, FACT)).parquet(*paths).drop("run_id"))
 
 
-def recorded_runs(spark: SparkSession, root: str) -> list[str] | None:
-    """Run ids whose facts count (one for each load since the last overwrite);
-    ``None`` before the first load."""
-    log = versions(spark, root)
-    rows = [] if log is None else log.filter(F.col("table") == FACT).select("version", "run_id", "reset").collect()
-    if not rows:
+def read_zones(spark: SparkSession, root: str, st: commits.State) -> DataFrame | None:
+    """The zone dimension: its snapshot and the increments of the loads since
+    (new cells whole, known cells as counts to add), folded by zone."""
+    v = st.tables.get("dim_zonas")
+    if v is None:
         return None
-    since = max((r["version"] for r in rows if r["reset"]), default=0)
-    return sorted(r["run_id"] for r in rows if r["version"] >= since and r["run_id"])
+    base = read_version(spark, root, "dim_zonas", v)
+    if not st.zone_runs:
+        return base
+    more = spark.read.schema(base.schema).parquet(*[_path(root, ZONES_MORE, f"run_id={r}") for r in st.zone_runs])
+    rest = [c for c in base.columns if c not in ("zona_id", "total_mediciones")]
+    return (base.unionByName(more).groupBy("zona_id")
+            .agg(F.sum("total_mediciones").alias("total_mediciones"), *[F.max(c).alias(c) for c in rest])
+            .select(*base.columns))
+
+
+def write_zone_increment(df: DataFrame, root: str, run_id: str) -> None:
+    df.coalesce(1).write.mode("overwrite").parquet(_path(root, ZONES_MORE, f"run_id={run_id}"))
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """Current form of a table, the fact table included; ``None`` if absent."""
+    st = commits.state(spark, root)
+    if table == FACT:
+        return read_facts(spark, root, st)
+    if table == "dim_zonas":
+        return read_zones(spark, root, st)
+    v = st.tables.get(table)
+    return None if v is None else read_version(spark, root, table, v)
 
 
 def append_facts(df: DataFrame, root: str, run_id: str) -> None:
@@ -176,23 +183,55 @@ def append_facts(df: DataFrame, root: str, run_id: str) -> None:
 
 
 def write_quarantine(df: DataFrame, root: str, run_id: str) -> None:
-    """Rows the fact cannot take, kept with their reason, one folder per run."""
-    df.write.mode("overwrite").parquet(_path(root, "_quarantine", f"run={run_id}"))
+    """Rows the fact cannot take, kept with their reason; they count once their run is committed."""
+    df.write.mode("overwrite").parquet(_path(root, "_quarantine", f"run_id={run_id}"))
+
+
+def read_quarantine(spark: SparkSession, root: str, st: commits.State | None = None) -> DataFrame | None:
+    st = commits.state(spark, root) if st is None else st
+    if not st.quarantine:
+        return None
+    return spark.read.parquet(*[_path(root, "_quarantine", f"run_id={r}") for r in st.quarantine])
 
 
-def read_quarantine(spark: SparkSession, root: str) -> DataFrame | None:
-    return _try_read(spark, _path(root, "_quarantine"))
+CONTROL = ("_control", "etl_control")
 
 
 def control_log(spark: SparkSession, root: str) -> DataFrame | None:
-    return _try_read(spark, _path(root, "_control", "etl_control"), CONTROL_SCHEMA)
+    log = _try_read(spark, _path(root, *CONTROL), CONTROL_SCHEMA)
+    return None if log is None else log.distinct()      # rows that a fold left twice count once
 
 
 def record_run(spark: SparkSession, root: str, row: dict) -> None:
-    """Append one run row to the control log."""
+    """Append one row to the control log."""
     vals = tuple(row.get(f.name) for f in CONTROL_SCHEMA.fields)
-    (spark.createDataFrame([vals], CONTROL_SCHEMA)
-          .write.mode("append").parquet(_path(root, "_control", "etl_control")))
+    (spark.createDataFrame([vals], CONTROL_SCHEMA).coalesce(1)
+          .write.mode("append").parquet(_path(root, *CONTROL)))
+
+
+def control_state(spark: SparkSession, root: str) -> DataFrame | None:
+    """The last control row of each table: IDLE before the first run, RUNNING
+    while one loads (or after one was killed), then OK or ERROR."""
+    log = control_log(spark, root)
+    if log is None:
+        return None
+    rest = [F.col(c) for c in log.columns if c not in ("table_name", "updated_at")]
+    last = log.groupBy("table_name").agg(F.max(F.struct("updated_at", *rest)).alias("last"))
+    return last.select("table_name", *[F.col(f"last.{c}").alias(c) for c in log.columns if c != "table_name"])
+
+
+def fold_control_log(spark: SparkSession, root: str) -> int:
+    """One file in place of the many small ones of the control log. A crash after
+    the write leaves rows twice, which readers count once."""
+    log = _try_read(spark, _path(root, *CONTROL), CONTROL_SCHEMA)
+    files = [] if log is None else log.inputFiles()
+    if len(files) < 2:
+        return 0
+    spark.read.schema(CONTROL_SCHEMA).parquet(*files).distinct().coalesce(1).write.mode("append").parquet(_path(root, *CONTROL))
+    for f in files:
+        fs, p = commits._fs(spark, f)
+        fs.delete(p, False)
+    return len(files)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False, rows: int | None = None) -> None:
