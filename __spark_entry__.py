@@ -21,13 +21,16 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from covstar import functions as X  # noqa: E402
 from covstar.operators import analytics as A  # noqa: E402
 from covstar.operators import audit as D  # noqa: E402
+from covstar.operators import early as EF  # noqa: E402
 from covstar.operators import layers as L  # noqa: E402
 from covstar.operators import maintenance as M  # noqa: E402
+from covstar.operators import rollups as R  # noqa: E402
 from covstar.operators import zones as Z  # noqa: E402
 from covstar.operators.clean import normalize  # noqa: E402
-from covstar.operators.dimensions import (assign_ids, dense_number, device_members, zone_members,  # noqa: E402
-                                          zone_stats)
-from covstar.operators.warehouse import Warehouse, accepted_rows  # noqa: E402
+from covstar.operators.dimensions import (DIM_COLUMNS, assign_ids, dense_number, device_members,  # noqa: E402
+                                          zone_members, zone_stats)
+from covstar.operators.pyramid import zoom_pyramid  # noqa: E402
+from covstar.operators.warehouse import Warehouse, accepted_rows, to_fact_rows  # noqa: E402
 from covstar.plans.oracle_sql import (CLASS_COLOR_SQL, MEAN_COLOR_SQL,  # noqa: E402
                                       SIGNAL_CLASS_SQL, avg2, round_dec, with_pipeline,
                                       zone_stats_sql)
@@ -43,6 +46,7 @@ DEVICE_SPLIT_TS = "2024-01-01 06:00:00"   # device increments: few devices are k
 SLICE = dict(date_from="2024-01-05", date_to="2024-01-20", hour_from="06:00", hour_to="18:00",
              operador="ENTEL")
 DEVICE = "MODEL 3"
+ZOOMS = (3, 13)
 
 _CACHE: dict = {}
 
@@ -415,6 +419,56 @@ def q_new_facts(spark, d):
     return M.new_facts(old, new).select("source_id", "timestamp", "semana")
 
 
+def _from_weeks(spark, d, name):
+    """K8: an aggregate merged from the partial states of the single weeks."""
+    w = _wh(spark, d)
+    return R.aggregate(R.partial_state(w.fact, name, ("semana",)).drop("semana"), name, w)
+
+
+def q_merged_daily_operator_stats(spark, d):
+    return _from_weeks(spark, d, "mv_stats_diarias_operador")
+
+
+def q_merged_zone_summary(spark, d):
+    return _from_weeks(spark, d, "mv_stats_zonas")
+
+
+def q_merged_top_devices(spark, d):
+    return _from_weeks(spark, d, "mv_top_dispositivos")
+
+
+def q_merged_global_summary(spark, d):
+    return _from_weeks(spark, d, "resumen")
+
+
+def q_zoom_pyramid(spark, d):
+    return zoom_pyramid(_af(spark, d), finest=ZOOMS[1], coarsest=ZOOMS[0])
+
+
+def q_early_facts(spark, d):
+    """Facts loaded before their device or zone is known, under member 0,
+    and the same facts after the repair by the members that came late."""
+    _, first, second = _halves(spark, d, DEVICE_SPLIT_TS)
+    grown = {}
+    for name, id_col, keys, members in (
+            ("dim_dispositivo", "dispositivo_id", ["device_id"], device_members),
+            ("dim_zonas", "zona_id", ["grid_lat", "grid_lon"],
+             lambda n: zone_members(zone_stats(accepted_rows(n), cells_ready=True)))):
+        known = assign_ids(members(first), id_col, keys).select(*DIM_COLUMNS[name])
+        late = M.insert_ignore(known, members(second).select(*[c for c in DIM_COLUMNS[name] if c != id_col]), keys)
+        grown[name] = (known, known.unionByName(assign_ids(late, id_col, keys, known).select(*DIM_COLUMNS[name])))
+    w = _wh(spark, d)
+    before = to_fact_rows(accepted_rows(second), w.dims | {n: k for n, (k, _) in grown.items()}, {}, FIXED_NOW)
+    after = EF.repaired(before, second, w.dims | {n: g for n, (_, g) in grown.items()}, {})
+    named = EF.with_unknown_member(grown["dim_dispositivo"][0], "dim_dispositivo").select(
+        F.col("dispositivo_id").alias("dispositivo_antes"), F.col("device_name").alias("nombre_antes"))
+    old = before.select("source_id", "timestamp", F.col("dispositivo_id").alias("dispositivo_antes"), F.col("zona_id").alias("zona_antes"))
+    new = after.select(F.col("source_id").alias("_s"), F.col("timestamp").alias("_t"), F.col("dispositivo_id").alias("dispositivo_despues"),
+                       F.col("zona_id").alias("zona_despues"))
+    return (old.join(named, "dispositivo_antes")
+            .join(new, F.col("source_id").eqNullSafe(F.col("_s")) & (F.col("timestamp") == F.col("_t"))).drop("_s", "_t"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)
 }
@@ -431,7 +485,9 @@ def _training_data() -> tuple[dict, dict]:
         import corpus_pipeline
 
         from covstar.llm.queries import ORACLE_SQL, QUERIES as llm_queries
-    except ImportError:
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "covstar.llm", "covstar.llm.queries"):
+            raise               # installed, but a library of it is missing
         return {}, {}
     sql = ORACLE_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
     return llm_queries | {"pipeline": corpus_pipeline.run}, sql
@@ -564,19 +620,17 @@ SELECT "timestamp", tiempo_id, hora_id, dispositivo_id, operador_id, red_id, cal
 FROM fact"""),
 
     "full_view": _P("""
-SELECT f."timestamp", CAST(f.latitude AS DOUBLE) AS latitude, CAST(f.longitude AS DOUBLE) AS longitude,
-  CAST(f.medida_senal AS DOUBLE) AS medida_senal, CAST(f.medida_velocidad AS DOUBLE) AS medida_velocidad,
-  CAST(f.medida_altitud AS DOUBLE) AS medida_altitud, CAST(f.medida_bateria AS DOUBLE) AS medida_bateria,
-  f.zona_altitud, t.fecha, t.anio, t.mes, t.nombre_dia, h.hora, h.franja_horaria, d.device_id, d.device_name,
-  o.operador_nombre, r.red_tipo, r.generacion, c.calidad_categoria, z.zona_nombre, f.source_id
-FROM fact f
-LEFT JOIN d_tiempo t ON f.tiempo_id = t.tiempo_id
-LEFT JOIN d_hora h ON f.hora_id = h.hora_id
-LEFT JOIN d_dispositivo d ON f.dispositivo_id = d.dispositivo_id
-LEFT JOIN d_operador o ON f.operador_id = o.operador_id
-LEFT JOIN d_red r ON f.red_id = r.red_id
-LEFT JOIN d_calidad c ON f.calidad_id = c.calidad_id
-LEFT JOIN d_zonas z ON f.zona_id = z.zona_id"""),
+SELECT key.source_id, key."timestamp", key.zona_altitud, key.latitude::DOUBLE AS latitude, key.longitude::DOUBLE AS longitude,
+  key.medida_bateria::DOUBLE AS medida_bateria, key.medida_altitud::DOUBLE AS medida_altitud,
+  key.medida_velocidad::DOUBLE AS medida_velocidad, key.medida_senal::DOUBLE AS medida_senal,
+  (SELECT zona_nombre FROM d_zonas WHERE zona_id = key.zona_id) AS zona_nombre,
+  (SELECT calidad_categoria FROM d_calidad WHERE calidad_id = key.calidad_id) AS calidad_categoria,
+  (SELECT operador_nombre FROM d_operador WHERE operador_id = key.operador_id) AS operador_nombre,
+  net.red_tipo, net.generacion, phone.device_id, phone.device_name, hour.hora, hour.franja_horaria,
+  day.nombre_dia, day.mes, day.anio, day.fecha
+FROM fact key
+LEFT JOIN d_red net USING (red_id) LEFT JOIN d_dispositivo phone USING (dispositivo_id)
+LEFT JOIN d_hora hour USING (hora_id) LEFT JOIN d_tiempo day USING (tiempo_id)"""),
 
     "analytic_frame": _P(f"SELECT {_AF_COLS} FROM af"),
 
@@ -857,5 +911,38 @@ FROM acc a WHERE NOT EXISTS (SELECT 1 FROM acc1 b WHERE b.source_id = a.source_i
 }
 
 
+_EARLY_SQL = """
+now_dev AS (SELECT device_id, min(device_name) AS device_name, row_number() OVER (ORDER BY device_id) AS id
+            FROM norm WHERE "timestamp" < TIMESTAMP '2024-01-01 06:00:00' AND device_id IS NOT NULL GROUP BY device_id),
+late_dev AS (SELECT device_id, (SELECT count(*) FROM now_dev) + row_number() OVER (ORDER BY device_id) AS id
+             FROM (SELECT DISTINCT device_id FROM norm WHERE "timestamp" >= TIMESTAMP '2024-01-01 06:00:00' AND device_id IS NOT NULL)
+             ANTI JOIN now_dev USING (device_id)),
+now_zone AS (SELECT grid_lat, grid_lon, row_number() OVER (ORDER BY grid_lat, grid_lon) AS id
+             FROM (SELECT DISTINCT grid_lat, grid_lon FROM acc WHERE "timestamp" < TIMESTAMP '2024-01-01 06:00:00')),
+late_zone AS (SELECT grid_lat, grid_lon, (SELECT count(*) FROM now_zone) + row_number() OVER (ORDER BY grid_lat, grid_lon) AS id
+              FROM (SELECT DISTINCT grid_lat, grid_lon FROM acc WHERE "timestamp" >= TIMESTAMP '2024-01-01 06:00:00')
+              ANTI JOIN now_zone USING (grid_lat, grid_lon))"""
+
+_PYRAMID_SQL = f"""
+cells AS (SELECT zoom, CAST(greatest(0, least((1 << zoom) - 1, floor((longitude + 180) / 360 * (1 << zoom)))) AS INTEGER) AS x,
+                 CAST(greatest(0, least((1 << zoom) - 1, floor((90 - latitude) / 180 * (1 << zoom)))) AS INTEGER) AS y,
+                 medida_senal, latitude, longitude
+          FROM af, (SELECT CAST(z AS INTEGER) AS zoom FROM range({ZOOMS[0]}, {ZOOMS[1]} + 1) t(z)))"""
+
+ORACLE |= {f"merged_{name}": ORACLE[name] for name in ("daily_operator_stats", "zone_summary", "global_summary")}
+ORACLE["merged_top_devices"] = "SELECT * EXCLUDE (orden) FROM (" + ORACLE["top_devices"] + ")"
+ORACLE["zoom_pyramid"] = _P(f"""
+SELECT zoom, array_to_string(list_transform(range(zoom - 1, -1, -1), lambda i: ((x >> CAST(i AS INTEGER)) & 1) + 2 * ((y >> CAST(i AS INTEGER)) & 1)), '') AS quadkey,
+  count(*) AS puntos, {avg2('medida_senal')} AS senal_promedio, {avg2('latitude', 6)} AS centro_lat, {avg2('longitude', 6)} AS centro_lon
+FROM cells GROUP BY zoom, x, y""", _PYRAMID_SQL)
+ORACLE["early_facts"] = _P("""
+SELECT f.source_id, f."timestamp", CAST(coalesce(nd.id, 0) AS INTEGER) AS dispositivo_antes, CAST(coalesce(nz.id, 0) AS INTEGER) AS zona_antes,
+  CASE WHEN nd.id IS NULL THEN 'DESCONOCIDO' ELSE nd.device_name END AS nombre_antes,
+  CAST(coalesce(nd.id, ld.id, 0) AS INTEGER) AS dispositivo_despues, CAST(coalesce(nz.id, lz.id, 0) AS INTEGER) AS zona_despues
+FROM acc f LEFT JOIN now_dev nd USING (device_id) LEFT JOIN late_dev ld USING (device_id)
+LEFT JOIN now_zone nz USING (grid_lat, grid_lon) LEFT JOIN late_zone lz USING (grid_lat, grid_lon)
+WHERE f."timestamp" >= TIMESTAMP '2024-01-01 06:00:00'""", _EARLY_SQL)
+
+
 def oracle_sql() -> dict[str, str]:
     return ORACLE | _training_data()[1]

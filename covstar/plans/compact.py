@@ -36,7 +36,7 @@ def compact(spark: SparkSession, root: str, min_runs: int = 2) -> dict:
         _rewritten(spark, root, st, weeks, run_id)
     if st.zone_runs:
         zones = store.read_zones(spark, root, st)
-        version = st.tables["dim_zonas"] + 1
+        version = store.new_version()
         store.write_version(zones, root, "dim_zonas", version, coalesce=store.files_for(zones.count()))
         change["tables"]["dim_zonas"], change["folded_zones"] = version, st.zone_runs
     if len(st.quarantine) > 1:

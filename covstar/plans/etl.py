@@ -188,7 +188,7 @@ def _load_normalized(spark, norm, combos, root, dims, st, fact, now, overwrite,
         if n_rows is None:       # count first: the size picks the file count and the broadcast
             table = _held(held, table)
             n_rows = table.count()
-        v = vers.get(name, 0) + 1
+        v = store.new_version()
         store.write_version(table, root, name, v, coalesce=store.files_for(n_rows))
         written[name] = v
         current[name] = store.read_version(spark, root, name, v)
@@ -211,7 +211,7 @@ def _load_normalized(spark, norm, combos, root, dims, st, fact, now, overwrite,
         table, n_new = plans[name](dims[name], n_existing)
         version = None
         if n_new or dims[name] is None:
-            version = vers.get(name, 0) + 1
+            version = store.new_version()
             store.write_version(table, root, name, version, coalesce=store.files_for(n_existing + n_new))
         return name, version, n_existing, n_new
 
@@ -285,7 +285,7 @@ def _load_normalized(spark, norm, combos, root, dims, st, fact, now, overwrite,
         store.append_facts(to_fact_rows(good, current, sizes, now), root, run_id)
         weeks = sorted(r[0] for r in good.select("semana").distinct().collect())     # bounded: weeks of the batch
     if new or overwrite or store.FACT not in vers:
-        written[store.FACT] = vers.get(store.FACT, 0) + 1
+        written[store.FACT] = store.new_version()
     if written or n_bad or more_zones:
         commits.commit(spark, root, st, {"kind": "load", "tables": written, "run": run_id, "weeks": weeks, "reset": overwrite,
                                          "quarantine": bool(n_bad), "zones": more_zones})

@@ -1,57 +1,107 @@
-"""Materialised aggregates (K8): recompute, write a new snapshot, report.
+"""Materialised aggregates (K8), refreshed incrementally.
 
-The three pre-aggregates are recomputed from the stored fact table in one
-distributed job each and written as the next snapshot version; readers keep
-reading the previous version until the new one is recorded. The order of the
-top-devices list is applied when it is read (an order inside a stored table
-is not kept).
+A refresh reads the facts of the weeks that changed since the last one, writes
+their mergeable partial states (``operators.rollups``), and merges the states of
+all weeks into new snapshots. Weeks without new facts are not read again. The
+states and the snapshots become current in commits of their own; a refresh that
+dies leaves the previous ones. The order of the top-devices list is applied when
+it is read (an order inside a stored table is not kept).
 """
 
 from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import rollups
 from ..operators.warehouse import Warehouse
-from . import store
+from . import commits, store
 
-AGGREGATES = {name: (lambda w, n=name: w.aggregate(n, use_snapshot=False)) for name in Warehouse.AGGREGATES}
+AGGREGATES = Warehouse.AGGREGATES
+SUMMARY = "resumen"
 
 
-def _write_aggregate(w: Warehouse, root: str, name: str, version: int) -> tuple[str, int, float]:
+def touched_weeks(st: commits.State) -> list[str]:
+    """Weeks whose facts changed since the states were written."""
+    return sorted(w for w, seq in st.changed.items() if seq > st.covers)
+
+
+def _state_path(root: str, name: str, refresh: int | None = None, week: str | None = None) -> str:
+    parts = [] if refresh is None else [f"refresh={refresh:08d}"]
+    return store._path(root, "_partials", name, *parts, *([] if week is None else [f"semana={week}"]))
+
+
+def refresh_states(spark: SparkSession, root: str) -> commits.State:
+    """Bring the partial states up to date: reads the changed weeks only."""
+    st = commits.state(spark, root)
+    if st.facts is None:
+        raise FileNotFoundError(f"no warehouse at {root}: run the load first")
+    reset = st.reset_at > st.covers
+    weeks = sorted(st.facts) if reset else touched_weeks(st)
+    if weeks:
+        facts = store.read_facts(spark, root, st, weeks).persist(StorageLevel.MEMORY_AND_DISK)   # one scan, four states
+        try:
+            for name in rollups.SPECS:
+                (rollups.partial_state(facts, name, ("semana",)).repartition("semana")
+                 .write.mode("overwrite").partitionBy("semana").parquet(_state_path(root, name, st.seq)))
+        finally:
+            facts.unpersist()
+    if weeks or reset:
+        commits.commit(spark, root, st, {"kind": "partials", "refresh": st.seq, "weeks": weeks, "covers": st.seq, "reset": reset})
+        st = commits.state(spark, root)
+    return st
+
+
+def states(spark: SparkSession, root: str, name: str, st: commits.State | None = None) -> DataFrame:
+    """The partial states of all weeks, each from the refresh that wrote it last."""
+    st = commits.state(spark, root) if st is None else st
+    base = _state_path(root, name)
+    paths = [_state_path(root, name, r, w) for w, r in sorted(st.partials.items())]
+    if not paths:
+        none = rollups.partial_state(spark.createDataFrame([], store.FACT_SCHEMA), name, ("semana",))
+        return none.filter("false")
+    schema = rollups.partial_state(spark.createDataFrame([], store.FACT_SCHEMA), name, ("semana",)).schema
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+
+def _write_aggregate(w: Warehouse, root: str, name: str, version: int, st: commits.State) -> tuple[str, int, float]:
     t0 = time.time()
-    store.write_version(AGGREGATES[name](w), root, name, version)
+    store.write_version(rollups.aggregate(states(w.spark, root, name, st), name, w), root, name, version)
     rows = store.read_version(w.spark, root, name, version).count()
     return name, rows, round(time.time() - t0, 3)
 
 
-def refresh(w: Warehouse, root: str, name: str) -> tuple[str, int, float]:
+def refresh(spark: SparkSession, root: str, name: str) -> tuple[str, int, float]:
     """Re-materialise one aggregate -> (name, rows, seconds)."""
-    version = (store.current_version(w.spark, root, name) or 0) + 1
-    out = _write_aggregate(w, root, name, version)
-    store.record_versions(w.spark, root, {name: version})
+    st = refresh_states(spark, root)
+    version = store.new_version()
+    out = _write_aggregate(Warehouse.load(spark, root), root, name, version, st)
+    store.record_versions(spark, root, {name: version})
     return out
 
 
 def refresh_all(spark: SparkSession, root: str) -> dict:
     """The refresh job: partition counts, the three aggregates, the global
-    summary (A8, K8 x3, A6). The aggregates are independent jobs and run
-    side by side (submitted from several driver threads), each writing its
-    own snapshot directory; the new versions become current together, in
-    one append to the version log."""
+    summary (A8, K8 x3, A6), all from the partial states. The aggregates are
+    independent jobs and run side by side (submitted from several driver
+    threads), each writing its own snapshot directory; the new versions become
+    current together, in one commit."""
     from concurrent.futures import ThreadPoolExecutor
+    st = refresh_states(spark, root)
     w = Warehouse.load(spark, root)
-    vers = store.current_versions(spark, root)
-    targets = {n: vers.get(n, 0) + 1 for n in AGGREGATES}
+    targets = {n: store.new_version() for n in AGGREGATES}
+    summary = states(spark, root, SUMMARY, st)
     with ThreadPoolExecutor(max_workers=len(AGGREGATES) + 2) as pool:
-        parts_f = pool.submit(lambda: [tuple(r) for r in w.partition_counts().orderBy("semana").collect()])
-        summary_f = pool.submit(lambda: w.global_summary().first().asDict())   # one row
-        done = list(pool.map(lambda n: _write_aggregate(w, root, n, targets[n]), AGGREGATES))
-        parts, summary = parts_f.result(), summary_f.result()   # parts: one row per week
+        parts_f = pool.submit(lambda: [tuple(r) for r in summary.filter("kind = ''").groupBy("semana").agg(
+            F.sum("n").alias("registros")).orderBy("semana").collect()])                    # one row per week
+        summary_f = pool.submit(lambda: rollups.aggregate(summary, SUMMARY, w).first())     # one row
+        done = list(pool.map(lambda n: _write_aggregate(w, root, n, targets[n], st), AGGREGATES))
+        parts, total = parts_f.result(), summary_f.result()
     store.record_versions(spark, root, targets)
-    return {"partitions": parts, "refreshed": done, "summary": summary}
+    return {"partitions": parts, "refreshed": done, "summary": total.asDict() if total else {}}
 
 
 def read_aggregate(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -20,6 +20,11 @@ and an overwrite is a commit that the runs before it no longer count.
 
 from __future__ import annotations
 
+import json
+import random
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +101,12 @@ def table_path(root: str, table: str, version: int) -> str:
     return _path(root, table, f"v={version:06d}")
 
 
+def new_version() -> int:
+    """A version number that grows with time and that no other writer draws: two
+    loads racing from one state never write into one directory."""
+    return time.time_ns() // 1000 * 1000 + random.randrange(1000)
+
+
 def read_version(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:
     return spark.read.parquet(table_path(root, table, version))
 
@@ -178,8 +189,8 @@ def append_facts(df: DataFrame, root: str, run_id: str) -> None:
     parquet row-group min/max statistics prune time ranges like a block-range
     index."""
     out = df.repartitionByRange("semana", "timestamp").sortWithinPartitions("semana", "timestamp")
-    (out.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id", "semana")
-        .parquet(_path(root, FACT)))
+    # a folder of its own for each run: writers that race share no staging folder
+    out.write.mode("append").partitionBy("semana").parquet(_path(root, FACT, f"run_id={run_id}"))
 
 
 def write_quarantine(df: DataFrame, root: str, run_id: str) -> None:
@@ -197,16 +208,25 @@ def read_quarantine(spark: SparkSession, root: str, st: commits.State | None = N
 CONTROL = ("_control", "etl_control")
 
 
+def _control_read(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(CONTROL_SCHEMA).json(_path(root, *CONTROL))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def control_log(spark: SparkSession, root: str) -> DataFrame | None:
-    log = _try_read(spark, _path(root, *CONTROL), CONTROL_SCHEMA)
+    log = _control_read(spark, root)
     return None if log is None else log.distinct()      # rows that a fold left twice count once
 
 
 def record_run(spark: SparkSession, root: str, row: dict) -> None:
-    """Append one row to the control log."""
-    vals = tuple(row.get(f.name) for f in CONTROL_SCHEMA.fields)
-    (spark.createDataFrame([vals], CONTROL_SCHEMA).coalesce(1)
-          .write.mode("append").parquet(_path(root, *CONTROL)))
+    """Append one row to the control log, a small JSON file of its own."""
+    vals = {f.name: v.isoformat() if hasattr(v, "isoformat") else v
+            for f in CONTROL_SCHEMA.fields if (v := row.get(f.name)) is not None}
+    commits.create_if_absent(spark, _path(root, *CONTROL, f"{uuid.uuid4().hex}.json"), json.dumps(vals))
 
 
 def control_state(spark: SparkSession, root: str) -> DataFrame | None:
@@ -223,11 +243,11 @@ def control_state(spark: SparkSession, root: str) -> DataFrame | None:
 def fold_control_log(spark: SparkSession, root: str) -> int:
     """One file in place of the many small ones of the control log. A crash after
     the write leaves rows twice, which readers count once."""
-    log = _try_read(spark, _path(root, *CONTROL), CONTROL_SCHEMA)
+    log = _control_read(spark, root)
     files = [] if log is None else log.inputFiles()
     if len(files) < 2:
         return 0
-    spark.read.schema(CONTROL_SCHEMA).parquet(*files).distinct().coalesce(1).write.mode("append").parquet(_path(root, *CONTROL))
+    spark.read.schema(CONTROL_SCHEMA).json(files).distinct().coalesce(1).write.mode("append").json(_path(root, *CONTROL))
     for f in files:
         fs, p = commits._fs(spark, f)
         fs.delete(p, False)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,33 +68,41 @@ def high_watermark(fact: DataFrame, ts: str = "timestamp") -> DataFrame:
     return fact.agg(F.coalesce(F.max(ts), F.lit(C.EPOCH).cast(dtype)).alias("watermark"))
 
 
+#: Steps of the radix selection: a step counts at most about a thousand places
+#: (months of a feed; hours of a month; seconds of an hour; milliseconds; microseconds).
+_STEPS = (("month", 7), ("hour", 13), ("second", 19), ("millisecond", 23), (None, None))
+
+
 def extract(df: DataFrame, limit: int | None = None, ts: str = "timestamp") -> DataFrame:
     """Bounded extract, the rows up to the timestamp of the ``limit``-th
     oldest one. All rows of that last timestamp belong to it: the next load
     starts strictly after it. Rows without a timestamp never load and are left
-    out. Two small aggregates find the cut (rows by hour, then by timestamp in
-    the hour of the cut); the extract itself is a filter, so no task holds
-    ``limit`` rows from every other."""
+    out. The cut is found by radix selection: each step counts the rows by a
+    finer part of the time within the place of the step before (partial counts
+    in each task, a bounded list to the driver). No window, no sort, and the
+    extract itself is a filter, so no task holds ``limit`` rows."""
     if limit is None:
         return df
-    if isinstance(df.schema[ts].dataType, T.StringType):
-        hour = F.substring(ts, 1, 13)                       # ISO text
-    else:
-        hour = F.date_trunc("hour", ts)
-
-    def first_reaching(counts: DataFrame, need: int):
-        running = counts.withColumn("upto", F.sum("n").over(Window.orderBy("at")))
-        return running.filter(F.col("upto") >= need).orderBy("at").limit(1).first()
-
+    kind = df.schema[ts].dataType
     dated = df.filter(F.col(ts).isNotNull())
-    by_hour = dated.groupBy(hour.cast(df.schema[ts].dataType).alias("at")).agg(F.count(F.lit(1)).alias("n"))
-    top = first_reaching(by_hour, int(limit))
-    if top is None:
-        return dated
-    near = dated.filter(hour.cast(df.schema[ts].dataType) == F.lit(top["at"]))
-    cut = first_reaching(near.groupBy(F.col(ts).alias("at")).agg(F.count(F.lit(1)).alias("n")),
-                         int(limit) - (top["upto"] - top["n"]))
-    return dated.filter(F.col(ts) <= F.lit(cut["at"]))
+    near, need, at = dated, int(limit), None
+    for unit, length in _STEPS:
+        if unit is None:
+            place = F.col(ts)
+        elif isinstance(kind, T.StringType):
+            place = F.substring(ts, 1, length)                   # ISO text
+        else:
+            place = F.date_trunc(unit, ts).cast(kind)
+        counts = near.groupBy(place.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in sorted(counts, key=lambda r: r["at"]):
+            if r["n"] >= need:
+                at = r["at"]
+                break
+            need -= r["n"]
+        else:
+            return dated                                         # fewer rows than the limit
+        near = near.filter((F.col(ts) >= F.lit(at)) & (place == F.lit(at)))
+    return dated.filter(F.col(ts) <= F.lit(at))
 
 
 def device_columns(df: DataFrame) -> DataFrame:

@@ -6,10 +6,13 @@ loaded by the batch load job (``foreachBatch``), whose key anti join makes
 duplicates and replays harmless, whichever stream they come from. The optional bounded-state form drops duplicates inside an event-time
 watermark first.
 
-R2: tumbling one-day windows per operator. Exact distinct counts are not
-available on a stream, so the streaming form uses ``approx_count_distinct``;
-the exact form recomputes the touched days from the stored fact after each
-micro-batch (``foreachBatch``).
+R2 (exact): a chain of three stateful aggregates in append mode. Rows the fact
+cannot take go first; one row per key (source_id, timestamp) stays, the smallest,
+as in the batch load; day x operator x device states count and sum; day x
+operator sums them, where each device is one row, so the distinct count is exact.
+A day is emitted once the watermark has passed it; rows later than ``delay`` are
+dropped. The other exact form recomputes the touched days from the stored fact
+after each micro-batch (``foreachBatch``).
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..operators.clean import normalize
+from ..operators.warehouse import MEASURE_TYPES, with_reason
 from ..plans import etl, store
 from ..sources.raw import RAW_SCHEMA
 
@@ -53,7 +57,7 @@ def refresh_daily_days(spark: SparkSession, root: str, days: list[int]) -> None:
     if old is not None:
         keep = old.filter(~F.date_format("fecha", "yyyyMMdd").cast("int").isin(days))
         fresh = keep.unionByName(fresh.select(*old.columns))
-    version = (store.current_version(spark, root, DAILY) or 0) + 1
+    version = store.new_version()
     store.write_version(fresh, root, DAILY, version)
     store.record_versions(spark, root, {DAILY: version})
 
@@ -79,27 +83,39 @@ def stream_ingest(spark: SparkSession, src: str, root: str, checkpoint: str, fmt
 
 
 def daily_operator_stream(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """R2 (approximate distinct devices): per day and operator, from a raw
-    stream. Event time is cast to TIMESTAMP (watermarks reject NTZ)."""
-    n = normalize(stream).withColumn("event_time", F.col("timestamp").cast("timestamp"))
-    return (n.withWatermark("event_time", delay)
-             .groupBy(F.window("event_time", "1 day").alias("dia"), F.col("operador_normalizado").alias("operador_nombre"))
-             .agg(F.count(F.lit(1)).alias("total_mediciones"),
-                  F.round(F.avg(F.col("signal").cast("decimal(28,12)")), 2).cast("double").alias("senal_promedio"),
-                  F.min("signal").alias("senal_minima"), F.max("signal").alias("senal_maxima"),
-                  *[F.count_if(F.col("calidad_senal") == label).alias(f"mediciones_{label.lower()}")
-                    for _, label, _ in C.SIGNAL_CLASSES + [(None, *C.SIGNAL_CLASS_LAST)]],
-                  F.approx_count_distinct("device_id").alias("dispositivos_unicos_aprox"))
-             .select(F.to_date(F.col("dia.start")).alias("fecha"), "operador_nombre", "total_mediciones",
-                     "senal_promedio", "senal_minima", "senal_maxima", "mediciones_excelente",
-                     "mediciones_buena", "mediciones_regular", "mediciones_mala", "mediciones_critica",
-                     "dispositivos_unicos_aprox"))
+    """R2: the daily operator statistics of a raw stream, equal to the batch
+    aggregate on every day that the watermark has passed. Append mode (three
+    chained stateful operators). Event time is cast to TIMESTAMP (watermarks
+    reject NTZ)."""
+    n = with_reason(normalize(stream)).filter(F.col("motivo").isNull())
+    n = n.withColumn("event_time", F.col("timestamp").cast("timestamp")).withWatermark("event_time", delay)
+    # 1: one row per key, the smallest; the order of the fields is that of the batch dedupe
+    first = n.groupBy("event_time", "source_id").agg(F.min(F.struct(
+        "device_id", "signal", "operador_normalizado", "calidad_senal")).alias("f"))
+    kept = first.select("event_time", F.col("f.device_id").alias("device_id"), F.col("f.operador_normalizado").alias("operador_nombre"),
+                        F.col("f.signal").cast(MEASURE_TYPES["medida_senal"]).alias("senal"), F.col("f.calidad_senal").alias("calidad"))
+    labels = [label for _, label, _ in C.SIGNAL_CLASSES + [(None, *C.SIGNAL_CLASS_LAST)]]
+    # 2: a hot operator is spread over its devices
+    device = kept.groupBy(F.window("event_time", "1 day").alias("dia"), "operador_nombre", "device_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("senal").alias("n_senal"), F.sum("senal").alias("suma"),
+        F.min("senal").alias("minima"), F.max("senal").alias("maxima"),
+        *[F.count_if(F.col("calidad") == label).alias(f"c_{label}") for label in labels])
+    # 3: a device is one row here
+    mean = F.round(F.sum("suma").cast("decimal(24,2)") / F.sum("n_senal").cast("decimal(14,0)"), 2).cast("double")
+    daily = device.groupBy(F.window(F.window_time("dia"), "1 day").alias("dia"), "operador_nombre").agg(
+        F.sum("n").alias("total_mediciones"), F.when(F.sum("n_senal") > 0, mean).alias("senal_promedio"),
+        F.min("minima").cast("double").alias("senal_minima"), F.max("maxima").cast("double").alias("senal_maxima"),
+        *[F.sum(f"c_{label}").alias(f"mediciones_{label.lower()}") for label in labels],
+        F.count("device_id").alias("dispositivos_unicos"))
+    return daily.select(F.to_date(F.col("dia.start")).alias("fecha"), "operador_nombre", "total_mediciones",
+                        "senal_promedio", "senal_minima", "senal_maxima", *[f"mediciones_{label.lower()}" for label in labels],
+                        "dispositivos_unicos")
 
 
 def stream_daily_operator(spark: SparkSession, src: str, sink: str, checkpoint: str, fmt: str = "parquet",
                           delay: str = "1 day", available_now: bool = True):
-    """R2 streaming form: windowed aggregate appended (after the watermark
-    passes a day) to a parquet sink."""
+    """R2: the daily statistics appended (after the watermark passes a day) to
+    a parquet sink."""
     q = (daily_operator_stream(raw_stream(spark, src, fmt), delay)
          .writeStream.outputMode("append").format("parquet")
          .option("path", sink).option("checkpointLocation", checkpoint))
