@@ -22,6 +22,8 @@ from covstar import functions as X  # noqa: E402
 from covstar.operators import analytics as A  # noqa: E402
 from covstar.operators import audit as D  # noqa: E402
 from covstar.operators import early as EF  # noqa: E402
+from covstar.operators.audit import DIM_UNIQUE, FACT_FOREIGN_KEYS, FACT_NOT_NULL  # noqa: E402
+from covstar.operators.increment import increment_checks  # noqa: E402
 from covstar.operators import layers as L  # noqa: E402
 from covstar.operators import maintenance as M  # noqa: E402
 from covstar.operators import rollups as R  # noqa: E402
@@ -47,6 +49,8 @@ SLICE = dict(date_from="2024-01-05", date_to="2024-01-20", hour_from="06:00", ho
              operador="ENTEL")
 DEVICE = "MODEL 3"
 ZOOMS = (3, 13)
+PLANT_NULL, PLANT_KEY, PLANT_TWICE, NO_MEMBER = 61, 67, 71, 900_000
+INCREMENT_WEEK = "2024-01-15"
 
 _CACHE: dict = {}
 
@@ -469,6 +473,32 @@ def q_early_facts(spark, d):
             .join(new, F.col("source_id").eqNullSafe(F.col("_s")) & (F.col("timestamp") == F.col("_t"))).drop("_s", "_t"))
 
 
+def _planted(spark, d):
+    """The warehouse with faults planted by the fact's source id: a NULL in each
+    NOT NULL column, a key without member in each foreign key, repeated fact keys,
+    repeated members in every dimension."""
+    w = _wh(spark, d)
+    n = F.col("source_id").cast("long")
+    f = w.fact
+    f = f.unionByName(f.filter(n % PLANT_TWICE == 0))
+    f = f.withColumns({c: F.when(n % PLANT_NULL != i, F.col(c)) for i, c in enumerate(FACT_NOT_NULL)})
+    f = f.withColumns({k: F.when(n % PLANT_KEY == i, F.lit(NO_MEMBER)).otherwise(F.col(k)) for i, (k, _) in enumerate(FACT_FOREIGN_KEYS)})
+    first = {name: keys for name, keys in reversed(DIM_UNIQUE)}
+    dims = {name: dim.unionByName(dim.orderBy(*first[name]).limit(2)) for name, dim in w.dims.items()}
+    return Warehouse(spark, dims, f, {})
+
+
+def q_planted_violations(spark, d):
+    return D.warehouse_checks(_planted(spark, d))
+
+
+def q_increment_violations(spark, d):
+    """K11 on one load: the planted facts from the split on, against all of them."""
+    w = _planted(spark, d)
+    new = w.fact.filter(F.col("semana") >= INCREMENT_WEEK)
+    return increment_checks(new, w.fact, w.dims, w.sizes, new.count())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)
 }
@@ -944,5 +974,44 @@ LEFT JOIN now_zone nz USING (grid_lat, grid_lon) LEFT JOIN late_zone lz USING (g
 WHERE f."timestamp" >= TIMESTAMP '2024-01-01 06:00:00'""", _EARLY_SQL)
 
 
+def _planted_sql() -> str:
+    cells = [f"CASE WHEN s % {PLANT_NULL} <> {i} THEN {{}} END" for i in range(len(FACT_NOT_NULL))]
+    keys = {k: f"CASE WHEN s % {PLANT_KEY} = {i} THEN {NO_MEMBER} ELSE {{}} END" for i, (k, _) in enumerate(FACT_FOREIGN_KEYS)}
+    out = {}
+    for c, cell in zip(FACT_NOT_NULL, cells):
+        out[c] = cell.format(f'"{c}"')
+    for k, key in keys.items():
+        out[k] = key.format(out.get(k, f'"{k}"'))
+    columns = ", ".join(f'{e} AS "{c}"' for c, e in out.items())
+    return f"""
+doubled AS (SELECT *, CAST(source_id AS BIGINT) AS s FROM fact
+            UNION ALL SELECT *, CAST(source_id AS BIGINT) AS s FROM fact WHERE CAST(source_id AS BIGINT) % {PLANT_TWICE} = 0),
+planted AS (SELECT source_id, semana, {columns} FROM doubled)"""
+
+
+_DIM_SQL = {"dim_tiempo": "d_tiempo", "dim_hora": "d_hora", "dim_operador": "d_operador", "dim_red": "d_red",
+            "dim_calidad": "d_calidad", "dim_dispositivo": "d_dispositivo", "dim_zonas": "d_zonas"}
+
+
+def _fact_rules_sql(src: str, among: str) -> str:
+    rules = [f"SELECT 'fact_mediciones' AS tabla, 'not_null:{c}' AS regla, count(*) FILTER (WHERE \"{c}\" IS NULL) AS violaciones FROM {src}"
+             for c in FACT_NOT_NULL]
+    rules += [f"SELECT 'fact_mediciones', 'fk:{k}->{dim}', count(*) FROM {src} WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM {_DIM_SQL[dim]})"
+              for k, dim in FACT_FOREIGN_KEYS]
+    # a NULL timestamp is a key value like any other in a grouping
+    rules.append(f"""SELECT 'fact_mediciones', 'unique:source_id,timestamp', count(*) FROM
+      (SELECT source_id, "timestamp" FROM {among} a WHERE EXISTS (SELECT 1 FROM {src} b WHERE b.source_id = a.source_id
+         AND b."timestamp" IS NOT DISTINCT FROM a."timestamp") GROUP BY 1, 2 HAVING count(*) > 1)""")
+    return " UNION ALL ".join(rules)
+
+
+ORACLE["planted_violations"] = _P(
+    _fact_rules_sql("planted", "planted") + "".join(
+        f" UNION ALL SELECT '{dim}', 'unique:{','.join(keys)}', least(2, count(*)) FROM {_DIM_SQL[dim]}" for dim, keys in DIM_UNIQUE),
+    _planted_sql())
+ORACLE["increment_violations"] = _P(_fact_rules_sql("fresh", "planted"),
+                                    _planted_sql() + f", fresh AS (SELECT * FROM planted WHERE semana >= '{INCREMENT_WEEK}')")
+
+
 def oracle_sql() -> dict[str, str]:
     return ORACLE | _training_data()[1]

@@ -65,8 +65,8 @@ def test_three_loads_of_one_feed_quarantine_its_rows_once(spark, loaded):
         assert r["quarantined"] == 0 and r["new_facts"] == 0
     assert rows(store.read_quarantine(spark, root).select("source_id", "timestamp", "motivo")) == kept
     # a row set aside comes back whole: it loads
-    bad = raw.filter("battery > 1000 and latitude is not null and device_name is not null").limit(1)
-    mended = bad.withColumn("battery", F.lit(50.0))
+    bad = raw.filter("battery > 1000 and latitude is not null").orderBy("id").limit(1)
+    mended = bad.withColumns({"battery": F.lit(50.0), "device_id": F.lit("dev-1")})
     assert etl.run(spark, mended, root, mode="initial", now=NOW)["new_facts"] == 1
 
 
