@@ -11,10 +11,14 @@ it is read (an order inside a stored table is not kept).
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import rollups
 from ..operators.warehouse import Warehouse
@@ -29,42 +33,58 @@ def touched_weeks(st: commits.State) -> list[str]:
     return sorted(w for w, seq in st.changed.items() if seq > st.covers)
 
 
-def _state_path(root: str, name: str, refresh: int | None = None, week: str | None = None) -> str:
-    parts = [] if refresh is None else [f"refresh={refresh:08d}"]
-    return store._path(root, "_partials", name, *parts, *([] if week is None else [f"semana={week}"]))
+#: Refreshes whose states are read side by side before one of them takes over all weeks.
+MOST_REFRESHES = 16
+
+
+def _state_path(root: str, name: str, refresh: int | None = None) -> str:
+    return store._path(root, "_partials", name, *([] if refresh is None else [f"refresh={refresh}"]))
 
 
 def refresh_states(spark: SparkSession, root: str) -> commits.State:
-    """Bring the partial states up to date: reads the changed weeks only."""
+    """Bring the partial states up to date: reads the facts of the changed weeks only."""
     st = commits.state(spark, root)
     if st.facts is None:
         raise FileNotFoundError(f"no warehouse at {root}: run the load first")
     reset = st.reset_at > st.covers
     weeks = sorted(st.facts) if reset else touched_weeks(st)
-    if weeks:
-        facts = store.read_facts(spark, root, st, weeks).persist(StorageLevel.MEMORY_AND_DISK)   # one scan, four states
-        try:
-            for name in rollups.SPECS:
-                (rollups.partial_state(facts, name, ("semana",)).repartition("semana")
-                 .write.mode("overwrite").partitionBy("semana").parquet(_state_path(root, name, st.seq)))
-        finally:
-            facts.unpersist()
-    if weeks or reset:
-        commits.commit(spark, root, st, {"kind": "partials", "refresh": st.seq, "weeks": weeks, "covers": st.seq, "reset": reset})
-        st = commits.state(spark, root)
-    return st
+    if not weeks and not reset:
+        return st
+    kept = {} if reset else {w: r for w, r in st.partials.items() if w not in weeks}
+    fold = len(set(kept.values())) >= MOST_REFRESHES
+    facts = store.read_facts(spark, root, st, weeks).persist(StorageLevel.MEMORY_AND_DISK)   # one scan, four states
+
+    def write(name: str) -> None:
+        out = rollups.partial_state(facts, name, ("semana",))
+        if fold:                                  # the small states of the other weeks move along
+            out = out.unionByName(states(spark, root, name, commits.State(partials=kept)))
+        out.write.mode("overwrite").parquet(_state_path(root, name, st.seq))
+
+    try:
+        facts.count()
+        with ThreadPoolExecutor(max_workers=len(rollups.SPECS)) as pool:
+            list(pool.map(write, rollups.SPECS))
+    finally:
+        facts.unpersist()
+    commits.commit(spark, root, st, {"kind": "partials", "refresh": st.seq, "weeks": sorted({*weeks, *kept} if fold else weeks),
+                                     "covers": st.seq, "reset": reset})
+    return commits.state(spark, root)
 
 
 def states(spark: SparkSession, root: str, name: str, st: commits.State | None = None) -> DataFrame:
     """The partial states of all weeks, each from the refresh that wrote it last."""
     st = commits.state(spark, root) if st is None else st
-    base = _state_path(root, name)
-    paths = [_state_path(root, name, r, w) for w, r in sorted(st.partials.items())]
-    if not paths:
-        none = rollups.partial_state(spark.createDataFrame([], store.FACT_SCHEMA), name, ("semana",))
-        return none.filter("false")
-    schema = rollups.partial_state(spark.createDataFrame([], store.FACT_SCHEMA), name, ("semana",)).schema
-    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+    none = rollups.partial_state(spark.createDataFrame([], store.FACT_SCHEMA), name, ("semana",))
+    if not st.partials:
+        return none
+    of: dict[int, list[str]] = {}
+    for week, r in st.partials.items():
+        of.setdefault(r, []).append(week)
+    schema = T.StructType([*none.schema.fields, T.StructField("refresh", T.LongType())])
+    rows = (spark.read.schema(schema).option("basePath", _state_path(root, name))
+            .parquet(*[_state_path(root, name, r) for r in sorted(of)]))
+    live = reduce(or_, [(F.col("refresh") == r) & F.col("semana").isin(weeks) for r, weeks in sorted(of.items())])
+    return rows.filter(live).drop("refresh")
 
 
 def _write_aggregate(w: Warehouse, root: str, name: str, version: int, st: commits.State) -> tuple[str, int, float]:
@@ -89,7 +109,6 @@ def refresh_all(spark: SparkSession, root: str) -> dict:
     independent jobs and run side by side (submitted from several driver
     threads), each writing its own snapshot directory; the new versions become
     current together, in one commit."""
-    from concurrent.futures import ThreadPoolExecutor
     st = refresh_states(spark, root)
     w = Warehouse.load(spark, root)
     targets = {n: store.new_version() for n in AGGREGATES}

@@ -7,7 +7,7 @@ Layout under a warehouse ``root`` (a shared filesystem / object store path):
     <root>/<dimension>/v=<n>/      one immutable snapshot per version
     <root>/dim_zonas_mas/run_id=<id>/   zone increments of one load (K2)
     <root>/<aggregate>/v=<n>/      materialised aggregates (K8)
-    <root>/_partials/<aggregate>/refresh=<n>/semana=<w>/   mergeable states of one week (K8)
+    <root>/_partials/<aggregate>/refresh=<n>/   mergeable states of the weeks that a refresh read (K8)
     <root>/_quarantine/run_id=<id>/     rows that the fact cannot take
     <root>/fact_mediciones/run_id=<id>/semana=<yyyy-mm-dd>/   weekly partitions of one load
 
