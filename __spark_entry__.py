@@ -10,6 +10,7 @@ fact's natural key ``source_id`` identifies rows instead.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -36,14 +37,16 @@ from covstar.operators.warehouse import Warehouse, accepted_rows, to_fact_rows
 from covstar.plans.oracle_sql import (CLASS_COLOR_SQL, MEAN_COLOR_SQL,  # noqa: E402
                                       SIGNAL_CLASS_SQL, avg2, round_dec, with_pipeline,
                                       zone_stats_sql)
-from covstar.session import session_key  # noqa: E402
+from covstar.session import checkpoint_dir, session_key  # noqa: E402
 from covstar.sources import raw as S  # noqa: E402
 from covstar.sources.adapter import raw_from_dir  # noqa: E402
+from covstar.sources.pages import export_pages  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 FIXED_NOW = "2025-01-01 00:00:00"
 SPLIT_TS = "2024-01-15 00:00:00"      # increment tests: first load before, second from here
 WATERMARK = "2024-01-20 00:00:00"
+PAGES_FROM = "2024-01-08T00:00:00.000000"    # as the pages write it
 DEVICE_SPLIT_TS = "2024-01-01 06:00:00"   # device increments: few devices are known this early
 SLICE = dict(date_from="2024-01-05", date_to="2024-01-20", hour_from="06:00", hour_to="18:00",
              operador="ENTEL")
@@ -69,6 +72,15 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _CACHE[key]
 
 
+def _shared(spark: SparkSession) -> str:
+    """The shared folder of the session; on a local master without one a folder of its warehouse."""
+    d = checkpoint_dir(spark)
+    master = spark.sparkContext.master
+    if d is None and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return (d or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_covstar").rstrip("/")
+
+
 def _af(spark, sf_dir, **kw) -> DataFrame:
     return _wh(spark, sf_dir).analytic_frame(**kw).drop("medicion_id")
 
@@ -96,6 +108,17 @@ def q_normalized_measurements(spark, d):
                     "fecha", "hora", "tiempo_id")
 
 
+def q_paged_measurements(spark, d):
+    """The feed exported as two batches of pages, read back from a watermark on and normalised."""
+    raw, path, at = _raw(spark, d), f"{_shared(spark)}/pages-{uuid.uuid4().hex[:12]}", F.lit(SPLIT_TS).cast("timestamp_ntz")
+    export_pages(raw.filter(F.col("timestamp") < at), path, 1)
+    export_pages(raw.filter(F.col("timestamp") >= at), path, 2)
+    pages = S.since(S.read_measurements(spark, path, "measurement_pages"), PAGES_FROM)
+    n = normalize(pages).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return n.select("id", "timestamp", "device_id", "operador_normalizado", "red_normalizada", "calidad_senal",
+                    "grid_lat", "grid_lon", "zona_altitud", "speed_kmh", "sector_id", "fecha", "hora", "tiempo_id")
+
+
 def q_signal_class_ids(spark, d):
     r = _raw(spark, d)
     return r.select("id", "signal", X.signal_class("signal").alias("calidad_senal"),
@@ -621,6 +644,10 @@ JOIN d_operador o ON a.operador_id = o.operador_id"""),
 SELECT id, "timestamp", device_id, operador_normalizado, red_normalizada, calidad_senal, grid_lat, grid_lon,
        zona_altitud, speed_kmh, sector_id, fecha, hora, tiempo_id FROM norm"""),
 
+    "paged_measurements": _P("""
+SELECT id, "timestamp", device_id, operador_normalizado, red_normalizada, calidad_senal, grid_lat, grid_lon,
+       zona_altitud, speed_kmh, sector_id, fecha, hora, tiempo_id FROM norm WHERE "timestamp" > TIMESTAMP '2024-01-08 00:00:00'"""),
+
     "signal_class_ids": _P(f"""
 SELECT id, signal, {SIGNAL_CLASS_SQL.format(s='signal')} AS calidad_senal, {_SIGNAL_ID} AS calidad_id FROM raw"""),
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
+from .pages import FORMAT, register_pages
 
 # Declared once: no schema inference on the raw feed.
 RAW_SCHEMA = T.StructType([
@@ -36,7 +37,8 @@ RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 def read_measurements(spark: SparkSession, path: str, fmt: str = "parquet",
                       options: dict | None = None) -> DataFrame:
     """Full scan of the raw feed. Parquet keeps its own types; json / csv
-    use the declared text schema (no inference). ``fmt="jdbc"`` takes the
+    use the declared text schema (no inference). ``fmt="measurement_pages"`` reads
+    exported pages (see ``pages``) and skips those of other days. ``fmt="jdbc"`` takes the
     connection in ``options`` (url, dbtable, partitionColumn, bounds...) so the
     read is split across executors instead of paged through one client."""
     opts = dict(options or {})
@@ -47,11 +49,20 @@ def read_measurements(spark: SparkSession, path: str, fmt: str = "parquet",
     if fmt == "csv":
         opts.setdefault("header", "true")
         return spark.read.options(**opts).schema(RAW_TEXT_SCHEMA).csv(path)
+    if fmt == FORMAT:
+        register_pages(spark)
+        return spark.read.format(FORMAT).options(**opts).schema(RAW_TEXT_SCHEMA).load(path)
     if fmt == "jdbc":
         return spark.read.format("jdbc").options(**opts).load().select(*RAW_COLUMNS)
     return spark.read.format(fmt).options(**opts).load(path).select(*RAW_COLUMNS)
 
 
+def stream_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The exported pages as a stream: a micro-batch takes the whole batches that are new."""
+    register_pages(spark)
+    return spark.readStream.format(FORMAT).schema(RAW_TEXT_SCHEMA).load(path)
+
+
 def since(df: DataFrame, watermark, ts: str = "timestamp") -> DataFrame:
     """Incremental scan, strictly newer than the watermark. ``None`` or the
     epoch means no watermark. The filter is a plain comparison so it reaches
