@@ -1,7 +1,8 @@
 """Connected components of a graph given as edges, by alternating large-star
-and small-star steps. A step is an aggregate (partial below the shuffle) and a
-join on the node, so a node with very many edges is pre-aggregated in the one
-and split by AQE in the other; each round is stored in the shared folder."""
+and small-star steps. A step gives every edge the least neighbour of its node: an
+aggregate of (node, salt) with partial results, the few parts of a node combined,
+and a join on (node, salt), so the edges of a hub spread over the salts in both;
+each round is stored in the shared folder."""
 
 from __future__ import annotations
 
@@ -9,19 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covstar.llm.common import stored
+from covstar.llm.grouping import with_totals
+
+
+def _with_least(e: DataFrame) -> DataFrame:
+    """Edges with m, the least of their u and all its neighbours v. The edges of
+    a hub are dealt over salts by v, so no task reads all of them."""
+    return with_totals(e, "u", "v", {"low": F.min("v")}, {"m": F.min("low")}).withColumn("m", F.least("m", "u"))
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
-    joined = down.join(low, "u")
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+    down = _with_least(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    return down.select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v")))
 
 
 def components(edges: DataFrame, u: str, v: str) -> DataFrame:
