@@ -79,7 +79,7 @@ def test_gray_rank_orders_neighbours_one_bit_apart():
 def test_components_of_a_hub_a_path_and_odd_edges(spark):
     from covstar.llm.components import components as connected
     on_workers(spark)
-    edges = [(500, i) for i in range(100, 400)] + [(i, i + 1) for i in range(600, 640)] + [(7, 7), (None, 3), (3, None), (900, 800), (800, 900)]
+    edges = [(500, i) for i in range(100, 400)] + [(1000, i) for i in range(700, 790)] + [(i, i + 1) for i in range(600, 640)] + [(7, 7), (None, 3), (3, None), (900, 800), (800, 900)]
     got = {r.node: r.component for r in connected(spark.createDataFrame(edges, "u long, v long"), "u", "v").collect()}
-    want = {i: 100 for i in [*range(100, 400), 500]} | {i: 600 for i in range(600, 641)} | {800: 800, 900: 800}
+    want = {i: 100 for i in [*range(100, 400), 500]} | {i: 600 for i in range(600, 641)} | {i: 700 for i in [*range(700, 790), 1000]} | {800: 800, 900: 800}
     assert got == want
