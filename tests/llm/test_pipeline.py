@@ -87,12 +87,21 @@ def test_registered_only_where_installed(monkeypatch):
 
     def gone(name, *a, **k):
         if name.startswith(("corpus_pipeline", "covstar.llm")):
-            raise ImportError(name)
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)     # as for deleted files
+        return real(name, *a, **k)
+
+    def broken(name, *a, **k):
+        if name.startswith("corpus_pipeline"):
+            raise ModuleNotFoundError("No module named 'tokenizers'", name="tokenizers")
         return real(name, *a, **k)
 
     assert "pipeline" in E.queries() and "op9_url_filter" in E.oracle_sql()
     monkeypatch.setattr(builtins, "__import__", gone)
     assert "pipeline" not in E.queries() and set(E.queries()) == set(E.QUERIES)
+    # files that are there but lack a library are a fault, not an absence
+    monkeypatch.setattr(builtins, "__import__", broken)
+    with pytest.raises(ModuleNotFoundError):
+        E.queries()
 
 
 def test_url_query_equals_its_sql(spark):
