@@ -1,13 +1,20 @@
 """Approximate nearest neighbours (largest inner product) on shifted
 space-filling curves.
 
-The vectors are projected on groups of principal directions of a bounded sample
-(together the groups use every direction), each projection is shifted by its own
-offset and ordered along a Hilbert curve: one ordering for each group. Spark
-range-partitions every ordering; a query looks at the key ranges that hold the
-``share`` of the ordering's rows around its own place, the windows of all
-orderings are merged, and candidates are ranked by the exact product of the
-original vectors. ``share`` is a fraction, so recall is alike at every size.
+The vectors are projected on groups of principal directions of a bounded sample,
+then on random directions, each projection is shifted by its own offset and
+ordered along a Hilbert curve: one ordering for each projection. Spark
+range-partitions and numbers every ordering; equal keys are ordered by a hash, so
+a crowded key is cut like any other run of rows. The numbers cut an ordering into
+segments of ``segment`` rows, and a query sees its own segment and half of each
+neighbour: two segments of rows on every curve, whatever the size of the table.
+The best of all windows merge, and are ranked by the exact product of the
+original vectors.
+
+The rows scored for a query are bounded (``CURVES`` x 2 x ``segment``, repeats
+included), so work grows with the queries and shuffle with the rows. Recall then
+depends on the data: vectors in clusters keep it at every size, vectors without
+any structure lose it slowly as the table outgrows the windows (README figures).
 
 Rows with equal vectors are one entry of the index with its ``k + 1`` smallest
 ids: a further copy has that many equal rows before it in every answer, so it
@@ -26,13 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covstar.llm.common import spread, stored
-from covstar.llm.vectors import SAMPLE, answers, best_of, sample_of, stack
+from covstar.llm.vectors import SAMPLE, answers, sample_of, stack
 
-CURVES, BITS = 8, 7
-#: Share of an ordering's rows that a query sees around its place.
-SHARE = 0.16
-#: Rows of a key range, and queries that meet one range in a task.
-RANGE, QUERIES = 16384, 4096
+CURVES, BITS = 32, 7
+#: Rows of a segment of an ordering (a window is two), segments that a task meets at once.
+SEGMENT, SEGMENTS = 768, 8
+#: Rows of a key range, and candidates kept beyond k for the exact ranking.
+RANGE, BEYOND = 1 << 18, 5
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -68,9 +75,10 @@ class Curves:
         dim = sample.shape[1]
         self.mean = sample.mean(0) if len(sample) else np.zeros(dim)
         turns = np.linalg.svd(sample - self.mean, full_matrices=True)[2] if len(sample) > 1 else np.eye(dim)
-        width = max(1, min(8, -(-dim // CURVES)))
-        self.axes = [turns[(np.arange(width) + c * width) % max(dim, 1)].T for c in range(CURVES if dim else 0)]
+        width = min(8, dim)
         rng = np.random.default_rng(seed)
+        self.axes = [turns[c * width:(c + 1) * width].T if (c + 1) * width <= dim else np.linalg.qr(rng.normal(size=(dim, width)))[0]
+                     for c in range(CURVES if dim else 0)]
         self.frames = []
         for a in self.axes:
             y = (sample - self.mean) @ a
@@ -99,68 +107,76 @@ def _entries(rows: DataFrame, is_query, k: int) -> tuple[DataFrame, DataFrame]:
     return entries, queries
 
 
-def nearest(rows: DataFrame, is_query, k: int = 20, share: float = SHARE) -> DataFrame:
+def ranked(keys: DataFrame, ranges: int) -> DataFrame:
+    """(curve, entry, rank): the place of each entry in the ordering of each
+    curve, from its place in a key range and the rows of the ranges before."""
+    tie = F.xxhash64("entry", F.lit(17))
+    placed = stored(keys.withColumn("tie", tie).repartitionByRange(ranges, "curve", "key", "tie", "entry")
+                    .sortWithinPartitions("curve", "key", "tie", "entry")
+                    .select("curve", "entry", F.spark_partition_id().alias("part"),
+                            F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at")), "curves")
+    before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (placed.groupBy("curve", "part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+             .select("curve", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift")))
+    return placed.join(sizes, ["curve", "part"]).select("curve", "entry", (F.col("at") + F.col("shift")).alias("rank"))
+
+
+def nearest(rows: DataFrame, is_query, k: int = 20, segment: int = SEGMENT) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``rows`` (vec_id, v)
     that meets ``is_query`` the ``k`` best rows found, ties to the smaller id."""
     spark = rows.sparkSession
     rows = stored(rows, "vectors")
     entries, queries = _entries(rows, is_query, k)
     size = entries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("dim"),
-                       F.coalesce(F.sum(F.col("asked").cast("long")), F.lit(0)).alias("q")).first()
+                       F.max(F.array_max(F.transform("v", F.abs))).alias("most")).first()
     n, dim = size["n"], size["dim"]
-    curves = Curves(stack(sample_of(entries.select(F.col("entry").alias("vec_id"), "v"), SAMPLE), dim))
+    # a power of two that brings every component to at most 1: products order alike
+    unit = 2.0 ** -np.frexp(size["most"] or 1.0)[1]
+    curves = Curves(stack(sample_of(entries.select(F.col("entry").alias("vec_id"), "v"), SAMPLE), dim) * unit)
 
     def keyed(batches):
         for pdf in batches:
-            v = stack(pdf["v"], dim)
-            raw = [x.tobytes() for x in v]
-            for c, key in enumerate(curves.keys(v)):
-                yield pd.DataFrame({"curve": c, "key": key, "entry": pdf["entry"], "asked": pdf["asked"], "raw": raw})
-
-    ranges = CURVES * max(1, -(-n // min(RANGE, max(512, int(n * share / 4)))))
-    placed = stored(entries.select("entry", "v", "asked").mapInPandas(keyed, "curve int, key long, entry long, asked boolean, raw binary")
-                    .repartitionByRange(ranges, "curve", "key").withColumn("part", F.spark_partition_id()), "curves")
-    # rows of each key range: as many figures as ranges
-    counts = placed.groupBy("curve", "part").agg(F.count(F.lit(1)).alias("n")).orderBy("curve", "part").collect()
-    windows = []
-    for c in range(CURVES):
-        own = [(r["part"], r["n"]) for r in counts if r["curve"] == c]
-        end = np.cumsum([m for _, m in own])
-        for i, (part, m) in enumerate(own):
-            # the rows within half the share of any place in the range
-            lo, hi = end[i] - m - share * n / 2, end[i] + share * n / 2
-            seen = [p for (p, w), e in zip(own, end) if e > lo and e - w < hi]
-            windows.append((c, part, seen))
-    if not windows:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    near = spark.createDataFrame(windows, "curve int, part int, seen array<int>")
-    slots = max(1, -(-int(size["q"] * min(1.0, 2 * share)) // QUERIES))
-    slot = F.pmod(F.xxhash64("entry", F.lit(11)), F.lit(slots)).cast("int")
-    asks = (placed.filter("asked").join(F.broadcast(near), ["curve", "part"])
-            .select("curve", F.explode("seen").alias("part"), slot.alias("slot"), F.lit(True).alias("asks"), "entry", "raw"))
-    held = placed.select("curve", "part", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"),
-                         F.lit(False).alias("asks"), "entry", "raw")
+            for c, key in enumerate(curves.keys(stack(pdf["v"], dim) * unit)):
+                yield pd.DataFrame({"curve": c, "key": key, "entry": pdf["entry"]})
+
+    def packed(batches):
+        for pdf in batches:
+            v = (stack(pdf["v"], dim) * unit).astype(np.float32)
+            yield pd.DataFrame({"entry": pdf["entry"], "asked": pdf["asked"], "raw": [x.tobytes() for x in v]})
+
+    places = ranked(entries.select("entry", "v").mapInPandas(keyed, "curve int, key long, entry long"),
+                    max(spread(spark), -(-CURVES * n // RANGE)))
+    block, half = segment * SEGMENTS, segment // 2
+    # each row goes to the block of its place, and over its edge to the next one's windows
+    held = (places.join(entries.select("entry", "v", "asked").mapInPandas(packed, "entry long, asked boolean, raw binary"), "entry")
+            .withColumn("block", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("rank") - half) / block)),
+                                                      F.floor((F.col("rank") + half) / block)))))
 
     def met(pdf: pd.DataFrame) -> pd.DataFrame:
-        asks = pdf["asks"].to_numpy()
-        ids = pdf["entry"].to_numpy()
-        v = np.frombuffer(b"".join(pdf["raw"]), np.float64).reshape(len(pdf), dim)
-        q_ids, q, r_ids, r = ids[asks], v[asks], ids[~asks], v[~asks]
+        pdf = pdf.sort_values("rank")
+        place, ids = pdf["rank"].to_numpy(), pdf["entry"].to_numpy()
+        asks = pdf["asked"].to_numpy() & (place // block == pdf["block"].to_numpy())
+        v = np.frombuffer(b"".join(pdf["raw"]), np.float32).reshape(len(pdf), dim)
         out = []
-        for at in range(0, len(q) if len(r) else 0, 256):
-            rough = q[at:at + 256] @ r.T
-            keep = np.argpartition(-rough, min(k, len(r) - 1), axis=1)[:, :k + 1]
-            exact = (q[at:at + 256, None, :] * r[keep]).sum(2)
-            s, i = best_of(exact, r_ids[keep], k + 1)
-            out.append(pd.DataFrame({"asked_entry": np.repeat(q_ids[at:at + 256], s.shape[1]), "entry": i.ravel(), "score": s.ravel()}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"asked_entry": [], "entry": [], "score": []})
-
-    found = (asks.union(held).repartition(max(spread(spark), ranges), "curve", "part", "slot")
-             .groupBy("curve", "part", "slot").applyInPandas(met, "asked_entry long, entry long, score double"))
-    # the windows of all orderings merge; a query needs its k + 1 best entries
-    best = Window.partitionBy("asked_entry").orderBy(F.desc("score"), "entry")
-    merged = (found.groupBy("asked_entry", "entry").agg(F.max("score").alias("score"))
-              .withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).drop("r"))
-    named = merged.join(entries.select("entry", "ids"), "entry").select("asked_entry", "score", F.explode("ids").alias("vec_id"))
+        for s in np.unique(place[asks] // segment):
+            q = np.flatnonzero(asks & (place // segment == s))
+            lo, hi = np.searchsorted(place, [s * segment - half, (s + 1) * segment + half])
+            rough = v[q] @ v[lo:hi].T
+            m = min(k + 1 + BEYOND, hi - lo)
+            keep = np.argpartition(-rough, m - 1, axis=1)[:, :m]
+            out.append(pd.DataFrame({"asked_entry": np.repeat(ids[q], m), "entry": ids[lo:hi][keep].ravel(),
+                                     "rough": np.take_along_axis(rough, keep, 1).ravel()}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"asked_entry": [], "entry": [], "rough": []})
+
+    found = (held.repartition(max(spread(spark), -(-CURVES * n // (8 * block))), "curve", "block")
+             .groupBy("curve", "block").applyInPandas(met, "asked_entry long, entry long, rough double"))
+    # the windows of all orderings merge; of each query the best few are scored exactly
+    best = Window.partitionBy("asked_entry").orderBy(F.desc("rough"), "entry")
+    merged = (found.groupBy("asked_entry", "entry").agg(F.max("rough").alias("rough"))
+              .withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1 + BEYOND).drop("r"))
+    product = F.aggregate(F.zip_with("v", "w", lambda x, y: F.coalesce(x * y, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
+    named = (merged.join(entries.select("entry", "ids", "v"), "entry")
+             .join(entries.filter("asked").select(F.col("entry").alias("asked_entry"), F.col("v").alias("w")), "asked_entry")
+             .select("asked_entry", product.alias("score"), F.explode("ids").alias("vec_id")))
     got = queries.join(named, "asked_entry").filter("query_id <> vec_id").select("query_id", "vec_id", "score")
     return answers(got, k)

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,29 @@ def test_hilbert_recall_scores_and_ties(rows):
     assert [i for i, _ in got[1280]][:3] == [i for _, i in want[1280]][:3]
 
 
+def test_hilbert_windows_number_rows_and_see_a_bounded_part(spark, monkeypatch):
+    on_workers(spark)
+    rng = np.random.default_rng(4)
+    keys = pd.DataFrame({"curve": rng.integers(0, 3, 4000), "key": rng.integers(0, 40, 4000), "entry": np.arange(4000)})
+    keys.loc[:1500, "key"] = 7                        # a crowded key is cut by the hash of its rows
+    got = H.ranked(spark.createDataFrame(keys), 9).toPandas()
+    for curve, part in got.groupby("curve"):
+        part = part.sort_values("rank").merge(keys, on=["curve", "entry"])
+        assert part["rank"].tolist() == list(range((keys["curve"] == curve).sum()))
+        assert part["key"].is_monotonic_increasing
+    # clusters: windows of 128 rows on 8 curves score at most 1,024 of 6,000 rows a query (0.17)
+    centres = rng.normal(size=(120, 16))
+    v = np.repeat(centres, 50, axis=0) + 0.1 * rng.normal(size=(6000, 16))
+    monkeypatch.setattr(H, "CURVES", 8)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, v array<double>")
+    found = H.nearest(table, F.col("vec_id") % 20 == 0, segment=64).collect()
+    scores = v[::20] @ v.T
+    scores[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
+    want = {20 * i: set(np.argsort(-s)[:20].tolist()) for i, s in enumerate(scores)}
+    assert len(found) == 300 * 20
+    assert sum(r.vec_id in want[r.query_id] for r in found) / len(found) >= 0.9
+
+
 def test_hilbert_curve_steps_to_neighbouring_cells():
     for dim, bits in ((2, 4), (3, 3)):
         cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dim, indexing="ij"), -1).reshape(-1, dim)
