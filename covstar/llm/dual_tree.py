@@ -6,8 +6,15 @@ a cover tree: a node has a centre, its points lie within a covering radius, and
 its children cover them at a smaller scale. A pair of a query node (q, radius a)
 and a row node (r, radius b) can hold no product above q.r + a|r| + b|q| + ab;
 it is dropped with all below it when that lies under the worst kth score of the
-node's queries. A query block meets the row blocks in the order of this bound,
-dealt over tasks, and every task keeps the running best of its queries.
+node's queries.
+
+The same bound prunes pairs of blocks before anything large moves. A block is
+known by a few balls that cover it (centres and radii). Every query block first
+searches the row blocks whose balls suit its own best, which gives each of its
+queries a kth score to beat. Pairs of blocks are then judged by their balls, cell
+by cell, and only pairs whose bound reaches the worst of these scores go on. Row
+blocks are dealt in runs to tasks, each tree once; a query block goes once to
+every task in which it has a pair left, with its scores to beat.
 
 The query set is a stated share of the rows; it meets the rows block by block.
 
@@ -20,11 +27,10 @@ queries of that id; a query without candidates returns no row.
 from __future__ import annotations
 
 import pickle
-import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covstar.llm.common import spread, stored
@@ -35,6 +41,9 @@ ROWS, QUERIES, LEAF = 2048, 1024, 96
 #: Factor between the scales of two levels of a cover tree.
 BASE = 1.3
 PIVOTS = 256
+#: Balls that a block is known by, row blocks of a task at most, and blocks of
+#: either side whose pairs are judged at once.
+NODES, GROUP, CELL = 8, 64, 256
 
 
 # ------------------------------------------------------------------- tree
@@ -116,24 +125,31 @@ class CoverTree:
         return parts if len(parts) > 1 else None
 
 
+def most_products(q, q_radius, r, r_radius) -> np.ndarray:
+    """Greatest product between points within the radii of each pair of centres."""
+    qn, rn = np.sqrt((q ** 2).sum(1)), np.sqrt((r ** 2).sum(1))
+    return (q @ r.T + np.outer(q_radius, rn) + np.outer(qn, r_radius) + np.outer(q_radius, r_radius)) * (1 + 1e-12) + 1e-6
+
+
 def bounds(q: CoverTree, r: CoverTree) -> np.ndarray:
     """Greatest product that each pair of nodes can hold."""
-    qn, rn = np.sqrt((q.centre ** 2).sum(1)), np.sqrt((r.centre ** 2).sum(1))
-    return (q.centre @ r.centre.T + np.outer(q.radius, rn) + np.outer(qn, r.radius) + np.outer(q.radius, r.radius)) * (1 + 1e-12) + 1e-6
+    return most_products(q.centre, q.radius, r.centre, r.radius)
 
 
 class Best:
-    """Running ``k`` best of each query of a tree."""
+    """Running ``k`` best of each query of a tree, at or above its score to beat."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, floor: np.ndarray | None = None):
         self.k = k
+        self.floor = np.full(n, -np.inf) if floor is None else floor
         self.scores, self.ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
 
     def worst(self, span) -> float:
-        return self.scores[span[0]:span[1], -1].min()
+        return np.maximum(self.scores[span[0]:span[1], -1], self.floor[span[0]:span[1]]).min()
 
     def take(self, at: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        rows = np.flatnonzero((scores >= self.scores[at:at + len(scores), -1:]).any(1) & np.isfinite(scores).any(1))
+        to_beat = np.maximum(self.scores[at:at + len(scores), -1], self.floor[at:at + len(scores)])
+        rows = np.flatnonzero((scores >= to_beat[:, None]).any(1) & np.isfinite(scores).any(1))
         if len(rows):
             s, i = scores[rows], np.broadcast_to(ids, scores.shape)[rows]
             if s.shape[1] > 2 * self.k:               # ties of the kth score stay in
@@ -178,9 +194,19 @@ def pivots(sample: np.ndarray, n: int) -> np.ndarray:
     return sample[chosen]
 
 
-def _blocks(rows: DataFrame, centres: np.ndarray, size: int, dim: int) -> DataFrame:
-    """(block, centre, radius, tree): a cover tree for each block of at most
-    about ``size`` rows around a pivot."""
+def cover(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """At most ``NODES`` balls around all points: the ball of each point, centres, radii."""
+    far = pivots(points, NODES)
+    of = ((far ** 2).sum(1) - 2 * points @ far.T).argmin(1)
+    of = np.unique(of, return_inverse=True)[1]
+    centres = np.stack([points[of == c].mean(0) for c in range(of.max() + 1)])
+    d = np.sqrt(((points - centres[of]) ** 2).sum(1))
+    return of, centres, np.array([d[of == c].max() for c in range(len(centres))])
+
+
+def _blocks(rows: DataFrame, centres: np.ndarray, size: int, dim: int, name: str) -> tuple[DataFrame, int]:
+    """(block, centres, radii, tree): a cover tree for each block of at most
+    about ``size`` rows around a pivot, numbered pivot by pivot; their number."""
     def near(batches):
         for pdf in batches:
             v = stack(pdf["v"], dim)
@@ -190,15 +216,57 @@ def _blocks(rows: DataFrame, centres: np.ndarray, size: int, dim: int) -> DataFr
     def built(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
         t = CoverTree(pdf["vec_id"].to_numpy(), stack(pdf["v"], dim))
-        return pd.DataFrame({"block": [f"{pdf['pivot'].iloc[0]}-{pdf['slot'].iloc[0]}"], "centre": [t.centre[0]],
-                             "radius": [t.radius[0]], "tree": [pickle.dumps(t)]})
+        _, centres, radii = cover(t.points)
+        return pd.DataFrame({"block": [first[pdf["pivot"].iloc[0]] + pdf["slot"].iloc[0]], "centres": [list(centres)],
+                             "radii": [radii], "tree": [pickle.dumps(t)]})
 
     placed = rows.mapInPandas(near, "vec_id long, v array<double>, pivot int")
-    sizes = {r["pivot"]: r["n"] for r in placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect()}
-    slots = F.create_map(*[F.lit(x) for p, n in sizes.items() for x in (p, -(-n // size))]) if sizes else F.lit(None).cast("map<int,int>")
-    slot = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.element_at(slots, F.col("pivot")).cast("long")).cast("int")
-    return placed.withColumn("slot", slot).groupBy("pivot", "slot").applyInPandas(
-        built, "block string, centre array<double>, radius double, tree binary")
+    slots, first, total = {}, {}, 0                   # as many figures as pivots
+    for r in placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).orderBy("pivot").collect():
+        slots[r["pivot"]], first[r["pivot"]] = -(-r["n"] // size), total
+        total += slots[r["pivot"]]
+    of = F.create_map(*[F.lit(x) for kv in slots.items() for x in kv]) if slots else F.lit(None).cast("map<int,int>")
+    slot = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.element_at(of, F.col("pivot")).cast("long")).cast("int")
+    return stored(placed.withColumn("slot", slot).groupBy("pivot", "slot").applyInPandas(
+        built, "block long, centres array<array<double>>, radii array<double>, tree binary"), name), total
+
+
+def _pairs(queries: DataFrame, query_cells: int, rows: DataFrame, row_cells: int, judge) -> DataFrame:
+    """(query, node, block, most): what ``judge`` keeps, cell by cell, from the
+    nodes of the blocks (and ``worst`` of the query nodes); no tree is read."""
+    cells = lambda side, own, other, n: side.withColumn(own, F.floor(F.col("block") / CELL)).withColumn(
+        other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(1, n) - 1).cast("long"))))
+    q = cells(queries.select("block", "centres", "radii", "worst"), "qc", "rc", row_cells)
+    r = cells(rows.select("block", "centres", "radii"), "rc", "qc", query_cells)
+
+    def nodes(pdf):
+        count = pdf["radii"].map(len).to_numpy()
+        return (np.repeat(pdf["block"].to_numpy(), count), np.concatenate([np.arange(c) for c in count]),
+                np.array([c for cs in pdf["centres"] for c in cs]), np.concatenate(list(pdf["radii"])))
+
+    def judged(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(r):
+            return pd.DataFrame({"query": [], "node": [], "block": [], "most": []})
+        (qb, qn, qc, qr), (rb, _, rc, rr) = nodes(q), nodes(r)
+        i, j, most = judge(qc, qr, np.concatenate(list(q["worst"])), rc, rr)
+        out = pd.DataFrame({"query": qb[i], "node": qn[i], "block": rb[j], "most": most})
+        return out.sort_values("most", ascending=False, kind="stable").drop_duplicates(["query", "node", "block"])
+
+    return q.groupBy("qc", "rc").cogroup(r.groupBy("qc", "rc")).applyInPandas(judged, "query long, node int, block long, most double")
+
+
+def _suited(q, q_radius, worst, r, r_radius):
+    """For each query node the row node of the cell with the largest product of centres."""
+    near = q @ r.T
+    j = near.argmax(1)
+    return np.arange(len(q)), j, near[np.arange(len(q)), j]
+
+
+def _reach(q, q_radius, worst, r, r_radius):
+    """Pairs of nodes that can hold a product as good as the worst score to beat."""
+    most = most_products(q, q_radius, r, r_radius)
+    i, j = np.nonzero(most >= worst[:, None])
+    return i, j, most[i, j]
 
 
 def top_products(rows: DataFrame, is_query, k: int = 20) -> DataFrame:
@@ -210,48 +278,66 @@ def top_products(rows: DataFrame, is_query, k: int = 20) -> DataFrame:
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("dim"),
                     F.coalesce(F.sum(is_query.cast("long")), F.lit(0)).alias("q")).first()
     dim, sample = size["dim"], stack(sample_of(rows), size["dim"])
-    row_blocks = stored(_blocks(rows, pivots(sample, min(PIVOTS, -(-size["n"] // ROWS))), ROWS, dim), "row-trees")
+    row_blocks, n_rows = _blocks(rows, pivots(sample, min(PIVOTS, -(-size["n"] // ROWS))), ROWS, dim, "row-trees")
     queries = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))      # one query for an id
-    query_blocks = stored(_blocks(queries, pivots(sample, min(PIVOTS, -(-size["q"] // QUERIES))), QUERIES, dim), "query-trees")
-    # a short row for each query block, to order and deal the row blocks
-    short = query_blocks.select("block", "centre", "radius").toPandas()
-    tasks = max(1, min(-(-size["n"] // (8 * ROWS)), -(-4 * spark.sparkContext.defaultParallelism // max(1, len(short)))))
-
-    def dealt(batches):
-        for pdf in batches:
-            for row in pdf.itertuples():
-                rn = float(np.sqrt((np.asarray(row.centre) ** 2).sum()))
-                for s in short.itertuples():
-                    qn = float(np.sqrt((np.asarray(s.centre) ** 2).sum()))
-                    most = float(np.dot(s.centre, row.centre)) + s.radius * rn + row.radius * qn + s.radius * row.radius
-                    yield pd.DataFrame({"query": [s.block], "task": [zlib.crc32(row.block.encode()) % tasks], "most": [most], "tree": [row.tree]})
-
-    met = row_blocks.mapInPandas(dealt, "query string, task int, most double, tree binary")
-    own = query_blocks.select(F.col("block").alias("query"), F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task"),
-                              F.lit(float("inf")).alias("most"), "tree")
+    query_blocks, n_queries = _blocks(queries, pivots(sample, min(PIVOTS, -(-size["q"] // QUERIES))), QUERIES, dim, "query-trees")
+    cells = (-(-n_queries // CELL), -(-n_rows // CELL))
+
+    # every query block and the row blocks that suit its nodes best: scores to beat
+    best = Window.partitionBy("query", "node").orderBy(F.desc("most"), "block")
+    seeds = stored(_pairs(query_blocks.withColumn("worst", F.col("radii")), cells[0], row_blocks, cells[1], _suited)
+                   .withColumn("r", F.row_number().over(best)).filter("r = 1").select("query", "block").distinct(), "seeds")
+    both = (query_blocks.select(F.col("block").alias("query"), F.lit(True).alias("asks"), "tree")
+            .union(seeds.join(row_blocks, "block").select("query", F.lit(False).alias("asks"), "tree")))
+
+    def seeded(pdf: pd.DataFrame) -> pd.DataFrame:
+        q = pickle.loads(pdf["tree"][pdf["asks"]].iloc[0])
+        got = Best(len(q.ids), k)
+        for tree in pdf["tree"][~pdf["asks"]]:
+            search(q, pickle.loads(tree), got)
+        hits, floor, of = _rows(q, got), got.scores[:, -1], cover(q.points)[0]
+        return pd.DataFrame({"query": [pdf["query"].iloc[0]], "worst": [[floor[of == c].min() for c in range(of.max() + 1)]], "floor": [floor.tobytes()],
+                             "hits": [[hits[c].to_numpy() for c in ("query_id", "vec_id")]], "scores": [hits["score"].to_numpy()]})
+
+    seen = stored(both.repartition(spread(spark), "query").groupBy("query").applyInPandas(
+        seeded, "query long, worst array<double>, floor binary, hits array<array<long>>, scores array<double>"), "seeded")
+
+    # the other pairs that can still hold an answer
+    pairs = stored(_pairs(query_blocks.join(seen.select(F.col("query").alias("block"), "worst"), "block"), cells[0], row_blocks, cells[1], _reach)
+                   .groupBy("query", "block").agg(F.max("most").alias("most")).join(seeds, ["query", "block"], "left_anti"), "pairs")
+    groups = max(-(-n_rows // GROUP), min(n_rows, spark.sparkContext.defaultParallelism), 1)
+    group = F.floor(F.col("block") * groups / max(1, n_rows))
+    trees = (row_blocks.join(pairs.select("block").distinct(), "block", "left_semi")
+             .select(group.alias("grp"), "block", F.lit(None).cast("array<long>").alias("blocks"), "tree", F.lit(None).cast("binary").alias("floor")))
+    met = pairs.withColumn("grp", group).groupBy("grp", "query").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct((-F.col("most")).alias("back"), "block"))), lambda x: x["block"]).alias("blocks"))
+    own = (met.join(query_blocks.select(F.col("block").alias("query"), "tree"), "query").join(seen.select("query", "floor"), "query")
+           .select("grp", F.lit(None).cast("long").alias("block"), "blocks", "tree", "floor"))
 
     def found(batches):
-        at, tree, best = None, None, None
+        at, held = None, {}
         for pdf in batches:
             for row in pdf.itertuples():
-                if (row.query, row.task) != at:
-                    if tree is not None:
-                        yield _rows(tree, best)
-                    at, tree = (row.query, row.task), pickle.loads(row.tree)
-                    best = Best(len(tree.ids), k)
+                if row.grp != at:
+                    at, held = row.grp, {}
+                if row.floor is None:
+                    held[int(row.block)] = pickle.loads(row.tree)
                 else:
-                    search(tree, pickle.loads(row.tree), best)
-        if tree is not None:
-            yield _rows(tree, best)
+                    q = pickle.loads(row.tree)
+                    got = Best(len(q.ids), k, np.frombuffer(row.floor))
+                    for b in row.blocks:
+                        search(q, held[b], got)
+                    yield _rows(q, got)
 
-    got = (met.union(own).repartition(spread(spark), "query", "task")
-           .sortWithinPartitions("query", "task", F.desc("most"))
-           .mapInPandas(found, "query_id long, vec_id long, score double"))
-    return answers(got, k)
+    later = (trees.union(own).repartition(max(spread(spark), groups), "grp").sortWithinPartitions("grp", F.asc_nulls_last("block"))
+             .mapInPandas(found, "query_id long, vec_id long, score double"))
+    first = seen.select(F.explode(F.arrays_zip(F.col("hits")[0].alias("q"), F.col("hits")[1].alias("i"), F.col("scores").alias("s"))).alias("h")).select(
+        F.col("h.q").alias("query_id"), F.col("h.i").alias("vec_id"), F.col("h.s").alias("score"))
+    return answers(first.union(later), k)
 
 
 def _rows(tree: CoverTree, best: Best) -> pd.DataFrame:
-    full = np.isfinite(best.scores)
+    full = np.isfinite(best.scores) & (best.scores >= best.floor[:, None])
     return pd.DataFrame({"query_id": np.repeat(tree.ids, full.sum(1)), "vec_id": best.ids[full], "score": best.scores[full]})
 
 

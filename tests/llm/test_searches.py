@@ -40,6 +40,33 @@ def test_dual_tree_is_exact(rows):
     assert got == want
 
 
+def test_dual_tree_prunes_pairs_of_blocks_and_stays_exact(spark, rows, monkeypatch):
+    on_workers(spark)
+    rng = np.random.default_rng(6)
+    clusters = np.floor(64 * (np.repeat(4 * rng.normal(size=(24, 12)), 200, axis=0) + 0.2 * rng.normal(size=(4800, 12))))
+    alike = np.floor(64 * rng.normal(size=(1500, 6)))
+    for name, value in (("ROWS", 200), ("QUERIES", 400), ("GROUP", 4), ("CELL", 4)):
+        monkeypatch.setattr(T, name, value)
+    kept, plain = {}, T.stored
+
+    def counted(df, name):
+        kept[name] = plain(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(T, "stored", counted)
+    for v, most in ((clusters, 0.5), (alike, 1.0)):
+        table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, v array<double>")
+        got = {}
+        for r in T.top_products(table, F.col("vec_id") % 2 == 0).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        scores = v @ v.T
+        np.fill_diagonal(scores, -np.inf)
+        order = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+        assert got == {q: [(scores[q, i], i) for i in order[q].tolist()] for q in range(0, len(v), 2)}
+        blocks = kept["row-trees"].count() * kept["query-trees"].count()
+        assert blocks >= 16 and kept["seeds"].count() + kept["pairs"].count() <= most * blocks
+
+
 def test_few_rows_and_empty_tables(spark, rows):
     few = rows.filter("vec_id in (0, 5, 20)")
     for search, zero in ((T.top_products, True), (H.nearest, False)):
