@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -193,21 +194,46 @@ def _chunks(batches):
         yield part
 
 
-def _whole_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All rows of the anchors of this partition: spans of runs that came before
-    in whole (variants = 0), and the first run of each text of an anchor with
-    several texts, with the number of those."""
-    held = [b for b in batches if len(b)]
-    if not held:
-        return
-    rows = pd.concat(held, ignore_index=True)
-    done = rows[rows["end"] >= 0]
-    yield pd.DataFrame({"doc": done["doc"], "tie": done["tie"], "start": done["lo"], "end": done["end"], "gram": 0, "variants": 0})
-    first, later = _first_of_each(rows.loc[rows["end"] < 0, ["gram", "whole", "doc", "tie", "lo", "hi"]])
-    yield pd.DataFrame({"doc": later["doc"], "tie": later["tie"], "start": later["lo"], "end": later["hi"] + MATCH, "gram": 0, "variants": 0})
-    many = first.groupby("gram")["gram"].transform("size")
-    first, many = first[many > 1], many[many > 1]
-    yield pd.DataFrame({"doc": first["doc"], "tie": first["tie"], "start": first["lo"], "end": first["hi"] + MATCH, "gram": first["gram"], "variants": many})
+def _whole_runs(batches: Iterator[pd.DataFrame], variants: int) -> Iterator[pd.DataFrame]:
+    """All rows of the anchors of this partition, sorted by anchor, run and place:
+    spans of runs that came before in whole (slot = -1), and the first run of each
+    text of an anchor with several texts, dealt over slots of ``variants`` runs.
+    Rows stream: of one anchor at most ``variants`` wait until it is known whether
+    it has one slot or more (dealt)."""
+    key = ["gram", "whole", "doc", "tie", "lo"]
+    waiting, last, sent = None, None, 0                # runs of the last anchor: waiting, its last row, runs sent
+
+    def dealt(f, own, n, ready):
+        size, place = f.groupby("gram")["gram"].transform("size") + n * own, f.groupby("gram").cumcount() + n * own
+        out, many = ready & (size > 1), size > variants
+        return pd.DataFrame({"doc": f["doc"], "tie": f["tie"], "start": f["lo"], "end": f["hi"] + MATCH, "gram": f["gram"],
+                             "slot": place // variants, "dealt": many})[out]
+
+    for pdf in batches:
+        gone = pdf["end"].to_numpy() >= 0
+        done, rows = pdf[gone], pdf[~gone]
+        yield pd.DataFrame({"doc": done["doc"], "tie": done["tie"], "start": done["lo"], "end": done["end"], "gram": 0, "slot": -1, "dealt": False})
+        if not len(rows):
+            continue
+        cells = rows[key].to_numpy(np.int64)
+        before = np.vstack([cells[:1] if last is None else last, cells[:-1]])
+        same = (cells == before).all(1)
+        new = (cells[:, :2] != before[:, :2]).any(1)
+        if last is None:
+            same[0], new[0] = False, True
+        later, first = rows[~new & ~same], rows[new]
+        yield pd.DataFrame({"doc": later["doc"], "tie": later["tie"], "start": later["lo"], "end": later["hi"] + MATCH, "gram": 0, "slot": -1, "dealt": False})
+        gram = None if last is None else last[0, 0]
+        last = cells[-1:]
+        first = first if waiting is None else pd.concat([waiting, first], ignore_index=True)
+        own = first["gram"].to_numpy() == gram
+        open_ = first["gram"].to_numpy() == last[0, 0]
+        full = open_.sum() + (sent if gram == last[0, 0] else 0) > variants
+        yield dealt(first, own, sent, ~open_ | full)
+        waiting = None if full else first[open_]
+        sent = (sent if gram == last[0, 0] else 0) + (open_.sum() if full else 0)
+    if waiting is not None and len(waiting):
+        yield dealt(waiting, np.ones(len(waiting), bool), sent, np.ones(len(waiting), bool))
 
 
 # ------------------------------------------------------------ index family
@@ -314,12 +340,12 @@ def repeated(docs: DataFrame, variants: int = VARIANTS) -> DataFrame:
     n = spread(spark)
     texts = keyed.select(F.col("dd_doc").alias("doc"), F.col("dd_tie").alias("tie"), "text")
     run_rows = texts.mapInPandas(_runs_of, "gram long, whole long, doc long, tie long, lo long, hi long, end long")
-    marks = stored(run_rows.repartition(n, "gram").mapInPandas(
-        _whole_runs, "doc long, tie long, start long, end long, gram long, variants long"), "dedup-runs")
+    marks = stored(run_rows.repartition(n, "gram").sortWithinPartitions("gram", "whole", "doc", "tie", "lo").mapInPandas(
+        partial(_whole_runs, variants=variants), "doc long, tie long, start long, end long, gram long, slot long, dealt boolean"), "dedup-runs")
     # own names throughout: the documents may bring any columns
     by_doc = marks.groupBy(F.col("doc").alias("dd_d"), F.col("tie").alias("dd_t")).agg(
-        F.flatten(F.collect_list(F.when(F.col("variants") == 0, F.array("start", "end")))).alias("dd_done"),
-        F.flatten(F.collect_list(F.when(F.col("variants") > 0, F.array("start", "end", "gram", "variants")))).alias("dd_open"))
+        F.flatten(F.collect_list(F.when(F.col("slot") < 0, F.array("start", "end")))).alias("dd_done"),
+        F.flatten(F.collect_list(F.when(F.col("slot") >= 0, F.array("start", "end", "gram", "slot", F.col("dealt").cast("long"))))).alias("dd_open"))
     marked = keyed.join(by_doc, (F.col("dd_doc") == F.col("dd_d")) & (F.col("dd_tie") == F.col("dd_t")), "left").drop("dd_d", "dd_t")
 
     def run_texts(batches):
@@ -327,9 +353,8 @@ def repeated(docs: DataFrame, variants: int = VARIANTS) -> DataFrame:
             out = []
             for doc, tie, text, found in zip(pdf["doc"], pdf["tie"], pdf["text"], pdf["open"]):
                 data = text.encode("utf-8", "surrogatepass")
-                for start, end, gram, n_runs in np.asarray(found, np.int64).reshape(-1, 4).tolist():
-                    slot = hash((doc, start)) % -(-n_runs // variants)
-                    out.append((gram, slot, n_runs > variants, doc, tie, start, data[start:end]))
+                for start, end, gram, slot, dealt in np.asarray(found, np.int64).reshape(-1, 5).tolist():
+                    out.append((gram, slot, dealt > 0, doc, tie, start, data[start:end]))
             yield pd.DataFrame(out, columns=["gram", "slot", "dealt", "doc", "tie", "start", "bytes"])
 
     # each text once, whatever number of rows repeat it

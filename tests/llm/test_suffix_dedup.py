@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from covstar.llm import suffix_dedup as D
@@ -93,3 +94,24 @@ def test_slices_of_long_texts_hold_each_start_once(monkeypatch):
             assert piece == text[off:off + len(piece)].encode()
             starts += range(off, off + len(piece) - D.MATCH + 1)
     assert starts == list(range(len(text) - D.MATCH + 1))
+
+
+def test_anchors_stream_in_slots_whatever_the_batches():
+    rng = np.random.default_rng(0)
+    key, cells = ["gram", "whole", "doc", "tie", "lo"], lambda d, c: sorted(map(tuple, d[c].to_numpy(np.int64).tolist()))
+    for _ in range(60):
+        n, most, size = rng.integers(1, 200), int(rng.integers(1, 8)), int(rng.integers(1, 40))
+        rows = pd.DataFrame({"gram": rng.integers(0, 4, n), "whole": rng.integers(0, rng.integers(1, 30), n), "doc": rng.integers(0, 9, n),
+                             "tie": 0, "lo": rng.integers(0, 6, n)})
+        rows = rows.assign(hi=rows["lo"] + rows["whole"], end=np.where(rng.random(n) < 0.1, 5, -1)).sort_values(key, ignore_index=True)
+        got = pd.concat(list(D._whole_runs(iter([rows[i:i + size] for i in range(0, n, size)]), most)))
+        runs = rows[rows["end"] < 0].drop_duplicates()
+        again = runs.duplicated(["gram", "whole"])
+        first = runs[~again]
+        first = first[first.groupby("gram")["gram"].transform("size") > 1]
+        taken, closed = got[got["slot"] >= 0], got[got["slot"] < 0]
+        assert cells(taken, ["gram", "doc", "start", "end"]) == cells(first.assign(end=first["hi"] + D.MATCH), ["gram", "doc", "lo", "end"])
+        later = runs[again].assign(end=runs["hi"] + D.MATCH)
+        assert cells(closed, ["doc", "start", "end"]) == sorted(cells(later, ["doc", "lo", "end"]) + cells(rows[rows["end"] >= 0], ["doc", "lo", "end"]))
+        for _, part in taken.groupby("gram"):
+            assert sorted(part["slot"].tolist()) == [i // most for i in range(len(part))] and (part["dealt"] == (len(part) > most)).all()
