@@ -32,14 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from covstar.llm.common import with_long_ids, with_text_ids
 from covstar.llm.piece_words import Pieces, words
 
 #: Nodes a worker remembers; passes before a node has children. Longer words are cut one by one. Words cut together.
-NODES_KEPT, OFTEN, SHORT, TOGETHER = 300_000, 3, 48, 10_000
+NODES_KEPT, OFTEN, SHORT, TOGETHER = 150_000, 3, 48, 10_000
+#: A worker encodes texts of so many characters together, and decodes so many ids.
+CHARS_HELD, IDS_HELD = 500_000, 100_000
 #: Bits that remember which words were met before (one that two words share only gives a node too early).
 MET = 1 << 20
 _NONE = 1 << 30
@@ -338,7 +342,7 @@ def encoded(docs: DataFrame, path: str, seed: int = 1, rate: float = 0.1, with_i
             at = 0
             while at < len(texts):
                 upto, chars = at, 0
-                while upto < len(texts) and (upto == at or chars < 1_000_000):
+                while upto < len(texts) and (upto == at or chars < CHARS_HELD):
                     chars += len(texts[upto])
                     upto += 1
                 part = encode_many(pdf["doc_id"].iloc[at:upto].tolist(), texts[at:upto], path, seed, rate)
@@ -358,9 +362,20 @@ def encoded(docs: DataFrame, path: str, seed: int = 1, rate: float = 0.1, with_i
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
-    """``rows`` (with ids as ``encoded`` gives them) with the decoded text."""
-    def back(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """``rows`` (with ids as ``encoded`` gives them) with the decoded text; a batch is
+    decoded and handed on in parts, as one holds thousands of texts."""
+    def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.of(path)
-        for ids in batches:
-            yield pd.Series([pieces.text(np.frombuffer(b, "<u4").tolist()) for b in ids], dtype=object)
-    return rows.withColumn("text", F.pandas_udf(back, "string")("ids"))
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                texts, upto, n = [], at, 0
+                while upto < batch.num_rows and (upto == at or n < IDS_HELD):
+                    ids = np.frombuffer(batch["ids"][upto].as_py(), "<u4").tolist()
+                    texts.append(pieces.text(ids))
+                    n, upto = n + len(ids), upto + 1
+                part = batch.slice(at, upto - at)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "text"])
+                at = upto
+    rows = rows.drop("text")
+    return rows.mapInArrow(back, T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())]))

@@ -3,10 +3,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import types as T
 
 from covstar.llm import queries as Q
 from covstar.llm import sp_dropout as S
@@ -159,3 +161,24 @@ def test_counts_are_least_over_best_segmentations():
     for w in (" the", " thing", "abab", " within", "rationed"):
         best = max(s for s, _ in every(w))
         assert u.count(w) == min(k for s, k in every(w) if s == best)
+
+
+def test_decoding_hands_on_parts_of_a_batch(spark, monkeypatch):
+    """A batch leaves in parts of few ids, every row once and with its other columns; one long text makes a part of its own."""
+    texts = [(i, f"word {i} and more") for i in range(40)] + [(99, "long " * 400), (100, None)]
+    got = S.encoded(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), PATH).collect()
+    monkeypatch.setattr(S, "IDS_HELD", 20)
+    frame = pa.table({"doc_id": [r.doc_id for r in got], "ids": [bytes(r.ids) for r in got]})
+
+    class Rows:                               # what mapInArrow calls, on one batch of all rows
+        def drop(self, *_):
+            return self
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.BinaryType())])
+
+        def mapInArrow(self, back, schema):
+            assert schema.names == ["doc_id", "ids", "text"]
+            return list(back(iter(frame.to_batches())))
+    parts = S.decoded(Rows(), PATH)
+    sizes = [p.num_rows for p in parts]
+    assert len(sizes) > 5 and max(sizes) < 10
+    assert sorted((d, t) for p in parts for d, t in zip(p["doc_id"].to_pylist(), p["text"].to_pylist())) == sorted((i, t or "") for i, t in texts)
