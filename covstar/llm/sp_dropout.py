@@ -11,11 +11,11 @@ skipped candidates; it holds the cut they lead to and the merges made on the way
 after the last of them. A place goes down by the first of these merges that it
 skips and takes the cut of the node where it skips none. This is exact: a skipped
 candidate that is never the best changes nothing, and up to the first skipped merge
-all steps are those of the node above. A word gets a node when it is met again, and a
-node children once it was passed ``OFTEN`` times; what leaves the trie is cut
-under its own key. Words are cut together: one array holds the symbols of many,
-and a round merges the best candidate of each. Rate 0 gives the segmentation of
-the model itself.
+all steps are those of the node above. A word gets a node once it was met ``OFTEN_MET``
+times, and a node children once it was passed ``OFTEN`` times; what leaves the trie is
+cut under its own key. Words are cut together: a column holds the symbols of a word, a
+row those at one place of words of like length, and a round merges the best candidate
+of each. Rate 0 gives the segmentation of the model itself.
 
 Results for odd input: a null or empty text has no ids and decodes to an empty
 text; characters outside the vocabulary, and the blank mark itself, are spelt in
@@ -29,6 +29,7 @@ import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -40,11 +41,12 @@ from pyspark.sql import types as T
 from covstar.llm.common import with_long_ids, with_text_ids
 from covstar.llm.piece_words import Pieces, words
 
-#: Nodes a worker remembers; passes before a node has children. Longer words are cut one by one. Words cut together.
-NODES_KEPT, OFTEN, SHORT, TOGETHER = 150_000, 3, 48, 10_000
+#: Nodes a worker remembers; meetings before a word has a node, passes before a node has children. Longer words are
+#: cut one by one. Words cut together.
+NODES_KEPT, OFTEN_MET, OFTEN, SHORT, TOGETHER = 150_000, 10, 48, 48, 4_096
 #: A worker encodes texts of so many characters together, and decodes so many ids.
 CHARS_HELD, IDS_HELD = 500_000, 100_000
-#: Bits that remember which words were met before (one that two words share only gives a node too early).
+#: Counters of how often words were met (one that two words share only gives a node too early); they halve after as many new words.
 MET = 1 << 20
 _NONE = 1 << 30
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
@@ -81,42 +83,58 @@ class Merger:
                 if a is not None and b is not None:
                     table[a << 32 | b] = (int(order[i]), i)
         self.table = table
-        # pairs by hash; a taken place gives way to the next one
+        # pairs by hash (20 bits for each symbol and for what they merge into); a taken place gives way to the next one
+        self.none = len(pieces.scores)
+        if self.none >= 1 << 20:
+            raise ValueError("too many pieces")
         self.bits = max(4, len(table).bit_length() + 2)
-        self.pairs, self.rank, self.merged = (np.full((1 << self.bits) + len(table) + 1, -1, np.int64) for _ in range(3))
-        pairs = np.array(list(table), np.int64)
-        for pair, at in zip(pairs.tolist(), self._place(pairs).tolist()):
-            while self.pairs[at] >= 0:
+        held = [-1] * ((1 << self.bits) + len(table) + 1)
+        pairs = np.array([(p >> 32) << 20 | p & (1 << 20) - 1 for p in table], np.int64)
+        for pair, at, (_, new) in zip(pairs.tolist(), self._place(pairs).tolist(), table.values()):
+            while held[at] >= 0:
                 at += 1
-            self.pairs[at] = pair
-            self.rank[at], self.merged[at] = table[pair]
-        self.met = np.zeros(MET, bool)
+            held[at] = pair << 20 | new
+        self.pairs = np.array(held, np.int64)
+        # rank of each piece, above 6 bits for the place of a candidate that merges into it
+        self.order = order.astype(np.int64) << 6
+        # pieces of single characters; characters of each piece
+        self.single = np.full(0x110000, self.none, np.int32)
+        for piece, i in pieces.ids.items():
+            if len(piece) == 1:
+                self.single[ord(piece)] = i
+        self.chars = {i: len(piece) for piece, i in pieces.ids.items()}
+        self.met = np.zeros(MET, np.uint8)
+        self.new_words = 0
         self.forget()
 
     def _place(self, pairs: np.ndarray) -> np.ndarray:
-        return (pairs.astype(np.uint64) * np.uint64(_A) >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (pairs.view(np.uint64) * np.uint64(_A) >> np.uint64(64 - self.bits)).view(np.int64)
 
-    def _find(self, pairs: np.ndarray) -> np.ndarray:
-        """Places of pairs in the table, -1 for those that are no merge."""
+    def _find(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs are merges, and the pieces they give."""
         at = self._place(pairs)
-        held = self.pairs[at]
-        look = np.flatnonzero((held != pairs) & (held >= 0))
-        at[held < 0] = -1
+        held = self.pairs.take(at)
+        look = np.flatnonzero((held >> 20 != pairs) & (held >= 0))
+        at = at.take(look)
         while len(look):
-            at[look] += 1
-            held = self.pairs[at[look]]
-            at[look[held < 0]] = -1
-            look = look[(held != pairs[look]) & (held >= 0)]
-        return at
+            at += 1
+            now = self.pairs.take(at)
+            held[look] = now
+            more = np.flatnonzero((now >> 20 != pairs.take(look)) & (now >= 0))
+            look, at = look.take(more), at.take(more)
+        hit = np.flatnonzero(held >= 0)
+        return hit, held.take(hit) & (1 << 20) - 1
 
     def forget(self) -> None:
-        #: nodes by number: word, skipped candidates, cut, merges after the last skip and how many came before, passes
+        #: nodes by number: word, skipped candidates, cut, how many merges came before the last skip; passes
         self.word: list[str] = []
         self.skips: list[tuple[int, ...]] = []
         self.cuts: list[bytes] = []
-        self.later: list[bytes] = []
         self.before: list[int] = []
         self.passes = np.zeros(0, np.int64)
+        #: merges after the last skip, of all nodes; where those of a node begin, how many they are
+        self.later = np.zeros(0, np.int32)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         #: node of a word without skips; node below (node << 18 | candidate)
         self.root: dict[str, int] = {}
         self.below: dict[int, int] = {}
@@ -124,77 +142,84 @@ class Merger:
     def _grow(self, many: list[str], skips: list[tuple[int, ...]], before: list[int]) -> range:
         """New nodes of words under given skips, the last one after ``before`` merges."""
         first = len(self.word)
-        for at in range(0, len(many), TOGETHER):
-            part = many[at:at + TOGETHER]
-            merges: list = []
-            self.cuts += self._together(part, skips=skips[at:at + TOGETHER], merges=merges)
-            of, codes = (np.concatenate(x) for x in zip(*merges))
-            order = np.argsort(of, kind="stable")
-            ends = np.searchsorted(of[order], np.arange(len(part) + 1))
-            raw = codes[order].astype(np.int32).tobytes()
-            self.later += [raw[4 * (i + n):4 * j] for i, j, n in zip(ends[:-1].tolist(), ends[1:].tolist(), before[at:at + TOGETHER])]
+        if not many:
+            return range(first, first)
+        merges: list[bytes] = []
+        self.cuts += self._together(many, skips=skips, merges=merges)
+        later = [m[4 * n:] for m, n in zip(merges, before)]
+        size = np.fromiter(map(len, later), np.int64, len(many)) // 4
+        self.begin = np.append(self.begin, len(self.later) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.later = np.append(self.later, np.frombuffer(b"".join(later), np.int32))
         self.word += many
         self.skips += skips
         self.before += before
         self.passes = np.append(self.passes, np.zeros(len(many), np.int64))
         return range(first, len(self.word))
 
-    def learn(self, times: dict[str, int]) -> None:
-        """Nodes for the words of a batch that come again."""
-        if len(self.word) > NODES_KEPT:
-            self.forget()
-        new = [w for w in times if len(w) <= SHORT and w not in self.root]
+    def learn(self, many: list[str]) -> None:
+        """Nodes for those words without one that come often."""
+        times = Counter(many)
+        new = [w for w in times if len(w) <= SHORT]
         bits = np.fromiter(map(hash, new), np.int64, len(new)) & MET - 1
-        again = self.met[bits] | (np.fromiter(map(times.__getitem__, new), np.int64, len(new)) > 1) | (self.limit == 0)
-        self.met[bits] = True
-        new = [new[i] for i in np.flatnonzero(again).tolist()]
+        met = np.minimum(self.met[bits] + np.fromiter(map(times.__getitem__, new), np.int64, len(new)), 255)
+        self.met[bits] = met
+        self.new_words += len(new)
+        if self.new_words > MET:
+            self.met >>= 1
+            self.new_words = 0
+        new = [new[i] for i in np.flatnonzero((met >= OFTEN_MET) | (self.limit == 0)).tolist()]
         self.root.update(zip(new, self._grow(new, [()] * len(new), [0] * len(new))))
 
     def _descend(self, steps: np.ndarray, known: np.ndarray) -> np.ndarray:
         """Nodes below others, each step (node << 18 | skipped merge); -1 where
         none is known and the node was not passed often."""
-        out = np.fromiter((self.below.get(k, -1) for k in steps.tolist()), np.int64, len(steps))
+        out = np.fromiter(map(self.below.get, steps.tolist(), repeat(-1)), np.int64, len(steps))
         add = np.flatnonzero((out < 0) & known)
         if len(add):
             missing = steps[add].tolist()
             above = [(k >> 18, k & (1 << 18) - 1) for k in missing]
-            before = [self.before[n] + np.frombuffer(self.later[n], np.int32).tolist().index(c) for n, c in above]
+            before = [self.before[n] + self.later[self.begin[n]:self.begin[n] + self.size[n]].tolist().index(c) for n, c in above]
             out[add] = self._grow([self.word[n] for n, _ in above], [(*self.skips[n], c) for n, c in above], before)
             self.below.update(zip(missing, out[add].tolist()))
         return out
 
+    def _nodes(self, many: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.root.get, many, repeat(-1)), np.int64, len(many))
+
     def cut(self, many: list[str], keys: np.ndarray) -> list[bytes]:
         """Ids of each word under its key."""
-        times = Counter(many)
-        self.learn(times)
-        distinct = {w: i for i, w in enumerate(times)}
-        at = np.fromiter(map(distinct.__getitem__, many), np.int64, len(many))
-        node = np.array([self.root.get(w, -1) for w in distinct], np.int64)[at]
+        if len(self.word) > NODES_KEPT:
+            self.forget()
+        node = self._nodes(many)
+        new = np.flatnonzero(node < 0)
+        if len(new):
+            own = [many[i] for i in new.tolist()]
+            self.learn(own)
+            node[new] = self._nodes(own)
         open_ = np.flatnonzero(node >= 0) if self.limit else np.zeros(0, np.int64)
         while len(open_):
-            own, which, passed = np.unique(node[open_], return_inverse=True, return_counts=True)
-            self.passes[own] += passed
-            later = [self.later[n] for n in own.tolist()]
-            codes, size = np.frombuffer(b"".join(later), np.int32).astype(np.int64), np.array([len(x) // 4 for x in later])
-            begin, n = (np.cumsum(size) - size)[which], size[which]
-            place = np.arange(n.sum()) + np.repeat(begin - np.cumsum(n) + n, n)
-            hit = np.flatnonzero(self._skipped(np.repeat(keys[open_], n) + _adds(codes)[place]))
-            owner = np.repeat(np.arange(len(open_)), n)[hit]
+            at = node[open_]
+            self.passes += np.bincount(at, minlength=len(self.passes))
+            n = self.size[at]
+            owner = np.repeat(np.arange(len(open_)), n)
+            codes = self.later[np.arange(len(owner)) + np.repeat(self.begin[at] - np.cumsum(n) + n, n)].astype(np.int64)
+            hit = np.flatnonzero(self._skipped(keys[open_][owner] + _adds(codes)))
+            owner = owner[hit]
             first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else owner
             open_ = open_[owner[first]]
-            steps, which = np.unique(node[open_] << 18 | codes[place[hit[first]]], return_inverse=True)
+            steps, which = np.unique(node[open_] << 18 | codes[hit[first]], return_inverse=True)
             node[open_] = self._descend(steps, self.passes[steps >> 18] >= OFTEN)[which]
             open_ = open_[node[open_] >= 0]
         out = [self.cuts[n] if n >= 0 else b"" for n in node.tolist()]
-        single = np.flatnonzero(node < 0)
-        long = np.array([len(w) > SHORT for w in distinct], bool)[at[single]]
-        for i in single[long].tolist():
-            out[i] = self._agenda(many[i], int(keys[i]))
-        single = single[~long]
-        for lo in range(0, len(single), TOGETHER):
-            part = single[lo:lo + TOGETHER]
-            for i, ids in zip(part.tolist(), self._together([many[i] for i in part.tolist()], keys[part])):
-                out[i] = ids
+        single = np.flatnonzero(node < 0).tolist()
+        short = [i for i in single if len(many[i]) <= SHORT]
+        if len(short) < len(single):
+            for i in single:
+                if len(many[i]) > SHORT:
+                    out[i] = self._agenda(many[i], int(keys[i]))
+        for i, ids in zip(short, self._together([many[i] for i in short], keys[short])):
+            out[i] = ids
         return out
 
     def _skipped(self, sums: np.ndarray) -> np.ndarray:
@@ -237,72 +262,114 @@ class Merger:
 
     def _together(self, many: list[str], keys: np.ndarray | None = None, skips: list[tuple[int, ...]] | None = None,
                   merges: list | None = None) -> list[bytes]:
-        """Many words at once: a round merges the best candidate of each. The candidates
-        in ``skips`` are skipped, or without it those that each word's key skips;
-        ``merges`` takes what is merged (word, candidate), in order."""
-        if merges is not None:
-            merges.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        """Many words at once, those of like length in one slab. The candidates in ``skips``
+        are skipped, or without it those that each word's key skips; ``merges`` takes
+        the candidates merged in each word, in order (32 bits each)."""
         if not many:
             return []
-        size = np.array([len(w) for w in many])
-        word = np.repeat(np.arange(len(many)), size)
+        size = np.fromiter(map(len, many), np.int64, len(many))
         points = np.frombuffer("".join(many).encode("utf-32-le", "surrogatepass"), np.uint32)
-        chars, where = np.unique(points, return_inverse=True)
-        sym = np.array([self.pieces.ids.get(chr(c), -1) for c in chars.tolist()], np.int64)[where]
-        start = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
-        end = start + 1
-        key = np.full(len(many), self.key, np.uint64) if keys is None else np.asarray(keys, np.uint64)
-        skipped = None if skips is None else np.sort(np.array([n << 18 | c for n, own in enumerate(skips) for c in own] + [1 << 62], np.int64))
-        # candidate of each symbol with the next: rank (_NONE: no merge) and merged piece
-        rank, new = np.full(len(word), _NONE, np.int64), np.zeros(len(word), np.int64)
-
-        def offer(i):
-            i = i[(word[i + 1] == word[i]) & (sym[i] >= 0) & (sym[i + 1] >= 0)]
-            at = self._find(sym[i] << 32 | sym[i + 1])
-            hit = at >= 0
-            i, at = i[hit], at[hit]
+        symbols = self.single.take(points)
+        begin = np.cumsum(size) - size
+        keys = np.full(len(many), self.key, np.uint64) if keys is None else np.asarray(keys, np.uint64)
+        out: list = [b""] * len(many)
+        made: list = [b""] * len(many)
+        order = np.argsort(size, kind="stable")
+        for lo in range(0, len(order), TOGETHER):
+            own = order[lo:lo + TOGETHER]
+            which = own.tolist()
+            part = None if skips is None else [skips[i] for i in which]
+            ids, ends, codes, steps = self._slab(symbols, begin[own], size[own], keys[own], part, merges is not None)
+            raw = ids.astype("<u4").tobytes()
+            for i, a, b in zip(which, [0, *ends], ends):
+                out[i] = raw[4 * a:4 * b]
+            for n in np.unique(np.searchsorted(ends, np.flatnonzero(ids == self.none), "right")).tolist():
+                out[which[n]] = self._spell_out(many[which[n]], ids[ends[n - 1] if n else 0:ends[n]].tolist())
+            if merges is not None:
+                raw = codes.astype(np.int32).tobytes()
+                for i, a, b in zip(which, [0, *steps], steps):
+                    made[i] = raw[4 * a:4 * b]
+        if merges is not None:
+            merges += made
+        return out
+
+    def _spell_out(self, word: str, symbols: list[int]) -> bytes:
+        """Ids of a word with characters that are no pieces."""
+        starts, at = [], 0
+        for s in symbols:
+            starts.append(at)
+            at += 1 if s == self.none else self.chars[s]
+        return self._spell(word, [-1 if s == self.none else s for s in symbols], starts)
+
+    def _slab(self, symbols: np.ndarray, begin: np.ndarray, size: np.ndarray, key: np.ndarray,
+              skips: list[tuple[int, ...]] | None, record: bool) -> tuple:
+        """Words as columns, of the symbols from ``begin`` on; a round merges the best candidate of
+        each. Gives the ids of all words and where those of each end; on ``record`` also the merges."""
+        n, rows = len(size), int(size.max())
+        # one row more: no symbol has a candidate with it, and what comes before the first row is it too
+        place = np.arange(rows + 1)[:, None]
+        live = place < size
+        sym = np.where(live, symbols.take(np.minimum(begin + place, len(symbols) - 1)), self.none).ravel()
+        after = np.repeat(np.arange(1, rows + 2, dtype=np.int64), n)
+        prior = np.repeat(np.arange(-1, rows, dtype=np.int64), n)
+        best, new = np.full((rows + 1) * n, _NONE, np.int32), np.zeros((rows + 1) * n, np.int32)
+        column, live = np.arange(n), live.ravel()
+        skipped = None if skips is None else np.sort(np.array([i << 18 | c for i, own in enumerate(skips) for c in own] + [1 << 62], np.int64))
+
+        def offer(word, first, second):
+            """Candidates of symbols at place ``first`` with those at ``second``."""
+            i = first * n + word
+            j = second * n + word
+            hit, piece = self._find(sym.take(i).astype(np.int64) << 20 | sym.take(j))
+            best[i] = _NONE
+            i = i.take(hit)
+            first = first.take(hit)
             if self.limit:
-                code = start[i] << 12 | start[i + 1] << 6 | end[i + 1]
+                word, second = word.take(hit), second.take(hit)
+                end = after.take(j.take(hit))
                 if skipped is None:
-                    stay = ~self._skipped(key[word[i]] + _adds(code))
-                    i, at = i[stay], at[stay]
+                    stay = ~self._skipped(key.take(word) + first.view(np.uint64) * np.uint64(_A) + second.view(np.uint64) * np.uint64(_B)
+                                          + end.view(np.uint64) * np.uint64(_C))
                 elif len(skipped) > 1:
-                    own = word[i] << 18 | code
+                    own = word << 18 | first << 12 | second << 6 | end
                     stay = skipped[np.searchsorted(skipped, own)] != own
-                    i, at = i[stay], at[stay]
-            rank[i], new[i] = self.rank[at], self.merged[at]
-
-        offer(np.arange(len(word) - 1))
-        done = []
-        while len(word):
-            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-            best = np.minimum.reduceat(rank << 32 | np.arange(len(word)), first)
-            idle = best >> 32 == _NONE
-            take = best[~idle] & 0xFFFFFFFF
-            keep = np.ones(len(word), bool)
-            if idle.any():
-                rest = np.repeat(idle, np.diff(np.append(first, len(word))))
-                done.append((word[rest], start[rest], sym[rest]))
-                keep = ~rest
-            if merges is not None:
-                merges.append((word[take], start[take] << 12 | start[take + 1] << 6 | end[take + 1]))
-            sym[take], end[take], rank[take] = new[take], end[take + 1], _NONE
-            before = take[(take > 0) & (word[take - 1] == word[take])] - 1
-            rank[before] = _NONE
-            keep[take + 1] = False
-            place = np.cumsum(keep) - 1
-            word, start, end, sym, rank, new = word[keep], start[keep], end[keep], sym[keep], rank[keep], new[keep]
-            changed = np.concatenate([place[before], place[take]])
-            offer(changed[changed < len(word) - 1])
-        word, start, sym = (np.concatenate(x) for x in zip(*done))
-        order = np.lexsort((start, word))
-        word, start, sym = word[order], start[order], sym[order]
-        raw, cut = sym.astype("<u4").tobytes(), np.searchsorted(word, np.arange(len(many) + 1)) * 4
-        out = [raw[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        for w in np.unique(word[sym < 0]).tolist():
-            own = slice(cut[w] // 4, cut[w + 1] // 4)
-            out[w] = self._spell(many[w], sym[own].tolist(), start[own].tolist())
-        return out
+                else:
+                    stay = slice(None)
+                i, first, piece = i[stay], first[stay], piece[stay]
+            best[i] = self.order.take(piece) | first
+            new[i] = piece
+
+        start = np.flatnonzero(live[n:])
+        offer(start % n, start // n, start // n + 1)
+        table, done = best.reshape(rows + 1, n), []
+        while True:
+            top = table.min(axis=0)
+            word = np.flatnonzero(top != _NONE)
+            if not len(word):
+                break
+            at = (top.take(word) & 63).astype(np.int64)
+            i = at * n + word
+            middle = after.take(i)
+            j = middle * n + word
+            end = after.take(j)
+            if record:
+                codes = np.full(n, -1, np.int32)
+                codes[word] = at << 12 | middle << 6 | end
+                done.append(codes)
+            sym[i] = new.take(i)
+            after[i] = end
+            prior[end * n + word] = at
+            best[j] = _NONE
+            live[j] = False
+            left = prior.take(i)
+            inner = np.flatnonzero(left >= 0)
+            offer(np.concatenate((word, word.take(inner))), np.concatenate((at, left.take(inner))), np.concatenate((end, at.take(inner))))
+        live = live.reshape(rows + 1, n).T
+        ids, ends = sym.reshape(rows + 1, n).T[live], np.cumsum(live.sum(axis=1)).tolist()
+        if not record:
+            return ids, ends, None, None
+        codes = np.array(done, np.int32).reshape(-1, n).T
+        return ids, ends, codes[codes >= 0], np.cumsum((codes >= 0).sum(axis=1)).tolist()
 
 
 _mergers: dict[tuple, Merger] = {}

@@ -113,6 +113,22 @@ def test_the_trie_of_decisions_equals_a_plain_agenda(rate):
     assert grown[0] < grown[-1] and max(map(len, m.skips)) > (rate > 0.1)
 
 
+def test_rare_words_take_no_nodes_and_are_cut_in_slabs_of_like_length(monkeypatch):
+    """Words that come now and then are cut under their keys and leave nothing behind; lengths,
+    unknown characters and the edges of slabs change no cut."""
+    monkeypatch.setattr(S, "TOGETHER", 64)
+    r = random.Random(4)
+    many = list({" " * r.randint(0, 2) + "".join(r.choice("thereationsqué日▁🎉") for _ in range(r.randint(1, 46))) for _ in range(500)}) * 2
+    many += ["x", " ", "日", "🎉🎉", "x" * S.SHORT, "national" * 6, "national" * 9]
+    keys = np.random.default_rng(3).integers(0, 1 << 63, len(many)).astype(np.uint64)
+    m = S.Merger(Pieces.of(PATH), 5, 0, 0.2)
+    assert m.cut(many, keys) == [m._agenda(w, k) for w, k in zip(many, keys.tolist())]
+    assert not m.word
+    for _ in range(12):   # often met, they are remembered
+        got = m.cut(many, keys)
+    assert got == [m._agenda(w, k) for w, k in zip(many, keys.tolist())] and len(m.word) > 500
+
+
 def test_forgetting_nodes_changes_nothing(monkeypatch):
     text = "international organisations and naturalisation of the thing " * 30
     want = S.encode_many([1, 2], [text, text], PATH, 9, 0.4)
