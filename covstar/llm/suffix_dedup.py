@@ -15,6 +15,8 @@ without losing a match:
    levels of the index for matches of ``MATCH`` bytes, and join the index as a
    level of their own; levels of equal size merge, so that n suffixes lie in
    log n levels. Batches come in corpus order: what a level holds is earlier.
+   Equal strings share their anchor, so an index takes the anchors of a partition
+   until it has ``FAMILY`` texts and then makes room for the next.
 3. An anchor with more than ``VARIANTS`` runs is dealt over several such indexes.
    The strings each of them found first meet once more, by hash of the string.
 
@@ -37,10 +39,10 @@ from pyspark.sql import functions as F
 from covstar.llm.common import spread, stored
 
 MATCH, GRAM = 100, 30
-#: Bytes that a worker hashes at once, and rows it holds before it sends them.
-CHUNK, HELD = 1 << 20, 1 << 19
-#: Runs of one anchor that one index takes; texts of a batch.
-VARIANTS, BATCH = 512, 2048
+#: Bytes that a worker hashes at once, rows it holds before it sends them, rows it sends at once.
+CHUNK, HELD, SENT = 1 << 18, 1 << 18, 1 << 14
+#: Runs of one anchor that one index takes; texts of a batch; texts of an index, if whole slots give no fewer.
+VARIANTS, BATCH, FAMILY = 512, 1024, 4096
 
 _STEP = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -125,12 +127,22 @@ def _frame(gram, whole, doc, tie, lo, hi) -> pd.DataFrame:
 
 def _first_of_each(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
     """Rows (a run each) split into the first of every (gram, whole) and the later ones."""
-    rows = rows.drop_duplicates()
-    order = np.lexsort((rows["lo"], rows["tie"], rows["doc"], rows["whole"], rows["gram"]))
-    rows = rows.iloc[order]
-    g, w = rows["gram"].to_numpy(), rows["whole"].to_numpy()
-    new = np.concatenate(([True], (g[1:] != g[:-1]) | (w[1:] != w[:-1]))) if len(rows) else np.zeros(0, bool)
-    return rows[new], rows[~new]
+    key = ["gram", "whole", "doc", "tie", "lo", "hi"]
+    order = np.lexsort([rows[c] for c in reversed(key)])
+    new, other = np.zeros((2, len(rows)), bool)        # differs from the row before: as a run, as a row
+    for c in key:                                      # a column at a time: no copy of the rows
+        v = rows[c].to_numpy()[order]
+        other[1:] |= v[1:] != v[:-1]
+        if c == "whole":
+            new[:] = other
+    new[:1] = True
+    return rows.iloc[order[new]], rows.iloc[order[other & ~new]]
+
+
+def _parts(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The rows, ``SENT`` at a time: neither side holds a large batch."""
+    for at in range(0, len(rows), SENT):
+        yield rows.iloc[at:at + SENT]
 
 
 def _spans_of(rows: pd.DataFrame) -> pd.DataFrame:
@@ -152,10 +164,13 @@ def _runs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held, size = [], 0
 
     def send():
-        first, later = _first_of_each(pd.concat(held, ignore_index=True))
-        spans = _spans_of(later)
-        yield first.assign(end=-1)
-        if len(spans):
+        rows = pd.concat(held, ignore_index=True)
+        held.clear()
+        first, later = _first_of_each(rows)
+        del rows
+        for part in _parts(first):
+            yield part.assign(end=-1)
+        for spans in _parts(_spans_of(later)):
             key = mixed(spans["doc"].to_numpy().view(np.uint64)).view(np.int64)
             yield _frame(key, 0, spans["doc"], spans["tie"], spans["start"], 0).assign(end=spans["end"])
 
@@ -171,7 +186,7 @@ def _runs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             size += len(t)
         if size > HELD:
             yield from send()
-            held, size = [], 0
+            size = 0
     if held:
         yield from send()
 
@@ -283,13 +298,36 @@ def suffixes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.ascontiguousarray(view).view(f"V{MATCH}").ravel().view(f"S{MATCH}"), text, place
 
 
+def _families(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows, sorted by anchor and slot, as frames of whole slots: the first of at
+    least ``FAMILY`` texts each."""
+    held, size = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        size += len(pdf)
+        if size < FAMILY:
+            continue
+        rows = pd.concat(held, ignore_index=True)
+        g, s = rows["gram"].to_numpy(), rows["slot"].to_numpy()
+        at = 0
+        for end in (np.flatnonzero((g[1:] != g[:-1]) | (s[1:] != s[:-1])) + 1).tolist():
+            if end - at >= FAMILY:
+                yield rows.iloc[at:end]
+                at = end
+        held, size = [rows.iloc[at:]], len(rows) - at  # its last slot may go on
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Strings of the runs of this partition that came before, as spans; of
-    anchors that are dealt over several indexes, also the strings found first."""
-    held = [b for b in batches if len(b)]
-    if not held:
-        return
-    rows = pd.concat(held, ignore_index=True).sort_values(["doc", "tie", "start"], ignore_index=True)
+    """Strings of the runs of this partition (sorted by anchor and slot) that came
+    before, as spans; of anchors that are dealt over several indexes, also the
+    strings found first."""
+    for rows in _families(batches):
+        yield from _scanned(rows.sort_values(["doc", "tie", "start"], ignore_index=True))
+
+
+def _scanned(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
     family = IndexFamily()
     for at in range(0, len(rows), BATCH):
         part = rows.iloc[at:at + BATCH]
@@ -349,19 +387,23 @@ def repeated(docs: DataFrame, variants: int = VARIANTS) -> DataFrame:
     marked = keyed.join(by_doc, (F.col("dd_doc") == F.col("dd_d")) & (F.col("dd_tie") == F.col("dd_t")), "left").drop("dd_d", "dd_t")
 
     def run_texts(batches):
+        columns, out = ["gram", "slot", "dealt", "doc", "tie", "start", "bytes"], []
         for pdf in batches:
-            out = []
             for doc, tie, text, found in zip(pdf["doc"], pdf["tie"], pdf["text"], pdf["open"]):
                 data = text.encode("utf-8", "surrogatepass")
                 for start, end, gram, slot, dealt in np.asarray(found, np.int64).reshape(-1, 5).tolist():
                     out.append((gram, slot, dealt > 0, doc, tie, start, data[start:end]))
-            yield pd.DataFrame(out, columns=["gram", "slot", "dealt", "doc", "tie", "start", "bytes"])
+                    if len(out) == SENT:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+        if out:
+            yield pd.DataFrame(out, columns=columns)
 
     # each text once, whatever number of rows repeat it
     open_runs = (marked.select(F.col("dd_doc").alias("doc"), F.col("dd_tie").alias("tie"), "text", F.col("dd_open").alias("open"))
                  .filter(F.size("open") > 0).dropDuplicates(["doc", "tie"])
                  .mapInPandas(run_texts, "gram long, slot long, dealt boolean, doc long, tie long, start long, bytes binary"))
-    scanned = stored(open_runs.repartition(n, "gram", "slot").mapInPandas(
+    scanned = stored(open_runs.repartition(n, "gram", "slot").sortWithinPartitions("gram", "slot").mapInPandas(
         _scan, "doc long, tie long, start long, end long, h long, h2 long, open boolean"), "dedup-scan")
     again = scanned.filter("open").repartition(n, "h", "h2").mapInPandas(_met_again, "doc long, tie long, start long, end long")
     more = (scanned.filter("not open").select("doc", "tie", "start", "end").union(again)

@@ -115,3 +115,50 @@ def test_anchors_stream_in_slots_whatever_the_batches():
         assert cells(closed, ["doc", "start", "end"]) == sorted(cells(later, ["doc", "lo", "end"]) + cells(rows[rows["end"] >= 0], ["doc", "lo", "end"]))
         for _, part in taken.groupby("gram"):
             assert sorted(part["slot"].tolist()) == [i // most for i in range(len(part))] and (part["dealt"] == (len(part) > most)).all()
+
+
+def test_a_task_of_many_anchors_holds_a_few_of_them_at_a_time(monkeypatch):
+    """Spans as from one index of all, whatever the batches; each index takes whole slots of about FAMILY texts."""
+    monkeypatch.setattr(D, "FAMILY", 40, raising=False)
+    monkeypatch.setattr(D, "BATCH", 16)
+    sizes, real = [], D.IndexFamily.add
+
+    def add(self, strings):
+        out = real(self, strings)
+        sizes.append(sum(map(len, self.levels)))
+        return out
+
+    monkeypatch.setattr(D.IndexFamily, "add", add)
+    rng = np.random.default_rng(5)
+    rows = []
+    for gram in range(120):
+        base = rng.integers(97, 123, 130).astype(np.uint8).tobytes()
+        for doc in rng.permutation(50)[:rng.integers(2, 12)].tolist():
+            a, b = int(rng.integers(0, 20)), int(rng.integers(120, 131))
+            rows.append((gram, 0, False, doc, 0, 1000 * gram + a, base[a:b], base))
+    rows = pd.DataFrame(rows, columns=["gram", "slot", "dealt", "doc", "tie", "start", "bytes", "base"])
+    want, seen = set(), set()
+    for r in rows.sort_values(["doc", "start"]).itertuples():
+        for i in range(len(r.bytes) - D.MATCH + 1):
+            w = r.bytes[i:i + D.MATCH]
+            want |= {(r.doc, r.start + i)} if w in seen else set()
+            seen.add(w)
+    rows = rows.drop(columns="base")
+    for size in (7, 100, len(rows)):
+        sizes.clear()
+        got = pd.concat(list(D._scan(iter([rows[i:i + size] for i in range(0, len(rows), size)]))))
+        assert not got["open"].any()
+        assert {(r.doc, x) for r in got.itertuples() for x in range(r.start, r.end - D.MATCH + 1)} == want
+        assert max(sizes) <= (40 + 12) * 31 < len(seen)
+
+
+def test_runs_leave_a_task_in_small_parts(monkeypatch):
+    monkeypatch.setattr(D, "SENT", 50, raising=False)
+    texts = [prose(400, 31), prose(300, 32)]
+    docs = pd.DataFrame({"doc": [1, 2, 3], "tie": 0, "text": [*texts, texts[0]]})
+    out = list(D._runs_of(iter([docs])))
+    assert len(out) > 1 and max(map(len, out)) <= 50
+    rows = pd.concat(out)
+    first, later = rows[rows["end"] < 0], rows[rows["end"] >= 0]
+    assert not first.duplicated(["gram", "whole"]).any() and set(first["doc"]) == {1, 2}
+    assert set(later["doc"]) == {3} and (later["end"] - later["lo"]).sum() == len(texts[0].encode())
